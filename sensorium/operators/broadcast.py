@@ -1,0 +1,30 @@
+"""Size-checked broadcast.
+
+A side is broadcast only when Catalyst's size estimate of its optimized
+plan is under a limit; otherwise the join is left to the planner (sort-merge
+join, or AQE's runtime switch once real sizes are known).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def estimated_size_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of ``df`` (no job is run); None if unknown."""
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        return int(str(stats.sizeInBytes()))
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect has no _jdf
+        return None
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` when its estimated size is at most ``max_bytes``."""
+    size = estimated_size_bytes(df)
+    if size is not None and size <= max_bytes:
+        return F.broadcast(df)
+    return df

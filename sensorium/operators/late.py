@@ -1,0 +1,32 @@
+"""Late-row filtering against a bounded-out-of-orderness watermark, in the
+batch model of a stream (rows tagged with the micro-batch they arrive in).
+
+The watermark a batch sees is ``max(event time of all earlier batches) -
+delay``; a row is kept when its millisecond time is at or after it (rows
+strictly before are late and dropped silently, as in the reference sort).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..schema import OUT_OF_ORDERNESS_MS
+from .broadcast import broadcast_if_small
+
+
+def batch_watermarks(df: DataFrame, batch: str = "batch", ts: str = "ts",
+                     delay_ms: int = OUT_OF_ORDERNESS_MS) -> DataFrame:
+    """``batch, wm_ms`` (NULL for the first batch): one row per batch."""
+    per = df.groupBy(batch).agg(F.max(F.unix_millis(F.col(ts))).alias("_max_ms"))
+    # one row per micro-batch: ordering this small table is cheap
+    w = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -1)
+    return per.select(batch, (F.max("_max_ms").over(w) - F.lit(delay_ms)).alias("wm_ms"))
+
+
+def late_event_filter(df: DataFrame, batch: str = "batch", ts: str = "ts",
+                      delay_ms: int = OUT_OF_ORDERNESS_MS) -> DataFrame:
+    """Rows that are not late for the watermark of their arrival batch."""
+    wm = batch_watermarks(df, batch, ts, delay_ms)
+    j = df.join(broadcast_if_small(wm), batch)
+    return j.filter(F.col("wm_ms").isNull() | (F.unix_millis(F.col(ts)) >= F.col("wm_ms"))).drop("wm_ms")

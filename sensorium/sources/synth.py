@@ -1,0 +1,64 @@
+"""Synthetic measurements: a generated pool and samples drawn from it.
+
+Fixed values of the reference generator: sensor ids uniform in [0, 100),
+values uniform in [0, 100), a location drawn uniformly from the location
+list, information text "More info: " followed by 64 random letters, pool
+size 100,000, seed 1.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..operators.broadcast import broadcast_if_small
+
+N_SENSORS = 100
+MAX_VALUE = 100.0
+INFO_PREFIX = "More info: "
+INFO_LETTERS = 64
+POOL_SIZE = 100_000
+SEED = 1
+_ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _indexed_locations(locations: DataFrame) -> DataFrame:
+    # the location list is a small dimension: numbering it in order is cheap
+    w = Window.orderBy("location")
+    return locations.select("location").distinct().withColumn("loc_idx", F.row_number().over(w) - 1)
+
+
+def measurement_pool(spark: SparkSession, locations: DataFrame, size: int | None = None,
+                     seed: int = SEED) -> DataFrame:
+    """``pool_idx, sensor_id, value, location, measurement_information``."""
+    size = POOL_SIZE if size is None else size
+    locs = _indexed_locations(locations)
+    n_loc = locs.select(F.count(F.lit(1))).scalar()
+    letters = F.expr(
+        f"concat_ws('', transform(sequence(1, {INFO_LETTERS}), "
+        f"i -> substr('{_ALPHABET}', cast(pmod(xxhash64(id, i, {seed}), {len(_ALPHABET)}) AS INT) + 1, 1)))")
+    pool = spark.range(size).select(
+        F.col("id").alias("pool_idx"),
+        F.floor(F.rand(seed) * N_SENSORS).cast("int").alias("sensor_id"),
+        (F.rand(seed + 1) * MAX_VALUE).alias("value"),
+        F.floor(F.rand(seed + 2) * n_loc).cast("int").alias("loc_idx"),
+        F.concat(F.lit(INFO_PREFIX), letters).alias("measurement_information"),
+    )
+    return (pool.join(broadcast_if_small(locs), "loc_idx")
+                .select("pool_idx", "sensor_id", "value", "location", "measurement_information"))
+
+
+def sample_with_replacement(spark: SparkSession, pool: DataFrame, n: int, seed: int = SEED) -> DataFrame:
+    """``n`` rows drawn uniformly with replacement from ``pool``."""
+    size = pool.select(F.count(F.lit(1))).scalar()
+    draws = spark.range(n).select(F.col("id").alias("draw"),
+                                  F.floor(F.rand(seed) * size).cast("long").alias("pool_idx"))
+    return draws.join(broadcast_if_small(pool), "pool_idx").drop("pool_idx")
+
+
+def sample_stream(spark: SparkSession, pool: DataFrame, rows_per_second: int = 1000) -> DataFrame:
+    """An endless stream of pool samples, one per rate-source tick."""
+    size = pool.select(F.count(F.lit(1))).scalar()
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
+    draws = ticks.select(F.col("timestamp"), F.pmod(F.xxhash64("value"), size).alias("pool_idx"))
+    return draws.join(pool, "pool_idx").drop("pool_idx")
