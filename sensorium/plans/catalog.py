@@ -161,6 +161,46 @@ def synthetic_sample(spark, sf):
     return synth.sample_with_replacement(spark, pool, n)
 
 
+def _replayed_raw(spark, sf):
+    """The raw record table replayed as a file stream, REPLAY_BATCHES
+    micro-batches in offset order."""
+    from ..schema import RAW_RECORD
+    from ..sources.replay import replay_stream, write_replay
+    raw = tables.raw_records(spark, sf)
+    n = raw.select(F.count(F.lit(1))).scalar()
+    raw = raw.withColumn("batch", F.floor(F.col("offset") * F.lit(REPLAY_BATCHES) / n).cast("long"))
+    stream_dir, fpb = write_replay(raw, "batch", files_per_batch=1)
+    return replay_stream(spark, stream_dir, RAW_RECORD, fpb)
+
+
+def _run_stream(spark, df, tag):
+    from ..session import scratch_path
+    from ..streaming.sort_ema import run_available
+    root = scratch_path(spark, tag)
+    run_available(df, f"{root}/out", f"{root}/checkpoint")
+    return spark.read.schema(df.schema).parquet(f"{root}/out")
+
+
+def sliding_stream_final(spark, sf):
+    from ..streaming.windows import sliding_stream
+    out = _run_stream(spark, sliding_stream(_replayed_raw(spark, sf), 60, 10, 250), "sliding")
+    return _round_sum(out)
+
+
+def _sorted_stream_output(spark, sf):
+    from ..streaming.sort_ema import sort_correct_ema
+    return _run_stream(spark, sort_correct_ema(_replayed_raw(spark, sf), None, 250, 100), "sort-ema")
+
+
+def ema_stream_final(spark, sf):
+    out = _sorted_stream_output(spark, sf)
+    return to_oracle_ts(out.filter(F.col("ema").isNotNull()).select("sensor_id", "ema", "ts"), "ts")
+
+
+def sorted_stream_final(spark, sf):
+    return _sorted_stream_output(spark, sf).select("sensor_id", "event_id", "pos")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_record_projection": raw_record_projection,
     "location_list": location_list,
@@ -185,6 +225,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sort_lag_stats": sort_lag_stats,
     "enrich_delay_stats": enrich_delay_stats,
     "window_lag_stats": window_lag_stats,
+    "sliding_stream_final": sliding_stream_final,
+    "ema_stream_final": ema_stream_final,
+    "sorted_stream_final": sorted_stream_final,
     "synthetic_pool": synthetic_pool,
     "synthetic_sample": synthetic_sample,
 }

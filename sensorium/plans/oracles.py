@@ -114,6 +114,10 @@ WHERE (epoch_us(ts) // 1000) < (SELECT (epoch_us(max(ts)) // 1000) - 250 FROM m)
 }
 
 
+# Same result as another query (different operator, same SQL).
+BODIES["location_enrich_async"] = BODIES["location_enrich"]
+
+
 def oracle_sql() -> dict[str, str]:
     out = {}
     for k, body in BODIES.items():
