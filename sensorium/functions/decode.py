@@ -35,6 +35,12 @@ def _number_text(c: Column) -> Column:
     return F.when(c.isNull() | (F.trim(c) == F.lit("")), F.lit("0")).otherwise(c)
 
 
+def _maybe_nested(c: Column) -> Column:
+    """Cheap pre-check: a text field whose value looks like JSON structure
+    (only then is the raw record scanned with a regex)."""
+    return F.coalesce(c.startswith("{") | c.startswith("["), F.lit(False))
+
+
 def parse_columns(text: Column) -> dict[str, Column]:
     """Column expressions for the decoded fields and the validity flag."""
     j = F.from_json(text, JSON_TEXT)
@@ -42,12 +48,15 @@ def parse_columns(text: Column) -> dict[str, Column]:
     sid_d = _number_text(j["sensorId"]).try_cast("double")
     val_d = _number_text(j["value"]).try_cast("double")
     known = F.array(*[F.lit(f) for f in JSON_FIELDS])
+    # And short-circuits: the regex runs only when a text field looks nested
+    nested = (_maybe_nested(j["location"]) | _maybe_nested(j["measurementInformation"])) \
+        & text.rlike(_NESTED_STRING_FIELD)
     ok = (
         keys.isNotNull()
         & (F.size(F.array_except(keys, known)) == 0)
         & sid_d.isNotNull() & (sid_d >= _INT_MIN) & (sid_d <= _INT_MAX)
         & val_d.isNotNull()
-        & ~text.rlike(_NESTED_STRING_FIELD)
+        & ~nested
     )
     return {
         "sensor_id": F.when(ok, sid_d.try_cast("int")),

@@ -34,21 +34,23 @@ def lag_stats(df: DataFrame, group: str, ts: str, now_ms: Column, tie: str | Non
     """
     lagged = df.select(group, ts, *([tie] if tie else []),
                        (now_ms - F.unix_millis(F.col(ts))).alias("lag"))
-    base = lagged.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.min("lag").alias("min_lag"),
-                                     F.max("lag").alias("max_lag"))
+    basics = [F.count(F.lit(1)).alias("n"), F.min("lag").alias("min_lag"), F.max("lag").alias("max_lag")]
+    names = [f"p{int(round(p * 100))}" for p in percentiles]
+    base = lagged.groupBy(group).agg(*basics)
     largest = base.agg(F.max("n")).first()[0]
+
+    def pcts(d):
+        return [F.round(F.percentile(d, p), digits).alias(nm) for p, nm in zip(percentiles, names)]
+
     if largest is None or largest <= sample_size:
-        sample = lagged
-    else:
-        desc = lagged.withColumn("_neg_us", -F.unix_micros(F.col(ts)))
-        order_tie = "_neg_tie" if tie else None
-        if tie:
-            desc = desc.withColumn("_neg_tie", -F.col(tie))
-        pos = sorted_positions(desc, key=group, ts="_neg_us", tie=order_tie, keep=("lag",))
-        sample = pos.filter(F.col("pos") <= sample_size)
-    names = [f"p{int(round(p * 100))}" for p in percentiles]
-    pct = sample.groupBy(group).agg(*[F.round(F.percentile("lag", p), digits).alias(nm)
-                                      for p, nm in zip(percentiles, names)])
+        # every group fits the sample: one aggregate, at most sample_size values per group
+        return lagged.groupBy(group).agg(*basics, *pcts("lag")).select(group, "n", "min_lag", "max_lag", *names)
+    desc = lagged.withColumn("_neg_us", -F.unix_micros(F.col(ts)))
+    order_tie = "_neg_tie" if tie else None
+    if tie:
+        desc = desc.withColumn("_neg_tie", -F.col(tie))
+    pos = sorted_positions(desc, key=group, ts="_neg_us", tie=order_tie, keep=("lag",))
+    pct = pos.filter(F.col("pos") <= sample_size).groupBy(group).agg(*pcts("lag"))
     return base.join(pct, group, "left").select(group, "n", "min_lag", "max_lag", *names)
 
 

@@ -360,6 +360,9 @@ def _make_final_pass(key: str, kernel: Kernel, carry_in: dict):
                         eq = np.flatnonzero(_eq_states(np.asarray(st), local))
                         stop = int(eq[0]) + 1 if len(eq) else run_end
                     pdf = pdf.copy()
+                    new_state = pdf["_state"].to_numpy().copy()
+                    new_state[:stop] = np.asarray(st)[:stop]
+                    pdf["_state"] = new_state
                     for c in out_names:
                         col = pdf[c].to_numpy().copy()
                         col[:stop] = np.asarray(outs[c])[:stop]

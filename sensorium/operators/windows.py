@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 from ..schema import DEFAULT_SLIDE_SECONDS, WINDOW_SIZE_SECONDS
 
 
-def _dur(seconds: int) -> str:
-    return f"{int(seconds)} seconds"
+def _dur(seconds: float) -> str:
+    ms = int(round(seconds * 1000))
+    return f"{ms // 1000} seconds" if ms % 1000 == 0 else f"{ms} milliseconds"
 
 
 def window_struct(ts: str, size_s: int, slide_s: int):
@@ -38,7 +39,7 @@ def assign_windows(df: DataFrame, size_s: int = WINDOW_SIZE_SECONDS,
         w = window_struct(ts, size_s, slide_s)
         return df.withColumn("_w", w).withColumn("window_start", F.col("_w.start")) \
                  .withColumn("window_end", F.col("_w.end")).drop("_w")
-    size_us, slide_us = int(size_s) * 1_000_000, int(slide_s) * 1_000_000
+    size_us, slide_us = int(round(size_s * 1_000_000)), int(round(slide_s * 1_000_000))
     us = F.unix_micros(F.col(ts))
     start_us = F.floor(us / F.lit(slide_us)).cast("long") * slide_us
     return (df.withColumn("_ws", start_us)
