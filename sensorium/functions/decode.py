@@ -10,11 +10,12 @@ Jackson object mapper would bind it to an (int, double, String, String) bean:
   not fit, objects/arrays where a scalar is expected -> the record is dropped
   (it goes to the dead-letter output instead)
 
-The keep/drop predicate is written as ``CASE WHEN ts IS NULL THEN false ELSE
-ok END`` ("coupled filter"): it references the event-time column, so Catalyst
-does not push it below ``withWatermark`` and a malformed record still moves
-the watermark, as the reference's order (watermark first, decode second)
-requires.
+Keep/drop is a generator (0 or 1 rows per record, the reference's flatMap),
+not a filter: Catalyst pushes filters through projections by inlining them,
+which would parse every record twice, and pushes filters that do not touch
+the event-time column below ``withWatermark``, so a malformed record would
+no longer move the watermark. A generator is pushed nowhere.
+:func:`coupled_filter` is the filter form for callers that need one.
 """
 
 from __future__ import annotations
@@ -41,10 +42,9 @@ def _maybe_nested(c: Column) -> Column:
     return F.coalesce(c.startswith("{") | c.startswith("["), F.lit(False))
 
 
-def parse_columns(text: Column) -> dict[str, Column]:
-    """Column expressions for the decoded fields and the validity flag."""
-    j = F.from_json(text, JSON_TEXT)
-    keys = F.json_object_keys(text)
+def parse_columns(j: Column, keys: Column, text: Column) -> dict[str, Column]:
+    """Decoded fields and the validity flag from the parsed struct ``j``,
+    the top-level key list ``keys`` and the raw ``text``."""
     sid_d = _number_text(j["sensorId"]).try_cast("double")
     val_d = _number_text(j["value"]).try_cast("double")
     known = F.array(*[F.lit(f) for f in JSON_FIELDS])
@@ -59,10 +59,10 @@ def parse_columns(text: Column) -> dict[str, Column]:
         & ~nested
     )
     return {
-        "sensor_id": F.when(ok, sid_d.try_cast("int")),
-        "value": F.when(ok, val_d),
-        "location": F.when(ok, j["location"]),
-        "measurement_information": F.when(ok, j["measurementInformation"]),
+        "sensor_id": sid_d.try_cast("int"),
+        "_value": val_d,
+        "location": j["location"],
+        "measurement_information": j["measurementInformation"],
         "_ok": F.coalesce(ok, F.lit(False)),
     }
 
@@ -73,12 +73,24 @@ def coupled_filter(pred: Column, ts: Column) -> Column:
 
 
 def with_parsed(raw: DataFrame, value: str = "value", ts: str = "timestamp") -> DataFrame:
-    """Raw records plus decoded columns and ``_ok``; ``ts`` = record time."""
-    cols = parse_columns(F.col(value).cast("string"))
-    out = raw
-    for name, c in cols.items():
-        out = out.withColumn(name if name != "value" else "_value", c)
-    return out.withColumn("ts", F.col(ts))
+    """Raw records plus decoded columns and ``_ok``; ``ts`` = record time.
+
+    The text is parsed once per record (one struct column, one key list);
+    the fields are derived from those columns in a second projection, so
+    the parse is not repeated for each field reference.
+    """
+    text = F.col(value).cast("string")
+    parsed = raw.select("*", text.alias("_text"), F.from_json(text, JSON_TEXT).alias("_j"),
+                        F.json_object_keys(text).alias("_k"))
+    cols = parse_columns(F.col("_j"), F.col("_k"), F.col("_text"))
+    return parsed.select(*raw.columns, *[c.alias(n) for n, c in cols.items()], F.col(ts).alias("ts"))
+
+
+def _emit_if(cond: Column, cols: list[Column]) -> Column:
+    """0 or 1 output rows per input (a flatMap). A generator, not a filter:
+    Catalyst cannot push it below the parse (where it would re-run the parse
+    inside the filter) nor below a watermark on the record time."""
+    return F.inline(F.when(cond, F.array(F.struct(*cols))))
 
 
 def decode_measurements(raw: DataFrame, value: str = "value", ts: str = "timestamp",
@@ -86,15 +98,15 @@ def decode_measurements(raw: DataFrame, value: str = "value", ts: str = "timesta
     """Well-formed measurements: ``sensor_id, value, location,
     measurement_information, ts`` plus the ``keep`` columns of the record."""
     p = with_parsed(raw, value, ts)
-    p = p.filter(coupled_filter(F.col("_ok"), F.col("ts")))
-    return p.select(*keep, "sensor_id", F.col("_value").alias("value"), "location",
-                    "measurement_information", "ts")
+    cols = [F.col(k) for k in keep] + [F.col("sensor_id"), F.col("_value").alias("value"), F.col("location"),
+                                       F.col("measurement_information"), F.col("ts")]
+    return p.select(_emit_if(F.col("_ok") & F.col("ts").isNotNull(), cols))
 
 
 def dead_letters(raw: DataFrame, value: str = "value", ts: str = "timestamp") -> DataFrame:
     """Records that fail to decode (the reference logs and drops them)."""
     p = with_parsed(raw, value, ts)
-    return p.filter(coupled_filter(~F.col("_ok"), F.col("ts"))).select(*raw.columns)
+    return p.select(_emit_if(~F.col("_ok") & F.col("ts").isNotNull(), [F.col(c) for c in raw.columns]))
 
 
 def dead_letter_counts(raw: DataFrame, by: str = "partition") -> DataFrame:

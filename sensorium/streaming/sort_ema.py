@@ -61,6 +61,9 @@ def make_sort_ema(round_to_ms: int | None = ROUND_TIMER_TO_MS, alpha: float = 0.
     kernel = MovingAverage("value", alpha)
 
     def sort_ema(key, pdfs, state):
+        import warnings
+        # pandas notice raised inside PySpark's state serializer, per batch
+        warnings.filterwarnings("ignore", category=FutureWarning)
         sensor = int(key[0])
         if state.exists:
             ts_us, tie, val, avg, seen, seq = state.get
