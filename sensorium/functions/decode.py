@@ -94,10 +94,19 @@ def _emit_if(cond: Column, cols: list[Column]) -> Column:
 
 
 def decode_measurements(raw: DataFrame, value: str = "value", ts: str = "timestamp",
-                        keep: tuple[str, ...] = ()) -> DataFrame:
+                        keep: tuple[str, ...] = (), metrics=None) -> DataFrame:
     """Well-formed measurements: ``sensor_id, value, location,
-    measurement_information, ts`` plus the ``keep`` columns of the record."""
+    measurement_information, ts`` plus the ``keep`` columns of the record.
+
+    ``metrics`` (a name for streams, or an ``Observation``) attaches counters
+    ``n_records`` and ``n_bad`` from the same parse: per micro-batch in
+    ``StreamingQueryProgress.observedMetrics`` — the reference's error log
+    as a metric.
+    """
     p = with_parsed(raw, value, ts)
+    if metrics is not None:
+        p = p.observe(metrics, F.count(F.lit(1)).alias("n_records"),
+                      F.count(F.when(~F.col("_ok"), 1)).alias("n_bad"))
     cols = [F.col(k) for k in keep] + [F.col("sensor_id"), F.col("_value").alias("value"), F.col("location"),
                                        F.col("measurement_information"), F.col("ts")]
     return p.select(_emit_if(F.col("_ok") & F.col("ts").isNotNull(), cols))
@@ -112,3 +121,4 @@ def dead_letters(raw: DataFrame, value: str = "value", ts: str = "timestamp") ->
 def dead_letter_counts(raw: DataFrame, by: str = "partition") -> DataFrame:
     """Number of undecodable records per source partition."""
     return dead_letters(raw).groupBy(by).agg(F.count(F.lit(1)).alias("n_bad"))
+
