@@ -378,9 +378,44 @@ def _make_final_pass(key: str, kernel: Kernel, carry_in: dict):
     return final_pass
 
 
+def _partition_end_state(spark, ck: DataFrame, pid: int, kernel: Kernel, carry):
+    """Exact end state of partition ``pid`` (a single key run) given ``carry``."""
+    names = ck.columns
+    pos = {c: names.index(c) for c in (*kernel.inputs, "_kind")}
+    inputs = list(kernel.inputs)
+
+    def fold_partition(rows):
+        state = carry
+        chunk = {c: [] for c in inputs}
+
+        def flush(st):
+            if not chunk[inputs[0]]:
+                return st
+            cols = {c: np.asarray(chunk[c]) for c in inputs}
+            n = len(cols[inputs[0]])
+            states, _ = kernel.fold(cols, np.array([0]), st, n)
+            for c in inputs:
+                chunk[c].clear()
+            return states[-1]
+
+        for r in rows:
+            if r[pos["_kind"]] != 0:
+                continue
+            for c in inputs:
+                chunk[c].append(r[pos[c]])
+            if len(chunk[inputs[0]]) >= 65536:
+                state = flush(state)
+        yield flush(state)
+
+    out = spark.sparkContext.runJob(ck.rdd, fold_partition, [pid])
+    return out[0] if out else carry
+
+
 def _resolve(summaries, kernel: Kernel, exact_end) -> dict:
     carry_in = {}
     have_prev, prev_key, prev_end = False, None, None
+    # one summary per partition (a re-executed stage cannot double it)
+    summaries = list({s["_pid"]: s for s in summaries}.values())
     for s in sorted(summaries, key=lambda r: r["_pid"]):
         end = s["_state"]
         if have_prev and _same(s["_first_key"], prev_key):
@@ -424,11 +459,9 @@ def ordered_scan(df: DataFrame, key: str, order: Sequence[str], kernel: Kernel,
     data = ck.filter(F.col("_kind") == 0).drop(*_SUMMARY_FIELDS)
 
     def exact_end(pid, carry):
-        one = data.filter(F.col("_pid") == pid)
-        fin = one.mapInPandas(_make_final_pass(key, kernel, {pid: carry}), one.schema)
-        # the refold stops once synced; an unsynced run refolds to its end
-        last = fin.agg(F.max_by("_state", "_idx").alias("s")).first()
-        return last["s"] if last is not None and last["s"] is not None else carry
+        # One job over this partition only (the checkpoint keeps partition
+        # ids): refold its single key run from the carry to its end.
+        return _partition_end_state(spark, ck, pid, kernel, carry)
 
     carry_in = _resolve(summaries, kernel, exact_end)
     out = data.mapInPandas(_make_final_pass(key, kernel, carry_in), data.schema)
