@@ -121,9 +121,26 @@ class MovingAverage(Kernel):
         self.state_type = T.DoubleType()
         self.outputs = (("_emit", T.BooleanType()),)
 
+    def _ewm_loop(self, v: np.ndarray) -> np.ndarray:
+        """Same arithmetic as pandas' ``ewm(adjust=False)`` for one short
+        run, without its per-call overhead; NaN propagates."""
+        a = self.alpha
+        old = 1.0 - a
+        out = np.empty(len(v))
+        w = float(v[0])
+        out[0] = w
+        for i in range(1, len(v)):
+            c = float(v[i])
+            if w != c:
+                w = (old * w + a * c) / (old + a)
+            out[i] = w
+        return out
+
     def _ewm(self, v: np.ndarray, run_ids: np.ndarray) -> np.ndarray:
         if len(v) == 0:
             return v.astype("float64")
+        if len(v) <= 32 and run_ids[-1] == 0:
+            return self._ewm_loop(np.asarray(v, dtype="float64"))
         s = pd.Series(v, dtype="float64")
         if run_ids[-1] == 0:
             out = s.ewm(alpha=self.alpha, adjust=False).mean().to_numpy()

@@ -20,6 +20,8 @@ LOCAL_CONF = {
     "spark.python.unix.domain.socket.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # commit a per-batch changelog instead of a full state snapshot
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

@@ -37,29 +37,48 @@ def write_replay(df: DataFrame, batch: str = "batch", files_per_batch: int = 1,
     """Write each batch as ``files_per_batch`` parquet files into one folder.
 
     Returns ``(folder, files_per_batch)``; read it back with
-    :func:`replay_stream`. The batch ids are collected (one value per
-    micro-batch, a bounded list).
+    :func:`replay_stream`. With one file per batch all batches are written by
+    a single job (hash-partitioned by batch, so every batch lands in exactly
+    one writer task and one file); otherwise one job per batch.
     """
     spark = df.sparkSession
     root = path or scratch_path(spark, "replay")
     stream_dir = f"{root}/stream"
-    batches = [r[0] for r in df.select(batch).distinct().orderBy(batch).collect()]
-    fs, _ = _fs(spark, stream_dir)
     jvm = spark._jvm
-    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(stream_dir))
-    for i, b in enumerate(batches):
-        staged = f"{root}/staging/{i:06d}"
-        (df.filter(F.col(batch) == F.lit(b)).drop(batch)
-           .repartition(files_per_batch).write.mode("overwrite").parquet(staged))
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs, _ = _fs(spark, stream_dir)
+    fs.mkdirs(Path(stream_dir))
+    staged_by_batch: list[tuple[object, list[str]]] = []
+    if files_per_batch == 1:
+        staged = f"{root}/staging"
+        n = max(1, df.select(batch).distinct().count())
+        df.repartition(n, F.col(batch)).write.mode("overwrite").partitionBy(batch).parquet(staged)
         sfs, sp = _fs(spark, staged)
-        parts = sorted(st.getPath().toString() for st in sfs.listStatus(sp)
-                       if st.getPath().getName().endswith(".parquet"))
+        dirs = [st.getPath() for st in sfs.listStatus(sp) if st.isDirectory() and "=" in st.getPath().getName()]
+        ids = []
+        for d in dirs:
+            raw_id = d.getName().split("=", 1)[1]
+            ids.append((int(raw_id) if raw_id.lstrip("-").isdigit() else raw_id, d))
+        for b, d in sorted(ids, key=lambda x: x[0]):
+            parts = sorted(st.getPath().toString() for st in sfs.listStatus(d)
+                           if st.getPath().getName().endswith(".parquet"))
+            staged_by_batch.append((b, parts))
+    else:
+        batches = [r[0] for r in df.select(batch).distinct().orderBy(batch).collect()]
+        for i, b in enumerate(batches):
+            staged = f"{root}/staging/{i:06d}"
+            (df.filter(F.col(batch) == F.lit(b)).drop(batch)
+               .repartition(files_per_batch).write.mode("overwrite").parquet(staged))
+            sfs, sp = _fs(spark, staged)
+            staged_by_batch.append((b, sorted(st.getPath().toString() for st in sfs.listStatus(sp)
+                                              if st.getPath().getName().endswith(".parquet"))))
+    for i, (b, parts) in enumerate(staged_by_batch):
         # a batch with fewer rows than files still yields files_per_batch files
         if len(parts) != files_per_batch:
             raise RuntimeError(f"batch {b}: expected {files_per_batch} files, got {len(parts)}")
         for k, src in enumerate(parts):
-            dst = jvm.org.apache.hadoop.fs.Path(f"{stream_dir}/b{i:06d}-{k:04d}.parquet")
-            fs.rename(jvm.org.apache.hadoop.fs.Path(src), dst)
+            dst = Path(f"{stream_dir}/b{i:06d}-{k:04d}.parquet")
+            fs.rename(Path(src), dst)
             fs.setTimes(dst, base_mtime_ms + i * 10_000 + k, -1)
     return stream_dir, files_per_batch
 

@@ -66,45 +66,44 @@ def make_sort_ema(round_to_ms: int | None = ROUND_TIMER_TO_MS, alpha: float = 0.
         warnings.filterwarnings("ignore", category=FutureWarning)
         sensor = int(key[0])
         if state.exists:
-            ts_us, tie, val, avg, seen, seq = state.get
-            buf = pd.DataFrame({"ts_us": np.asarray(ts_us, dtype=np.int64),
-                                "tie": np.asarray(tie, dtype=np.int64),
-                                "value": np.asarray(val, dtype=np.float64)})
+            b_us, b_tie, b_val, avg, seen, seq = state.get
+            parts_us, parts_tie, parts_val = [np.asarray(b_us, np.int64)], [np.asarray(b_tie, np.int64)], \
+                [np.asarray(b_val, np.float64)]
         else:
-            buf = pd.DataFrame({"ts_us": np.zeros(0, np.int64), "tie": np.zeros(0, np.int64),
-                                "value": np.zeros(0, np.float64)})
+            parts_us, parts_tie, parts_val = [], [], []
             avg, seen, seq = None, False, 0
         wm = state.getCurrentWatermarkMs()
         if not state.hasTimedOut:
-            parts = [buf]
             for pdf in pdfs:
                 if len(pdf):
-                    us = pdf["ts"].astype("datetime64[us]").astype("int64").to_numpy()
-                    keep = (us // 1000) >= wm
-                    parts.append(pd.DataFrame({"ts_us": us[keep], "tie": pdf["event_id"].to_numpy()[keep],
-                                               "value": pdf["value"].to_numpy()[keep]}))
-            buf = pd.concat(parts, ignore_index=True)
-        buf = buf.sort_values(["ts_us", "tie"], kind="stable").reset_index(drop=True)
-        out_mask = (buf["ts_us"].to_numpy() // 1000) < wm
-        out = buf[out_mask]
-        rest = buf[~out_mask]
-        if len(out):
-            states, outs = kernel.fold({"value": out["value"].to_numpy()}, np.array([0]),
-                                       avg if seen else None, len(out))
-            ema = np.asarray(states, dtype=np.float64)
-            pos = np.arange(seq + 1, seq + 1 + len(out), dtype=np.int64)
-            avg, seen, seq = float(states[-1]), True, int(seq + len(out))
+                    us = pdf["ts"].to_numpy().astype("datetime64[us]").astype(np.int64)
+                    keep = (us // 1000) >= wm  # late: before the watermark
+                    parts_us.append(us[keep])
+                    parts_tie.append(pdf["event_id"].to_numpy(np.int64)[keep])
+                    parts_val.append(pdf["value"].to_numpy(np.float64)[keep])
+        if not parts_us:
+            return
+        us = np.concatenate(parts_us)
+        tie = np.concatenate(parts_tie)
+        val = np.concatenate(parts_val)
+        order = np.lexsort((tie, us))
+        us, tie, val = us[order], tie[order], val[order]
+        n_out = int(np.searchsorted(us // 1000, wm, side="left"))  # released: ms time < watermark
+        if n_out:
+            states, outs = kernel.fold({"value": val[:n_out]}, np.array([0]), avg if seen else None, n_out)
+            emit = outs["_emit"]
             yield pd.DataFrame({
-                "sensor_id": np.full(len(out), sensor, dtype=np.int32),
-                "event_id": out["tie"].to_numpy(),
-                "ts": pd.to_datetime(out["ts_us"].to_numpy(), unit="us"),
-                "value": out["value"].to_numpy(),
-                "pos": pos,
-                "ema": pd.arrays.FloatingArray(ema, mask=~outs["_emit"]),
+                "sensor_id": np.full(n_out, sensor, dtype=np.int32),
+                "event_id": tie[:n_out],
+                "ts": pd.to_datetime(us[:n_out], unit="us"),
+                "value": val[:n_out],
+                "pos": np.arange(seq + 1, seq + 1 + n_out, dtype=np.int64),
+                "ema": pd.arrays.FloatingArray(np.asarray(states, dtype=np.float64), mask=~emit),
             })
-        state.update((rest["ts_us"].tolist(), rest["tie"].tolist(), rest["value"].tolist(), avg, seen, seq))
-        if len(rest):
-            state.setTimeoutTimestamp(_timeout_ms(int(rest["ts_us"].iloc[0]) // 1000, round_to_ms))
+            avg, seen, seq = float(states[-1]), True, int(seq + n_out)
+        state.update((us[n_out:].tolist(), tie[n_out:].tolist(), val[n_out:].tolist(), avg, seen, seq))
+        if n_out < len(us):
+            state.setTimeoutTimestamp(_timeout_ms(int(us[n_out]) // 1000, round_to_ms))
 
     return sort_ema
 
