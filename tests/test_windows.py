@@ -29,7 +29,18 @@ def _brute(pdf, size_s, slide_s):
 @pytest.mark.parametrize("size_s,slide_s", [(60, 10), (60, 25), (60, 60), (60, 90), (3600, 600)])
 def test_windows_match_brute_force(spark, size_s, slide_s):
     m = tables.measurements(spark, SF001)
-    got = windows.sliding_count_sum(m, size_s, slide_s).withColumn("us", F.unix_micros("window_start")).collect()
+    got = windows.sliding_count_sum(m, size_s, slide_s, strategy="direct").withColumn("us", F.unix_micros("window_start")).collect()
+    got = {(r.us, r.location): (r.events_per_window, round(r.sum_per_window, 6)) for r in got}
+    exp = {k: (n, round(s, 6)) for k, (n, s) in _brute(m.select("location", "ts", "value").toPandas(),
+                                                         size_s, slide_s).items()}
+    assert got == exp
+
+
+@pytest.mark.parametrize("size_s,slide_s", [(60, 10), (60, 25), (3600, 600)])
+def test_panes_match_brute_force(spark, size_s, slide_s):
+    m = tables.measurements(spark, SF001)
+    got = windows.sliding_count_sum(m, size_s, slide_s, strategy="panes") \
+        .withColumn("us", F.unix_micros("window_start")).collect()
     got = {(r.us, r.location): (r.events_per_window, round(r.sum_per_window, 6)) for r in got}
     exp = {k: (n, round(s, 6)) for k, (n, s) in _brute(m.select("location", "ts", "value").toPandas(),
                                                          size_s, slide_s).items()}
@@ -56,3 +67,13 @@ def test_slide_greater_than_size_leaves_gaps(spark):
     w = windows.assign_windows(m, 60, 90)
     assert w.filter(F.unix_micros("ts") >= F.unix_micros("window_end")).count() == 0
     assert w.groupBy("event_id").count().filter("count > 1").count() == 0
+
+
+@pytest.mark.parametrize("size_s,slide_s", [(60, 10), (60, 25), (3600, 600)])
+def test_panes_equal_direct(spark, size_s, slide_s):
+    m = tables.measurements(spark, "/root/testdata/sf0.01")
+    r = lambda d: d.withColumn("s", F.round("sum_per_window", 6)).drop("sum_per_window")
+    a = r(windows.sliding_count_sum(m, size_s, slide_s))
+    b = r(windows.sliding_count_sum_panes(m, size_s, slide_s))
+    a = r(windows.sliding_count_sum(m, size_s, slide_s, strategy="direct"))
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
