@@ -28,6 +28,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def with_parallelism_floor(df: DataFrame) -> DataFrame:
+    """Spread an input that scans as fewer partitions than the cluster has
+    cores (e.g. one small file with one row group) round-robin over the
+    default parallelism, so per-row work before the first shuffle is not one
+    task. Large inputs already have many splits and pass through untouched."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def location_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All locations, one row each (the reference reads one per text line)."""
     return table(spark, sf_dir, "nation").select(F.col("n_name").alias("location"))
@@ -49,7 +60,7 @@ def location_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id, sensor_id, value, location, measurement_information, ts``."""
-    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props")
+    e = with_parallelism_floor(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props"))
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = e.join(broadcast_if_small(n), F.pmod(e.user_id, F.lit(N_LOCATIONS)) == n.n_nationkey)
     return j.select(
