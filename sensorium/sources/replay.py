@@ -64,14 +64,19 @@ def write_replay(df: DataFrame, batch: str = "batch", files_per_batch: int = 1,
                            if st.getPath().getName().endswith(".parquet"))
             staged_by_batch.append((b, parts))
     else:
-        batches = [r[0] for r in df.select(batch).distinct().orderBy(batch).collect()]
-        for i, b in enumerate(batches):
-            staged = f"{root}/staging/{i:06d}"
-            (df.filter(F.col(batch) == F.lit(b)).drop(batch)
-               .repartition(files_per_batch).write.mode("overwrite").parquet(staged))
-            sfs, sp = _fs(spark, staged)
-            staged_by_batch.append((b, sorted(st.getPath().toString() for st in sfs.listStatus(sp)
-                                              if st.getPath().getName().endswith(".parquet"))))
+        # one writer job per batch; the source is computed once (cached)
+        src = df.persist()
+        try:
+            batches = [r[0] for r in src.select(batch).distinct().orderBy(batch).collect()]
+            for i, b in enumerate(batches):
+                staged = f"{root}/staging/{i:06d}"
+                (src.filter(F.col(batch) == F.lit(b)).drop(batch)
+                    .repartition(files_per_batch).write.mode("overwrite").parquet(staged))
+                sfs, sp = _fs(spark, staged)
+                staged_by_batch.append((b, sorted(st.getPath().toString() for st in sfs.listStatus(sp)
+                                                  if st.getPath().getName().endswith(".parquet"))))
+        finally:
+            src.unpersist()
     for i, (b, parts) in enumerate(staged_by_batch):
         # a batch with fewer rows than files still yields files_per_batch files
         if len(parts) != files_per_batch:
