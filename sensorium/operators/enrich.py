@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import ASYNC_CAPACITY, CACHE_TTL_MS
+from ..functions.arrow import micros_as_timestamps, timestamps_as_micros
 from .broadcast import broadcast_if_small
 
 
@@ -82,13 +83,14 @@ def enrich_lookup(meas: DataFrame, client_factory: Callable[[], Callable[[str],
     be picklable). Up to ``capacity`` lookups run at once; ``timeout_s=None``
     waits without limit (the reference's timeout 0).
     """
+    meas, ts_cols = timestamps_as_micros(meas)
     schema = T.StructType(list(meas.schema.fields) + [T.StructField(info, T.StringType())])
     cache_ns = f"{id(client_factory)}:{key}"
 
     def run(batches):
         return _lookup_batches(batches, client_factory, key, info, ttl_ms, capacity, timeout_s, cache_ns)
 
-    return meas.mapInPandas(run, schema)
+    return micros_as_timestamps(meas.mapInPandas(run, schema), ts_cols)
 
 
 class DictClient:

@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.arrow import micros_as_timestamps, timestamps_as_micros
 from ..session import ensure_checkpoint_dir
 
 # Rows of a partition's first run kept to prove carry-independence.
@@ -459,7 +460,8 @@ def ordered_scan(df: DataFrame, key: str, order: Sequence[str], kernel: Kernel,
     for c in [key, *order, *kernel.inputs, *keep]:
         if c not in cols:
             cols.append(c)
-    base = df.select(*cols)
+    # Python sees epoch micros, never session-zone wall clocks (same order)
+    base, ts_cols = timestamps_as_micros(df.select(*cols))
     if num_partitions:
         srt = base.repartitionByRange(num_partitions, key, *order).sortWithinPartitions(key, *order)
     else:
@@ -486,7 +488,8 @@ def ordered_scan(df: DataFrame, key: str, order: Sequence[str], kernel: Kernel,
     if "_emit" in out_names:
         out = out.filter(F.col("_emit"))
     final_cols = [c for c in cols if c not in kernel.inputs or c in keep or c in (key, *order)]
-    return out.select(*final_cols, *[n for n in out_names if n != "_emit"], "_state")
+    out = out.select(*final_cols, *[n for n in out_names if n != "_emit"], "_state")
+    return micros_as_timestamps(out, ts_cols)
 
 
 # --- public operators ------------------------------------------------------

@@ -114,8 +114,8 @@ def sampling_count_sum(meas: DataFrame, size_s: int, slide_s: int, key: str = "l
 
 
 _PARTIAL = T.StructType([
-    T.StructField("window_start", T.TimestampType()),
-    T.StructField("window_end", T.TimestampType()),
+    T.StructField("window_start", T.LongType()),  # epoch micros
+    T.StructField("window_end", T.LongType()),
     T.StructField("key", T.StringType()),
     T.StructField("n", T.LongType()),
     T.StructField("s", T.DoubleType()),
@@ -164,8 +164,11 @@ def sliding_full_buffer(meas: DataFrame, size_s: int = WINDOW_SIZE_SECONDS,
     order = ["key", "window_start", ts] + ([tie] if tie else [])
     srt = w.repartitionByRange(num_partitions, *order) if num_partitions else w.orderBy(*order)
     srt = srt.sortWithinPartitions(*order) if num_partitions else srt
-    parts = srt.select("key", "window_start", "window_end", F.col(value).alias("value")) \
-               .mapInPandas(_fold_buffers, _PARTIAL)
+    parts = srt.select("key", F.unix_micros("window_start").alias("window_start"),
+                       F.unix_micros("window_end").alias("window_end"), F.col(value).alias("value")) \
+               .mapInPandas(_fold_buffers, _PARTIAL) \
+               .withColumn("window_start", F.timestamp_micros("window_start")) \
+               .withColumn("window_end", F.timestamp_micros("window_end"))
     out = parts.groupBy("window_start", "window_end", "key").agg(
         F.sum("n").alias("events_per_window"), F.sum("s").alias("sum_per_window"))
     return out.withColumnRenamed("key", key)

@@ -31,10 +31,11 @@ from ..operators.ordered import MovingAverage
 from ..schema import OUT_OF_ORDERNESS_MS, ROUND_TIMER_TO_MS
 from .windows import with_event_time
 
+# Python works on epoch micros (``ts_us``), never on session-zone datetimes.
 OUTPUT = T.StructType([
     T.StructField("sensor_id", T.IntegerType()),
     T.StructField("event_id", T.LongType()),
-    T.StructField("ts", T.TimestampType()),
+    T.StructField("ts_us", T.LongType()),
     T.StructField("value", T.DoubleType()),
     T.StructField("pos", T.LongType()),
     T.StructField("ema", T.DoubleType()),
@@ -76,7 +77,7 @@ def make_sort_ema(round_to_ms: int | None = ROUND_TIMER_TO_MS, alpha: float = 0.
         if not state.hasTimedOut:
             for pdf in pdfs:
                 if len(pdf):
-                    us = pdf["ts"].to_numpy().astype("datetime64[us]").astype(np.int64)
+                    us = pdf["ts_us"].to_numpy(np.int64)
                     keep = (us // 1000) >= wm  # late: before the watermark
                     parts_us.append(us[keep])
                     parts_tie.append(pdf["event_id"].to_numpy(np.int64)[keep])
@@ -95,7 +96,7 @@ def make_sort_ema(round_to_ms: int | None = ROUND_TIMER_TO_MS, alpha: float = 0.
             yield pd.DataFrame({
                 "sensor_id": np.full(n_out, sensor, dtype=np.int32),
                 "event_id": tie[:n_out],
-                "ts": pd.to_datetime(us[:n_out], unit="us"),
+                "ts_us": us[:n_out],
                 "value": val[:n_out],
                 "pos": np.arange(seq + 1, seq + 1 + n_out, dtype=np.int64),
                 "ema": pd.arrays.FloatingArray(np.asarray(states, dtype=np.float64), mask=~emit),
@@ -120,8 +121,12 @@ def sort_correct_ema(raw: DataFrame, corrections=None, delay_ms: int = OUT_OF_OR
         .withColumnRenamed("offset", "event_id")
     if corrections:
         meas = apply_corrections(meas, corrections)
-    return meas.select("sensor_id", "event_id", "ts", "value").groupBy("sensor_id").applyInPandasWithState(
+    # ``ts`` carries the watermark (required for event-time timeouts); the
+    # function itself reads ``ts_us``
+    rows = meas.select("sensor_id", "event_id", "ts", F.unix_micros("ts").alias("ts_us"), "value")
+    out = rows.groupBy("sensor_id").applyInPandasWithState(
         make_sort_ema(round_to_ms, alpha), OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    return out.select("sensor_id", "event_id", F.timestamp_micros("ts_us").alias("ts"), "value", "pos", "ema")
 
 
 def run_available(df: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet"):
