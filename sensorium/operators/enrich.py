@@ -43,13 +43,15 @@ def _now_ms() -> int:
     return int(time.time() * 1000)
 
 
-def _lookup_batches(batches, client_factory, key, info, ttl_ms, capacity, timeout_s, cache_ns):
+def _lookup_batches(batches, client_factory, key, info, ttl_ms, capacity, timeout_s, cache_ns, flag=None):
     """Per Arrow batch: serve cached keys, fetch the distinct missing ones."""
     client = client_factory()
     with ThreadPoolExecutor(max_workers=capacity) as pool:
         for pdf in batches:
             if pdf.empty:
                 pdf[info] = pd.Series(dtype="object")
+                if flag:
+                    pdf[flag] = pd.Series(dtype="bool")
                 yield pdf
                 continue
             now = _now_ms()
@@ -61,6 +63,8 @@ def _lookup_batches(batches, client_factory, key, info, ttl_ms, capacity, timeou
                         found[k] = hit[1]
                     else:
                         missing.append(k)
+            if flag:
+                pdf[flag] = pdf[key].isin(list(found.keys()))
             if missing:
                 futures = {k: pool.submit(client, k) for k in missing}
                 fetched = {k: f.result(timeout=timeout_s) for k, f in futures.items()}
@@ -76,19 +80,22 @@ def _lookup_batches(batches, client_factory, key, info, ttl_ms, capacity, timeou
 def enrich_lookup(meas: DataFrame, client_factory: Callable[[], Callable[[str], str]],
                   key: str = "location", info: str = "location_info",
                   ttl_ms: int = CACHE_TTL_MS, capacity: int = ASYNC_CAPACITY,
-                  timeout_s: float | None = None) -> DataFrame:
+                  timeout_s: float | None = None, flag: str | None = None) -> DataFrame:
     """Enrich each row through ``client(key) -> info`` with a TTL cache.
 
     ``client_factory`` is called once per task to build the client (it must
     be picklable). Up to ``capacity`` lookups run at once; ``timeout_s=None``
-    waits without limit (the reference's timeout 0).
+    waits without limit (the reference's timeout 0). ``flag`` names an
+    optional boolean column: the row was served from the cache (sum it with
+    ``observe`` for the reference's served-from-cache counter).
     """
     meas, ts_cols = timestamps_as_micros(meas)
-    schema = T.StructType(list(meas.schema.fields) + [T.StructField(info, T.StringType())])
+    schema = T.StructType(list(meas.schema.fields) + [T.StructField(info, T.StringType())]
+                          + ([T.StructField(flag, T.BooleanType())] if flag else []))
     cache_ns = f"{id(client_factory)}:{key}"
 
     def run(batches):
-        return _lookup_batches(batches, client_factory, key, info, ttl_ms, capacity, timeout_s, cache_ns)
+        return _lookup_batches(batches, client_factory, key, info, ttl_ms, capacity, timeout_s, cache_ns, flag)
 
     return micros_as_timestamps(meas.mapInPandas(run, schema), ts_cols)
 

@@ -16,6 +16,13 @@ from ..schema import LAG_SAMPLE_SIZE
 from .ordered import sorted_positions
 
 
+def processing_lag_ms(ts: str = "ts") -> Column:
+    """``now - event time`` in ms with the query's clock (``current_timestamp``
+    is fixed per micro-batch / per query): the reference's processing-time
+    delay of an enriched row."""
+    return F.unix_millis(F.current_timestamp()) - F.unix_millis(F.col(ts))
+
+
 def clock_after_max(df: DataFrame, ts: str = "ts", plus_ms: int = 3_600_000) -> Column:
     """A fixed clock: the latest event time plus ``plus_ms`` (scalar subquery)."""
     return df.select((F.unix_millis(F.max(ts)) + F.lit(plus_ms)).alias("now_ms")).scalar()

@@ -71,3 +71,47 @@ def test_stream_equals_batch_with_late_rows(spark, tmp_path):
     exp = moving_average(kept).filter(F.unix_millis("ts") < final_wm).select("sensor_id", "ema", "ts")
     assert got.count() == exp.count() > 0
     assert got.exceptAll(exp).count() == 0
+
+
+def _replayed(spark, tmp_path, sf):
+    from sensorium.sources import tables
+    raw = tables.raw_records(spark, sf)
+    raw = raw.withColumn("batch", F.floor(F.col("offset") * 4 / raw.count()).cast("int"))
+    stream_dir, fpb = write_replay(raw, "batch", 1, path=str(tmp_path / "replay"))
+    return raw.drop("batch"), replay_stream(spark, stream_dir, RAW_RECORD, fpb)
+
+
+def test_jobs_on_a_stream(spark, tmp_path):
+    """The composed jobs run unchanged on a stream; finalised windows equal
+    the batch job, enrichment keeps every decoded row, cache hits count."""
+    from sensorium.operators.enrich import dimension_client
+    from sensorium.plans import jobs
+    from sensorium.sources import tables
+
+    from .conftest import SF001
+    raw, stream = _replayed(spark, tmp_path, SF001)
+    w = jobs.windowing_job(stream)
+    run_available(w, str(tmp_path / "w"), str(tmp_path / "wck"))
+    got = spark.read.parquet(str(tmp_path / "w")).withColumn("s", F.round("sum_per_window", 6)).drop("sum_per_window")
+    final_wm = raw.agg(F.max(F.unix_millis("timestamp"))).first()[0] - 250
+    exp = (jobs.windowing_job(raw).filter(F.unix_millis("window_end") <= final_wm)
+           .withColumn("s", F.round("sum_per_window", 6)).drop("sum_per_window"))
+    assert got.count() == exp.count() > 0 and got.exceptAll(exp).count() == 0
+
+    dim = tables.location_dimension(spark, SF001)
+    e = jobs.enriching_job(stream, dim=dim)
+    run_available(e, str(tmp_path / "e"), str(tmp_path / "eck"))
+    assert spark.read.parquet(str(tmp_path / "e")).filter("location_info IS NOT NULL").count() == raw.count()
+
+    from sensorium.functions.decode import decode_measurements
+    from sensorium.operators.enrich import enrich_lookup
+    from sensorium.streaming.windows import with_event_time
+    m = decode_measurements(with_event_time(stream))
+    a = enrich_lookup(m, dimension_client(dim), ttl_ms=3_600_000, flag="served_from_cache") \
+        .observe("cache", F.sum(F.col("served_from_cache").cast("long")).alias("hits"), F.count(F.lit(1)).alias("n"))
+    q = (a.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ack"))
+         .trigger(availableNow=True).start(str(tmp_path / "a")))
+    q.awaitTermination()
+    obs = [p["observedMetrics"]["cache"] for p in q.recentProgress if "cache" in p.get("observedMetrics", {})]
+    assert sum(o["n"] for o in obs) == raw.count()
+    assert sum(o["hits"] for o in obs) > 0
