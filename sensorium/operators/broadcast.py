@@ -28,3 +28,16 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYT
     if size is not None and size <= max_bytes:
         return F.broadcast(df)
     return df
+
+
+def broadcast_bounded(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """Broadcast a small *derived* table (e.g. one row per micro-batch) whose
+    size Catalyst cannot know: it is materialised once (checkpoint in the
+    shared folder, so the count and the join read the same rows), counted,
+    and broadcast only if it holds at most ``max_rows`` rows; otherwise it is
+    joined normally.
+    """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    small = df.checkpoint(eager=True)
+    return F.broadcast(small) if small.count() <= max_rows else small

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import OUT_OF_ORDERNESS_MS
-from .broadcast import broadcast_if_small
+from .broadcast import broadcast_bounded
 
 
 def batch_watermarks(df: DataFrame, batch: str = "batch", ts: str = "ts",
@@ -27,6 +27,7 @@ def batch_watermarks(df: DataFrame, batch: str = "batch", ts: str = "ts",
 def late_event_filter(df: DataFrame, batch: str = "batch", ts: str = "ts",
                       delay_ms: int = OUT_OF_ORDERNESS_MS) -> DataFrame:
     """Rows that are not late for the watermark of their arrival batch."""
-    wm = batch_watermarks(df, batch, ts, delay_ms)
-    j = df.join(broadcast_if_small(wm), batch)
+    # one row per micro-batch: counted, then broadcast (no shuffle of rows)
+    wm = broadcast_bounded(batch_watermarks(df, batch, ts, delay_ms))
+    j = df.join(wm, batch)
     return j.filter(F.col("wm_ms").isNull() | (F.unix_millis(F.col(ts)) >= F.col("wm_ms"))).drop("wm_ms")

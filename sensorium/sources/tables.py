@@ -33,10 +33,12 @@ def with_parallelism_floor(df: DataFrame) -> DataFrame:
     cores (e.g. one small file with one row group) round-robin over the
     default parallelism, so per-row work before the first shuffle is not one
     task. Large inputs already have many splits and pass through untouched."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect)
+        return df
+    return df.repartition(target) if parts < target else df
 
 
 def location_list(spark: SparkSession, sf_dir: str) -> DataFrame:
