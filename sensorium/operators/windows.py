@@ -43,7 +43,7 @@ def assign_windows(df: DataFrame, size_s: int = WINDOW_SIZE_SECONDS,
                  .withColumn("window_end", F.col("_w.end")).drop("_w")
     size_us, slide_us = int(round(size_s * 1_000_000)), int(round(slide_s * 1_000_000))
     us = F.unix_micros(F.col(ts))
-    start_us = F.floor(us / F.lit(slide_us)).cast("long") * slide_us
+    start_us = us - F.pmod(us, F.lit(slide_us))  # integer floor to the slide
     return (df.withColumn("_ws", start_us)
               .filter(us < F.col("_ws") + size_us)
               .withColumn("window_start", F.timestamp_micros(F.col("_ws")))
@@ -96,7 +96,8 @@ def sliding_count_sum_panes(meas: DataFrame, size_s: float = WINDOW_SIZE_SECONDS
         return sampling_count_sum(meas, size_s, slide_s, key, ts, value)
     pane_ms = math.gcd(size_ms, slide_ms)
     pane_us = pane_ms * 1000
-    pane = F.timestamp_micros(F.floor(F.unix_micros(F.col(ts)) / F.lit(pane_us)).cast("long") * pane_us)
+    us = F.unix_micros(F.col(ts))
+    pane = F.timestamp_micros(us - F.pmod(us, F.lit(pane_us)))  # integer floor to the pane
     panes = meas.groupBy(key, pane.alias("_pane")).agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s"))
     w = F.window("_pane", _dur(size_ms / 1000), _dur(slide_ms / 1000))
     out = panes.groupBy(w.alias("window"), F.col(key)).agg(F.sum("_n").alias("events_per_window"),
