@@ -115,3 +115,39 @@ def test_jobs_on_a_stream(spark, tmp_path):
     obs = [p["observedMetrics"]["cache"] for p in q.recentProgress if "cache" in p.get("observedMetrics", {})]
     assert sum(o["n"] for o in obs) == raw.count()
     assert sum(o["hits"] for o in obs) > 0
+
+
+def test_per_event_and_coalesced_timers_release_the_same(spark, tmp_path):
+    """T1 (timer per event) and T2 (timers rounded to 100 ms) differ only in
+    when rows are released, not in what or in which order."""
+    from .conftest import SF001
+    raw, _ = _replayed(spark, tmp_path / "a", SF001)
+    outs = []
+    for name, rt in (("per_event", None), ("coalesced", 100)):
+        _, stream = _replayed(spark, tmp_path / name, SF001)
+        out = sort_correct_ema(stream, {"NATION_7": 1.0}, 250, rt)
+        run_available(out, str(tmp_path / name / "out"), str(tmp_path / name / "ck"))
+        outs.append(spark.read.parquet(str(tmp_path / name / "out")))
+    a, b = outs
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0
+
+
+def test_rate_sample_stream_and_discard(spark, tmp_path):
+    from sensorium.sources import synth, tables
+    from sensorium.sources.kafka import discard_stream
+
+    from .conftest import SF001
+    pool = synth.measurement_pool(spark, tables.location_list(spark, SF001), size=1000)
+    s = synth.sample_stream(spark, pool, rows_per_second=200)
+    q = s.writeStream.format("memory").queryName("samples").option(
+        "checkpointLocation", str(tmp_path / "ck")).start()
+    try:
+        q.awaitTermination(6)
+    finally:
+        q.stop()
+    got = spark.sql("SELECT * FROM samples")
+    assert got.count() > 0 and {"sensor_id", "value", "location", "timestamp"} <= set(got.columns)
+    d = discard_stream(spark.readStream.format("rate").load(), str(tmp_path / "nck"), processingTime="1 second")
+    d.awaitTermination(3)
+    d.stop()
