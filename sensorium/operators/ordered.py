@@ -346,7 +346,8 @@ def _make_local_pass(base_cols: Sequence[str], key: str, kernel: Kernel):
     return local_pass
 
 
-def _make_final_pass(key: str, kernel: Kernel, carry_in: dict):
+def _make_final_pass(key: str, kernel: Kernel, carry_in):
+    """``carry_in``: dict pid -> carry, or a broadcast variable holding one."""
     inputs = list(kernel.inputs)
     out_names = [n for n, _ in kernel.outputs]
 
@@ -361,8 +362,9 @@ def _make_final_pass(key: str, kernel: Kernel, carry_in: dict):
             if not started:
                 started = True
                 pid = int(pdf["_pid"].iloc[0])
-                if pid in carry_in:
-                    active, state = True, carry_in[pid]
+                carries = carry_in.value if hasattr(carry_in, "value") else carry_in
+                if pid in carries:
+                    active, state = True, carries[pid]
                     first_key = pdf[key].iloc[0]
             if active:
                 keys = pdf[key].to_numpy()
@@ -483,7 +485,9 @@ def ordered_scan(df: DataFrame, key: str, order: Sequence[str], kernel: Kernel,
         return _partition_end_state(spark, ck, pid, kernel, carry)
 
     carry_in = _resolve(summaries, kernel, exact_end)
-    out = data.mapInPandas(_make_final_pass(key, kernel, carry_in), data.schema)
+    # one entry per partition: shipped once per executor, not per task closure
+    carries = spark.sparkContext.broadcast(carry_in)
+    out = data.mapInPandas(_make_final_pass(key, kernel, carries), data.schema)
     out_names = [n for n, _ in kernel.outputs]
     if "_emit" in out_names:
         out = out.filter(F.col("_emit"))
