@@ -259,7 +259,8 @@ _SUMMARY_FIELDS = ("_kind", "_first_key", "_n", "_single", "_indep")
 
 def _local_schema(base: T.StructType, key: str, kernel: Kernel) -> T.StructType:
     key_type = base[key].dataType
-    fields = list(base.fields) + [
+    # the summary row leaves data columns NULL, so every field is nullable
+    fields = [T.StructField(f.name, f.dataType, True) for f in base.fields] + [
         T.StructField("_pid", T.IntegerType()),
         T.StructField("_idx", T.LongType()),
         T.StructField("_state", kernel.state_type),
@@ -436,8 +437,11 @@ def _resolve(summaries, kernel: Kernel, exact_end) -> dict:
     have_prev, prev_key, prev_end = False, None, None
     # one summary per partition (a re-executed stage cannot double it)
     summaries = list({s["_pid"]: s for s in summaries}.values())
+    is_double = isinstance(kernel.state_type, T.DoubleType)
     for s in sorted(summaries, key=lambda r: r["_pid"]):
         end = s["_state"]
+        if end is None and is_double:
+            end = float("nan")  # Arrow turns NaN into NULL; a state is never NULL
         if have_prev and _same(s["_first_key"], prev_key):
             carry_in[s["_pid"]] = prev_end
             if s["_single"]:
@@ -508,7 +512,9 @@ def moving_average(df: DataFrame, key: str = "sensor_id", ts: str = "ts", tie: s
     """
     order = [ts] + ([tie] if tie else [])
     out = ordered_scan(df, key, order, MovingAverage(value, alpha), keep=keep, num_partitions=num_partitions)
-    return out.select(key, F.col("_state").alias("ema"), ts, *[k for k in keep if k not in (key, ts)])
+    # Arrow turns a NaN average into NULL; the average is never NULL otherwise
+    ema = F.when(F.col("_state").isNull(), F.lit(float("nan"))).otherwise(F.col("_state"))
+    return out.select(key, ema.alias("ema"), ts, *[k for k in keep if k not in (key, ts)])
 
 
 def ttl_cache_hits(df: DataFrame, key: str = "location", ts: str = "ts", tie: str | None = "event_id",

@@ -2,6 +2,7 @@
 over many range partitions and groups straddling Arrow batches."""
 
 import pytest
+import numpy as np
 from pyspark.sql import functions as F
 
 from sensorium.operators import ordered
@@ -123,3 +124,29 @@ def test_local_pass_has_one_exchange(spark):
     shuffles = [ln for ln in plan.splitlines() if "Exchange" in ln and "BroadcastExchange" not in ln
                 and "RoundRobinPartitioning" not in ln]
     assert len(shuffles) == 1 and "rangepartitioning" in shuffles[0]
+
+
+def test_nan_value_makes_the_average_nan(spark):
+    from datetime import datetime, timedelta
+    t = datetime(2024, 1, 1)
+    vals = [1.0, 3.0, float("nan"), 5.0]
+    rows = [(1, t + timedelta(seconds=i), i, v) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "sensor_id int, ts timestamp, event_id long, value double")
+    got = [r.ema for r in ordered.moving_average(df, keep=("event_id",)).orderBy("event_id").collect()]
+    assert got[0] == 2.0 and all(np.isnan(g) for g in got[1:])
+
+
+def test_ttl_hot_key_dense_many_partitions(spark):
+    """A hot key with rows 1 ms apart and a 50 ms TTL over many partitions:
+    the partitions' fetch sequences merge, so no fallback is needed, and the
+    result equals the sequential fold."""
+    from datetime import datetime
+    n = 20000
+    base = spark.range(n).select(
+        F.when(F.col("id") % 5 == 0, F.lit("b")).otherwise(F.lit("a")).alias("location"),
+        F.timestamp_micros(F.lit(1_704_067_200_000_000) + F.col("id") * 1000 + (F.col("id") * 7919) % 1000)
+        .alias("ts"), F.col("id").alias("event_id"))
+    got = ordered.ttl_cache_hits(base, key="location", ttl_ms=50, num_partitions=12)
+    got = {r["event_id"]: r["served_from_cache"] for r in got.collect()}
+    exp = _sequential(base.toPandas(), "location", _ttl_fold(50_000))
+    assert got == exp and datetime  # noqa: B018
