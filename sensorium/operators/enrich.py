@@ -64,7 +64,9 @@ def _lookup_batches(batches, client_factory, key, info, ttl_ms, capacity, timeou
                     else:
                         missing.append(k)
             if flag:
-                pdf[flag] = pdf[key].isin(list(found.keys()))
+                # cached before this batch, or a later row of a key fetched once
+                # for this batch: only a key's first row in a batch can miss
+                pdf[flag] = pdf[key].isin(list(found.keys())) | pdf[key].duplicated()
             if missing:
                 futures = {k: pool.submit(client, k) for k in missing}
                 fetched = {k: f.result(timeout=timeout_s) for k, f in futures.items()}
