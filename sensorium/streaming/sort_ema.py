@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from ..functions.correct import apply_corrections
 from ..functions.decode import decode_measurements
@@ -109,13 +110,113 @@ def make_sort_ema(round_to_ms: int | None = ROUND_TIMER_TO_MS, alpha: float = 0.
     return sort_ema
 
 
+class SortEmaProcessor(StatefulProcessor):
+    """The same operator on ``transformWithStateInPandas``: list state for
+    the buffered rows, value state for the average, one event-time timer per
+    row (``round_to_ms = None``, fires once the watermark passes the row) or
+    per ``round_to_ms`` bucket (coalesced). A key drained at a watermark skips
+    the other timers firing at that watermark, so bursts cost O(buffer), not
+    O(buffer x timers)."""
+
+    def __init__(self, round_to_ms: int | None = ROUND_TIMER_TO_MS, alpha: float = 0.5):
+        self.round_to_ms = round_to_ms
+        self.alpha = alpha
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.kernel = MovingAverage("value", self.alpha)
+        self.events = handle.getListState("events", "ts_us long, tie long, value double")
+        self.average = handle.getValueState("movingAverage", "avg double, seen boolean, seq long, drained long")
+
+    def _timer(self, ts_ms: int) -> int:
+        # a Spark event-time timer t fires once watermark >= t
+        if not self.round_to_ms:
+            return ts_ms + 1
+        return ts_ms // self.round_to_ms * self.round_to_ms + self.round_to_ms
+
+    def handleInputRows(self, key, rows, timerValues):
+        wm = timerValues.getCurrentWatermarkInMs()
+        kept, timers = [], set()
+        for pdf in rows:
+            if not len(pdf):
+                continue
+            us = pdf["ts_us"].to_numpy(np.int64)
+            keep = (us // 1000) >= wm  # late: before the watermark
+            tie = pdf["event_id"].to_numpy(np.int64)[keep]
+            val = pdf["value"].to_numpy(np.float64)[keep]
+            us = us[keep]
+            kept.extend(zip(us.tolist(), tie.tolist(), val.tolist()))
+            timers.update(self._timer(int(t)) for t in np.unique(us // 1000).tolist())
+        if kept:
+            self.events.appendList(kept)
+            for t in sorted(timers):
+                self.handle.registerTimer(t)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        wm = timerValues.getCurrentWatermarkInMs()
+        st = self.average.get() if self.average.exists() else None
+        avg, seen, seq, drained = st if st is not None else (None, False, 0, None)
+        if drained == wm:
+            return iter([])
+        buf = list(self.events.get()) if self.events.exists() else []
+        if not buf:
+            self.average.update((avg, seen, seq, wm))
+            return iter([])
+        arr = np.array(buf, dtype=object)
+        us = arr[:, 0].astype(np.int64)
+        tie = arr[:, 1].astype(np.int64)
+        val = arr[:, 2].astype(np.float64)
+        order = np.lexsort((tie, us))
+        us, tie, val = us[order], tie[order], val[order]
+        n_out = int(np.searchsorted(us // 1000, wm, side="left"))
+        out = []
+        if n_out:
+            states, outs = self.kernel.fold({"value": val[:n_out]}, np.array([0]), avg if seen else None, n_out)
+            emit = outs["_emit"]
+            out.append(pd.DataFrame({
+                "sensor_id": np.full(n_out, int(key[0]), dtype=np.int32),
+                "event_id": tie[:n_out],
+                "ts_us": us[:n_out],
+                "value": val[:n_out],
+                "pos": np.arange(seq + 1, seq + 1 + n_out, dtype=np.int64),
+                "ema": pd.arrays.FloatingArray(np.asarray(states, dtype=np.float64), mask=~emit),
+            }))
+            avg, seen, seq = float(states[-1]), True, int(seq + n_out)
+            rest = list(zip(us[n_out:].tolist(), tie[n_out:].tolist(), val[n_out:].tolist()))
+            if rest:
+                self.events.put(rest)
+            else:
+                self.events.clear()
+        self.average.update((avg, seen, seq, wm))
+        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
+def _state_api_ready(spark) -> bool:
+    """transformWithState needs Unix-socket state access (else Python opens
+    a loopback TCP port) and the RocksDB state store."""
+    conf = spark.sparkContext.getConf()
+    uds = conf.get("spark.python.unix.domain.socket.enabled", "false").lower() == "true"
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass", "")
+    return uds and "RocksDB" in provider
+
+
 def sort_correct_ema(raw: DataFrame, corrections=None, delay_ms: int = OUT_OF_ORDERNESS_MS,
-                     round_to_ms: int | None = ROUND_TIMER_TO_MS, alpha: float = 0.5) -> DataFrame:
+                     round_to_ms: int | None = ROUND_TIMER_TO_MS, alpha: float = 0.5,
+                     engine: str = "group_state") -> DataFrame:
     """Raw record stream -> decoded -> corrected -> sorted per sensor -> EMA.
 
     Output rows: ``sensor_id, event_id, ts, value, pos, ema`` (``ema`` NULL
     on a sensor's first row). ``event_id`` is the record offset, the tie
-    break for equal times.
+    break for equal times. ``engine``: ``"group_state"``
+    (``applyInPandasWithState``, one timeout per sensor; works in any
+    session), ``"state_api"`` (``transformWithStateInPandas``, list/value
+    state and timers per row or bucket), or ``"auto"`` (the state API when
+    the session is set up for it). Both release the same rows in the same
+    order.
     """
     meas = decode_measurements(with_event_time(raw, delay_ms), keep=("offset",)) \
         .withColumnRenamed("offset", "event_id")
@@ -124,8 +225,13 @@ def sort_correct_ema(raw: DataFrame, corrections=None, delay_ms: int = OUT_OF_OR
     # ``ts`` carries the watermark (required for event-time timeouts); the
     # function itself reads ``ts_us``
     rows = meas.select("sensor_id", "event_id", "ts", F.unix_micros("ts").alias("ts_us"), "value")
-    out = rows.groupBy("sensor_id").applyInPandasWithState(
-        make_sort_ema(round_to_ms, alpha), OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    use_state_api = engine == "state_api" or (engine == "auto" and _state_api_ready(raw.sparkSession))
+    if use_state_api:
+        out = rows.groupBy("sensor_id").transformWithStateInPandas(
+            SortEmaProcessor(round_to_ms, alpha), OUTPUT, "append", "eventTime")
+    else:
+        out = rows.groupBy("sensor_id").applyInPandasWithState(
+            make_sort_ema(round_to_ms, alpha), OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
     return out.select("sensor_id", "event_id", F.timestamp_micros("ts_us").alias("ts"), "value", "pos", "ema")
 
 

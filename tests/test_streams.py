@@ -38,8 +38,9 @@ def test_tumbling_500ms_late_rows(spark, tmp_path):
     assert got == {500: 6, 1000: 1, 1500: 3, 2000: 2, 2500: 1}
 
 
-def test_sort_drops_late_rows_and_releases_in_order(spark, tmp_path):
-    out = sort_correct_ema(_boundary_stream(spark, tmp_path), None, 250, 100)
+@pytest.mark.parametrize("engine", ["group_state", "state_api"])
+def test_sort_drops_late_rows_and_releases_in_order(spark, tmp_path, engine):
+    out = sort_correct_ema(_boundary_stream(spark, tmp_path), None, 250, 100, engine=engine)
     run_available(out, str(tmp_path / "out"), str(tmp_path / "ck"))
     got = spark.read.parquet(str(tmp_path / "out")).orderBy("pos").collect()
     times = [int((r.ts - T0).total_seconds() * 1000) for r in got]
@@ -151,3 +152,23 @@ def test_rate_sample_stream_and_discard(spark, tmp_path):
     d = discard_stream(spark.readStream.format("rate").load(), str(tmp_path / "nck"), processingTime="1 second")
     d.awaitTermination(3)
     d.stop()
+
+
+def test_state_api_engine_equals_group_state(spark, tmp_path):
+    """transformWithState (list state, timers) releases exactly what the
+    applyInPandasWithState form releases, for per-event and coalesced timers."""
+    from sensorium.streaming.sort_ema import _state_api_ready
+
+    from .conftest import SF001
+    assert _state_api_ready(spark)
+    for rt in (None, 100):
+        outs = []
+        for engine in ("group_state", "state_api"):
+            d = tmp_path / f"{engine}-{rt}"
+            _, stream = _replayed(spark, d, SF001)
+            out = sort_correct_ema(stream, {"NATION_7": 1.0}, 250, rt, engine=engine)
+            run_available(out, str(d / "out"), str(d / "ck"))
+            outs.append(spark.read.parquet(str(d / "out")))
+        a, b = outs
+        assert a.count() == b.count() > 0
+        assert a.exceptAll(b).count() == 0
