@@ -21,7 +21,6 @@ CORRECTIONS = {"NATION_7": 1.0}
 TTL_MS = 3_600_000
 CLOCK_PLUS_MS = 3_600_000
 REPLAY_BATCHES = 6
-REPLAY_FILES_PER_BATCH = 1
 LATE_EVERY = 50
 LATE_SHIFT = 2
 
@@ -170,9 +169,7 @@ def _replayed_raw(spark, sf):
     raw = tables.raw_records(spark, sf)
     n = raw.select(F.count(F.lit(1))).scalar()
     raw = raw.withColumn("batch", F.floor(F.col("offset") * F.lit(REPLAY_BATCHES) / n).cast("long"))
-    # one file per micro-batch: at this size per-batch overhead, not the
-    # number of reader tasks, sets the time (4 files per batch measured equal)
-    stream_dir, fpb = write_replay(raw, "batch", files_per_batch=REPLAY_FILES_PER_BATCH)
+    stream_dir, fpb = write_replay(raw, "batch")
     return replay_stream(spark, stream_dir, RAW_RECORD, fpb)
 
 

@@ -32,60 +32,50 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def write_replay(df: DataFrame, batch: str = "batch", files_per_batch: int = 1,
-                 path: str | None = None, base_mtime_ms: int = 1_000_000_000_000) -> tuple[str, int]:
-    """Write each batch as ``files_per_batch`` parquet files into one folder.
+def write_replay(df: DataFrame, batch: str = "batch", path: str | None = None,
+                 base_mtime_ms: int = 1_000_000_000_000) -> tuple[str, int]:
+    """Write every batch's rows as parquet files into one folder, in order.
 
-    Returns ``(folder, files_per_batch)``; read it back with
-    :func:`replay_stream`. With one file per batch all batches are written by
-    a single job (hash-partitioned by batch, so every batch lands in exactly
-    one writer task and one file); otherwise one job per batch.
+    One job: ``partitionBy(batch)`` without a shuffle, so each input task
+    writes its own file per batch it holds (no batch is funnelled through one
+    task). Batches are then padded with schema-only files to the same file
+    count ``k``, and files get increasing modification times batch by batch,
+    so a stream with ``maxFilesPerTrigger = k`` reads exactly one batch per
+    micro-batch. Returns ``(folder, k)``; read it with :func:`replay_stream`.
     """
     spark = df.sparkSession
     root = path or scratch_path(spark, "replay")
-    stream_dir = f"{root}/stream"
+    stream_dir, staged, empty = f"{root}/stream", f"{root}/staging", f"{root}/empty"
     jvm = spark._jvm
     Path = jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    df.write.mode("overwrite").partitionBy(batch).parquet(staged)
+    spark.createDataFrame([], df.drop(batch).schema).write.mode("overwrite").parquet(empty)
     fs, _ = _fs(spark, stream_dir)
     fs.mkdirs(Path(stream_dir))
-    staged_by_batch: list[tuple[object, list[str]]] = []
-    if files_per_batch == 1:
-        staged = f"{root}/staging"
-        n = max(1, df.select(batch).distinct().count())
-        df.repartition(n, F.col(batch)).write.mode("overwrite").partitionBy(batch).parquet(staged)
-        sfs, sp = _fs(spark, staged)
-        dirs = [st.getPath() for st in sfs.listStatus(sp) if st.isDirectory() and "=" in st.getPath().getName()]
-        ids = []
-        for d in dirs:
-            raw_id = d.getName().split("=", 1)[1]
-            ids.append((int(raw_id) if raw_id.lstrip("-").isdigit() else raw_id, d))
-        for b, d in sorted(ids, key=lambda x: x[0]):
-            parts = sorted(st.getPath().toString() for st in sfs.listStatus(d)
-                           if st.getPath().getName().endswith(".parquet"))
-            staged_by_batch.append((b, parts))
-    else:
-        # one writer job per batch; the source is computed once (cached)
-        src = df.persist()
-        try:
-            batches = [r[0] for r in src.select(batch).distinct().orderBy(batch).collect()]
-            for i, b in enumerate(batches):
-                staged = f"{root}/staging/{i:06d}"
-                (src.filter(F.col(batch) == F.lit(b)).drop(batch)
-                    .repartition(files_per_batch).write.mode("overwrite").parquet(staged))
-                sfs, sp = _fs(spark, staged)
-                staged_by_batch.append((b, sorted(st.getPath().toString() for st in sfs.listStatus(sp)
-                                                  if st.getPath().getName().endswith(".parquet"))))
-        finally:
-            src.unpersist()
-    for i, (b, parts) in enumerate(staged_by_batch):
-        # a batch with fewer rows than files still yields files_per_batch files
-        if len(parts) != files_per_batch:
-            raise RuntimeError(f"batch {b}: expected {files_per_batch} files, got {len(parts)}")
-        for k, src in enumerate(parts):
-            dst = Path(f"{stream_dir}/b{i:06d}-{k:04d}.parquet")
-            fs.rename(Path(src), dst)
-            fs.setTimes(dst, base_mtime_ms + i * 10_000 + k, -1)
-    return stream_dir, files_per_batch
+
+    def parquet_files(folder):
+        paths = [st.getPath() for st in fs.listStatus(folder) if st.getPath().getName().endswith(".parquet")]
+        return sorted(paths, key=lambda p: p.getName())
+
+    template = parquet_files(Path(empty))[0]
+    batches = []
+    for st in fs.listStatus(Path(staged)):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(f"{batch}="):
+            raw_id = name.split("=", 1)[1]
+            batches.append((int(raw_id) if raw_id.lstrip("-").isdigit() else raw_id, parquet_files(st.getPath())))
+    batches.sort(key=lambda x: x[0])
+    k = max((len(files) for _, files in batches), default=1)
+    for i, (_, files) in enumerate(batches):
+        for j in range(k):
+            dst = Path(f"{stream_dir}/b{i:06d}-{j:05d}.parquet")
+            if j < len(files):
+                fs.rename(files[j], dst)
+            else:
+                jvm.org.apache.hadoop.fs.FileUtil.copy(fs, template, fs, dst, False, conf)
+            fs.setTimes(dst, base_mtime_ms + i * 10_000 + j, -1)
+    return stream_dir, k
 
 
 def replay_stream(spark: SparkSession, stream_dir: str, schema, files_per_batch: int = 1) -> DataFrame:

@@ -63,7 +63,7 @@ def test_malformed_record_still_moves_the_watermark(spark, tmp_path):
             (T0 + timedelta(minutes=1), None, bytearray(b'{"sensorId": 1, "value": 2.0}'), 0, 3, 1)]
     from pyspark.sql import types as T
     df = spark.createDataFrame(rows, T.StructType(RAW_RECORD.fields + [T.StructField("batch", T.IntegerType())]))
-    stream_dir, fpb = write_replay(df, "batch", 1, path=str(tmp_path / "replay"))
+    stream_dir, fpb = write_replay(df, "batch", path=str(tmp_path / "replay"))
     stream = decode_measurements(with_event_time(replay_stream(spark, stream_dir, RAW_RECORD, fpb)))
     q = (stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "ck"))
          .trigger(availableNow=True).start())

@@ -26,7 +26,7 @@ def _boundary_stream(spark, tmp_path, sensor_of=lambda i: 1):
             rows.append((T0 + timedelta(milliseconds=ms), None, bytearray(js.encode()), 0, off, b))
     schema = T.StructType(RAW_RECORD.fields + [T.StructField("batch", T.IntegerType())])
     df = spark.createDataFrame(rows, schema)
-    stream_dir, fpb = write_replay(df, "batch", 1, path=str(tmp_path / "replay"))
+    stream_dir, fpb = write_replay(df, "batch", path=str(tmp_path / "replay"))
     return replay_stream(spark, stream_dir, RAW_RECORD, fpb)
 
 
@@ -63,7 +63,7 @@ def test_stream_equals_batch_with_late_rows(spark, tmp_path):
     from .conftest import SF001
     m = assign_batches(tables.measurements(spark, SF001), 6, "event_id", 50, 2)
     raw = tables.raw_records_from(m).join(m.select(F.col("event_id").alias("offset"), "batch"), "offset")
-    stream_dir, fpb = write_replay(raw, "batch", 1, path=str(tmp_path / "replay"))
+    stream_dir, fpb = write_replay(raw, "batch", path=str(tmp_path / "replay"))
     out = sort_correct_ema(replay_stream(spark, stream_dir, RAW_RECORD, fpb), None, 250, 100)
     run_available(out, str(tmp_path / "out"), str(tmp_path / "ck"))
     got = spark.read.parquet(str(tmp_path / "out")).filter("ema IS NOT NULL").select("sensor_id", "ema", "ts")
@@ -78,7 +78,7 @@ def _replayed(spark, tmp_path, sf):
     from sensorium.sources import tables
     raw = tables.raw_records(spark, sf)
     raw = raw.withColumn("batch", F.floor(F.col("offset") * 4 / raw.count()).cast("int"))
-    stream_dir, fpb = write_replay(raw, "batch", 1, path=str(tmp_path / "replay"))
+    stream_dir, fpb = write_replay(raw, "batch", path=str(tmp_path / "replay"))
     return raw.drop("batch"), replay_stream(spark, stream_dir, RAW_RECORD, fpb)
 
 
