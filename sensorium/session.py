@@ -22,6 +22,8 @@ LOCAL_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # commit a per-batch changelog instead of a full state snapshot
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # delete a checkpointed intermediate once nothing references it
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -102,4 +104,6 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # ordered scans checkpoint their columns once; drop those files when unused
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
