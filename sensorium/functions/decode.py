@@ -5,7 +5,7 @@ Jackson object mapper would bind it to an (int, double, String, String) bean:
 
 * missing field or JSON null for a number -> 0 / 0.0; for a string -> NULL
 * a number given as a string ("12") is accepted; a fractional number for the
-  int field is truncated toward zero
+  int field is truncated toward zero, a fractional *string* ("1.7") is not
 * unknown fields, invalid JSON, non-object JSON, NaN tokens, numbers that do
   not fit, objects/arrays where a scalar is expected -> the record is dropped
   (it goes to the dead-letter output instead)
@@ -48,6 +48,11 @@ def parse_columns(j: Column, keys: Column, text: Column) -> dict[str, Column]:
     sid_d = _number_text(j["sensorId"]).try_cast("double")
     val_d = _number_text(j["value"]).try_cast("double")
     known = F.array(*[F.lit(f) for f in JSON_FIELDS])
+    # A quoted int must be integer text ("12"); a bare number may have a
+    # fraction (truncated). Only non-integer text is checked for quotes.
+    sid_text = j["sensorId"]
+    quoted_fraction = F.coalesce(~sid_text.rlike(r"^\s*[+-]?\d+\s*$"), F.lit(False)) \
+        & text.rlike(r'"sensorId"\s*:\s*"')
     # And short-circuits: the regex runs only when a text field looks nested
     nested = (_maybe_nested(j["location"]) | _maybe_nested(j["measurementInformation"])) \
         & text.rlike(_NESTED_STRING_FIELD)
@@ -57,6 +62,7 @@ def parse_columns(j: Column, keys: Column, text: Column) -> dict[str, Column]:
         & sid_d.isNotNull() & (sid_d >= _INT_MIN) & (sid_d <= _INT_MAX)
         & val_d.isNotNull()
         & ~nested
+        & ~quoted_fraction
     )
     return {
         "sensor_id": sid_d.try_cast("int"),

@@ -30,6 +30,8 @@ CASES = [
     (18, '{"sensorId": 1, "value": 1, "location": {"a": 1}}', None),           # object for string
     (19, '{"sensorId": 1, "value": 1, "location": "{not json"}', (1, 1.0, "{not json")),
     (20, '{"sensorId": -3, "value": -0.0, "location": "B"}', (-3, -0.0, "B")),
+    (21, '{"sensorId": "1.7", "value": 1}', None),                             # fraction as text for int
+    (22, '{"sensorId": " 7 ", "value": "1e2"}', (7, 100.0, None)),             # padded int text, exponent
 ]
 
 
