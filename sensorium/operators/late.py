@@ -8,20 +8,22 @@ strictly before are late and dropped silently, as in the reference sort).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import OUT_OF_ORDERNESS_MS
 from .broadcast import broadcast_bounded
+from .ordered import RunningMax, ordered_scan
 
 
 def batch_watermarks(df: DataFrame, batch: str = "batch", ts: str = "ts",
                      delay_ms: int = OUT_OF_ORDERNESS_MS) -> DataFrame:
     """``batch, wm_ms`` (NULL for the first batch): one row per batch."""
-    per = df.groupBy(batch).agg(F.max(F.unix_millis(F.col(ts))).alias("_max_ms"))
-    # one row per micro-batch: ordering this small table is cheap
-    w = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -1)
-    return per.select(batch, (F.max("_max_ms").over(w) - F.lit(delay_ms)).alias("wm_ms"))
+    per = df.groupBy(batch).agg(F.max(F.unix_millis(F.col(ts))).alias("_max_ms")).withColumn("_all", F.lit(0))
+    # max over all earlier batches: an ordered scan (range-partitioned by
+    # batch, carries chained by max), not a window over one partition
+    prev = ordered_scan(per, "_all", [batch], RunningMax("_max_ms"), keep=(batch,))
+    return prev.select(batch, (F.col("prev_max") - F.lit(delay_ms)).alias("wm_ms"))
 
 
 def late_event_filter(df: DataFrame, batch: str = "batch", ts: str = "ts",

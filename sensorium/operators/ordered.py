@@ -93,7 +93,9 @@ class Kernel:
     inputs: tuple[str, ...] = ()
     state_type: T.DataType = T.DoubleType()
     outputs: tuple[tuple[str, T.DataType], ...] = ()
-    additive = False  # end(carry) = carry + end(0): no sync needed
+    # composable: end(carry) = shift(local end, carry) exactly (positions: +,
+    # running max: max), so carries chain without a sync check
+    composable = False
 
     def fold(self, cols: dict[str, np.ndarray], starts: np.ndarray, carry, n: int):
         raise NotImplementedError
@@ -236,7 +238,7 @@ class TtlRefresh(Kernel):
 class Position(Kernel):
     """1-based position of each row in its key's ordered sequence."""
 
-    additive = True
+    composable = True
 
     def __init__(self):
         self.inputs = ()
@@ -252,6 +254,39 @@ class Position(Kernel):
         return st, {"pos": st}
 
 
+class RunningMax(Kernel):
+    """Largest ``value`` among each key's *earlier* rows (``prev_max``; NULL
+    on a key's first row). Integer values (e.g. epoch ms)."""
+
+    composable = True
+
+    def __init__(self, value: str):
+        self.inputs = (value,)
+        self.value = value
+        self.state_type = T.LongType()
+        self.outputs = (("prev_max", T.LongType()),)
+
+    def fold(self, cols, starts, carry, n):
+        v = cols[self.value].astype(np.int64)
+        rid = _run_ids(starts, n)
+        st = pd.Series(v).groupby(rid).cummax().to_numpy(np.int64)
+        first_end = int(starts[1]) if len(starts) > 1 else n
+        if carry is not None and n:
+            st[:first_end] = np.maximum(st[:first_end], int(carry))
+        prev = np.empty(n, dtype=np.int64)
+        mask = np.zeros(n, dtype=bool)  # True = NULL
+        if n:
+            prev[1:] = st[:-1]
+            mask[starts] = True
+            if carry is not None:
+                prev[0] = int(carry)
+                mask[0] = False
+        return st, {"prev_max": pd.arrays.IntegerArray(prev, mask)}
+
+    def shift(self, state, carry):
+        return max(state, carry)
+
+
 # --------------------------------------------------------------------------
 
 _SUMMARY_FIELDS = ("_kind", "_first_key", "_n", "_single", "_indep")
@@ -331,7 +366,7 @@ def _make_local_pass(base_cols: Sequence[str], key: str, kernel: Kernel):
             return
         single = _same(prev_key, first_key)
         indep = False
-        if single and not kernel.additive and probe_len:
+        if single and not kernel.composable and probe_len:
             pc = {c: np.concatenate(probe_cols[c]) for c in inputs}
             po = {c: np.concatenate(probe_outs[c]) for c in out_names}
             indep = bool(kernel.carry_independent(pc, np.concatenate(probe_states), po))
@@ -375,7 +410,7 @@ def _make_final_pass(key: str, kernel: Kernel, carry_in):
                 if run_end:
                     st, outs = kernel.fold(cols, np.array([0]), state, run_end)
                     local = pdf["_state"].to_numpy()[:run_end]
-                    if kernel.additive:
+                    if kernel.composable:
                         stop = run_end
                     else:
                         eq = np.flatnonzero(_eq_states(np.asarray(st), local))
@@ -445,7 +480,7 @@ def _resolve(summaries, kernel: Kernel, exact_end) -> dict:
         if have_prev and _same(s["_first_key"], prev_key):
             carry_in[s["_pid"]] = prev_end
             if s["_single"]:
-                if kernel.additive:
+                if kernel.composable:
                     end = kernel.shift(s["_state"], prev_end)
                 elif not s["_indep"]:
                     end = exact_end(s["_pid"], prev_end)

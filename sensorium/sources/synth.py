@@ -8,10 +8,11 @@ size 100,000, seed 1.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.broadcast import broadcast_if_small
+from ..operators.ordered import sorted_positions
 
 N_SENSORS = 100
 MAX_VALUE = 100.0
@@ -23,9 +24,11 @@ _ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def _indexed_locations(locations: DataFrame) -> DataFrame:
-    # the location list is a small dimension: numbering it in order is cheap
-    w = Window.orderBy("location")
-    return locations.select("location").distinct().withColumn("loc_idx", F.row_number().over(w) - 1)
+    """Number the distinct locations 0..n-1 in name order (a position scan
+    over a range sort, not a window over one partition)."""
+    locs = locations.select("location").distinct().withColumn("_all", F.lit(0))
+    pos = sorted_positions(locs, key="_all", ts="location", tie=None, keep=("location",))
+    return pos.select("location", (F.col("pos") - 1).alias("loc_idx"))
 
 
 def measurement_pool(spark: SparkSession, locations: DataFrame, size: int | None = None,

@@ -150,3 +150,15 @@ def test_ttl_hot_key_dense_many_partitions(spark):
     got = {r["event_id"]: r["served_from_cache"] for r in got.collect()}
     exp = _sequential(base.toPandas(), "location", _ttl_fold(50_000))
     assert got == exp and datetime  # noqa: B018
+
+
+def test_running_max_across_partitions(spark):
+    """Exclusive running max with one key spread over many partitions."""
+    df = spark.range(5000).select(F.lit(0).alias("k"), F.col("id").alias("t"),
+                                  ((F.col("id") * 7919) % 10007).alias("v"))
+    got = ordered.ordered_scan(df, "k", ["t"], ordered.RunningMax("v"), keep=("t",), num_partitions=9)
+    got = {r.t: r.prev_max for r in got.collect()}
+    pdf = df.toPandas().sort_values("t")
+    prev = pdf["v"].cummax().shift(1)
+    exp = {t: (None if p != p else int(p)) for t, p in zip(pdf["t"], prev)}
+    assert got == exp
