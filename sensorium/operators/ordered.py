@@ -100,9 +100,16 @@ class Kernel:
     def fold(self, cols: dict[str, np.ndarray], starts: np.ndarray, carry, n: int):
         raise NotImplementedError
 
-    def carry_independent(self, cols: dict[str, np.ndarray], states: np.ndarray, outs) -> bool:
-        """Whether any carry leads to the same state within these rows."""
-        return False
+    def independence_bound(self, cols: dict[str, np.ndarray], states: np.ndarray, outs) -> float:
+        """Largest carry magnitude B such that every carry in [-B, B] leads to
+        the same state as the local fold within these rows (inf: any carry,
+        0.0: not proven)."""
+        return 0.0
+
+    def magnitude(self, cols: dict[str, np.ndarray]) -> float:
+        """Bound on the size of carries these rows can produce (compared on
+        the driver with :meth:`independence_bound`)."""
+        return 0.0
 
     def shift(self, state, carry):
         return state + carry
@@ -113,9 +120,6 @@ class MovingAverage(Kernel):
     seeds the average and is not emitted (alpha = 0.5 is ``(avg + v) / 2``).
     A NaN value makes the average NaN from there on."""
 
-    # Carries are convex combinations of values, so within these bounds
-    # for |value| <= 2**1022.
-    _LO, _HI = -(2.0 ** 1022), 2.0 ** 1022
 
     def __init__(self, value: str = "value", alpha: float = 0.5):
         self.inputs = (value,)
@@ -170,14 +174,30 @@ class MovingAverage(Kernel):
             emit[starts[1:]] = False
         return st, {"_emit": emit}
 
-    def carry_independent(self, cols, states, outs) -> bool:
+    # carry magnitudes tried, smallest first (the fold is monotone in the
+    # carry, so agreeing from -B and +B proves it for every carry in between)
+    _LADDER = (1e2, 1e4, 1e8, 1e16, 1e32, 1e64, 1e128, 1e256, 2.0 ** 1022)
+
+    def independence_bound(self, cols, states, outs) -> float:
         v = cols[self.value].astype("float64")
-        if len(v) == 0 or not np.isfinite(v).all() or (np.abs(v) > self._HI).any():
-            return False
+        if len(v) == 0 or not np.isfinite(v).all():
+            return 0.0
         zeros = np.zeros(len(v) + 1, dtype=np.int64)
-        lo = self._ewm(np.concatenate([[self._LO], v]), zeros)[1:]
-        hi = self._ewm(np.concatenate([[self._HI], v]), zeros)[1:]
-        return bool(((lo == states) & (hi == states)).any())
+        best = 0.0
+        for b in self._LADDER:
+            lo = self._ewm(np.concatenate([[-b], v]), zeros)[1:]
+            hi = self._ewm(np.concatenate([[b], v]), zeros)[1:]
+            if not ((lo == states) & (hi == states)).any():
+                break
+            best = b
+        return best
+
+    def magnitude(self, cols) -> float:
+        # an average is a convex combination of values: |carry| <= max |value|
+        v = cols[self.value].astype("float64")
+        if len(v) == 0:
+            return 0.0
+        return float(np.abs(v).max()) if np.isfinite(v).all() else float("inf")
 
 
 class TtlRefresh(Kernel):
@@ -213,7 +233,10 @@ class TtlRefresh(Kernel):
                 i = j
         return st, {"served_from_cache": ~miss}
 
-    def carry_independent(self, cols, states, outs) -> bool:
+    def independence_bound(self, cols, states, outs) -> float:
+        return float("inf") if self._merges(cols, outs) else 0.0
+
+    def _merges(self, cols, outs) -> bool:
         # Any carry c <= x0 makes its first fetch at a row in [0, nxt[0]];
         # the end state is carry-free when every such fetch sequence merges
         # into the local one (same fetch row => same state from there on).
@@ -289,7 +312,7 @@ class RunningMax(Kernel):
 
 # --------------------------------------------------------------------------
 
-_SUMMARY_FIELDS = ("_kind", "_first_key", "_n", "_single", "_indep")
+_SUMMARY_FIELDS = ("_kind", "_first_key", "_n", "_single", "_indep", "_mag")
 
 
 def _local_schema(base: T.StructType, key: str, kernel: Kernel) -> T.StructType:
@@ -304,7 +327,8 @@ def _local_schema(base: T.StructType, key: str, kernel: Kernel) -> T.StructType:
         T.StructField("_first_key", key_type),
         T.StructField("_n", T.LongType()),
         T.StructField("_single", T.BooleanType()),
-        T.StructField("_indep", T.BooleanType()),
+        T.StructField("_indep", T.DoubleType()),  # proven carry bound
+        T.StructField("_mag", T.DoubleType()),    # size of carries the rows produce
     ]
     return T.StructType(fields)
 
@@ -322,6 +346,7 @@ def _make_local_pass(base_cols: Sequence[str], key: str, kernel: Kernel):
         probe_states: list = []
         probe_outs: dict[str, list] = {c: [] for c in out_names}
         probe_len = 0
+        mag = 0.0
         for pdf in batches:
             n = len(pdf)
             if n == 0:
@@ -341,8 +366,9 @@ def _make_local_pass(base_cols: Sequence[str], key: str, kernel: Kernel):
             for c in out_names:
                 out[c] = outs[c]
             out["_kind"] = np.int8(0)
-            for c in ("_first_key", "_n", "_single", "_indep"):
+            for c in ("_first_key", "_n", "_single", "_indep", "_mag"):
                 out[c] = None
+            mag = max(mag, kernel.magnitude(cols))
             # rows of the partition's first run, for the carry-independence proof
             if first_run_open and probe_len < PROBE_ROWS:
                 end = int(starts[1]) if len(starts) > 1 else n
@@ -365,18 +391,18 @@ def _make_local_pass(base_cols: Sequence[str], key: str, kernel: Kernel):
         if pid is None:
             return
         single = _same(prev_key, first_key)
-        indep = False
+        indep = 0.0
         if single and not kernel.composable and probe_len:
             pc = {c: np.concatenate(probe_cols[c]) for c in inputs}
             po = {c: np.concatenate(probe_outs[c]) for c in out_names}
-            indep = bool(kernel.carry_independent(pc, np.concatenate(probe_states), po))
+            indep = float(kernel.independence_bound(pc, np.concatenate(probe_states), po))
         summary = {c: [None] for c in base_cols}
         summary[key] = [prev_key]
         summary.update({"_pid": [pid], "_idx": [None], "_state": [prev_state]})
         for c in out_names:
             summary[c] = [None]
         summary.update({"_kind": [np.int8(1)], "_first_key": [first_key], "_n": [idx],
-                        "_single": [single], "_indep": [indep]})
+                        "_single": [single], "_indep": [indep], "_mag": [mag]})
         yield pd.DataFrame(summary)
 
     return local_pass
@@ -434,22 +460,25 @@ def _make_final_pass(key: str, kernel: Kernel, carry_in):
     return final_pass
 
 
-def _partition_end_state(spark, ck: DataFrame, pid: int, kernel: Kernel, carry):
-    """Exact end state of partition ``pid`` (a single key run) given ``carry``."""
+def _partition_end_states(spark, ck: DataFrame, need: dict, kernel: Kernel) -> dict:
+    """Exact end state of each partition in ``need`` (pid -> carry); each
+    holds a single key run. One job, one task per listed partition."""
     names = ck.columns
     pos = {c: names.index(c) for c in (*kernel.inputs, "_kind")}
     inputs = list(kernel.inputs)
+    carries = dict(need)
 
-    def fold_partition(rows):
-        state = carry
+    def fold_partition(pid, rows):
+        if pid not in carries:
+            return
+        state = carries[pid]
         chunk = {c: [] for c in inputs}
 
         def flush(st):
             if not chunk[inputs[0]]:
                 return st
             cols = {c: np.asarray(chunk[c]) for c in inputs}
-            n = len(cols[inputs[0]])
-            states, _ = kernel.fold(cols, np.array([0]), st, n)
+            states, _ = kernel.fold(cols, np.array([0]), st, len(cols[inputs[0]]))
             for c in inputs:
                 chunk[c].clear()
             return states[-1]
@@ -461,31 +490,57 @@ def _partition_end_state(spark, ck: DataFrame, pid: int, kernel: Kernel, carry):
                 chunk[c].append(r[pos[c]])
             if len(chunk[inputs[0]]) >= 65536:
                 state = flush(state)
-        yield flush(state)
+        yield pid, flush(state)
+
+    rdd = ck.rdd.mapPartitionsWithIndex(fold_partition)
+    out = spark.sparkContext.runJob(rdd, lambda it: list(it), sorted(carries))
+    return dict(out)
 
-    out = spark.sparkContext.runJob(ck.rdd, fold_partition, [pid])
-    return out[0] if out else carry
 
+def _resolve(summaries, kernel: Kernel, exact_ends) -> dict:
+    """Carry into each partition whose first key continues the previous
+    partition's last key, from one summary row per partition.
 
-def _resolve(summaries, kernel: Kernel, exact_end) -> dict:
-    carry_in = {}
-    have_prev, prev_key, prev_end = False, None, None
+    A single-run partition's end state is its local one when proven
+    carry-independent (proven bound >= the largest carry any partition can
+    produce), the shifted local one for composable kernels, and otherwise
+    computed exactly by ``exact_ends({pid: carry})``. Those are batched in
+    rounds: one job per round over every partition whose carry is known, so
+    the number of jobs is the longest chain of such partitions of one key.
+    """
     # one summary per partition (a re-executed stage cannot double it)
-    summaries = list({s["_pid"]: s for s in summaries}.values())
+    summaries = sorted({s["_pid"]: s for s in summaries}.values(), key=lambda r: r["_pid"])
     is_double = isinstance(kernel.state_type, T.DoubleType)
-    for s in sorted(summaries, key=lambda r: r["_pid"]):
-        end = s["_state"]
-        if end is None and is_double:
-            end = float("nan")  # Arrow turns NaN into NULL; a state is never NULL
-        if have_prev and _same(s["_first_key"], prev_key):
-            carry_in[s["_pid"]] = prev_end
-            if s["_single"]:
-                if kernel.composable:
-                    end = kernel.shift(s["_state"], prev_end)
-                elif not s["_indep"]:
-                    end = exact_end(s["_pid"], prev_end)
-        have_prev, prev_key, prev_end = True, s["key"], end
-    return carry_in
+    # every carry is bounded by the largest magnitude any partition produces
+    bound = max([s["_mag"] if s["_mag"] is not None else float("inf") for s in summaries], default=0.0)
+    exact: dict = {}
+    unknown = object()
+    while True:
+        carry_in, need = {}, {}
+        have_prev, prev_key, prev_end = False, None, None
+        for s in summaries:
+            end = s["_state"]
+            if end is None and is_double:
+                end = float("nan")  # Arrow turns NaN into NULL; a state is never NULL
+            if have_prev and _same(s["_first_key"], prev_key):
+                if prev_end is unknown:
+                    end = unknown if s["_single"] else end
+                else:
+                    carry_in[s["_pid"]] = prev_end
+                    if s["_single"]:
+                        proven = s["_indep"] is not None and s["_indep"] > 0 and s["_indep"] >= bound
+                        if kernel.composable:
+                            end = kernel.shift(s["_state"], prev_end)
+                        elif not proven:
+                            if s["_pid"] in exact:
+                                end = exact[s["_pid"]]
+                            else:
+                                need[s["_pid"]] = prev_end
+                                end = unknown
+            have_prev, prev_key, prev_end = True, s["key"], end
+        if not need:
+            return carry_in
+        exact.update(exact_ends(need))
 
 
 def ordered_scan(df: DataFrame, key: str, order: Sequence[str], kernel: Kernel,
@@ -512,18 +567,18 @@ def ordered_scan(df: DataFrame, key: str, order: Sequence[str], kernel: Kernel,
     local = srt.mapInPandas(_make_local_pass(cols, key, kernel), schema)
     obs = Observation("ordered_scan_summary")
     summary_struct = F.struct(F.col("_pid"), F.col(key).alias("key"), F.col("_first_key"), F.col("_n"),
-                              F.col("_state"), F.col("_single"), F.col("_indep"))
+                              F.col("_state"), F.col("_single"), F.col("_indep"), F.col("_mag"))
     local = local.observe(obs, F.collect_list(F.when(F.col("_kind") == 1, summary_struct)).alias("s"))
     ck = local.checkpoint(eager=True)
     summaries = [r.asDict() for r in obs.get["s"]]
     data = ck.filter(F.col("_kind") == 0).drop(*_SUMMARY_FIELDS)
 
-    def exact_end(pid, carry):
-        # One job over this partition only (the checkpoint keeps partition
-        # ids): refold its single key run from the carry to its end.
-        return _partition_end_state(spark, ck, pid, kernel, carry)
+    def exact_ends(need):
+        # one job over just these partitions (the checkpoint keeps ids):
+        # refold each one's single key run from its carry to the end
+        return _partition_end_states(spark, ck, need, kernel)
 
-    carry_in = _resolve(summaries, kernel, exact_end)
+    carry_in = _resolve(summaries, kernel, exact_ends)
     # one entry per partition: shipped once per executor, not per task closure
     carries = spark.sparkContext.broadcast(carry_in)
     out = data.mapInPandas(_make_final_pass(key, kernel, carries), data.schema)
