@@ -77,3 +77,16 @@ def test_panes_equal_direct(spark, size_s, slide_s):
     b = r(windows.sliding_count_sum_panes(m, size_s, slide_s))
     a = r(windows.sliding_count_sum(m, size_s, slide_s, strategy="direct"))
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+@pytest.mark.parametrize("strategy", ["direct", "panes"])
+def test_windows_pre_aggregate_before_every_shuffle(spark, strategy):
+    """Each hash exchange of the window aggregate is fed by a partial
+    aggregate: a hot location ships one partial row per task, never rows."""
+    m = tables.measurements(spark, SF001)
+    plan = windows.sliding_count_sum(m, 60, 10, strategy=strategy)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    shuffles = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning" in ln]
+    assert shuffles
+    for i in shuffles:
+        assert "partial_" in lines[i + 1]
