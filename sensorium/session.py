@@ -38,6 +38,7 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -107,3 +108,29 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         # ordered scans checkpoint their columns once; drop those files when unused
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by the Python workers of every executor,
+    whatever their working directory: zip it once per application and add it
+    with ``addPyFile`` (what ``--py-files`` does at submit time)."""
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    parent = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="sensorium-pyfiles-"), "sensorium.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, parent))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
