@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from ..schema import JSON_FIELDS
 
 
-def kafka_source_options(bootstrap: str = "localhost:9092", topic: str = "lablatency",
-                         group: str | None = "lablatency", starting: str = "latest") -> dict[str, str]:
+def kafka_source_options(bootstrap: str = "localhost:9092", topic: str = "sensor-measurements",
+                         group: str | None = "sensorium", starting: str = "latest") -> dict[str, str]:
     """Options of a Kafka stream that starts at the latest offset."""
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting}
     if group:
@@ -49,7 +49,7 @@ def serialize_measurements(df: DataFrame, topic: str | None = None) -> DataFrame
     return df.select(*cols)
 
 
-def kafka_sink_options(bootstrap: str = "localhost:9092", topic: str = "lablatency",
+def kafka_sink_options(bootstrap: str = "localhost:9092", topic: str = "sensor-measurements",
                        checkpoint: str | None = None) -> dict[str, str]:
     opts = {"kafka.bootstrap.servers": bootstrap, "topic": topic,
             "kafka.transaction.timeout.ms": "600000"}

@@ -47,8 +47,8 @@ def test_queries_match_oracle_small(spark, name):
 
 
 def test_kafka_options():
-    assert kafka.kafka_source_options() == {"kafka.bootstrap.servers": "localhost:9092", "subscribe": "lablatency",
-                                            "startingOffsets": "latest", "kafka.group.id": "lablatency"}
+    assert kafka.kafka_source_options() == {"kafka.bootstrap.servers": "localhost:9092", "subscribe": "sensor-measurements",
+                                            "startingOffsets": "latest", "kafka.group.id": "sensorium"}
     assert kafka.kafka_sink_options(topic="t", checkpoint="/c")["kafka.transaction.timeout.ms"] == "600000"
 
 
