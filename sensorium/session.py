@@ -43,7 +43,8 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
