@@ -65,6 +65,7 @@ def fingerprints(texts: list[bytes], shingle: int = SHINGLE_WORDS) -> np.ndarray
 
 def _majority(h: np.ndarray, n: np.ndarray) -> np.ndarray:
     """For runs of ``n`` hashes each, the word whose bits are set in over half of the run's."""
+    out = np.zeros(len(n), np.uint64)
     some = np.flatnonzero(n)
     n = n[some]
     begin = np.cumsum(n) - n
@@ -78,9 +79,8 @@ def _majority(h: np.ndarray, n: np.ndarray) -> np.ndarray:
         counts = np.add.reduceat(lanes.view(np.uint8).reshape(-1, 8).astype(np.int64), first_block, axis=0)
         bits = (2 * counts > n[:, None]).astype(np.uint8)
         value |= np.ascontiguousarray(bits).view(np.uint64).ravel() << np.uint64(k)
-    out = np.zeros(int(some[-1]) + 1 if len(some) else 0, np.uint64)
     out[some] = value
-    return np.concatenate((out, np.zeros(0, np.uint64)))
+    return out
 
 
 def _scan(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
