@@ -1,11 +1,11 @@
 """SimHash near-duplicates by a segment-popcount embedding.
 
 1. Each text becomes a 64-bit fingerprint (numpy inside Arrow tasks; no shuffle).
-2. A fingerprint maps to its vector of bit counts in 16 segments of 4 bits. The Manhattan
+2. A fingerprint maps to its vector of bit counts in 32 segments of 2 bits. The Manhattan
    distance of two vectors never exceeds the Hamming distance of their fingerprints, so
    fingerprints at 2 bits lie within distance 2 on this integer grid, and then some grid
-   point lies within 1 of both: the range join meets on 33 grid points per fingerprint.
-   Fingerprints without a neighbour there have no partner.
+   point lies within 1 of both: the range join meets on at most 65 grid points per
+   fingerprint. Fingerprints without a neighbour there have no partner.
 3. The rest is verified exactly, without pairs: two fingerprints differ in at most 2 bits
    if and only if they share a word within 1 bit of both. A word has at most 65 such
    fingerprints, so the groups are bounded and each gives a star of links.
@@ -31,7 +31,7 @@ from .components import components
 SHINGLE_WORDS = 3
 MAX_BITS = 2
 SEED = 42
-SEGMENTS = 16
+SEGMENTS = 32
 
 _FOLD = bytes(32 if b == 32 or 9 <= b <= 13 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -89,21 +89,23 @@ def _scan(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["id", "fp"])
 
 
+def _long(word: int) -> Column:
+    return F.lit(word - (1 << 64) if word >> 63 else word)
+
+
 def _segment_counts(x: Column) -> Column:
-    """The bit count of each 4-bit segment, kept in that segment."""
-    fives, threes = F.lit(0x5555555555555555), F.lit(0x3333333333333333)
-    odd = F.shiftrightunsigned(x, 1).bitwiseAND(fives)
-    even = x.bitwiseAND(fives)
-    pairs = even.bitwiseXOR(odd).bitwiseOR(F.shiftleft(even.bitwiseAND(odd), 1))
-    return pairs.bitwiseAND(threes) + F.shiftrightunsigned(pairs, 2).bitwiseAND(threes)
+    """The bit count (0 to 2) of each 2-bit segment, kept in that segment."""
+    odd, even = F.shiftrightunsigned(x, 1).bitwiseAND(_long(0x5555555555555555)), x.bitwiseAND(_long(0x5555555555555555))
+    return even.bitwiseXOR(odd).bitwiseOR(F.shiftleft(even.bitwiseAND(odd), 1))
 
 
 def _grid_points(v: Column) -> Column:
-    """The grid points within Manhattan distance 1 of the vector ``v``."""
+    """The grid points within Manhattan distance 1 of the vector ``v``; counts change by bit flips, so nothing carries."""
     points = [v]
     for s in range(SEGMENTS):
-        step, digit = F.lit(1 << (4 * s)), F.shiftrightunsigned(v, 4 * s).bitwiseAND(F.lit(15))
-        points += [F.when(digit < 4, v + step), F.when(digit > 0, v - step)]
+        count = F.shiftrightunsigned(v, 2 * s).bitwiseAND(F.lit(3))
+        points += [F.when(count < 2, v.bitwiseXOR(_long(1 << 2 * s))),  # 0 to 1, 1 to 0
+                   F.when(count > 0, v.bitwiseXOR(_long(3 << 2 * s)))]  # 1 to 2, 2 to 1
     return F.array_compact(F.array(*points))
 
 
@@ -112,7 +114,7 @@ def links(distinct: DataFrame) -> DataFrame:
     points = distinct.select("fp", F.explode(_grid_points(_segment_counts(F.col("fp")))).alias("point"))
     shared = points.groupBy("point").agg(F.min("fp").alias("a"), F.max("fp").alias("b")).filter("a <> b").select("point")
     near = points.join(shared, "point", "left_semi").select("fp").distinct()
-    flips = [F.col("fp")] + [F.col("fp").bitwiseXOR(F.lit(1 << b if b < 63 else -(1 << 63))) for b in range(64)]
+    flips = [F.col("fp")] + [F.col("fp").bitwiseXOR(_long(1 << b)) for b in range(64)]
     stars = near.select("fp", F.explode(F.array(*flips)).alias("word")).groupBy("word") \
         .agg(F.collect_list("fp").alias("fps")).filter(F.size("fps") > 1)
     return stars.select(F.explode("fps").alias("u"), F.array_min("fps").alias("v")).filter("u <> v").distinct()
@@ -125,7 +127,8 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kind = docs.select(F.col(id_col).alias("id")).schema["id"].dataType.simpleString()
     marked = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
                      .mapInArrow(lambda it: _scan(it, shingle), f"id {kind}, fp long"), "simhash")
-    classes = marked.groupBy("fp").agg(F.min("id").alias("low"))
+    # an own number of partitions: each row becomes many, which the size of the classes doesn't tell
+    classes = marked.groupBy("fp").agg(F.min("id").alias("low")).repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     found = written(components(links(classes.select("fp"))), "components")
     rooted = classes.join(found, classes["fp"] == found["node"], "left") \
         .select("fp", "low", F.coalesce("root", "fp").alias("root"))

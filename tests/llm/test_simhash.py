@@ -26,7 +26,7 @@ def brute_components(fps):
         return x
     for a in ids:
         for b in ids:
-            if (fps[a] ^ fps[b]).bit_count() <= 2:
+            if ((fps[a] ^ fps[b]) & ((1 << 64) - 1)).bit_count() <= 2:
                 root[max(find(a), find(b))] = min(find(a), find(b))
     return {i: find(i) for i in ids}
 
