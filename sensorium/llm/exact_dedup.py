@@ -1,9 +1,10 @@
 """Exact deduplication: a 128-bit content hash, the smallest id stays, bytes compared in each group.
 
-Only DataFrame functions run. ``groups`` aggregates by (hash, normalised text),
-so texts that merely share a hash are different keys, and its map-side partial
-aggregation sends one row per distinct text and task, however many copies there are.
-The join back compares hash and bytes again; Spark splits a skewed group there.
+Only DataFrame functions run. Groups are aggregated by (hash, normalised text), so Spark
+compares the bytes: texts that merely share a hash stay apart. Its map-side partial aggregation
+sends one row per distinct text and task, however many copies there are. Rows then find their
+group by hash and SHA-256 (which tells apart what the hash alone might not) without moving text,
+in a join whose skewed keys Spark splits.
 
 Defined results: null text counts as empty; a null id counts as larger than any other
 (``keep_id`` is null only where a group has no id); rows that repeat an id and a text are
@@ -22,19 +23,24 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+", " ")
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    rows = docs.select(*more, F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("norm"))
+    return rows.withColumns({"h128": F.md5("norm"), "sha": F.sha2("norm", 256)})
+
+
 def _groups(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("h128", "norm").agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size"))
+    groups = rows.groupBy("h128", "norm").agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size"))
+    return groups.select("h128", F.sha2("norm", 256).alias("sha"), "keep_id", "group_size")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, text_sha256, content_hash."""
-    rows = docs.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("norm"))
-    rows = rows.withColumn("h128", F.md5("norm"))
-    out = rows.join(_groups(rows).withColumn("text_sha256", F.sha2("norm", 256)), ["h128", "norm"])
+    rows = _keyed(docs, id_col, text_col)
+    out = rows.select("id", "h128", "sha").join(_groups(rows), ["h128", "sha"])
     return out.select(
         F.col("id").alias(id_col), "keep_id", "group_size",
         F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
-        "text_sha256", F.col("h128").alias("content_hash"))
+        F.col("sha").alias("text_sha256"), F.col("h128").alias("content_hash"))
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -43,11 +49,9 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Of rows that repeat the smallest id of a group (or have none), one stays.
     """
     names = docs.columns
-    rows = docs.select(
-        F.struct(*[docs[c] for c in names]).alias("row"), F.col(id_col).alias("id"),
-        normalised(F.col(text_col)).alias("norm")).withColumn("h128", F.md5("norm"))
-    best = _groups(rows.select("id", "norm", "h128")).select(
-        F.col("h128").alias("g128"), F.col("norm").alias("g_norm"), "keep_id")
-    kept = rows.join(best, (F.col("h128") == F.col("g128")) & (F.col("norm") == F.col("g_norm"))
-                     & F.col("id").eqNullSafe(F.col("keep_id")), "left_semi")
-    return kept.dropDuplicates(["h128", "norm"]).select(*[F.col("row")[c].alias(c) for c in names])
+    id_key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    rows = _keyed(docs, id_col, text_col, F.struct(*[docs[c] for c in names]).alias("row"))
+    best = _groups(rows.select("id", "norm", "h128")).select("h128", "sha", id_key("keep_id").alias("key"))
+    keys = ["h128", "sha", "key"]
+    kept = rows.withColumn("key", id_key("id")).select("row", *keys).join(best, keys, "left_semi")
+    return kept.dropDuplicates(keys).select(*[F.col("row")[c].alias(c) for c in names])
