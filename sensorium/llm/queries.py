@@ -5,19 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontaminate import contamination
 from .exact_dedup import exact_groups
+from .licenses import PHRASES, TEMPLATES, THRESHOLD, _template_words, scan_licenses
+from .sharding import shard
 from .simhash import simhash_components
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("matches")
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("matches")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op9_simhash)}
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')"
+
+QUERIES = {f.__name__: f for f in (op2_sharding, op3_exact_dedup, op6_decontamination, op8_license_scan, op9_simhash)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": r"""
@@ -26,4 +43,38 @@ ORACLE_SQL = {
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
                sha256(norm) AS text_sha256, md5(norm) AS content_hash
         FROM d JOIN g USING (norm)""",
+    "op6_decontamination": rf"""
+        WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        iw AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        win AS (SELECT DISTINCT item_id, least(len(w), 13) AS k, array_to_string(w[s:s + least(len(w), 13) - 1], ' ') AS g
+                FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS s FROM iw WHERE len(w) > 0)),
+        sizes AS (SELECT DISTINCT k FROM win),
+        places AS (SELECT doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') AS g
+                   FROM (SELECT doc_id, k, w, unnest(range(1, len(w) - k + 2)) AS p FROM dw, sizes WHERE len(w) >= k)),
+        hits AS (SELECT doc_id, item_id, p, k FROM places JOIN win USING (k, g)),
+        covered AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM hits) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+                  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op8_license_scan": rf"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w,
+                          string_split(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(10)) AS lines
+                   FROM documents),
+        phrases(label, v) AS (VALUES {', '.join(f"('{v}', {p.split()})" for p, v in PHRASES.items())}),
+        places AS (SELECT doc_id, label, p FROM (SELECT doc_id, label, w, v, unnest(range(0, len(w) - len(v) + 1)) AS p
+                                                 FROM d, phrases WHERE len(w) >= len(v)) WHERE w[p + 1:p + len(v)] = v),
+        base AS (SELECT doc_id, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+                 FROM places GROUP BY doc_id),
+        templates(label, v) AS (VALUES {', '.join(f"('{k}', {_template_words(v)})" for k, v in TEMPLATES.items())}),
+        blocks AS (SELECT doc_id, list_distinct(regexp_extract_all(unnest(lines), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')) AS b FROM d),
+        matched AS (SELECT doc_id, label, len(list_intersect(b, v)) / CAST(len(v) AS DOUBLE) AS containment FROM blocks, templates
+                    WHERE len(list_intersect(b, v)) >= ceil(round({THRESHOLD} * len(v), 9))),
+        every AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+                  FROM (SELECT doc_id, label FROM places UNION SELECT doc_id, label FROM matched) GROUP BY doc_id),
+        best AS (SELECT doc_id, max(containment) AS best FROM matched GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+               coalesce(labels, '') AS labels, CASE WHEN coalesce(n_base, 0) > 0 THEN 1.0 ELSE coalesce(best, 0.0) END AS score
+        FROM d LEFT JOIN base USING (doc_id) LEFT JOIN every USING (doc_id) LEFT JOIN best USING (doc_id)""",
 }
