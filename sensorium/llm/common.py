@@ -64,3 +64,27 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     before = np.cumsum(counts) - counts
     return np.arange(total, dtype=np.int64) + np.repeat(starts - before, counts)
+
+
+_BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xFF51AFD7ED558CCD)
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def prefix_hashes(buf: np.ndarray, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
+    """Polynomial prefix sums of the bytes, and the powers that bring a difference of two back to exponent 0."""
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * powers(base, len(buf)))))
+    return sums, powers(pow(base, -1, 1 << 64), len(buf) + 1)
+
+
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash (never 0) of each span of bytes; equal bytes have equal hashes in any buffer."""
+    sums, back = prefix_hashes(buf)
+    h = (sums[ends] - sums[starts]) * back[starts]
+    h = (h ^ ((ends - starts).astype(np.uint64) << np.uint64(32)) ^ (h >> np.uint64(33))) * _MIX
+    return (h ^ (h >> np.uint64(29))) | np.uint64(1)

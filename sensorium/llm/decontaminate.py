@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, prepare, ranges, runs, slices
+from .common import as_bytes, prepare, ranges, runs, slices, span_hashes
 
 WINDOW = 13
 #: Contaminated from one hit word in so many.
@@ -36,14 +36,6 @@ BLOCK_WORDS = 200_000
 #: A-Z in lower case; bytes that end a word become spaces. Bytes from 0x80 belong to words, so this equals
 #: cutting the decoded text at [\x00-\x2F\x3A-\x60\x7B-\x7F].
 _FOLD = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
-_BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xFF51AFD7ED558CCD)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
-    out = np.full(n, base, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
 
 
 class Words:
@@ -56,10 +48,7 @@ class Words:
         limits = np.concatenate(([0], np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))))
         at = np.searchsorted(self.starts, limits)
         self.counts = np.diff(at)
-        prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum(buf.astype(np.uint64) * _powers(_BASE, len(buf)))))
-        h = (prefix[self.ends] - prefix[self.starts]) * _powers(pow(_BASE, -1, 1 << 64), len(buf))[self.starts]
-        h = (h ^ ((self.ends - self.starts).astype(np.uint64) << np.uint64(32)) ^ (h >> np.uint64(33))) * _MIX
-        h = (h ^ (h >> np.uint64(29))) | np.uint64(1)
+        h = span_hashes(buf, self.starts, self.ends)
         # token t of text d is word t - d
         self.text_of = np.repeat(np.arange(len(texts)), self.counts + 1)
         self.tokens = np.zeros(len(h) + len(texts), np.uint64)

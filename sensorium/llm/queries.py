@@ -7,9 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .decontaminate import contamination
 from .exact_dedup import exact_groups
+from .html_text import extract
 from .licenses import PHRASES, TEMPLATES, THRESHOLD, _template_words, scan_licenses
+from .packing import pack
+from .quality import score_quality
 from .sharding import shard
 from .simhash import simhash_components
+from .warc import archive
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,10 +24,22 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("matches")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive(table(spark, sf_dir, "pages")).drop("record_id", "date", "uri")
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).drop("matches")
 
@@ -32,9 +48,14 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')"
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_exact_dedup, op6_decontamination, op8_license_scan, op9_simhash)}
+QUERIES = {f.__name__: f for f in (op2_sharding, op3_exact_dedup, op4_html_text, op5_quality, op6_decontamination, op7_warc,
+                                   op8_license_scan, op9_simhash, op10_packing)}
 
 ORACLE_SQL = {
     "op3_exact_dedup": r"""
@@ -58,6 +79,14 @@ ORACLE_SQL = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op7_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+        d AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS h FROM p),
+        t AS (SELECT h, max(page_id) AS top FROM d GROUP BY h)
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, h AS payload_digest,
+               CASE WHEN n >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to
+        FROM d JOIN t USING (h)""",
     "op8_license_scan": rf"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w,
                           string_split(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(10)) AS lines

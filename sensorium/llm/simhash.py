@@ -135,3 +135,36 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     return marked.join(rooted.select("fp", "root").join(lowest, "root"), "fp").select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS) -> DataFrame:
+    """``docs`` with the row of the smallest id of each component, all columns unchanged.
+
+    Where rows repeat that id, one stays; a component without any id keeps one row.
+    """
+    names = docs.columns
+    key = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    found = simhash_components(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text", shingle)
+    best = found.filter(F.col("id").eqNullSafe(F.col("component_id"))) \
+        .select(key(F.col("id")).alias("key"), F.when(F.col("id").isNull(), F.col("fingerprint")).otherwise("").alias("fp")).distinct()
+    if docs.schema[id_col].nullable and not found.filter("id is null").isEmpty():
+        return _drop_with_null_ids(docs, best, names, id_col, text_col, shingle)
+    rows = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), key(F.col(id_col)).alias("key"))
+    return rows.join(best.select("key"), "key", "left_semi").dropDuplicates(["key"]).select(*[F.col("row")[c].alias(c) for c in names])
+
+
+def _drop_with_null_ids(docs: DataFrame, best: DataFrame, names: list[str], id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """Rows without an id are told apart by their fingerprints, which costs another pass over the texts."""
+    prepare(docs)
+    schema, at, id_at = docs.schema, names.index(text_col), names.index(id_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps = [f"{int(x):016x}" for x in fingerprints(as_bytes(b.column(at)), shingle)]
+            fps = [f if i is None else "" for f, i in zip(fps, b.column(id_at).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fps, pa.string())], names=[f"c{i}" for i in range(len(names) + 1)])
+
+    kinds = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(schema.fields)) + f", c{len(names)} string"
+    rows = docs.mapInArrow(run, kinds).withColumns({"key": F.coalesce(F.col(f"c{id_at}").cast("string"), F.lit("")), "fp": F.col(f"c{len(names)}")})
+    kept = rows.join(best, ["key", "fp"], "left_semi").dropDuplicates(["key", "fp"])
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
