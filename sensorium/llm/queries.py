@@ -12,10 +12,15 @@ from .licenses import PHRASES, TEMPLATES, THRESHOLD, _template_words, scan_licen
 from .packing import pack
 from .quality import score_quality
 from .sharding import shard
+from .repeats import repeated_strings
 from .simhash import simhash_components
 from .warc import archive
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_strings(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"))
 
@@ -54,7 +59,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')"
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op3_exact_dedup, op4_html_text, op5_quality, op6_decontamination, op7_warc,
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_sharding, op3_exact_dedup, op4_html_text, op5_quality, op6_decontamination, op7_warc,
                                    op8_license_scan, op9_simhash, op10_packing)}
 
 ORACLE_SQL = {
