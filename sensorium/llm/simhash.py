@@ -117,7 +117,7 @@ def links(distinct: DataFrame) -> DataFrame:
     flips = [F.col("fp")] + [F.col("fp").bitwiseXOR(_long(1 << b)) for b in range(64)]
     stars = near.select("fp", F.explode(F.array(*flips)).alias("word")).groupBy("word") \
         .agg(F.collect_list("fp").alias("fps")).filter(F.size("fps") > 1)
-    return stars.select(F.explode("fps").alias("u"), F.array_min("fps").alias("v")).filter("u <> v").distinct()
+    return stars.select(F.explode("fps").alias("u"), F.array_min("fps").alias("v")).filter("u <> v")
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

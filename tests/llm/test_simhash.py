@@ -82,3 +82,27 @@ def test_links_keep_long_chains(spark):
     got = {r.node: r.root for r in components(links(df)).collect()}
     want = brute_components({f: f for f in fps})
     assert {f: got.get(f, f) for f in fps} == want
+
+
+def test_components_over_many_tasks(spark, monkeypatch):
+    from sensorium.llm import components as C
+
+    rnd = random.Random(8)
+    n = 400
+    edges = [(i, i + 1) for i in range(0, 150)] + [(rnd.randrange(150, n), rnd.randrange(150, n)) for _ in range(180)] + [(7, 7), (n, 0), (0, n)]
+    edges += [(-5, -i) for i in range(10, 300)]
+    monkeypatch.setattr(C, "TASK_EDGES", 60)
+    perm = list(range(-300, n + 1))
+    rnd.shuffle(perm)
+    edges = [(perm[a], perm[b]) for a, b in edges]
+    root = {x: x for e in edges for x in e}
+    for _ in range(1000):
+        before = dict(root)
+        for a, b in edges:
+            root[a] = root[b] = min(root[a], root[b])
+        if before == root:
+            break
+    df = spark.createDataFrame(edges, "u long, v long").repartition(8)
+    got = [(r.node, r.root) for r in C.components(df).collect()]
+    assert dict(got) == {k: v for k, v in root.items() if dict(got).get(k) is not None or v != k} and len(dict(got)) == len(got)
+    assert all(root[k] == k for k in root if k not in dict(got))
