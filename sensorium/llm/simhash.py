@@ -127,8 +127,9 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     kind = docs.select(F.col(id_col).alias("id")).schema["id"].dataType.simpleString()
     marked = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
                      .mapInArrow(lambda it: _scan(it, shingle), f"id {kind}, fp long"), "simhash")
-    # an own number of partitions: each row becomes many, which the size of the classes doesn't tell
-    classes = marked.groupBy("fp").agg(F.min("id").alias("low")).repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    # as many files as shuffle partitions: each row becomes many, which the size of the classes doesn't tell
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    classes = written(marked.groupBy("fp").agg(F.min("id").alias("low")).repartition(n), "classes")
     found = written(components(links(classes.select("fp"))), "components")
     rooted = classes.join(found, classes["fp"] == found["node"], "left") \
         .select("fp", "low", F.coalesce("root", "fp").alias("root"))
