@@ -358,8 +358,8 @@ def repeated_spans(anchor: np.ndarray, ids: np.ndarray, unit: np.ndarray, at: np
         if len(k):
             x, y = c[o[k]], c[o[lead_of[k]]]
             equal = np.ones(len(k), bool)
-            for s in range(0, len(k), 100_000):
-                part = slice(s, s + 100_000)
+            for s in range(0, len(k), 20_000):
+                part = slice(s, s + 20_000)
                 equal[part] = (buf[(mid[x[part]] - offset)[:, None] + np.arange(length)] == buf[(mid[y[part]] - offset)[:, None] + np.arange(length)]).all(axis=1)
             if not equal.all():
                 x = _by_bytes(buf, c, mid[c] - offset, length)
