@@ -7,10 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.broadcast import broadcast_if_small
-
-# Above this many entries the corrections are joined as a table, not inlined.
-INLINE_LIMIT = 1000
+from ..operators.enrich import unique_dimension
 
 
 def corrected_value(corrections: Mapping[str, float], location="location", value="value") -> Column:
@@ -26,18 +23,14 @@ def corrected_value(corrections: Mapping[str, float], location="location", value
 def apply_corrections(df: DataFrame, corrections, location="location", value="value") -> DataFrame:
     """Correct ``value`` by location.
 
-    ``corrections`` is a mapping (inlined as a map literal, stays in codegen)
-    or a DataFrame ``(location, delta)`` with unique locations, joined with a
-    size-checked broadcast so the measurement side is never shuffled.
+    ``corrections`` is a mapping (a map literal of the plan) or a DataFrame
+    ``(location, delta)`` with one row per location (checked), joined as the
+    planner sees fit.
     """
-    if isinstance(corrections, Mapping) and len(corrections) <= INLINE_LIMIT:
-        return df.withColumn(value, corrected_value(corrections, location, value))
     if isinstance(corrections, Mapping):
-        spark = df.sparkSession
-        corrections = spark.createDataFrame(list(corrections.items()), "location string, delta double")
-    table = (corrections.groupBy(F.col("location").alias("_corr_loc"))
-             .agg(F.first("delta").alias("_corr_delta")))
-    joined = df.join(broadcast_if_small(table), F.col(location) == F.col("_corr_loc"), "left")
+        return df.withColumn(value, corrected_value(corrections, location, value))
+    table = unique_dimension(corrections, "location", "delta", "_corr_loc", "_corr_delta")
+    joined = df.join(table, F.col(location) == F.col("_corr_loc"), "left")
     return (joined.withColumn(value, F.when(F.col("_corr_loc").isNotNull(),
                                             F.col(value) + F.col("_corr_delta")).otherwise(F.col(value)))
             .drop("_corr_loc", "_corr_delta"))

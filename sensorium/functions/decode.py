@@ -15,7 +15,6 @@ not a filter: Catalyst pushes filters through projections by inlining them,
 which would parse every record twice, and pushes filters that do not touch
 the event-time column below ``withWatermark``, so a malformed record would
 no longer move the watermark. A generator is pushed nowhere.
-:func:`coupled_filter` is the filter form for callers that need one.
 """
 
 from __future__ import annotations
@@ -73,11 +72,6 @@ def parse_columns(j: Column, keys: Column, text: Column) -> dict[str, Column]:
     }
 
 
-def coupled_filter(pred: Column, ts: Column) -> Column:
-    """A filter that Catalyst keeps above the watermark on ``ts``."""
-    return F.when(ts.isNull(), F.lit(False)).otherwise(pred)
-
-
 def with_parsed(raw: DataFrame, value: str = "value", ts: str = "timestamp") -> DataFrame:
     """Raw records plus decoded columns and ``_ok``; ``ts`` = record time.
 
@@ -112,16 +106,17 @@ def decode_measurements(raw: DataFrame, value: str = "value", ts: str = "timesta
     p = with_parsed(raw, value, ts)
     if metrics is not None:
         p = p.observe(metrics, F.count(F.lit(1)).alias("n_records"),
-                      F.count(F.when(~F.col("_ok"), 1)).alias("n_bad"))
+                      F.count(F.when(~(F.col("_ok") & F.col("ts").isNotNull()), 1)).alias("n_bad"))
     cols = [F.col(k) for k in keep] + [F.col("sensor_id"), F.col("_value").alias("value"), F.col("location"),
                                        F.col("measurement_information"), F.col("ts")]
     return p.select(_emit_if(F.col("_ok") & F.col("ts").isNotNull(), cols))
 
 
 def dead_letters(raw: DataFrame, value: str = "value", ts: str = "timestamp") -> DataFrame:
-    """Records that fail to decode (the reference logs and drops them)."""
+    """Every record that :func:`decode_measurements` does not emit: those that fail to
+    decode (the reference logs and drops them) and those without a record time."""
     p = with_parsed(raw, value, ts)
-    return p.select(_emit_if(~F.col("_ok") & F.col("ts").isNotNull(), [F.col(c) for c in raw.columns]))
+    return p.select(_emit_if(~(F.col("_ok") & F.col("ts").isNotNull()), [F.col(c) for c in raw.columns]))
 
 
 def dead_letter_counts(raw: DataFrame, by: str = "partition") -> DataFrame:

@@ -15,10 +15,6 @@ def epoch_ms(ts) -> Column:
     return F.unix_millis(_col(ts))
 
 
-def epoch_us(ts) -> Column:
-    return F.unix_micros(_col(ts))
-
-
 def _session_tz(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.session.timeZone", "UTC")
 
@@ -39,12 +35,3 @@ def instant_as_utc_ntz(ts, spark: SparkSession) -> Column:
     if tz in ("UTC", "Etc/UTC", "Z", "+00:00", "GMT"):
         return c
     return F.convert_timezone(F.lit(tz), F.lit("UTC"), c)
-
-
-def release_bucket_ms(ts, round_to_ms: int = 100) -> Column:
-    """Coalesced timer time of a row: the next multiple of ``round_to_ms``
-    strictly after its millisecond time (``ms // r * r + r``)."""
-    ms = epoch_ms(ts)
-    if round_to_ms <= 0:
-        raise ValueError("round_to_ms must be positive (0 means 'watermark + 1', a stream-only rule)")
-    return F.floor(ms / F.lit(round_to_ms)).cast("long") * round_to_ms + round_to_ms

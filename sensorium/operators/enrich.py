@@ -1,17 +1,16 @@
 """Enrichment of measurements with per-location information.
 
 * :func:`enrich_join` — the Spark-first form: a left join to a location
-  dimension, broadcast when its estimated size is small, so the measurement
-  side is never shuffled. Row count is preserved (dimension deduplicated).
+  dimension, broadcast by the planner while it is small, so the measurement
+  side is not shuffled. Row count is preserved (a key with two rows is an error).
 * :func:`enrich_lookup` — for a real lookup service that cannot be read as
   a table: ``mapInPandas`` over Arrow batches; per batch only the distinct
-  keys missing from a per-worker TTL cache are fetched, concurrently, by a
+  keys missing from the task's TTL cache are fetched, concurrently, by a
   user-supplied client. No shuffle; output order is not kept.
 """
 
 from __future__ import annotations
 
-import threading
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -23,60 +22,58 @@ from pyspark.sql import types as T
 
 from ..schema import ASYNC_CAPACITY, CACHE_TTL_MS
 from ..functions.arrow import micros_as_timestamps, timestamps_as_micros
-from .broadcast import broadcast_if_small
+
+
+def unique_dimension(dim: DataFrame, key: str, value: str, as_key: str, as_value: str) -> DataFrame:
+    """``dim`` as (as_key, as_value); a key with several rows is an error, never a silent pick."""
+    one = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.concat(F.lit(f"several rows for {key} "), F.col(key).cast("string"))))
+    return dim.filter(F.col(key).isNotNull()).groupBy(key).agg(one.otherwise(F.first(value)).alias(as_value)).withColumnRenamed(key, as_key)
 
 
 def enrich_join(meas: DataFrame, dim: DataFrame, key: str = "location",
                 info: str = "location_info") -> DataFrame:
-    """Left join of measurements to ``dim(key, info)`` (one row per key)."""
-    d = dim.groupBy(F.col(key).alias("_dim_key")).agg(F.min(info).alias(info))
-    j = meas.join(broadcast_if_small(d), F.col(key) == F.col("_dim_key"), "left")
-    return j.drop("_dim_key")
-
+    """Left join of measurements to ``dim(key, info)`` (one row per key, checked).
 
-# Per Python worker: key -> (fetched_at_ms, info). Lives as long as the worker.
-_CACHE: dict = {}
-_CACHE_LOCK = threading.Lock()
+    The planner broadcasts the dimension while its size is below the
+    session's broadcast threshold, and joins by shuffle beyond it."""
+    d = unique_dimension(dim, key, info, "_dim_key", info)
+    return meas.join(d, F.col(key) == F.col("_dim_key"), "left").drop("_dim_key")
 
 
 def _now_ms() -> int:
     return int(time.time() * 1000)
 
 
-def _lookup_batches(batches, client_factory, key, info, ttl_ms, capacity, timeout_s, cache_ns, flag=None):
-    """Per Arrow batch: serve cached keys, fetch the distinct missing ones."""
+def _lookup_batches(batches, client_factory, key, info, ttl_ms, capacity, timeout_s, flag=None):
+    """Rows served from the cache go out at once; a batch's other rows follow when
+    their lookups are back. The cache is this task's alone: another query, or another
+    client, cannot see its entries, and expired ones leave it with every batch."""
     client = client_factory()
+    cache: dict = {}  # key -> (fetched_at_ms, info)
     with ThreadPoolExecutor(max_workers=capacity) as pool:
         for pdf in batches:
-            if pdf.empty:
-                pdf[info] = pd.Series(dtype="object")
-                if flag:
-                    pdf[flag] = pd.Series(dtype="bool")
-                yield pdf
-                continue
             now = _now_ms()
-            found, missing = {}, []
-            with _CACHE_LOCK:
-                for k in pd.unique(pdf[key]):
-                    hit = _CACHE.get((cache_ns, k))
-                    if hit is not None and now - hit[0] <= ttl_ms:
-                        found[k] = hit[1]
-                    else:
-                        missing.append(k)
-            if flag:
-                # cached before this batch, or a later row of a key fetched once
-                # for this batch: only a key's first row in a batch can miss
-                pdf[flag] = pdf[key].isin(list(found.keys())) | pdf[key].duplicated()
-            if missing:
-                futures = {k: pool.submit(client, k) for k in missing}
-                fetched = {k: f.result(timeout=timeout_s) for k, f in futures.items()}
-                t = _now_ms()
-                with _CACHE_LOCK:
-                    for k, v in fetched.items():
-                        _CACHE[(cache_ns, k)] = (t, v)
-                found.update(fetched)
-            pdf[info] = pdf[key].map(found)
-            yield pdf
+            for k in [k for k, (t, _) in cache.items() if now - t > ttl_ms]:
+                del cache[k]
+            keys = pd.unique(pdf[key])
+            futures = {k: pool.submit(client, k) for k in keys if k not in cache}
+            hit = ~pdf[key].isin(list(futures))
+            found = {k: cache[k][1] for k in keys if k in cache}
+            # of the rows of a key that is fetched for this batch, the first one missed
+            served = hit | pdf[key].duplicated()
+            for part, ready in ((hit, not hit.any()), (~hit, not futures)):
+                if ready and len(pdf):
+                    continue
+                if part is not hit:
+                    fetched = {k: f.result(timeout=timeout_s) for k, f in futures.items()}
+                    now = _now_ms()
+                    cache.update((k, (now, v)) for k, v in fetched.items())
+                    found.update(fetched)
+                out = pdf[part].copy()
+                out[info] = out[key].map(found).astype(object)
+                if flag:
+                    out[flag] = served[part]
+                yield out
 
 
 def enrich_lookup(meas: DataFrame, client_factory: Callable[[], Callable[[str], str]],
@@ -94,29 +91,8 @@ def enrich_lookup(meas: DataFrame, client_factory: Callable[[], Callable[[str],
     meas, ts_cols = timestamps_as_micros(meas)
     schema = T.StructType(list(meas.schema.fields) + [T.StructField(info, T.StringType())]
                           + ([T.StructField(flag, T.BooleanType())] if flag else []))
-    cache_ns = f"{id(client_factory)}:{key}"
 
     def run(batches):
-        return _lookup_batches(batches, client_factory, key, info, ttl_ms, capacity, timeout_s, cache_ns, flag)
+        return _lookup_batches(batches, client_factory, key, info, ttl_ms, capacity, timeout_s, flag)
 
     return micros_as_timestamps(meas.mapInPandas(run, schema), ts_cols)
-
-
-class DictClient:
-    """A deterministic lookup client over a small in-memory mapping."""
-
-    def __init__(self, mapping: dict):
-        self.mapping = dict(mapping)
-
-    def __call__(self):
-        return self.mapping.get
-
-
-def dimension_client(dim: DataFrame, key: str = "location", info: str = "location_info",
-                     max_rows: int = 1_000_000) -> DictClient:
-    """A client serving ``dim`` (checked to hold at most ``max_rows`` keys)."""
-    d = dim.groupBy(key).agg(F.min(info).alias(info))
-    rows = d.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        raise ValueError(f"dimension has more than {max_rows} keys; use enrich_join")
-    return DictClient({r[key]: r[info] for r in rows})

@@ -10,44 +10,43 @@ rows. Instead:
    many balanced partitions; memory per task stays bounded (external sort,
    Arrow batches).
 2. **Local fold** (``mapInPandas``): every partition folds its key runs
-   from a fresh start, carrying state across Arrow batches. It also yields
-   one summary row per partition (first/last key, last state, whether the
-   end state could depend on an incoming carry). The result is
-   checkpointed to the session's shared checkpoint folder (survives lost
-   executors; keeps the partitioning of step 1), and the summaries are
-   gathered during that same job by an ``Observation`` — one row per
-   partition, so the driver holds O(#partitions) small rows, never data.
-3. **Carry resolution** on the driver, in partition order: a partition whose
-   first key continues the previous partition's last key receives that
-   key's exact end state as its carry. For a partition that holds a single
-   key run, the end state normally does not depend on the carry (the fold
-   forgets its start: proven per partition in step 2 by folding from the
-   extreme carries); otherwise a one-partition job computes it exactly.
+   from a fresh start, carrying state across Arrow batches, and adds one
+   summary row: first and last key, last state and, where one key fills the
+   partition, the *carry map* from an incoming state to the end state. The
+   result is checkpointed to the session's shared checkpoint folder (survives
+   lost executors; keeps the partitioning of step 1).
+3. **Carry resolution** as a two-level scan on executors: blocks of about
+   sqrt(#partitions) neighbouring summaries compose their maps, one task runs
+   over the block summaries, and each block then gives its partitions their
+   carries. The number of jobs is the same for any number of partitions.
 4. **Final pass** (``mapInPandas`` on the checkpoint, no shuffle): each
    partition with a carry refolds its first run from the carry until the
    state equals the local fold again (or the run ends); every other row
    keeps its local result.
 
+Carry maps stay small: an average forgets its carry (folds from the extreme
+carries meet the local one; values are kept only until then), a TTL cache has one
+step per distinct time within the first TTL span, and positions are shifts.
+
 All results are exact: a fold's outputs equal the sequential fold over each
 key's full, ordered row sequence.
 """
 
 from __future__ import annotations
 
+import math
+import pickle
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.arrow import micros_as_timestamps, timestamps_as_micros
 from ..session import ensure_checkpoint_dir
 
-# Rows of a partition's first run kept to prove carry-independence.
-PROBE_ROWS = 4096
-
 
 def _run_starts(keys: np.ndarray) -> np.ndarray:
     n = len(keys)
@@ -93,33 +92,39 @@ class Kernel:
     inputs: tuple[str, ...] = ()
     state_type: T.DataType = T.DoubleType()
     outputs: tuple[tuple[str, T.DataType], ...] = ()
-    # composable: end(carry) = shift(local end, carry) exactly (positions: +,
-    # running max: max), so carries chain without a sync check
-    composable = False
-
     def fold(self, cols: dict[str, np.ndarray], starts: np.ndarray, carry, n: int):
         raise NotImplementedError
 
-    def independence_bound(self, cols: dict[str, np.ndarray], states: np.ndarray, outs) -> float:
-        """Largest carry magnitude B such that every carry in [-B, B] leads to
-        the same state as the local fold within these rows (inf: any carry,
-        0.0: not proven)."""
-        return 0.0
+    # True: the state with a carry never equals the local one again
+    always_shifted = False
 
-    def magnitude(self, cols: dict[str, np.ndarray]) -> float:
-        """Bound on the size of carries these rows can produce (compared on
-        the driver with :meth:`independence_bound`)."""
-        return 0.0
+    def probe(self):
+        """Gathers the carry map of a partition's first run: ``add(cols, states)``
+        per batch, then ``result()``."""
+        raise NotImplementedError
 
-    def shift(self, state, carry):
-        return state + carry
+    def apply(self, carry_map, carry):
+        """The end state of rows with this map, reached from ``carry``."""
+        raise NotImplementedError
+
+    def compose(self, first, second):
+        """The map of the rows of ``first`` followed by those of ``second``."""
+        raise NotImplementedError
 
 
 class MovingAverage(Kernel):
     """``avg = (1 - alpha) * avg + alpha * v``; the first value of a key only
     seeds the average and is not emitted (alpha = 0.5 is ``(avg + v) / 2``).
-    A NaN value makes the average NaN from there on."""
+    A NaN value makes the average NaN from there on, and an infinite one infinite.
+
+    Carry map: (values, end, kinds). ``values`` are the rows whose fold still
+    depends on a finite carry, None once folds from the extreme carries met
+    the local one, whose ``end`` then holds; ``kinds`` tells which of NaN, +inf
+    and -inf occur, all that a non-finite carry depends on.
+    """
 
+    #: Folds are monotone in the carry, and every finite average lies between these.
+    EXTREME = 2.0 ** 1022
 
     def __init__(self, value: str = "value", alpha: float = 0.5):
         self.inputs = (value,)
@@ -128,36 +133,20 @@ class MovingAverage(Kernel):
         self.state_type = T.DoubleType()
         self.outputs = (("_emit", T.BooleanType()),)
 
-    def _ewm_loop(self, v: np.ndarray) -> np.ndarray:
-        """Same arithmetic as pandas' ``ewm(adjust=False)`` for one short
-        run, without its per-call overhead; NaN propagates."""
-        a = self.alpha
-        old = 1.0 - a
-        out = np.empty(len(v))
-        w = float(v[0])
-        out[0] = w
-        for i in range(1, len(v)):
-            c = float(v[i])
-            if w != c:
-                w = (old * w + a * c) / (old + a)
-            out[i] = w
-        return out
-
     def _ewm(self, v: np.ndarray, run_ids: np.ndarray) -> np.ndarray:
         if len(v) == 0:
             return v.astype("float64")
-        if len(v) <= 32 and run_ids[-1] == 0:
-            return self._ewm_loop(np.asarray(v, dtype="float64"))
-        s = pd.Series(v, dtype="float64")
+        odd = ~np.isfinite(v)  # pandas would skip these
+        s = pd.Series(np.where(odd, 0.0, v), dtype="float64")
         if run_ids[-1] == 0:
             out = s.ewm(alpha=self.alpha, adjust=False).mean().to_numpy()
         else:
             out = (s.groupby(run_ids, sort=False).ewm(alpha=self.alpha, adjust=False).mean()
                    .reset_index(level=0, drop=True).sort_index().to_numpy())
-        nan = np.isnan(v)
-        if nan.any():
-            seen = pd.Series(nan.astype(np.int8)).groupby(run_ids).cummax().to_numpy() > 0
-            out = np.where(seen, np.nan, out)
+        if odd.any():
+            nan, up, down = (pd.Series(f.astype(np.int8)).groupby(run_ids).cummax().to_numpy() > 0
+                             for f in (np.isnan(v), np.isposinf(v), np.isneginf(v)))
+            out = np.where(nan | (up & down), np.nan, np.where(up, np.inf, np.where(down, -np.inf, out)))
         return out
 
     def fold(self, cols, starts, carry, n):
@@ -174,30 +163,63 @@ class MovingAverage(Kernel):
             emit[starts[1:]] = False
         return st, {"_emit": emit}
 
-    # carry magnitudes tried, smallest first (the fold is monotone in the
-    # carry, so agreeing from -B and +B proves it for every carry in between)
-    _LADDER = (1e2, 1e4, 1e8, 1e16, 1e32, 1e64, 1e128, 1e256, 2.0 ** 1022)
+    def from_carry(self, carry: float, v: np.ndarray) -> np.ndarray:
+        return self._ewm(np.concatenate([[carry], v]), np.zeros(len(v) + 1, dtype=np.int64))[1:]
+
+    def _meet(self, low: float, high: float, v: np.ndarray):
+        """Folds from both carries, and whether they became equal."""
+        lo, hi = self.from_carry(low, v), self.from_carry(high, v)
+        return lo, hi, bool(_eq_states(lo, hi).any())
+
+    def probe(self):
+        return _AverageProbe(self)
+
+    @staticmethod
+    def _kinds(v: np.ndarray) -> np.ndarray:
+        return np.array([np.isnan(v).any(), np.isposinf(v).any(), np.isneginf(v).any()])
+
+    def apply(self, carry_map, carry):
+        values, end, (nan, up, down) = carry_map
+        if not np.isfinite(carry):
+            return float("nan") if np.isnan(carry) or nan or (up and carry < 0) or (down and carry > 0) else carry
+        if values is None:
+            return end
+        return float(self.from_carry(carry, values)[-1]) if len(values) else carry
+
+    def compose(self, first, second):
+        kinds = first[2] | second[2]
+        if second[0] is None:
+            return None, second[1], kinds
+        if first[0] is None:
+            return None, self.apply(second, first[1]), kinds
+        values = np.concatenate([first[0], second[0]])
+        lo, _, met = self._meet(-self.EXTREME, self.EXTREME, values)
+        return (None, float(lo[-1]), kinds) if met else (values, None, kinds)
+
+
+class _AverageProbe:
+    def __init__(self, kernel: MovingAverage):
+        self.kernel = kernel
+        self.low, self.high, self.met = -kernel.EXTREME, kernel.EXTREME, False
+        self.values: list[np.ndarray] = []
+        self.kinds = np.zeros(3, dtype=bool)
+        self.end = None
+
+    def add(self, cols, states) -> None:
+        v = cols[self.kernel.value].astype("float64")
+        if not len(v):
+            return
+        self.kinds |= self.kernel._kinds(v)
+        self.end = float(states[-1])
+        if not self.met:
+            lo, hi, self.met = self.kernel._meet(self.low, self.high, v)
+            self.low, self.high = float(lo[-1]), float(hi[-1])
+            self.values = [] if self.met else [*self.values, v]
 
-    def independence_bound(self, cols, states, outs) -> float:
-        v = cols[self.value].astype("float64")
-        if len(v) == 0 or not np.isfinite(v).all():
-            return 0.0
-        zeros = np.zeros(len(v) + 1, dtype=np.int64)
-        best = 0.0
-        for b in self._LADDER:
-            lo = self._ewm(np.concatenate([[-b], v]), zeros)[1:]
-            hi = self._ewm(np.concatenate([[b], v]), zeros)[1:]
-            if not ((lo == states) & (hi == states)).any():
-                break
-            best = b
-        return best
-
-    def magnitude(self, cols) -> float:
-        # an average is a convex combination of values: |carry| <= max |value|
-        v = cols[self.value].astype("float64")
-        if len(v) == 0:
-            return 0.0
-        return float(np.abs(v).max()) if np.isfinite(v).all() else float("inf")
+    def result(self):
+        if self.met:
+            return None, self.end, self.kinds
+        return np.concatenate(self.values) if self.values else np.zeros(0), None, self.kinds
 
 
 class TtlRefresh(Kernel):
@@ -233,35 +255,77 @@ class TtlRefresh(Kernel):
                 i = j
         return st, {"served_from_cache": ~miss}
 
-    def independence_bound(self, cols, states, outs) -> float:
-        return float("inf") if self._merges(cols, outs) else 0.0
+    # Carry map: (limits, ends) of a step function: a carry below limits[i]
+    # (and not below the one before) ends at ends[i]; a carry beyond all
+    # limits serves every row and stays.
+
+    def probe(self):
+        return _TtlProbe(self)
+
+    def apply(self, carry_map, carry):
+        limits, ends = carry_map
+        i = int(np.searchsorted(limits, carry, side="right"))
+        return int(ends[i]) if i < len(ends) else int(carry)
+
+    def compose(self, first, second):
+        limits, ends = first
+        i = int(np.searchsorted(second[0], limits[-1], side="right")) if len(limits) else 0
+        through = np.array([self.apply(second, e) for e in ends.tolist()], dtype=np.int64)
+        return _steps(np.concatenate([limits, second[0][i:]]), np.concatenate([through, second[1][i:]]))
+
+
+def _steps(limits: np.ndarray, ends: np.ndarray):
+    """Neighbouring steps with one end are one step."""
+    keep = np.ones(len(ends), dtype=bool)
+    keep[:-1] = ends[1:] != ends[:-1]
+    return limits[keep], ends[keep]
 
-    def _merges(self, cols, outs) -> bool:
-        # Any carry c <= x0 makes its first fetch at a row in [0, nxt[0]];
-        # the end state is carry-free when every such fetch sequence merges
-        # into the local one (same fetch row => same state from there on).
-        x = cols[self.time].astype("int64")
-        m = len(x)
-        if m == 0:
-            return False
-        nxt = np.searchsorted(x, x + self.ttl, side="right")
-        if nxt[0] >= m:
-            return False
-        local = ~outs["served_from_cache"]
-        pos = np.arange(0, int(nxt[0]) + 1)
-        active = ~local[pos]
-        while active.any():
-            pos[active] = nxt[pos[active]]
-            if (pos >= m).any():
-                return False
-            active = ~local[pos]
-        return True
+
+class _TtlProbe:
+    """Follows the fetches from every row of the first TTL span that could be a carry's first miss."""
+
+    def __init__(self, kernel: TtlRefresh):
+        self.kernel = kernel
+        self.entries: list[np.ndarray] = []  # distinct times that may be fetched first
+        self.first = None
+        self.open = True  # no row beyond the first TTL span yet
+        self.fetched = np.zeros(0, dtype=np.int64)  # distinct fetch times that are current
+        self.at = np.zeros(0, dtype=np.int64)  # which of them each entry has reached
+
+    def add(self, cols, states) -> None:
+        x, ttl = cols[self.kernel.time].astype("int64"), self.kernel.ttl
+        if not len(x):
+            return
+        self.first = int(x[0]) if self.first is None else self.first
+        new = np.zeros(0, dtype=np.int64)
+        if self.open:
+            stop = int(np.searchsorted(x, self.first + ttl, side="right"))
+            self.open = stop == len(x)
+            new = np.unique(x[:stop + 1])
+            if self.entries:
+                new = new[new > self.entries[-1][-1]]
+            if len(new):
+                self.entries.append(new)
+        self.fetched, which = np.unique(np.concatenate([self.fetched, new]), return_inverse=True)
+        self.at = which[np.concatenate([self.at, np.arange(len(which) - len(new), len(which))])]
+        while True:
+            j = np.searchsorted(x, self.fetched + ttl, side="right")
+            due = j < len(x)
+            if not due.any():
+                return
+            moved = np.where(due, x[np.minimum(j, len(x) - 1)], self.fetched)
+            self.fetched, which = np.unique(moved, return_inverse=True)
+            self.at = which[self.at]
+
+    def result(self):
+        times = np.concatenate(self.entries) if self.entries else np.zeros(0, dtype=np.int64)
+        return _steps(times - self.kernel.ttl, self.fetched[self.at])
 
 
 class Position(Kernel):
-    """1-based position of each row in its key's ordered sequence."""
+    """1-based position of each row in its key's ordered sequence. Carry map: the number of rows."""
 
-    composable = True
+    always_shifted = True
 
     def __init__(self):
         self.inputs = ()
@@ -276,43 +340,30 @@ class Position(Kernel):
             st[:first_end] += int(carry)
         return st, {"pos": st}
 
+    def probe(self):
+        return _CountProbe()
 
-class RunningMax(Kernel):
-    """Largest ``value`` among each key's *earlier* rows (``prev_max``; NULL
-    on a key's first row). Integer values (e.g. epoch ms)."""
+    def apply(self, carry_map, carry):
+        return int(carry) + carry_map
 
-    composable = True
+    def compose(self, first, second):
+        return first + second
 
-    def __init__(self, value: str):
-        self.inputs = (value,)
-        self.value = value
-        self.state_type = T.LongType()
-        self.outputs = (("prev_max", T.LongType()),)
 
-    def fold(self, cols, starts, carry, n):
-        v = cols[self.value].astype(np.int64)
-        rid = _run_ids(starts, n)
-        st = pd.Series(v).groupby(rid).cummax().to_numpy(np.int64)
-        first_end = int(starts[1]) if len(starts) > 1 else n
-        if carry is not None and n:
-            st[:first_end] = np.maximum(st[:first_end], int(carry))
-        prev = np.empty(n, dtype=np.int64)
-        mask = np.zeros(n, dtype=bool)  # True = NULL
-        if n:
-            prev[1:] = st[:-1]
-            mask[starts] = True
-            if carry is not None:
-                prev[0] = int(carry)
-                mask[0] = False
-        return st, {"prev_max": pd.arrays.IntegerArray(prev, mask)}
-
-    def shift(self, state, carry):
-        return max(state, carry)
+class _CountProbe:
+    def __init__(self):
+        self.n = 0
+
+    def add(self, cols, states) -> None:
+        self.n += len(states)
+
+    def result(self):
+        return self.n
 
 
 # --------------------------------------------------------------------------
 
-_SUMMARY_FIELDS = ("_kind", "_first_key", "_n", "_single", "_indep", "_mag")
+_SUMMARY_FIELDS = ("_kind", "_first_key", "_single", "_map")
 
 
 def _local_schema(base: T.StructType, key: str, kernel: Kernel) -> T.StructType:
@@ -325,10 +376,8 @@ def _local_schema(base: T.StructType, key: str, kernel: Kernel) -> T.StructType:
     ] + [T.StructField(n, t) for n, t in kernel.outputs] + [
         T.StructField("_kind", T.ByteType()),
         T.StructField("_first_key", key_type),
-        T.StructField("_n", T.LongType()),
         T.StructField("_single", T.BooleanType()),
-        T.StructField("_indep", T.DoubleType()),  # proven carry bound
-        T.StructField("_mag", T.DoubleType()),    # size of carries the rows produce
+        T.StructField("_map", T.BinaryType()),
     ]
     return T.StructType(fields)
 
@@ -342,11 +391,7 @@ def _make_local_pass(base_cols: Sequence[str], key: str, kernel: Kernel):
         idx = 0
         prev_key, prev_state, have_prev = None, None, False
         first_key, first_run_open = None, True
-        probe_cols: dict[str, list] = {c: [] for c in inputs}
-        probe_states: list = []
-        probe_outs: dict[str, list] = {c: [] for c in out_names}
-        probe_len = 0
-        mag = 0.0
+        probe = kernel.probe()
         for pdf in batches:
             n = len(pdf)
             if n == 0:
@@ -366,43 +411,25 @@ def _make_local_pass(base_cols: Sequence[str], key: str, kernel: Kernel):
             for c in out_names:
                 out[c] = outs[c]
             out["_kind"] = np.int8(0)
-            for c in ("_first_key", "_n", "_single", "_indep", "_mag"):
+            for c in ("_first_key", "_single", "_map"):
                 out[c] = None
-            mag = max(mag, kernel.magnitude(cols))
-            # rows of the partition's first run, for the carry-independence proof
-            if first_run_open and probe_len < PROBE_ROWS:
-                end = int(starts[1]) if len(starts) > 1 else n
-                if not _same(keys[0], first_key):
-                    end = 0
-                take = min(end, PROBE_ROWS - probe_len)
-                for c in inputs:
-                    probe_cols[c].append(cols[c][:take])
-                probe_states.append(states[:take])
-                for c in out_names:
-                    probe_outs[c].append(np.asarray(outs[c])[:take])
-                probe_len += take
-                if end < n:
-                    first_run_open = False
-            elif len(starts) > 1 or not _same(keys[0], first_key):
-                first_run_open = False
+            # the carry map matters only while one key fills the partition
+            if first_run_open:
+                first_run_open = len(starts) == 1 and _same(keys[0], first_key)
+                if first_run_open:
+                    probe.add(cols, states)
             idx += n
             prev_key, prev_state, have_prev = keys[-1], states[-1], True
             yield out
         if pid is None:
             return
-        single = _same(prev_key, first_key)
-        indep = 0.0
-        if single and not kernel.composable and probe_len:
-            pc = {c: np.concatenate(probe_cols[c]) for c in inputs}
-            po = {c: np.concatenate(probe_outs[c]) for c in out_names}
-            indep = float(kernel.independence_bound(pc, np.concatenate(probe_states), po))
         summary = {c: [None] for c in base_cols}
         summary[key] = [prev_key]
         summary.update({"_pid": [pid], "_idx": [None], "_state": [prev_state]})
         for c in out_names:
             summary[c] = [None]
-        summary.update({"_kind": [np.int8(1)], "_first_key": [first_key], "_n": [idx],
-                        "_single": [single], "_indep": [indep], "_mag": [mag]})
+        summary.update({"_kind": [np.int8(1)], "_first_key": [first_key], "_single": [first_run_open],
+                        "_map": [pickle.dumps(probe.result()) if first_run_open else None]})
         yield pd.DataFrame(summary)
 
     return local_pass
@@ -436,7 +463,7 @@ def _make_final_pass(key: str, kernel: Kernel, carry_in):
                 if run_end:
                     st, outs = kernel.fold(cols, np.array([0]), state, run_end)
                     local = pdf["_state"].to_numpy()[:run_end]
-                    if kernel.composable:
+                    if kernel.always_shifted:
                         stop = run_end
                     else:
                         eq = np.flatnonzero(_eq_states(np.asarray(st), local))
@@ -460,87 +487,74 @@ def _make_final_pass(key: str, kernel: Kernel, carry_in):
     return final_pass
 
 
-def _partition_end_states(spark, ck: DataFrame, need: dict, kernel: Kernel) -> dict:
-    """Exact end state of each partition in ``need`` (pid -> carry); each
-    holds a single key run. One job, one task per listed partition."""
-    names = ck.columns
-    pos = {c: names.index(c) for c in (*kernel.inputs, "_kind")}
-    inputs = list(kernel.inputs)
-    carries = dict(need)
+def _state_of(value, kernel: Kernel):
+    # Arrow turns NaN into NULL; a state is never NULL
+    if isinstance(kernel.state_type, T.DoubleType):
+        return float("nan") if value is None or pd.isna(value) else float(value)
+    return int(value)
 
-    def fold_partition(pid, rows):
-        if pid not in carries:
-            return
-        state = carries[pid]
-        chunk = {c: [] for c in inputs}
-
-        def flush(st):
-            if not chunk[inputs[0]]:
-                return st
-            cols = {c: np.asarray(chunk[c]) for c in inputs}
-            states, _ = kernel.fold(cols, np.array([0]), st, len(cols[inputs[0]]))
-            for c in inputs:
-                chunk[c].clear()
-            return states[-1]
-
-        for r in rows:
-            if r[pos["_kind"]] != 0:
-                continue
-            for c in inputs:
-                chunk[c].append(r[pos[c]])
-            if len(chunk[inputs[0]]) >= 65536:
-                state = flush(state)
-        yield pid, flush(state)
-
-    rdd = ck.rdd.mapPartitionsWithIndex(fold_partition)
-    out = spark.sparkContext.runJob(rdd, lambda it: list(it), sorted(carries))
-    return dict(out)
-
-
-def _resolve(summaries, kernel: Kernel, exact_ends) -> dict:
-    """Carry into each partition whose first key continues the previous
-    partition's last key, from one summary row per partition.
-
-    A single-run partition's end state is its local one when proven
-    carry-independent (proven bound >= the largest carry any partition can
-    produce), the shifted local one for composable kernels, and otherwise
-    computed exactly by ``exact_ends({pid: carry})``. Those are batched in
-    rounds: one job per round over every partition whose carry is known, so
-    the number of jobs is the longest chain of such partitions of one key.
+
+def _chain(rows, kernel: Kernel, prev=None):
+    """Carries along summaries ``(id, first_key, last_key, state, single, map)`` in order.
+
+    ``prev`` is the (last key, end state) before them. Yields ``(id, carry or
+    None, end)``: a carry enters where the first key continues the last one.
     """
-    # one summary per partition (a re-executed stage cannot double it)
-    summaries = sorted({s["_pid"]: s for s in summaries}.values(), key=lambda r: r["_pid"])
-    is_double = isinstance(kernel.state_type, T.DoubleType)
-    # every carry is bounded by the largest magnitude any partition produces
-    bound = max([s["_mag"] if s["_mag"] is not None else float("inf") for s in summaries], default=0.0)
-    exact: dict = {}
-    unknown = object()
-    while True:
-        carry_in, need = {}, {}
-        have_prev, prev_key, prev_end = False, None, None
-        for s in summaries:
-            end = s["_state"]
-            if end is None and is_double:
-                end = float("nan")  # Arrow turns NaN into NULL; a state is never NULL
-            if have_prev and _same(s["_first_key"], prev_key):
-                if prev_end is unknown:
-                    end = unknown if s["_single"] else end
-                else:
-                    carry_in[s["_pid"]] = prev_end
-                    if s["_single"]:
-                        proven = s["_indep"] is not None and s["_indep"] > 0 and s["_indep"] >= bound
-                        if kernel.composable:
-                            end = kernel.shift(s["_state"], prev_end)
-                        elif not proven:
-                            if s["_pid"] in exact:
-                                end = exact[s["_pid"]]
-                            else:
-                                need[s["_pid"]] = prev_end
-                                end = unknown
-            have_prev, prev_key, prev_end = True, s["key"], end
-        if not need:
-            return carry_in
-        exact.update(exact_ends(need))
+    for i, first_key, last_key, state, single, carry_map in rows:
+        carry = prev[1] if prev is not None and _same(first_key, prev[0]) else None
+        end = kernel.apply(carry_map, carry) if carry is not None and single else state
+        yield i, carry, end
+        prev = (last_key, end)
+
+
+def _summaries(pdf: pd.DataFrame, kernel: Kernel, id_col: str) -> list[tuple]:
+    pdf = pdf.sort_values(id_col)
+    return [(int(i), f, k, _state_of(s, kernel), bool(one), pickle.loads(m) if m is not None else None)
+            for i, f, k, s, one, m in zip(pdf[id_col], pdf["_first_key"].astype(object), pdf["_last_key"].astype(object),
+                                          pdf["_state"], pdf["_single"], pdf["_map"])]
+
+
+def _carries(ck: DataFrame, key: str, kernel: Kernel, partitions: int) -> DataFrame:
+    """``_pid, _carry`` of the partitions whose first run continues: a two-level scan over
+    one summary row per partition, whatever the data."""
+    size = max(1, math.isqrt(partitions))
+    s = ck.filter(F.col("_kind") == 1).select("_pid", "_first_key", F.col(key).alias("_last_key"), "_state", "_single", "_map",
+                                              F.floor(F.col("_pid") / F.lit(size)).cast("long").alias("_block"))
+    key_type, state_type = s.schema["_last_key"].dataType, kernel.state_type
+    block_schema = T.StructType([T.StructField("_block", T.LongType()), T.StructField("_first_key", key_type),
+                                 T.StructField("_last_key", key_type), T.StructField("_state", state_type),
+                                 T.StructField("_single", T.BooleanType()), T.StructField("_map", T.BinaryType())])
+
+    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = _summaries(pdf, kernel, "_pid")
+        single = all(r[4] and _same(r[1], rows[0][1]) for r in rows)
+        carry_map = None
+        if single:
+            for r in rows:
+                carry_map = r[5] if carry_map is None else kernel.compose(carry_map, r[5])
+        end = list(_chain(rows, kernel))[-1][2]
+        return pd.DataFrame({"_block": [int(pdf["_block"].iloc[0])], "_first_key": [rows[0][1]], "_last_key": [rows[-1][2]],
+                             "_state": [end], "_single": [single], "_map": [pickle.dumps(carry_map) if single else None]})
+
+    def enter(pdf: pd.DataFrame) -> pd.DataFrame:
+        """What the block before each block ends with."""
+        rows = _summaries(pdf, kernel, "_block")
+        ends = [e for _, _, e in _chain(rows, kernel)]
+        return pd.DataFrame({"_block": [r[0] for r in rows[1:]], "_before_key": pd.Series([r[2] for r in rows[:-1]], dtype=object),
+                             "_before": ends[:-1]})
+
+    def deal(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = _summaries(pdf, kernel, "_pid")
+        prev = (pdf["_before_key"].astype(object).iloc[0], _state_of(pdf["_before"].iloc[0], kernel)) if pdf["_entered"].notna().iloc[0] else None
+        got = [(i, c) for i, c, _ in _chain(rows, kernel, prev) if c is not None]
+        return pd.DataFrame({"_pid": pd.Series([i for i, _ in got], dtype="int32"),
+                             "_carry": pd.Series([c for _, c in got], dtype="float64" if isinstance(state_type, T.DoubleType) else "int64")})
+
+    blocks = s.groupBy("_block").applyInPandas(compose, block_schema)
+    before = blocks.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(enter, T.StructType([
+        T.StructField("_block", T.LongType()), T.StructField("_before_key", key_type), T.StructField("_before", state_type)]))
+    return s.join(before.withColumn("_entered", F.lit(1)), "_block", "left").groupBy("_block").applyInPandas(
+        deal, T.StructType([T.StructField("_pid", T.IntegerType()), T.StructField("_carry", state_type)]))
 
 
 def ordered_scan(df: DataFrame, key: str, order: Sequence[str], kernel: Kernel,
@@ -565,22 +579,11 @@ def ordered_scan(df: DataFrame, key: str, order: Sequence[str], kernel: Kernel,
     srt = srt.withColumn("_pid", F.spark_partition_id())
     schema = _local_schema(base.schema, key, kernel)
     local = srt.mapInPandas(_make_local_pass(cols, key, kernel), schema)
-    obs = Observation("ordered_scan_summary")
-    summary_struct = F.struct(F.col("_pid"), F.col(key).alias("key"), F.col("_first_key"), F.col("_n"),
-                              F.col("_state"), F.col("_single"), F.col("_indep"), F.col("_mag"))
-    local = local.observe(obs, F.collect_list(F.when(F.col("_kind") == 1, summary_struct)).alias("s"))
     ck = local.checkpoint(eager=True)
-    summaries = [r.asDict() for r in obs.get["s"]]
     data = ck.filter(F.col("_kind") == 0).drop(*_SUMMARY_FIELDS)
-
-    def exact_ends(need):
-        # one job over just these partitions (the checkpoint keeps ids):
-        # refold each one's single key run from its carry to the end
-        return _partition_end_states(spark, ck, need, kernel)
-
-    carry_in = _resolve(summaries, kernel, exact_ends)
-    # one entry per partition: shipped once per executor, not per task closure
-    carries = spark.sparkContext.broadcast(carry_in)
+    # one number per partition: shipped once per executor, not per task closure
+    found = _carries(ck, key, kernel, ck.rdd.getNumPartitions()).collect()
+    carries = spark.sparkContext.broadcast({r["_pid"]: _state_of(r["_carry"], kernel) for r in found})
     out = data.mapInPandas(_make_final_pass(key, kernel, carries), data.schema)
     out_names = [n for n, _ in kernel.outputs]
     if "_emit" in out_names:
@@ -624,10 +627,12 @@ def ttl_cache_hits(df: DataFrame, key: str = "location", ts: str = "ts", tie: st
 
 
 def ttl_cache_stats(hits: DataFrame, key: str = "location") -> DataFrame:
-    """Cache counters per key: rows served from cache and lookups (misses)."""
+    """Cache counters per key: rows served from cache, lookups (misses), and
+    the entries the cache holds in the end (one per key ever fetched; sum it for the whole cache)."""
     return hits.groupBy(key).agg(
         F.count(F.when(F.col("served_from_cache"), 1)).alias("served_from_cache"),
-        F.count(F.when(~F.col("served_from_cache"), 1)).alias("lookups"))
+        F.count(F.when(~F.col("served_from_cache"), 1)).alias("lookups"),
+        F.max(F.when(~F.col("served_from_cache"), 1).otherwise(0)).cast("long").alias("cache_size"))
 
 
 def sorted_positions(df: DataFrame, key: str = "sensor_id", ts: str = "ts", tie: str | None = "event_id",

@@ -4,10 +4,11 @@ over whole window buffers, and windows whose slide exceeds their size."""
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,21 +35,17 @@ def assign_windows(df: DataFrame, size_s: int = WINDOW_SIZE_SECONDS,
 
     Windows are aligned to the epoch with zero offset. When the slide is
     larger than the size, a row lies in at most one window (gaps between
-    windows drop rows), which ``F.window`` does not allow, so the window is
-    computed arithmetically instead.
+    windows drop rows), which ``F.window`` does not allow as such.
     """
     if slide_s <= size_s:
         w = window_struct(ts, size_s, slide_s)
         return df.withColumn("_w", w).withColumn("window_start", F.col("_w.start")) \
                  .withColumn("window_end", F.col("_w.end")).drop("_w")
-    size_us, slide_us = int(round(size_s * 1_000_000)), int(round(slide_s * 1_000_000))
-    us = F.unix_micros(F.col(ts))
-    start_us = us - F.pmod(us, F.lit(slide_us))  # integer floor to the slide
-    return (df.withColumn("_ws", start_us)
-              .filter(us < F.col("_ws") + size_us)
-              .withColumn("window_start", F.timestamp_micros(F.col("_ws")))
-              .withColumn("window_end", F.timestamp_micros(F.col("_ws") + size_us))
-              .drop("_ws"))
+    # tumble by the slide; a row belongs to the first ``size`` of it
+    end = F.col("_w.start") + F.expr(f"interval '{size_s}' second")
+    return (df.withColumn("_w", F.window(ts, _dur(slide_s)))
+              .withColumn("window_start", F.col("_w.start")).withColumn("window_end", end)
+              .filter(F.col(ts) < F.col("window_end")).drop("_w"))
 
 
 def sliding_count_sum(meas: DataFrame, size_s: float = WINDOW_SIZE_SECONDS,
@@ -108,10 +105,42 @@ def sliding_count_sum_panes(meas: DataFrame, size_s: float = WINDOW_SIZE_SECONDS
 
 def sampling_count_sum(meas: DataFrame, size_s: int, slide_s: int, key: str = "location",
                        ts: str = "ts", value: str = "value") -> DataFrame:
-    """Windows with slide > size ("sampling" windows); same output shape."""
-    w = assign_windows(meas.select(key, ts, value), size_s, slide_s, ts)
-    return (w.groupBy("window_start", "window_end", key)
-             .agg(F.count(F.lit(1)).alias("events_per_window"), F.sum(value).alias("sum_per_window")))
+    """Windows with slide > size ("sampling" windows); same output shape.
+
+    Works on streams: rows tumble by the slide, whose windows carry the watermark,
+    and only the first ``size`` of each counts. A result is emitted once the
+    watermark passes the end of the slide.
+    """
+    end = F.col("window.start") + F.expr(f"interval '{size_s}' second")
+    rows = meas.select(key, ts, value, F.window(ts, _dur(slide_s)).alias("window")).filter(F.col(ts) < end)
+    out = rows.groupBy("window", key).agg(F.count(F.lit(1)).alias("events_per_window"), F.sum(value).alias("sum_per_window"))
+    return out.select(F.col("window.start").alias("window_start"), end.alias("window_end"), key, "events_per_window", "sum_per_window")
+
+
+def count_and_sum(buffer: Column) -> dict[str, Column]:
+    """The default fold of :func:`buffered_windows`."""
+    return {"events_per_window": F.size(buffer).cast("long"),
+            "sum_per_window": F.aggregate(buffer, F.lit(0.0), lambda s, x: s + x["value"])}
+
+
+def buffered_windows(meas: DataFrame, size_s: float = WINDOW_SIZE_SECONDS, slide_s: float = DEFAULT_SLIDE_SECONDS,
+                     key: str = "location", ts: str = "ts", value: str = "value", tie: str | None = None,
+                     fold: Callable[[Column], dict[str, Column]] = count_and_sum) -> DataFrame:
+    """The reference's process-window function: ``fold`` sees the whole buffer of a
+    window, an array of ``struct(ts, tie, value)`` in order, and returns the
+    result columns. Works on tables and streams (append mode).
+
+    A window's rows are one array, in the state of one key on a stream: use it
+    for folds that need the order, and :func:`sliding_count_sum` otherwise.
+    """
+    w = window_struct(ts, size_s, slide_s) if slide_s <= size_s else F.window(ts, _dur(slide_s))
+    row = F.struct(F.col(ts).alias("ts"), (F.col(tie) if tie else F.lit(0)).alias("tie"), F.col(value).alias("value"))
+    rows = meas.select(w.alias("window"), key, row.alias("_row"))
+    end = F.col("window.start") + F.expr(f"interval '{size_s}' second")
+    rows = rows.filter(F.col("_row.ts") < end) if slide_s > size_s else rows
+    buffers = rows.groupBy("window", key).agg(F.array_sort(F.collect_list("_row")).alias("_buffer"))
+    return buffers.select(F.col("window.start").alias("window_start"), end.alias("window_end"), key,
+                          *[c.alias(n) for n, c in fold(F.col("_buffer")).items()])
 
 
 _PARTIAL = T.StructType([
@@ -172,4 +201,4 @@ def sliding_full_buffer(meas: DataFrame, size_s: int = WINDOW_SIZE_SECONDS,
                .withColumn("window_end", F.timestamp_micros("window_end"))
     out = parts.groupBy("window_start", "window_end", "key").agg(
         F.sum("n").alias("events_per_window"), F.sum("s").alias("sum_per_window"))
-    return out.withColumnRenamed("key", key)
+    return out.withColumn("key", F.col("key").cast(meas.schema[key].dataType)).withColumnRenamed("key", key)

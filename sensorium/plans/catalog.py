@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from ..functions import decode
 from ..functions.correct import apply_corrections
-from ..functions.timecols import release_bucket_ms
-from ..operators import enrich, late, metrics, ordered, windows
-from ..sources import synth, tables
+from ..operators import enrich, metrics, ordered, windows
+from ..sources import kafka, tables
+from ..sources.replay import assign_batches, run_replay
 from ..sources.tables import to_oracle_ts
+from ..streaming.sort_ema import sort_correct_ema
+from ..streaming.windows import sliding_stream, with_event_time
 
 # Fixture parameters (FIXTURES.md): correction table, cache TTL for rows
 # minutes apart, replay geometry.
@@ -22,7 +24,8 @@ TTL_MS = 3_600_000
 CLOCK_PLUS_MS = 3_600_000
 REPLAY_BATCHES = 6
 LATE_EVERY = 50
-LATE_SHIFT = 2
+LATE = {0: 2, 1: 1}  # id % LATE_EVERY -> batches later
+REPLAY_DELAY_MS = 86_400_000
 
 
 def _decoded(spark: SparkSession, sf: str) -> DataFrame:
@@ -37,8 +40,8 @@ def _round_sum(df: DataFrame) -> DataFrame:
 
 
 def raw_record_projection(spark, sf):
-    raw = tables.raw_records(spark, sf)
-    return to_oracle_ts(raw.select("timestamp", "partition", "offset"), "timestamp")
+    raw = kafka.raw_records(tables.raw_records(spark, sf))
+    return to_oracle_ts(raw.withColumns({c: F.col(c).cast("string") for c in ("key", "value")}), "timestamp")
 
 
 def location_list(spark, sf):
@@ -81,23 +84,21 @@ def sampling_window(spark, sf):
     return _round_sum(windows.sliding_count_sum(_decoded(spark, sf), 60, 90))
 
 
-def late_event_filter(spark, sf):
-    from ..sources.replay import assign_batches
-    m = assign_batches(tables.measurements(spark, sf), REPLAY_BATCHES, "event_id", LATE_EVERY, LATE_SHIFT)
-    return late.late_event_filter(m, "batch", "ts", 250).select("event_id", "batch")
-
-
 def location_enrich(spark, sf):
     m = tables.measurements(spark, sf)
     e = enrich.enrich_join(m, tables.location_dimension(spark, sf))
     return e.select("event_id", "location", "location_info")
 
 
+def _digest_service():
+    """A lookup service that answers with a digest of the key."""
+    import hashlib
+    return lambda location: hashlib.md5(location.encode()).hexdigest()
+
+
 def location_enrich_async(spark, sf):
     m = tables.measurements(spark, sf)
-    client = enrich.dimension_client(tables.location_dimension(spark, sf))
-    e = enrich.enrich_lookup(m.select("event_id", "location"), client)
-    return e.select("event_id", "location", "location_info")
+    return enrich.enrich_lookup(m.select("event_id", "location"), _digest_service)
 
 
 def ttl_cache_hits(spark, sf):
@@ -114,11 +115,6 @@ def sorted_stream(spark, sf):
     return ordered.sorted_positions(tables.measurements(spark, sf), key="sensor_id")
 
 
-def sort_release_bucket(spark, sf):
-    m = tables.measurements(spark, sf)
-    return m.select("event_id", release_bucket_ms("ts", 100).alias("release_ms"))
-
-
 def ema(spark, sf):
     e = ordered.moving_average(_decoded(spark, sf), key="sensor_id")
     return to_oracle_ts(e, "ts")
@@ -132,7 +128,7 @@ def ema_corrected(spark, sf):
 def _lag(spark, sf, group):
     m = tables.measurements(spark, sf)
     now = metrics.clock_after_max(m, "ts", CLOCK_PLUS_MS)
-    return metrics.lag_stats(m, group, "ts", now, tie="event_id")
+    return metrics.lag_stats(m, group, "ts", now)
 
 
 def sort_lag_stats(spark, sf):
@@ -150,46 +146,40 @@ def window_lag_stats(spark, sf):
     return metrics.window_lag_stats(w, "location", now)
 
 
-def synthetic_pool(spark, sf):
-    n = tables.table(spark, sf, "events").count()
-    return synth.measurement_pool(spark, tables.location_list(spark, sf), size=n)
+def _replayed(spark, sf, build):
+    """The stream ``build(raw)`` over the raw records: REPLAY_BATCHES micro-batches in offset
+    order, some records out of order (one batch later) or late (two batches later)."""
+    raw = assign_batches(tables.raw_records(spark, sf), REPLAY_BATCHES, "offset", LATE, LATE_EVERY)
+    return run_replay(raw, build)
 
 
-def synthetic_sample(spark, sf):
-    n = tables.table(spark, sf, "events").count()
-    pool = synth.measurement_pool(spark, tables.location_list(spark, sf), size=min(n, synth.POOL_SIZE))
-    return synth.sample_with_replacement(spark, pool, n)
+def sliding_stream_final(spark, sf):
+    return _round_sum(_replayed(spark, sf, lambda raw: sliding_stream(raw, 60, 10, REPLAY_DELAY_MS)))
 
 
-def _replayed_raw(spark, sf):
-    """The raw record table replayed as a file stream, REPLAY_BATCHES
-    micro-batches in offset order."""
-    from ..schema import RAW_RECORD
-    from ..sources.replay import replay_stream, write_replay
-    raw = tables.raw_records(spark, sf)
-    n = raw.select(F.count(F.lit(1))).scalar()
-    raw = raw.withColumn("batch", F.floor(F.col("offset") * F.lit(REPLAY_BATCHES) / n).cast("long"))
-    stream_dir, fpb = write_replay(raw, "batch")
-    return replay_stream(spark, stream_dir, RAW_RECORD, fpb)
+def late_window_drop(spark, sf):
+    """Windows as long as the delay: late rows still count in windows that are open."""
+    return _round_sum(_replayed(spark, sf, lambda raw: sliding_stream(raw, 86_400, 86_400, REPLAY_DELAY_MS)))
 
 
-def _run_stream(spark, df, tag):
-    from ..session import scratch_path
-    from ..streaming.sort_ema import run_available
-    root = scratch_path(spark, tag)
-    run_available(df, f"{root}/out", f"{root}/checkpoint")
-    return spark.read.schema(df.schema).parquet(f"{root}/out")
+def sampling_stream_final(spark, sf):
+    return _round_sum(_replayed(spark, sf, lambda raw: sliding_stream(raw, 60, 90, REPLAY_DELAY_MS)))
 
 
-def sliding_stream_final(spark, sf):
-    from ..streaming.windows import sliding_stream
-    out = _run_stream(spark, sliding_stream(_replayed_raw(spark, sf), 60, 10, 250), "sliding")
-    return _round_sum(out)
+def _first_and_last(buffer):
+    """A fold that needs the buffer's order."""
+    return {"n": F.size(buffer).cast("long"), "first_value": buffer[0]["value"], "last_value": F.element_at(buffer, -1)["value"]}
+
+
+def buffer_stream_final(spark, sf):
+    def build(raw):
+        m = decode.decode_measurements(with_event_time(raw, REPLAY_DELAY_MS), keep=("offset",))
+        return windows.buffered_windows(m, 14_400, 3_600, tie="offset", fold=_first_and_last)
+    return to_oracle_ts(_replayed(spark, sf, build), "window_start", "window_end")
 
 
 def _sorted_stream_output(spark, sf):
-    from ..streaming.sort_ema import sort_correct_ema
-    return _run_stream(spark, sort_correct_ema(_replayed_raw(spark, sf), None, 250, 100), "sort-ema")
+    return _replayed(spark, sf, lambda raw: sort_correct_ema(raw, None, REPLAY_DELAY_MS, 100))
 
 
 def ema_stream_final(spark, sf):
@@ -205,7 +195,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_record_projection": raw_record_projection,
     "location_list": location_list,
     "ingest_roundtrip": ingest_roundtrip,
-    "decode_measurements": ingest_roundtrip,
     "decode_drop_malformed": decode_drop_malformed,
     "dead_letter_counts": dead_letter_counts,
     "sensor_correction": sensor_correction,
@@ -213,21 +202,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sliding_full_buffer": sliding_full_buffer,
     "sliding_count_sum_wide": sliding_count_sum_wide,
     "sampling_window": sampling_window,
-    "late_event_filter": late_event_filter,
     "location_enrich": location_enrich,
     "location_enrich_async": location_enrich_async,
     "ttl_cache_hits": ttl_cache_hits,
     "ttl_cache_stats": ttl_cache_stats,
     "sorted_stream": sorted_stream,
-    "sort_release_bucket": sort_release_bucket,
     "ema": ema,
     "ema_corrected": ema_corrected,
     "sort_lag_stats": sort_lag_stats,
     "enrich_delay_stats": enrich_delay_stats,
     "window_lag_stats": window_lag_stats,
     "sliding_stream_final": sliding_stream_final,
+    "late_window_drop": late_window_drop,
+    "sampling_stream_final": sampling_stream_final,
+    "buffer_stream_final": buffer_stream_final,
     "ema_stream_final": ema_stream_final,
     "sorted_stream_final": sorted_stream_final,
-    "synthetic_pool": synthetic_pool,
-    "synthetic_sample": synthetic_sample,
 }

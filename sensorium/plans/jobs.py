@@ -42,10 +42,11 @@ def windowing_job(raw: DataFrame, slide_s: int = DEFAULT_SLIDE_SECONDS, delay_ms
                   buffered: bool = False) -> DataFrame:
     """Count and sum per location over 1-minute windows sliding by
     ``slide_s`` seconds. ``buffered`` folds whole window buffers instead of
-    aggregating incrementally (batch only; a stream always aggregates
-    incrementally, which is the point of the comparison)."""
+    aggregating incrementally, on tables and streams."""
     m = _decoded(raw, delay_ms)
-    if buffered and not raw.isStreaming:
+    if buffered and raw.isStreaming:
+        return windows.buffered_windows(m, WINDOW_SIZE_SECONDS, slide_s, tie="offset")
+    if buffered:
         return windows.sliding_full_buffer(m, WINDOW_SIZE_SECONDS, slide_s, tie="offset")
     return windows.sliding_count_sum(m, WINDOW_SIZE_SECONDS, slide_s)
 

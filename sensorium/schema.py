@@ -9,7 +9,6 @@ results, e.g. window geometry and the JSON field names):
 * bounded out-of-orderness 250 ms
 * cache time-to-live 1000 ms
 * sort timer rounding 100 ms
-* lag sample window: last 10,000 samples
 * async lookups in flight: 30
 * default location correction: {"Berlin": 1.0}
 """
@@ -26,7 +25,6 @@ DEFAULT_SLIDE_SECONDS = 10
 OUT_OF_ORDERNESS_MS = 250
 CACHE_TTL_MS = 1000
 ROUND_TIMER_TO_MS = 100
-LAG_SAMPLE_SIZE = 10_000
 ASYNC_CAPACITY = 30
 DEFAULT_CORRECTIONS = {"Berlin": 1.0}
 # ----------------------------------------------------------------------------
@@ -42,25 +40,3 @@ RAW_RECORD = T.StructType([
 
 # JSON payload parsed with every field as text; numbers are coerced after.
 JSON_TEXT = T.StructType([T.StructField(f, T.StringType()) for f in JSON_FIELDS])
-
-MEASUREMENT = T.StructType([
-    T.StructField("sensor_id", T.IntegerType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("location", T.StringType()),
-    T.StructField("measurement_information", T.StringType()),
-    T.StructField("ts", T.TimestampType()),
-])
-
-WINDOWED = T.StructType([
-    T.StructField("window_start", T.TimestampType()),
-    T.StructField("window_end", T.TimestampType()),
-    T.StructField("location", T.StringType()),
-    T.StructField("events_per_window", T.LongType()),
-    T.StructField("sum_per_window", T.DoubleType()),
-])
-
-MOVING_AVERAGE = T.StructType([
-    T.StructField("sensor_id", T.IntegerType()),
-    T.StructField("ema", T.DoubleType()),
-    T.StructField("ts", T.TimestampType()),
-])

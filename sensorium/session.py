@@ -74,43 +74,6 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{root}/sensorium-{tag}-{uuid.uuid4().hex[:12]}"
 
 
-def local_fs_path(path: str) -> str | None:
-    """The OS path for a ``file:`` URI or plain path, else None."""
-    if path.startswith("file:"):
-        return path[len("file:"):].replace("///", "/", 1) if path.startswith("file:///") else path[5:]
-    if "://" in path:
-        return None
-    return os.path.abspath(path)
-
-
-def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 * 1024,
-                 expansion: float = 1.0) -> dict[str, str]:
-    """Settings that size partitions for a cluster run over ``input_bytes``.
-
-    * file splits of ``target_partition_bytes`` (parallel, spill-free scans);
-    * an initial shuffle partition count large enough that every shuffle
-      partition stays near the target even after window expansion
-      (``expansion`` = rows out per row in, e.g. 1 for panes), at least 2x the
-      cores; AQE then coalesces small partitions and splits skewed joins;
-    * the same count fixes a streaming query's state partitions at its first
-      start, so choose it for the largest expected rate.
-    """
-    shuffle = max(2 * total_cores, int(input_bytes * expansion // target_partition_bytes) + 1)
-    return {
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.shuffle.partitions": str(shuffle),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-        # ordered scans checkpoint their columns once; drop those files when unused
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-    }
-
-
 _SHIPPED: set[str] = set()
 
 

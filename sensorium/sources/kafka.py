@@ -13,8 +13,9 @@ from ..schema import JSON_FIELDS
 
 
 def kafka_source_options(bootstrap: str = "localhost:9092", topic: str = "sensor-measurements",
-                         group: str | None = "sensorium", starting: str = "latest") -> dict[str, str]:
-    """Options of a Kafka stream that starts at the latest offset."""
+                         group: str | None = None, starting: str = "latest") -> dict[str, str]:
+    """Options of a Kafka stream that starts at the latest offset. Spark keeps the offsets
+    itself; streams that share a ``group`` id may each read only part of the topic."""
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting}
     if group:
         opts["kafka.group.id"] = group

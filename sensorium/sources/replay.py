@@ -1,83 +1,65 @@
-"""Replaying a table as a file stream, one micro-batch per group of files.
+"""Replaying a table as a file stream, one micro-batch per value of a batch column.
 
-Files are written into a fresh folder under the shared checkpoint folder
-and stamped with increasing modification times, so ``maxFilesPerTrigger``
-turns each written batch into exactly one micro-batch, in order. File
-operations go through Hadoop's FileSystem API, so any cluster filesystem
-works.
+Rows are staged by one partitioned write. For each batch, one Spark job appends
+its rows to the folder that the stream reads, and the query runs over what is
+new (``availableNow``) from its checkpoint. Batch borders so depend on neither
+file times nor listing order, and no file is handled on the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
+_NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+
 
 def assign_batches(df: DataFrame, n_batches: int = 6, id_col: str = "event_id",
-                   late_every: int | None = None, late_shift: int = 2) -> DataFrame:
-    """``batch = floor(id * n_batches / count)``; rows with ``id % late_every
-    = 0`` arrive ``late_shift`` batches later (fixture rule)."""
+                   late: dict[int, int] | None = None, late_every: int = 50) -> DataFrame:
+    """``batch = floor(id * n_batches / count)``; rows whose ``id % late_every``
+    is a key of ``late`` arrive that many batches later (fixture rule)."""
     n = df.select(F.count(F.lit(1))).scalar()
     b = F.floor(F.col(id_col) * F.lit(n_batches) / n).cast("long")
-    if late_every:
-        b = b + F.when(F.pmod(F.col(id_col), F.lit(late_every)) == 0, F.lit(late_shift)).otherwise(F.lit(0))
+    for rest, shift in (late or {}).items():
+        b = b + F.when(F.pmod(F.col(id_col), F.lit(late_every)) == rest, F.lit(shift)).otherwise(F.lit(0))
     return df.withColumn("batch", b)
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+def replay_stream(spark: SparkSession, folder: str, schema) -> DataFrame:
+    return spark.readStream.schema(schema).parquet(folder)
 
 
-def write_replay(df: DataFrame, batch: str = "batch", path: str | None = None,
-                 base_mtime_ms: int = 1_000_000_000_000) -> tuple[str, int]:
-    """Write every batch's rows as parquet files into one folder, in order.
+def run_replay(df: DataFrame, build: Callable[[DataFrame], DataFrame], batch: str = "batch",
+               root: str | None = None) -> DataFrame:
+    """The output of the stream ``build(raw)`` over ``df`` without its ``batch``
+    column, replayed batch by batch.
 
-    One job: ``partitionBy(batch)`` without a shuffle, so each input task
-    writes its own file per batch it holds (no batch is funnelled through one
-    task). Batches are then padded with schema-only files to the same file
-    count ``k``, and files get increasing modification times batch by batch,
-    so a stream with ``maxFilesPerTrigger = k`` reads exactly one batch per
-    micro-batch. Returns ``(folder, k)``; read it with :func:`replay_stream`.
+    Only the last run ends with a batch without data, as one uninterrupted run
+    would: within it, state is released up to the final watermark.
     """
     spark = df.sparkSession
-    root = path or scratch_path(spark, "replay")
-    stream_dir, staged, empty = f"{root}/stream", f"{root}/staging", f"{root}/empty"
-    jvm = spark._jvm
-    Path = jvm.org.apache.hadoop.fs.Path
-    conf = spark._jsc.hadoopConfiguration()
-    df.write.mode("overwrite").partitionBy(batch).parquet(staged)
-    spark.createDataFrame([], df.drop(batch).schema).write.mode("overwrite").parquet(empty)
-    fs, _ = _fs(spark, stream_dir)
-    fs.mkdirs(Path(stream_dir))
-
-    def parquet_files(folder):
-        paths = [st.getPath() for st in fs.listStatus(folder) if st.getPath().getName().endswith(".parquet")]
-        return sorted(paths, key=lambda p: p.getName())
-
-    template = parquet_files(Path(empty))[0]
-    batches = []
-    for st in fs.listStatus(Path(staged)):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(f"{batch}="):
-            raw_id = name.split("=", 1)[1]
-            batches.append((int(raw_id) if raw_id.lstrip("-").isdigit() else raw_id, parquet_files(st.getPath())))
-    batches.sort(key=lambda x: x[0])
-    k = max((len(files) for _, files in batches), default=1)
-    for i, (_, files) in enumerate(batches):
-        for j in range(k):
-            dst = Path(f"{stream_dir}/b{i:06d}-{j:05d}.parquet")
-            if j < len(files):
-                fs.rename(files[j], dst)
-            else:
-                jvm.org.apache.hadoop.fs.FileUtil.copy(fs, template, fs, dst, False, conf)
-            fs.setTimes(dst, base_mtime_ms + i * 10_000 + j, -1)
-    return stream_dir, k
-
-
-def replay_stream(spark: SparkSession, stream_dir: str, schema, files_per_batch: int = 1) -> DataFrame:
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-            .parquet(stream_dir))
+    root = root or scratch_path(spark, "replay")
+    staged, folder, out = f"{root}/staged", f"{root}/stream", f"{root}/out"
+    df.write.partitionBy(batch).parquet(staged)
+    schema = df.drop(batch).schema
+    table = spark.read.schema(df.schema).parquet(staged)
+    batches = sorted(r[0] for r in table.select(batch).distinct().collect())  # one value per micro-batch
+    before = spark.conf.get(_NO_DATA, "true")
+    stream = None
+    try:
+        for i, b in enumerate(batches):
+            table.filter(F.col(batch) == b).drop(batch).write.mode("append").parquet(folder)
+            spark.conf.set(_NO_DATA, "true" if i == len(batches) - 1 else "false")
+            stream = build(replay_stream(spark, folder, schema))
+            q = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/checkpoint") \
+                .trigger(availableNow=True).start(out)
+            q.awaitTermination()
+    finally:
+        spark.conf.set(_NO_DATA, before)
+    if stream is None:
+        return build(spark.createDataFrame([], schema))
+    return spark.read.schema(stream.schema).parquet(out)

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timecols import instant_as_utc_ntz, ntz_as_utc_instant
-from ..operators.broadcast import broadcast_if_small
 from .kafka import measurement_json
 
 N_LOCATIONS = 25
@@ -28,19 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def with_parallelism_floor(df: DataFrame) -> DataFrame:
-    """Spread an input that scans as fewer partitions than the cluster has
-    cores (e.g. one small file with one row group) round-robin over the
-    default parallelism, so per-row work before the first shuffle is not one
-    task. Large inputs already have many splits and pass through untouched."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect)
-        return df
-    return df.repartition(target) if parts < target else df
-
-
 def location_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All locations, one row each (the reference reads one per text line)."""
     return table(spark, sf_dir, "nation").select(F.col("n_name").alias("location"))
@@ -55,16 +41,16 @@ def location_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``location, location_info`` — one row per location."""
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    return (n.join(broadcast_if_small(r), n.n_regionkey == r.r_regionkey)
+    return (n.join(r, n.n_regionkey == r.r_regionkey)
             .select(F.col("n_name").alias("location"),
                     F.concat(F.col("n_name"), F.lit("/"), F.col("r_name")).alias("location_info")))
 
 
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id, sensor_id, value, location, measurement_information, ts``."""
-    e = with_parallelism_floor(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props"))
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value", "props")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = e.join(broadcast_if_small(n), F.pmod(e.user_id, F.lit(N_LOCATIONS)) == n.n_nationkey)
+    j = e.join(n, F.pmod(e.user_id, F.lit(N_LOCATIONS)) == n.n_nationkey)
     return j.select(
         "event_id",
         F.col("user_id").cast("int").alias("sensor_id"),

@@ -12,7 +12,7 @@ from ..schema import DEFAULT_SLIDE_SECONDS, OUT_OF_ORDERNESS_MS, WINDOW_SIZE_SEC
 
 def with_event_time(raw: DataFrame, delay_ms: int = OUT_OF_ORDERNESS_MS, ts: str = "timestamp") -> DataFrame:
     """Watermark on the record time, set *before* decoding, so undecodable
-    records still advance event time (decode uses a coupled filter)."""
+    records still advance event time (decode is a generator, which nothing pushes below it)."""
     return raw.withWatermark(ts, f"{int(delay_ms)} milliseconds")
 
 

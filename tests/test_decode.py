@@ -4,7 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from sensorium.functions.decode import dead_letters, decode_measurements
+from sensorium.functions.decode import dead_letter_counts, dead_letters, decode_measurements
 
 T0 = datetime(2024, 1, 1)
 
@@ -58,17 +58,33 @@ def test_malformed_record_still_moves_the_watermark(spark, tmp_path):
     from datetime import timedelta
 
     from sensorium.schema import RAW_RECORD
-    from sensorium.sources.replay import replay_stream, write_replay
+    from sensorium.sources.replay import replay_stream
     from sensorium.streaming.windows import with_event_time
     rows = [(T0, None, bytearray(b'{"sensorId": 1, "value": 1.0}'), 0, 1, 0),
             (T0 + timedelta(hours=1), None, bytearray(b'{"sensorId": 1, "val'), 0, 2, 0),
             (T0 + timedelta(minutes=1), None, bytearray(b'{"sensorId": 1, "value": 2.0}'), 0, 3, 1)]
     from pyspark.sql import types as T
     df = spark.createDataFrame(rows, T.StructType(RAW_RECORD.fields + [T.StructField("batch", T.IntegerType())]))
-    stream_dir, fpb = write_replay(df, "batch", path=str(tmp_path / "replay"))
-    stream = decode_measurements(with_event_time(replay_stream(spark, stream_dir, RAW_RECORD, fpb)))
-    q = (stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "ck"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    for batch in (0, 1):
+        df.filter(F.col("batch") == batch).drop("batch").write.mode("append").parquet(str(tmp_path / "in"))
+        stream = decode_measurements(with_event_time(replay_stream(spark, str(tmp_path / "in"), RAW_RECORD)))
+        q = (stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "ck"))
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
     marks = [p["eventTime"].get("watermark") for p in q.recentProgress if "eventTime" in p]
     assert "2024-01-01T00:59:59.750Z" in marks
+
+
+def test_every_record_is_decoded_or_dead(spark):
+    raw = tables_raw(spark)
+    good, dead = decode_measurements(raw, keep=("offset",)), dead_letters(raw)
+    assert good.count() == 900 and dead.count() == 100 and dead.filter("timestamp IS NOT NULL").count() == 0
+    assert dead_letter_counts(raw).agg(F.sum("n_bad")).first()[0] == 100
+
+
+def tables_raw(spark):
+    """1,000 well-formed records, 100 of them without a time."""
+    js = F.lit('{"sensorId":1,"value":1.5,"location":"L","measurementInformation":"i"}').cast("binary")
+    t = F.when(F.col("id") % 10 != 0, F.timestamp_micros(F.col("id")))
+    return spark.range(1000).select(t.alias("timestamp"), F.lit(None).cast("binary").alias("key"), js.alias("value"),
+                                    F.lit(0).alias("partition"), F.col("id").alias("offset"))

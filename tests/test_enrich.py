@@ -1,8 +1,10 @@
 """Enrichment keeps every row; the lookup path agrees with the join; the
 TTL cache counters add up."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from sensorium.functions.correct import apply_corrections
 from sensorium.operators import enrich, ordered
 from sensorium.sources import tables
 
@@ -11,25 +13,66 @@ from .conftest import SF001
 
 def test_join_keeps_rows_and_is_broadcast(spark):
     m = tables.measurements(spark, SF001)
-    dim = tables.location_dimension(spark, SF001)
-    e = enrich.enrich_join(m, dim.union(dim))  # duplicated dimension rows must not duplicate output
+    e = enrich.enrich_join(m, tables.location_dimension(spark, SF001))
     assert e.count() == m.count()
     assert e.filter(F.col("location_info").isNull()).count() == 0
     assert "BroadcastHashJoin" in e._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_key_with_several_dimension_rows_is_an_error(spark):
+    m = tables.measurements(spark, SF001)
+    dim = tables.location_dimension(spark, SF001)
+    with pytest.raises(Exception, match="several rows for location"):
+        enrich.enrich_join(m, dim.union(dim)).collect()
+    deltas = spark.createDataFrame([("NATION_7", 1.0), ("NATION_7", 2.0)], "location string, delta double")
+    with pytest.raises(Exception, match="several rows for location"):
+        apply_corrections(m, deltas).collect()
+
+
 def test_lookup_equals_join(spark):
     m = tables.measurements(spark, SF001).select("event_id", "location")
     dim = tables.location_dimension(spark, SF001)
+    known = {r.location: r.location_info for r in dim.collect()}
     a = enrich.enrich_join(m, dim)
-    b = enrich.enrich_lookup(m, enrich.dimension_client(dim), capacity=4)
+    b = enrich.enrich_lookup(m, lambda: known.get, capacity=4)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_clients_in_turn_never_see_each_other(spark):
+    m = tables.measurements(spark, SF001).select("event_id", "location").coalesce(1)
+    for i in range(25):
+        got = enrich.enrich_lookup(m, lambda i=i: (lambda k: f"{k}-{i}"), ttl_ms=3_600_000)
+        assert got.filter(F.col("location_info") != F.concat("location", F.lit(f"-{i}"))).count() == 0
+
+
+def test_hits_go_out_before_misses_and_expired_entries_leave(monkeypatch):
+    import threading
+
+    import pandas as pd
+
+    gate, asked, clock = threading.Event(), [], [0]
+    monkeypatch.setattr(enrich, "_now_ms", lambda: clock[0])
+
+    def client(k):
+        asked.append(k)
+        if k == "slow":
+            assert gate.wait(20)
+        return k.upper()
+    batches = iter([pd.DataFrame({"k": ["a", "a"]}), pd.DataFrame({"k": ["slow", "a"]}), pd.DataFrame({"k": ["a"]})])
+    out = enrich._lookup_batches(batches, lambda: client, "k", "info", 1000, 4, None, "hit")
+    assert next(out)["hit"].tolist() == [False, True]
+    assert next(out)["k"].tolist() == ["a"]  # while "slow" is still being looked up
+    gate.set()
+    assert next(out)["info"].tolist() == ["SLOW"]
+    clock[0] = 1001
+    assert next(out)["hit"].tolist() == [False] and asked == ["a", "slow", "a"]
+
+
 def test_ttl_stats_add_up(spark):
     m = tables.measurements(spark, SF001)
     h = ordered.ttl_cache_hits(m, key="location", ttl_ms=3_600_000)
-    st = ordered.ttl_cache_stats(h).agg(F.sum("served_from_cache"), F.sum("lookups")).first()
+    st = ordered.ttl_cache_stats(h).agg(F.sum("served_from_cache"), F.sum("lookups"), F.sum("cache_size")).first()
+    assert st[2] == m.select("location").distinct().count()
     assert st[0] + st[1] == m.count()
     # every location's first row is a lookup
     assert st[1] >= m.select("location").distinct().count()

@@ -1,5 +1,4 @@
-"""Lag summaries: percentiles over each group's latest samples, both the
-direct path and the position-scan path for groups above the sample size."""
+"""Lag summaries over every row, against numpy."""
 
 import numpy as np
 import pytest
@@ -11,29 +10,26 @@ from sensorium.sources import tables
 from .conftest import SF01
 
 
-def _expected(pdf, group, sample):
-    out = {}
-    for g, d in pdf.groupby(group):
-        d = d.sort_values(["ts", "event_id"], ascending=False)
+@pytest.mark.parametrize("bin_ms", [metrics.BIN_MS, 3_600_000_000, 1])
+def test_lag_stats_cover_every_row(spark, monkeypatch, bin_ms):
+    monkeypatch.setattr(metrics, "BIN_MS", bin_ms)
+    m = tables.measurements(spark, SF01).withColumn("location", F.when(F.col("location") != "NATION_3", F.col("location")))
+    now = metrics.clock_after_max(m, "ts", 3_600_000)
+    got = {r.location: tuple(r)[1:] for r in metrics.lag_stats(m, "location", "ts", now).collect()}
+    pdf = m.select("location", (now - F.unix_millis("ts")).alias("lag")).toPandas()
+    groups = dict(list(pdf.assign(location=pdf["location"].fillna("none")).groupby("location")))
+    assert len(got) == len(groups)
+    for k, d in groups.items():
         lag = d["lag"].to_numpy()
-        recent = lag[:sample]
-        out[g] = (len(lag), int(lag.min()), int(lag.max()),
-                  round(float(np.quantile(recent, 0.5)), 3), round(float(np.quantile(recent, 0.99)), 3))
-    return out
+        want = (len(lag), lag.min(), lag.max(), lag.mean(), lag.std(), np.quantile(lag, 0.5), np.quantile(lag, 0.99))
+        assert got[None if k == "none" else k] == pytest.approx(want, abs=2e-3)
 
 
-@pytest.mark.parametrize("sample", [10_000, 25])
-def test_lag_stats_latest_samples(spark, sample):
-    m = tables.measurements(spark, SF01)
-    now = metrics.clock_after_max(m, "ts", 3_600_000)
-    got = metrics.lag_stats(m, "location", "ts", now, tie="event_id", sample_size=sample).collect()
-    got = {r.location: (r.n, r.min_lag, r.max_lag, r.p50, r.p99) for r in got}
-    pdf = m.select("location", "ts", "event_id", (now - F.unix_millis("ts")).alias("lag")).toPandas()
-    exp = _expected(pdf, "location", sample)
-    assert got.keys() == exp.keys()
-    for k in exp:
-        assert got[k][:3] == exp[k][:3]
-        assert got[k][3:] == pytest.approx(exp[k][3:], abs=1e-3)
+def test_lag_of_nothing_and_of_one_row(spark):
+    from datetime import datetime
+    df = spark.createDataFrame([("a", datetime(2024, 1, 1))], "k string, ts timestamp")
+    assert [tuple(r) for r in metrics.lag_stats(df, "k", "ts", F.unix_millis("ts") + 5).collect()] == [("a", 1, 5, 5, 5.0, 0.0, 5.0, 5.0)]
+    assert metrics.lag_stats(df.limit(0), "k", "ts", F.lit(0)).count() == 0
 
 
 def test_location_list_from_text(spark, tmp_path):

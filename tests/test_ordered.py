@@ -119,10 +119,7 @@ def test_local_pass_has_one_exchange(spark):
     df = tables.measurements(spark, SF01)
     srt = df.select("sensor_id", "ts", "event_id", "value").orderBy("sensor_id", "ts", "event_id")
     plan = srt._jdf.queryExecution().executedPlan().toString()
-    # the round-robin spread of the one-file test input (tables.with_parallelism_floor)
-    # is not part of the scan
-    shuffles = [ln for ln in plan.splitlines() if "Exchange" in ln and "BroadcastExchange" not in ln
-                and "RoundRobinPartitioning" not in ln]
+    shuffles = [ln for ln in plan.splitlines() if "Exchange" in ln and "BroadcastExchange" not in ln]
     assert len(shuffles) == 1 and "rangepartitioning" in shuffles[0]
 
 
@@ -152,24 +149,62 @@ def test_ttl_hot_key_dense_many_partitions(spark):
     assert got == exp and datetime  # noqa: B018
 
 
-def test_running_max_across_partitions(spark):
-    """Exclusive running max with one key spread over many partitions."""
-    df = spark.range(5000).select(F.lit(0).alias("k"), F.col("id").alias("t"),
-                                  ((F.col("id") * 7919) % 10007).alias("v"))
-    got = ordered.ordered_scan(df, "k", ["t"], ordered.RunningMax("v"), keep=("t",), num_partitions=9)
-    got = {r.t: r.prev_max for r in got.collect()}
-    pdf = df.toPandas().sort_values("t")
-    prev = pdf["v"].cummax().shift(1)
-    exp = {t: (None if p != p else int(p)) for t, p in zip(pdf["t"], prev)}
-    assert got == exp
+def _jobs(spark, run):
+    import uuid
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "count")
+    run()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def _dense(spark, n, jitter):
+    """One hot location, 1 ms apart (regular or not), and a second one with a NaN value."""
+    us = F.lit(1_704_067_200_000_000) + F.col("id") * 1000 + (F.pmod(F.col("id") * 7919, F.lit(1000)) if jitter else F.lit(0))
+    value = F.when(F.col("id") == 77, F.lit(float("nan"))).otherwise(F.pmod(F.col("id") * 31, F.lit(101)).cast("double"))
+    return spark.range(n).select(F.when(F.col("id") % 50 == 27, F.lit("b")).otherwise(F.lit("a")).alias("location"),
+                                 F.timestamp_micros(us).alias("ts"), F.col("id").alias("event_id"), value.alias("value"))
+
+
+@pytest.mark.parametrize("jitter", [False, True])
+def test_dense_hot_key_needs_no_more_jobs_with_more_partitions(spark, jitter):
+    df = _dense(spark, 12_000, jitter).cache()
+    pdf = df.toPandas()
+    counts = set()
+    for ttl in (50, 1000, 60_000):
+        exp = _sequential(pdf, "location", _ttl_fold(ttl * 1000))
+        for parts in (3, 12):
+            got = {}
+            counts.add(_jobs(spark, lambda t=ttl, p=parts, g=got: g.update(
+                {r.event_id: r.served_from_cache for r in ordered.ttl_cache_hits(df, ttl_ms=t, num_partitions=p).collect()})))
+            assert got == exp
+    for parts in (3, 12):
+        got = {}
+        counts.add(_jobs(spark, lambda p=parts, g=got: g.update(
+            {r.event_id: r.ema for r in ordered.moving_average(df, key="location", alpha=0.005, keep=("event_id",), num_partitions=p).collect()})))
+        for k, d in pdf.sort_values(["location", "ts", "event_id"]).groupby("location"):
+            v = d["value"].to_numpy()
+            want = d["value"].ewm(alpha=0.005, adjust=False).mean().to_numpy()
+            want = np.where(np.maximum.accumulate(np.isnan(v)), np.nan, want)
+            assert np.array_equal([got[i] for i in d["event_id"].to_numpy()[1:]], want[1:], equal_nan=True)
+    assert len(counts) == 1
+    df.unpersist()
+
+
+def test_infinite_and_nan_carries(spark):
+    rows = [(1, i, v) for i, v in enumerate([1.0, float("inf"), 2.0, 3.0, float("-inf"), 4.0, 5.0, 6.0])]
+    rows += [(2, 100 + i, v) for i, v in enumerate([1.0, float("inf"), 2.0, 3.0, 4.0, 5.0])] + [(3, 200 + i, v) for i, v in enumerate([float("nan"), 1.0, 2.0, 3.0])]
+    df = spark.createDataFrame(rows, "sensor_id int, us long, value double").select("sensor_id", F.timestamp_micros("us").alias("ts"), F.col("us").alias("event_id"), "value")
+    want = {r.event_id: r.ema for r in ordered.moving_average(df, keep=("event_id",), num_partitions=1).collect()}
+    got = {r.event_id: r.ema for r in ordered.moving_average(df, keep=("event_id",), num_partitions=9).collect()}
+    assert got.keys() == want.keys() and np.array_equal([got[k] for k in want], list(want.values()), equal_nan=True)
 
 
 def test_many_tiny_partitions_resolve_exactly(spark):
-    """200 partitions of ~50 rows: most keys span several partitions whose
-    runs are too short to prove carry-independence, so exact ends are
-    computed in rounds; the result still equals the sequential fold."""
+    """Partitions of ~50 rows: most keys span several partitions whose runs are too
+    short to forget a carry, so their values are composed."""
     df = tables.measurements(spark, SF01)
-    got = ordered.moving_average(df, key="sensor_id", keep=("event_id",), num_partitions=200)
+    got = ordered.moving_average(df, key="sensor_id", keep=("event_id",), num_partitions=60)
     got = {r["event_id"]: r["ema"] for r in got.select("event_id", "ema").collect()}
     exp = _sequential(df.select("sensor_id", "ts", "event_id", "value").toPandas(), "sensor_id", _ema_fold)
     assert got == exp

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorium.schema import RAW_RECORD
-from sensorium.sources.replay import replay_stream, write_replay
-from sensorium.streaming.sort_ema import run_available, sort_correct_ema
+from sensorium.sources.replay import assign_batches, run_replay
+from sensorium.streaming.sort_ema import sort_correct_ema
 from sensorium.streaming.windows import sliding_stream
 
 T0 = datetime(2024, 1, 1)
@@ -17,32 +17,25 @@ T0 = datetime(2024, 1, 1)
 BOUNDARY = [[1000], [749, 750, 751, 2000], [740, 750, 760, 1750, 2500], [1700, 1760, 2251, 5000]]
 
 
-def _boundary_stream(spark, tmp_path, sensor_of=lambda i: 1):
+def _boundary(spark):
     rows, off = [], 0
     for b, batch in enumerate(BOUNDARY):
         for ms in batch:
             off += 1
-            js = f'{{"sensorId": {sensor_of(off)}, "value": {float(ms)}, "location": "L", "measurementInformation": "i"}}'
+            js = f'{{"sensorId": 1, "value": {float(ms)}, "location": "L", "measurementInformation": "i"}}'
             rows.append((T0 + timedelta(milliseconds=ms), None, bytearray(js.encode()), 0, off, b))
-    schema = T.StructType(RAW_RECORD.fields + [T.StructField("batch", T.IntegerType())])
-    df = spark.createDataFrame(rows, schema)
-    stream_dir, fpb = write_replay(df, "batch", path=str(tmp_path / "replay"))
-    return replay_stream(spark, stream_dir, RAW_RECORD, fpb)
+    return spark.createDataFrame(rows, T.StructType(RAW_RECORD.fields + [T.StructField("batch", T.IntegerType())]))
 
 
-def test_tumbling_500ms_late_rows(spark, tmp_path):
-    out = sliding_stream(_boundary_stream(spark, tmp_path), 0.5, 0.5, 250)
-    run_available(out, str(tmp_path / "out"), str(tmp_path / "ck"))
-    got = spark.read.parquet(str(tmp_path / "out"))
+def test_tumbling_500ms_late_rows(spark):
+    got = run_replay(_boundary(spark), lambda raw: sliding_stream(raw, 0.5, 0.5, 250))
     got = {int((r.window_start - T0).total_seconds() * 1000): r.events_per_window for r in got.collect()}
     assert got == {500: 6, 1000: 1, 1500: 3, 2000: 2, 2500: 1}
 
 
 @pytest.mark.parametrize("engine", ["group_state", "state_api"])
-def test_sort_drops_late_rows_and_releases_in_order(spark, tmp_path, engine):
-    out = sort_correct_ema(_boundary_stream(spark, tmp_path), None, 250, 100, engine=engine)
-    run_available(out, str(tmp_path / "out"), str(tmp_path / "ck"))
-    got = spark.read.parquet(str(tmp_path / "out")).orderBy("pos").collect()
+def test_sort_drops_late_rows_and_releases_in_order(spark, engine):
+    got = run_replay(_boundary(spark), lambda raw: sort_correct_ema(raw, None, 250, 100, engine=engine)).orderBy("pos").collect()
     times = [int((r.ts - T0).total_seconds() * 1000) for r in got]
     # wm(b) = max(ms of earlier batches) - 250 = -, 750, 1750, 2250; a row is
     # late when ms < wm(b): 749 | 740 750 760 | 1700 1760. Final wm 4750:
@@ -52,170 +45,60 @@ def test_sort_drops_late_rows_and_releases_in_order(spark, tmp_path, engine):
     assert got[0].ema is None and got[1].ema == (750.0 + 751.0) / 2
 
 
-def test_stream_equals_batch_with_late_rows(spark, tmp_path):
-    """Replay with late rows; finalised stream output = batch late filter ->
-    moving average, limited to rows before the final watermark."""
-    from sensorium.operators.late import late_event_filter
-    from sensorium.operators.ordered import moving_average
+def _raw(spark, late=None):
     from sensorium.sources import tables
-    from sensorium.sources.replay import assign_batches
 
     from .conftest import SF001
-    m = assign_batches(tables.measurements(spark, SF001), 6, "event_id", 50, 2)
-    raw = tables.raw_records_from(m).join(m.select(F.col("event_id").alias("offset"), "batch"), "offset")
-    stream_dir, fpb = write_replay(raw, "batch", path=str(tmp_path / "replay"))
-    out = sort_correct_ema(replay_stream(spark, stream_dir, RAW_RECORD, fpb), None, 250, 100)
-    run_available(out, str(tmp_path / "out"), str(tmp_path / "ck"))
-    got = spark.read.parquet(str(tmp_path / "out")).filter("ema IS NOT NULL").select("sensor_id", "ema", "ts")
-    final_wm = m.agg(F.max(F.unix_millis("ts"))).first()[0] - 250
-    kept = late_event_filter(m, "batch", "ts", 250)
-    exp = moving_average(kept).filter(F.unix_millis("ts") < final_wm).select("sensor_id", "ema", "ts")
-    assert got.count() == exp.count() > 0
-    assert got.exceptAll(exp).count() == 0
-
-
-def _replayed(spark, tmp_path, sf):
-    from sensorium.sources import tables
-    raw = tables.raw_records(spark, sf)
-    raw = raw.withColumn("batch", F.floor(F.col("offset") * 4 / raw.count()).cast("int"))
-    stream_dir, fpb = write_replay(raw, "batch", path=str(tmp_path / "replay"))
-    return raw.drop("batch"), replay_stream(spark, stream_dir, RAW_RECORD, fpb)
+    return assign_batches(tables.raw_records(spark, SF001), 3, "offset", late)
 
 
-def test_jobs_on_a_stream(spark, tmp_path):
-    """The composed jobs run unchanged on a stream; finalised windows equal
-    the batch job, enrichment keeps every decoded row, cache hits count."""
-    from sensorium.operators.enrich import dimension_client
+def test_jobs_on_a_stream(spark):
+    """The composed jobs run unchanged on a stream; finalised windows equal the batch
+    job, in the incremental and the buffered form, and enrichment keeps every row."""
     from sensorium.plans import jobs
     from sensorium.sources import tables
 
     from .conftest import SF001
-    raw, stream = _replayed(spark, tmp_path, SF001)
-    w = jobs.windowing_job(stream)
-    run_available(w, str(tmp_path / "w"), str(tmp_path / "wck"))
-    got = spark.read.parquet(str(tmp_path / "w")).withColumn("s", F.round("sum_per_window", 6)).drop("sum_per_window")
+    raw = _raw(spark)
     final_wm = raw.agg(F.max(F.unix_millis("timestamp"))).first()[0] - 250
-    exp = (jobs.windowing_job(raw).filter(F.unix_millis("window_end") <= final_wm)
-           .withColumn("s", F.round("sum_per_window", 6)).drop("sum_per_window"))
-    assert got.count() == exp.count() > 0 and got.exceptAll(exp).count() == 0
-
+    rounded = lambda d: d.withColumn("s", F.round("sum_per_window", 6)).drop("sum_per_window")
+    exp = rounded(jobs.windowing_job(raw.drop("batch")).filter(F.unix_millis("window_end") <= final_wm))
+    for buffered in (False, True):
+        got = rounded(run_replay(raw, lambda r, b=buffered: jobs.windowing_job(r, buffered=b)))
+        assert got.count() == exp.count() > 0 and got.exceptAll(exp).count() == 0
     dim = tables.location_dimension(spark, SF001)
-    e = jobs.enriching_job(stream, dim=dim)
-    run_available(e, str(tmp_path / "e"), str(tmp_path / "eck"))
-    assert spark.read.parquet(str(tmp_path / "e")).filter("location_info IS NOT NULL").count() == raw.count()
+    e = run_replay(raw, lambda r: jobs.enriching_job(r, dim=dim))
+    assert e.filter("location_info IS NOT NULL").count() == raw.count()
+
 
+def test_lookup_and_lag_are_observed_per_micro_batch(spark, tmp_path):
     from sensorium.functions.decode import decode_measurements
     from sensorium.operators.enrich import enrich_lookup
+    from sensorium.operators.metrics import observe_lag
+    from sensorium.sources.replay import replay_stream
     from sensorium.streaming.windows import with_event_time
-    m = decode_measurements(with_event_time(stream))
-    a = enrich_lookup(m, dimension_client(dim), ttl_ms=3_600_000, flag="served_from_cache") \
-        .observe("cache", F.sum(F.col("served_from_cache").cast("long")).alias("hits"), F.count(F.lit(1)).alias("n"))
-    q = (a.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ack"))
-         .trigger(availableNow=True).start(str(tmp_path / "a")))
-    q.awaitTermination()
-    obs = [p["observedMetrics"]["cache"] for p in q.recentProgress if "cache" in p.get("observedMetrics", {})]
-    assert sum(o["n"] for o in obs) == raw.count()
-    assert sum(o["hits"] for o in obs) > 0
 
+    raw = _raw(spark).drop("batch")
+    raw.write.parquet(str(tmp_path / "in"))
+    m = decode_measurements(with_event_time(replay_stream(spark, str(tmp_path / "in"), raw.schema)))
+    a = enrich_lookup(m, lambda: str.lower, ttl_ms=3_600_000, flag="hit")
+    a = observe_lag(a.observe("cache", F.sum(F.col("hit").cast("long")).alias("hits"), F.count(F.lit(1)).alias("n")), "lag")
+    q = a.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    seen = [p["observedMetrics"] for p in q.recentProgress if "cache" in p.get("observedMetrics", {})]
+    assert sum(o["cache"]["n"] for o in seen) == raw.count() == sum(o["lag"]["n"] for o in seen)
+    assert 0 < sum(o["cache"]["hits"] for o in seen) < raw.count()
+    assert all(o["lag"]["min_lag"] <= o["lag"]["p50"] <= o["lag"]["p99"] <= o["lag"]["max_lag"] for o in seen if o["lag"]["n"])
 
-def test_per_event_and_coalesced_timers_release_the_same(spark, tmp_path):
-    """T1 (timer per event) and T2 (timers rounded to 100 ms) differ only in
-    when rows are released, not in what or in which order."""
-    from .conftest import SF001
-    raw, _ = _replayed(spark, tmp_path / "a", SF001)
-    outs = []
-    for name, rt in (("per_event", None), ("coalesced", 100)):
-        _, stream = _replayed(spark, tmp_path / name, SF001)
-        out = sort_correct_ema(stream, {"NATION_7": 1.0}, 250, rt)
-        run_available(out, str(tmp_path / name / "out"), str(tmp_path / name / "ck"))
-        outs.append(spark.read.parquet(str(tmp_path / name / "out")))
-    a, b = outs
-    assert a.count() == b.count() > 0
-    assert a.exceptAll(b).count() == 0
-
-
-def test_rate_sample_stream_and_discard(spark, tmp_path):
-    from sensorium.sources import synth, tables
-    from sensorium.sources.kafka import discard_stream
 
-    from .conftest import SF001
-    pool = synth.measurement_pool(spark, tables.location_list(spark, SF001), size=1000)
-    s = synth.sample_stream(spark, pool, rows_per_second=200)
-    q = s.writeStream.format("memory").queryName("samples").option(
-        "checkpointLocation", str(tmp_path / "ck")).start()
-    try:
-        q.awaitTermination(6)
-    finally:
-        q.stop()
-    got = spark.sql("SELECT * FROM samples")
-    assert got.count() > 0 and {"sensor_id", "value", "location", "timestamp"} <= set(got.columns)
-    d = discard_stream(spark.readStream.format("rate").load(), str(tmp_path / "nck"), processingTime="1 second")
-    d.awaitTermination(3)
-    d.stop()
-
-
-def test_state_api_engine_equals_group_state(spark, tmp_path):
-    """transformWithState (list state, timers) releases exactly what the
-    applyInPandasWithState form releases, for per-event and coalesced timers."""
+def test_timers_and_engines_release_the_same(spark):
+    """Timers per event or rounded to 100 ms, and both stateful engines, differ only in when
+    rows are released; each run restarts from its checkpoint after every batch."""
     from sensorium.streaming.sort_ema import _state_api_ready
 
-    from .conftest import SF001
     assert _state_api_ready(spark)
-    for rt in (None, 100):
-        outs = []
-        for engine in ("group_state", "state_api"):
-            d = tmp_path / f"{engine}-{rt}"
-            _, stream = _replayed(spark, d, SF001)
-            out = sort_correct_ema(stream, {"NATION_7": 1.0}, 250, rt, engine=engine)
-            run_available(out, str(d / "out"), str(d / "ck"))
-            outs.append(spark.read.parquet(str(d / "out")))
-        a, b = outs
-        assert a.count() == b.count() > 0
-        assert a.exceptAll(b).count() == 0
-
-
-@pytest.mark.parametrize("job", ["windows", "sort_ema"])
-def test_restart_from_checkpoint_gives_the_same_output(spark, tmp_path, job):
-    """Stop after 3 micro-batches, resume from the checkpoint with the rest:
-    the union of outputs equals one uninterrupted run (state is recovered
-    from the checkpointed state store, nothing is replayed twice)."""
-    import os
-    import shutil
-
-    from .conftest import SF001
-
-    def build(stream):
-        if job == "windows":
-            return sliding_stream(stream, 60, 10, 250)
-        return sort_correct_ema(stream, {"NATION_7": 1.0}, 250, 100)
-
-    raw, _ = _replayed(spark, tmp_path / "full", SF001)
-    full_dir = str(tmp_path / "full" / "replay" / "stream")
-    run_available(build(replay_stream(spark, full_dir, RAW_RECORD, _files_per_batch(full_dir))),
-                  str(tmp_path / "full_out"), str(tmp_path / "full_ck"))
-
-    _, _ = _replayed(spark, tmp_path / "parts", SF001)
-    src = str(tmp_path / "parts" / "replay" / "stream")
-    k = _files_per_batch(src)
-    live = str(tmp_path / "live")
-    os.makedirs(live)
-    names = sorted(os.listdir(src))
-    first = [n for n in names if n.endswith(".parquet") and int(n[1:7]) < 3]
-    rest = [n for n in names if n.endswith(".parquet") and int(n[1:7]) >= 3]
-    for n in first:
-        shutil.copy2(os.path.join(src, n), os.path.join(live, n))
-    run_available(build(replay_stream(spark, live, RAW_RECORD, k)), str(tmp_path / "out"), str(tmp_path / "ck"))
-    for n in rest:
-        shutil.copy2(os.path.join(src, n), os.path.join(live, n))
-    run_available(build(replay_stream(spark, live, RAW_RECORD, k)), str(tmp_path / "out"), str(tmp_path / "ck"))
-
-    a = spark.read.parquet(str(tmp_path / "full_out"))
-    b = spark.read.parquet(str(tmp_path / "out"))
-    assert a.count() == b.count() > 0
-    assert a.exceptAll(b).count() == 0
-
-
-def _files_per_batch(stream_dir):
-    import os
-    names = [n for n in os.listdir(stream_dir) if n.endswith(".parquet")]
-    return sum(1 for n in names if n.startswith("b000000-"))
+    raw = _raw(spark, {0: 1})
+    outs = [run_replay(raw, lambda r, e=e, t=t: sort_correct_ema(r, {"NATION_7": 1.0}, 86_400_000, t, engine=e))
+            for e, t in (("group_state", None), ("group_state", 100), ("state_api", 100))]
+    first = sorted(map(tuple, outs[0].collect()))
+    assert len(first) > 0 and all(sorted(map(tuple, o.collect())) == first for o in outs[1:])
