@@ -69,7 +69,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
     length = F.log2(F.col("size").cast("double")) / F.lit(40.0)
     dims = [length, *[F.col(f"n{i}") for i in range(len(names))], F.pmod(mark, F.lit(1 << 20)) / F.lit(float(1 << 20))]
     units = written(units.select("content", "text_crc32", "size", "part", "bytes",
-                                 F.array(*[_coordinate(d, mark) for d in dims]).alias("d")), "shard-units")
+                                 F.array(*[_coordinate(d, mark) for d in dims]).alias("d"), F.lit(0).cast("long").alias("node")), "shard-units")
     units = kd_leaves(units, len(dims), shards, target)
     placed = units.select("content", F.col("text_crc32").alias("u_crc"), F.col("size").alias("u_size"), "part", "shard")
     row = rows.withColumn("own", F.coalesce(F.col("id").cast("long"), F.lit(-1)))
@@ -94,9 +94,9 @@ def _small(df: DataFrame, names: list[str], rows: list[tuple]) -> DataFrame:
 
 
 def kd_leaves(units: DataFrame, dims: int, shards: int, target: float) -> DataFrame:
-    """``units`` (array of coordinates ``d``, ``bytes``) with the column ``shard`` of its leaf."""
+    """``units`` (array of coordinates ``d``, ``bytes``, ``node`` = 0) with the column ``shard`` of its leaf."""
     leaves = {0: (0, shards)}  # node -> (first shard, shards); nodes still to cut have over one shard
-    at = units.withColumn("node", F.lit(0).cast("long"))
+    at = units
     while any(m > 1 for _, m in leaves.values()):
         open_ = [k for k, v in leaves.items() if v[1] > 1]
         spans = {r["node"]: r for r in at.filter(F.col("node").isin(open_)).groupBy("node").agg(
