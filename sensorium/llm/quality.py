@@ -30,8 +30,9 @@ from .common import as_bytes, prepare, runs, slices, span_hashes, written
 
 SAMPLE = 40_000
 FEATURES = 256
-BANDWIDTH = 6.0
-RIDGE = 1e-3
+#: Bandwidth and ridge have the least squared error on training fold 3 after a fit on folds 0 and 1 (tried: 3 to 15, 1e-6 to 1e-3).
+BANDWIDTH = 10.0
+RIDGE = 1e-5
 THRESHOLD = 0.7
 SEED = 7
 
