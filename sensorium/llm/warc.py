@@ -61,7 +61,7 @@ class Stream:
 
     def __init__(self, content: bytes, step: int = 1 << 20):
         self._source = self._inflate(content, step) if content[:2] == b"\x1f\x8b" else iter([content])
-        self._have = b""
+        self._have, self._at = b"", 0  # a piece, and how far it is read
 
     @staticmethod
     def _inflate(content: bytes, step: int) -> Iterator[bytes]:
@@ -73,35 +73,38 @@ class Stream:
                 rest = member.unused_data if member.eof else member.unconsumed_tail
             yield member.flush()
 
+    def _next(self) -> bool:
+        self._have, self._at = next(self._source, b""), 0
+        while not self._have:  # a member may end without bytes of its own
+            piece = next(self._source, None)
+            if piece is None:
+                return False
+            self._have = piece
+        return True
+
     def line(self) -> bytes | None:
         """Up to and without the next line feed; None at the end."""
         parts = []
         while True:
-            at = self._have.find(b"\n")
-            if at >= 0:
-                parts.append(self._have[:at])
-                self._have = self._have[at + 1:]
+            end = self._have.find(b"\n", self._at)
+            if end >= 0:
+                parts.append(self._have[self._at:end])
+                self._at = end + 1
                 return b"".join(parts)
-            parts.append(self._have)
-            try:
-                self._have = next(self._source)
-            except StopIteration:
-                self._have = b""
+            parts.append(self._have[self._at:])
+            if not self._next():
                 return b"".join(parts) or None
 
     def take(self, n: int) -> bytes:
         parts, got = [], 0
         while got < n:
-            if not self._have:
-                try:
-                    self._have = next(self._source)
-                except StopIteration:
-                    raise ValueError(f"an archive record ends {n - got} bytes early") from None
-            piece = self._have[:n - got]
-            self._have = self._have[len(piece):]
-            parts.append(piece)
+            piece = self._have[self._at:self._at + n - got]
+            self._at += len(piece)
             got += len(piece)
-        return b"".join(parts)
+            parts.append(piece)
+            if got < n and not self._next():
+                raise ValueError(f"an archive record ends {n - got} bytes early")
+        return parts[0] if len(parts) == 1 else b"".join(parts)
 
 
 def _uri(url: str | None) -> str:
