@@ -37,7 +37,7 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _SKIP = frozenset("head nav header footer aside form menu button select option label dialog fieldset".split())
 #: Words of class, id or role that name something else than the article.
 _OTHER = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|navigation|nav|navbar|menu\w*|breadcrumbs?|sidebars?|side|aside|rail|widgets?|"
+    r"(?<!with)(?<!has)(?<!no)(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|navigation|nav|navbar|menu\w*|breadcrumbs?|sidebars?|side|aside|rail|widgets?|"
     r"header|masthead|footer|foot|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|overlay|newsletter|subscribe|subscription|signup|login|"
     r"share|sharing|social|related|recommended|teaser|comments?|commentlist|replies|reply|disqus|respond|discussion|pagination|pager|tags|toolbar|"
     r"complementary|contentinfo|search|form|skip)(?:$|[\s_-])", re.I)
@@ -45,7 +45,7 @@ _MAIN = re.compile(r"(?:role\s*=\s*[\"']?main\b|itemprop\s*=\s*[\"']?articleBody
 _NAMES = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|</[^>]*(?:>|\Z)", re.S)
-_SPACE = re.compile(r"[ \t\n\r\f\v   -     　]+")
+_SPACE = re.compile(r"[ \t\n\r\f\v\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
 class _Lines:

@@ -57,7 +57,7 @@ def folded(text: Column) -> Column:
     ``lower`` also folds other letters, which no ASCII word of a phrase or template can tell,
     but for the Kelvin sign: its lower case is the ASCII k, so it is replaced first.
     """
-    low = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("K"), F.lit("Å")))
+    low = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u212b")))
     return F.regexp_replace(low, "[\\x00-\\x09\\x0B-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", " ")
 
 

@@ -61,7 +61,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
     whole = groups.filter(F.col("bytes") <= target).withColumn("part", F.lit(None).cast("long"))
     # a group over the target spreads row by row
     apart = rows.join(large.select("content", "text_crc32", "size"), ["content", "text_crc32", "size"]) \
-        .groupBy("content", "text_crc32", "size", F.coalesce(F.col("id").cast("long"), F.lit(-1)).alias("part")) \
+        .groupBy("content", "text_crc32", "size", F.xxhash64("id").alias("part")) \
         .agg(F.count("*").alias("copies"), *[F.min(f"n{i}").alias(f"n{i}") for i in range(len(names))]) \
         .withColumn("bytes", F.col("size") * F.col("copies"))
     units = whole.unionByName(apart)
@@ -72,7 +72,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
                                  F.array(*[_coordinate(d, mark) for d in dims]).alias("d"), F.lit(0).cast("long").alias("node")), "shard-units")
     units = kd_leaves(units, len(dims), shards, target)
     placed = units.select("content", F.col("text_crc32").alias("u_crc"), F.col("size").alias("u_size"), "part", "shard")
-    row = rows.withColumn("own", F.coalesce(F.col("id").cast("long"), F.lit(-1)))
+    row = rows.withColumn("own", F.xxhash64("id"))
     whole_rows = row.join(placed.filter("part is null").withColumnRenamed("content", "u_content"),
                           (F.col("content") == F.col("u_content")) & (F.col("text_crc32") == F.col("u_crc")) & (F.col("size") == F.col("u_size")), "left") \
         .select(*row.columns, F.col("shard").alias("whole_shard"))
