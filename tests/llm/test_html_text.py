@@ -27,7 +27,7 @@ def test_other_parts_are_left_out(extra, where):
 
 def test_without_an_article_element():
     long = "A paragraph of the article that goes on for quite a while, so that it stands out. "
-    body = f"<div class="content has-sidebar no-comments"><h2>Title</h2><p>{long * 3}</p><p>Short.</p><div class=ad>buy</div><p>{long}</p></div>"
+    body = f"<div class='content has-sidebar no-comments'><h2>Title</h2><p>{long * 3}</p><p>Short.</p><div class=ad>buy</div><p>{long}</p></div>"
     assert main_text(PAGE.replace("{}", body)) == f"Title\n{long.strip()} {long.strip()} {long.strip()}\nShort.\n{long.strip()}"
 
 
