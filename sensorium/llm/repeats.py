@@ -38,7 +38,9 @@ from .suffix_sort import Suffixes
 
 LENGTH = 100
 GRAM = 24
-UNIT_BYTES = 2 << 20
+UNIT_BYTES = 1 << 20
+#: Context bytes whose suffixes are sorted together (an anchor's contexts are below HOT, so a few hundred kB).
+LOT_BYTES = 2 << 20
 CHUNK_MIN, CHUNK_MAX, CHUNK_MASK = 128, 2048, 127
 HOT = 5000
 _POS_BITS = 28  # a unit, and so a document, holds less than 256 MB
@@ -311,8 +313,14 @@ def _compare(t: pa.Table, length: int) -> pa.Table:
         o["first"] = f
     n = [len(r["anchor"] or b"") // 8 for r in rows]
     row = np.repeat(np.arange(len(rows)), n)
-    spans = repeated_spans(cat("anchor", np.uint64), cat("id", np.int64), unit[row], cat("at", np.int64), cat("lead", np.int64), cat("size", np.int64),
-                           cat("bytes", np.uint8), length)
+    anchor, size, buf = cat("anchor", np.uint64), cat("size", np.int64), cat("bytes", np.uint8)
+    more = (cat("id", np.int64), unit[row], cat("at", np.int64), cat("lead", np.int64), size)
+    begin, parts = np.cumsum(size) - size, [np.zeros((0, 3), np.int64)]
+    for lot in _lots(anchor, size):
+        part = repeated_spans(anchor[lot], *(x[lot] for x in more), buf[ranges(begin[lot], size[lot])], length)
+        part[:, 0] = lot[part[:, 0]]
+        parts.append(part)
+    spans = np.concatenate(parts)
     owner = row[spans[:, 0]]
     at = cat("at", np.int64)[spans[:, 0]]
     order = np.argsort(owner, kind="stable")
@@ -322,6 +330,19 @@ def _compare(t: pa.Table, length: int) -> pa.Table:
     return _table(_FOUND, out)
 
 
+def _lots(anchor: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+    """Contexts in lots of about ``LOT_BYTES`` that keep each anchor's together."""
+    order = np.argsort(anchor, kind="stable")
+    total = np.cumsum(size[order])
+    lots, start = [], 0
+    ends = np.flatnonzero(np.concatenate((anchor[order][1:] != anchor[order][:-1], [True]))) + 1 if len(order) else []
+    for end in ends:
+        if total[end - 1] - (total[start - 1] if start else 0) >= LOT_BYTES or end == len(order):
+            lots.append(order[start:end])
+            start = end
+    return lots
+
+
 def repeated_spans(anchor: np.ndarray, ids: np.ndarray, unit: np.ndarray, at: np.ndarray, lead: np.ndarray, size: np.ndarray, buf: np.ndarray,
                    length: int) -> np.ndarray:
     """Rows (context, start, end): bytes of windows that an earlier context holds too, relative to the context.

@@ -50,6 +50,7 @@ def corpus(n=60):
 def test_matches_brute_force(make, monkeypatch, hot, unit):
     monkeypatch.setattr(R, "HOT", hot)
     monkeypatch.setattr(R, "UNIT_BYTES", unit)
+    monkeypatch.setattr(R, "LOT_BYTES", 2000 if hot == 10**9 else R.LOT_BYTES)
     data = corpus()
     df = make("doc_id long, text string, unit string", [(*d, "clash") for d in data]).repartition(3)
     # closures carry the module's names, not the patched values, to the workers: run the steps here
