@@ -33,6 +33,8 @@ _BLOCK = frozenset("address article aside blockquote body caption center dd deta
                    "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td "
                    "tfoot th thead title tr ul".split())
 _RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg math object".split())
+#: Offsets are the page's own: lower() can lengthen a text.
+_RAW_END = {name: re.compile(f"</{name}(?=[\\s/>]|\\Z)", re.I | re.A) for name in _RAW}
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _SKIP = frozenset("head nav header footer aside form menu button select option label dialog fieldset".split())
 #: Words of class, id or role that name something else than the article.
@@ -86,7 +88,6 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
     out, at = _Lines(), 0
     skip, depth = "", 0  # the element being left out, and how often it is open
     article, links = 0, 0
-    low = page.lower() if "<" in page else ""
     while True:
         m = _TOKEN.search(page, at)
         text = page[at:m.start() if m else len(page)]
@@ -105,8 +106,8 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
             break  # cut off inside a tag
         whole = name in ("article", "main") or (not closing and bool(_MAIN.search(attributes)))
         if not closing and name in _RAW:
-            end = low.find("</" + name, at)
-            at = len(page) if end < 0 else end
+            end = _RAW_END[name].search(page, at)
+            at = end.start() if end else len(page)
             if name in _BLOCK:
                 out.end(bool(skip), article > 0)
             continue

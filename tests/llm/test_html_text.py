@@ -41,6 +41,12 @@ def test_odd_pages(page, want):
     assert main_text(page) == want
 
 
+@pytest.mark.parametrize("n", [1, 8, 20])
+@pytest.mark.parametrize("raw", ["<script>var a = 1;</script>", "<STYLE>p{}</Style >", "<svg><text>x</text></svg>"])
+def test_letters_that_grow_in_lower_case(n, raw):
+    assert main_text(f"<article><p>{'\u0130' * n}</p>{raw}<div class=ad>buy this</div><p>Text.</p></article>") == "\u0130" * n + "\nText."
+
+
 def test_operator(make):
     df = make("page_id long, url string, html string, text string", [(1, "u", PAGE.replace("{}", ARTICLE), "clash"), (None, None, None, None), (1, "u", "", "")])
     assert sorted(map(tuple, extract(df).collect()), key=str) == sorted([(1, "u", WANT, len(WANT)), (None, None, "", 0), (1, "u", "", 0)], key=str)
