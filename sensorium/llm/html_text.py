@@ -4,7 +4,9 @@ A page is cut into lines at block-level tags, without markup. Lines inside eleme
 article text (menus, headers, footers, sidebars, notices, adverts, forms, comments of readers, scripts, styles) weigh
 nothing, nor do lines made of links. The weights are summed over sliding windows of ``WINDOW`` lines:
 the text begins where the sums surge and ends where they dive to nothing for good, and all lines with
-weight between these points are kept. An <article> or <main> element bounds the search, and then any sum is a surge.
+weight between these points are kept. <article> and <main> elements bound the search, and then any sum is a surge,
+unless the sums show that the rest of the page holds the text and they hold little. An article element counts as the others do:
+inside a part that holds no article text, or where its own names say so (teaser, comment), it is left out.
 
 Pages are independent: Arrow batches, no shuffle.
 
@@ -17,6 +19,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,6 +30,8 @@ from .common import prepare
 WINDOW = 3
 #: Without an article element: a surge needs so many characters, or this part of the largest sum.
 SURGE_CHARS, SURGE_PART = 80, 0.25
+#: The rest of the page is the article where its largest sum and its weight are so many times those of all article elements.
+OUTWEIGHS = 2
 
 #: HTML elements.
 _BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
@@ -37,6 +42,9 @@ _RAW = frozenset("script style textarea title noscript template iframe xmp noemb
 _RAW_END = {name: re.compile(f"</{name}(?=[\\s/>]|\\Z)", re.I | re.A) for name in _RAW}
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _SKIP = frozenset("head nav header footer aside form menu button select option label dialog fieldset".split())
+_LINE = _BLOCK | _SKIP
+#: Elements that one of their own kind ends.
+_SELF = frozenset("p li dt dd tr td th option".split())
 #: Words of class, id or role that name something else than the article.
 _OTHER = re.compile(
     r"(?<!with)(?<!has)(?<!no)(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|navigation|nav|navbar|menu\w*|breadcrumbs?|sidebars?|side|aside|rail|widgets?|"
@@ -45,6 +53,8 @@ _OTHER = re.compile(
     r"complementary|contentinfo|search|form|skip)(?:$|[\s_-])", re.I)
 _MAIN = re.compile(r"(?:role\s*=\s*[\"']?main\b|itemprop\s*=\s*[\"']?articleBody\b)", re.I)
 _NAMES = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: Class names of an article that tell its subject.
+_TOPIC = re.compile(r"(?:^|(?<=\s))(?:category|cat|tag|topic|section|format|type|status)-\S+", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|</[^>]*(?:>|\Z)", re.S)
 _SPACE = re.compile(r"[ \t\n\r\f\v\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -75,85 +85,186 @@ class _Lines:
             self._text, self._linked = [], 0
 
 
-def _is_other(name: str, attributes: str) -> bool:
+def _is_other(name: str, attributes: str, whole: bool = False) -> bool:
     if name in _SKIP:
         return True
     if not attributes or name in ("html", "body"):
         return False
     named = " ".join(x for m in _NAMES.findall(attributes) for x in m if x)
+    if whole:
+        named = _TOPIC.sub(" ", named)
     return bool(named and _OTHER.search(named)) or bool(_HIDDEN.search(attributes))
 
 
+def _tags(page: str) -> list[tuple[str, str, bool, str | None]]:
+    """(text before the tag, name, closing, attributes) of each tag; attributes are None for a raw element, the name is "" for no tag."""
+    out, at = [], 0
+    while m := _TOKEN.search(page, at):
+        text, at = page[at:m.start()], m.end()
+        name = (m[2] or m[5] or "").lower()
+        closing, attributes = bool(m[1] or m[4]), m[3] or m[6] or ""
+        if m[5] and at >= len(page) and not page.endswith(">"):
+            return [*out, (text, "", False, "")]  # cut off inside a tag
+        if name in _RAW:
+            if not closing:
+                end = _RAW_END[name].search(page, at)
+                at = end.start() if end else len(page)
+            attributes = None
+        out.append((text, name, closing, attributes))
+    return [*out, (page[at:], "", False, "")]
+
+
+def _partners(tags: list[tuple[str, str, bool, str | None]]) -> dict[int, int]:
+    """Opening and closing tags of a name that belong together, both ways."""
+    opened: dict[str, list[int]] = {}
+    out = {}
+    for i, (_, name, closing, _) in enumerate(tags):
+        if not closing:
+            opened.setdefault(name, []).append(i)
+        elif opened.get(name):
+            out[i] = k = opened[name].pop()
+            out[k] = i
+    return out
+
+
+class _Open(NamedTuple):
+    """An open element: kind is "skip", "whole" (an article element) or "" (any other)."""
+
+    name: str
+    tag: int
+    kind: str
+
+
+class _Stack:
+    """The open elements of a page. Firm ones are article and skipped elements that have a closing tag of their own."""
+
+    def __init__(self, partners: dict[int, int]):
+        self.partners, self.open = partners, []
+        self.of: dict[str, list[int]] = {}  # places of the open elements of a name
+        self.at: dict[int, int] = {}  # place of an open tag
+        self.firm: list[int] = []
+        self.wholes = 0
+        self.skip = -1  # place of the outermost skipped element
+
+    def push(self, name: str, tag: int, kind: str) -> None:
+        place = len(self.open)
+        self.open.append(_Open(name, tag, kind))
+        self.of.setdefault(name, []).append(place)
+        self.at[tag] = place
+        self.wholes += kind == "whole"
+        if kind and tag in self.partners:
+            self.firm.append(place)
+        if kind == "skip" and self.skip < 0:
+            self.skip = place
+
+    def cut(self, size: int) -> None:
+        """Leaves the outermost ``size`` elements open."""
+        while len(self.open) > size:
+            e = self.open.pop()
+            self.of[e.name].pop()
+            del self.at[e.tag]
+            self.wholes -= e.kind == "whole"
+        while self.firm and self.firm[-1] >= size:
+            self.firm.pop()
+        if self.skip >= size:
+            self.skip = -1
+
+    def find(self, name: str, tag: int) -> int:
+        """The place of the element that a closing tag ends, with what is open inside, or -1. It doesn't end a firm
+        element of another name, unless it belongs to an article or skipped element around that."""
+        place = self.of[name][-1] if self.of.get(name) else -1
+        if not self.firm or self.firm[-1] <= place:
+            return place
+        own = self.at.get(self.partners.get(tag, -1), -1)
+        return own if own >= 0 and self.open[own].kind else -1
+
+    def unclosed(self) -> bool:
+        """Whether every skipped element seems to lack its closing tag (or took that of an element around it)."""
+        lacking: set[str] = set()
+        for e in self.open:
+            if e.tag not in self.partners:
+                lacking.add(e.name)
+            elif e.kind == "skip" and e.name not in lacking:
+                return False
+        return True
+
+
 def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    out, at = _Lines(), 0
-    skip, depth = "", 0  # the element being left out, and how often it is open
-    article, links = 0, 0
-    while True:
-        m = _TOKEN.search(page, at)
-        text = page[at:m.start() if m else len(page)]
-        if text and not skip:
+    out, tags = _Lines(), _tags(page)
+    stack, links, seen = _Stack(_partners(tags)), 0, False  # seen: an article began
+
+    def inline() -> bool:
+        return stack.skip >= 0 and stack.open[stack.skip].name not in _LINE  # left out of a line, which goes on
+
+    def end() -> None:
+        if not inline():
+            out.end(stack.skip >= 0, stack.wholes > 0)
+
+    for i, (text, name, closing, attributes) in enumerate(tags):
+        if text and stack.skip < 0:
             out.add(html.unescape(text), links > 0)
-        elif text and text.strip():
+        elif text.strip() and not inline():
             out.add("x", False)  # the place of what is left out
-        if not m:
-            break
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
         if not name:
             continue
-        closing, attributes = bool(m[1] or m[4]), m[3] or m[6] or ""
-        if m[5] and at >= len(page) and not page.endswith(">"):
-            break  # cut off inside a tag
-        whole = name in ("article", "main") or (not closing and bool(_MAIN.search(attributes)))
-        if not closing and name in _RAW:
-            end = _RAW_END[name].search(page, at)
-            at = end.start() if end else len(page)
-            if name in _BLOCK:
-                out.end(bool(skip), article > 0)
-            continue
-        if name in _BLOCK or name in _SKIP or (not closing and whole):
-            out.end(bool(skip), article > 0)
-        if skip:
-            if not closing and whole and name != skip and not article:
-                skip, depth = "", 0  # the article begins: what came before was never closed
-            elif name == skip:
-                depth += -1 if closing else 1
-                if depth <= 0:
-                    out.end(True, article > 0)
-                    skip = ""
-                continue
-            elif not (closing and whole):
-                continue
-            else:
-                skip = ""
-        if closing:
-            article -= whole and article > 0
-            links = max(0, links - (name == "a"))
-        elif name not in _VOID:
-            if whole:
-                article += 1
-            elif _is_other(name, attributes):
-                out.end(False, article > 0)
-                skip, depth = name, 1
-            links += name == "a"
-        if name == "br":
-            out.add(" ", False)
-    out.end(bool(skip), article > 0)
+        block = name in _LINE
+        if attributes is None:
+            if block:
+                end()
+        elif closing:
+            k = stack.find(name, i)
+            if inline() and 0 <= k < stack.skip:
+                stack.cut(stack.skip)
+            if block or (k >= 0 and stack.open[k].kind == "whole"):
+                end()
+            if k >= 0:
+                stack.cut(k)
+            if name == "a" and stack.skip < 0:
+                links = max(0, links - 1)
+        else:
+            whole = name in ("article", "main") or bool(_MAIN.search(attributes))
+            other = name not in _VOID and _is_other(name, attributes, whole)
+            if block and inline() and stack.open[stack.skip].tag not in stack.partners:
+                stack.cut(stack.skip)
+            if block or whole:
+                end()
+            if name in _SELF and stack.open and stack.open[-1].name == name:
+                stack.cut(len(stack.open) - 1)
+            if stack.skip >= 0 and whole and not other and not seen and stack.unclosed():
+                stack.cut(stack.skip)  # the article begins: what came before was never closed
+            if name not in _VOID:
+                kind = "skip" if other else "whole" if whole and stack.skip < 0 else ""
+                links += name == "a" and stack.skip < 0 and not other
+                seen |= kind == "whole"
+                if block or kind or stack.of.get(name):
+                    stack.push(name, i, kind)
+            elif name == "br" and stack.skip < 0:
+                out.add(" ", False)
+    if inline():
+        stack.cut(stack.skip)
+    end()
     return out.lines
 
 
+def _sums(weights: list[int]) -> list[int]:
+    """Of the windows that begin at each line."""
+    sums, total = [], sum(weights[:WINDOW])
+    for i, w in enumerate(weights):
+        sums.append(total)
+        total += (weights[i + WINDOW] if i + WINDOW < len(weights) else 0) - w
+    return sums
+
+
 def main_text(page: str) -> str:
     """The article's blocks, one line each."""
     lines = lines_of(page)
-    bounded = any(inside and weight for _, weight, inside in lines)
-    weights = [w if inside or not bounded else 0 for _, w, inside in lines]
+    weights, rest = [w if inside else 0 for _, w, inside in lines], [0 if inside else w for _, w, inside in lines]
+    # article elements beside a main text many times as dense are teasers or comments
+    bounded = any(weights) and not (max(_sums(rest)) > OUTWEIGHS * max(_sums(weights)) and sum(rest) > OUTWEIGHS * sum(weights))
+    weights = weights if bounded else rest
     if not any(weights):
         return ""
-    # windows that begin at each line
-    sums, total = [], sum(weights[:WINDOW])
-    for i, w in enumerate(weights):
-        sums.append(total)
-        total += (weights[i + WINDOW] if i + WINDOW < len(weights) else 0) - w
+    sums = _sums(weights)
     surge = 1 if bounded else min(SURGE_CHARS, max(1, SURGE_PART * max(sums)))
     first = next(i for i, s in enumerate(sums) if s >= surge)
     # what leads up to the surge within its window belongs to it

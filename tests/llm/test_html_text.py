@@ -47,6 +47,29 @@ def test_letters_that_grow_in_lower_case(n, raw):
     assert main_text(f"<article><p>{'\u0130' * n}</p>{raw}<div class=ad>buy this</div><p>Text.</p></article>") == "\u0130" * n + "\nText."
 
 
+LONG = "A paragraph of the article that goes on for quite a while, so that it stands out from all else on the page."
+BODY = f"<div class=content><h2>A title of the article that is so long</h2><p>{LONG}</p><p>{LONG}</p></div>"
+BODY_TEXT = f"A title of the article that is so long\n{LONG}\n{LONG}"
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    (BODY + "<article class=comment><p>First comment!</p></article><article class='comment odd'><p>Second.</p></article>", BODY_TEXT),
+    ("<article class=teaser><h3>Other</h3><p>Read on.</p></article>" + BODY + "<article class=teaser><p>More.</p></article>", BODY_TEXT),
+    (BODY + "<aside><article><p>Related</p></article><article><p>Other</p></article></aside>", BODY_TEXT),
+    (BODY + "<section class=comments><article><p>c1</p></article><article><p>c2</p></article></section>", BODY_TEXT),
+    (BODY + "<article><h3>Read this</h3><p>A short teaser.</p></article>", BODY_TEXT),
+    (f"<article><p>{LONG}</p><section class=comments><article>c1</article><article>c2</article></section><p>End.</p></article>", LONG + "\nEnd."),
+    (f"<article><p>{LONG}</p><div class=comments><article><div>c1</div></article><div>c2</div></div></article><p>Out.</p>", LONG),
+    (f"<article class='post category-social tag-ads'><p>{LONG}</p></article>", LONG),
+    (f"<main><article><p>{LONG}</p></article><article class=teaser><p>Other</p></article><p>End.</p></main>", LONG + "\nEnd."),
+    (f"<div><div class=sidebar>never closed<article><p>{LONG}</p></article></div>", LONG),
+    (f"<article><p>One <span class=ad>buy <span>this</span> now</span> line.</p><p>Two <b class=promo>buy</p><p>{LONG}</p></article>",
+     f"One line.\nTwo\n{LONG}"),
+    (f"<article><p>{LONG}</div><p>Stray end.</p><nav><ul><li>a</div></ul><p>menu</p></nav><p>End.</p></article><p>Out.</p>", f"{LONG}\nStray end.\nEnd.")])
+def test_article_elements_among_others(page, want):
+    assert main_text(PAGE.replace("{}", page)) == want
+
+
 def test_operator(make):
     df = make("page_id long, url string, html string, text string", [(1, "u", PAGE.replace("{}", ARTICLE), "clash"), (None, None, None, None), (1, "u", "", "")])
     assert sorted(map(tuple, extract(df).collect()), key=str) == sorted([(1, "u", WANT, len(WANT)), (None, None, "", 0), (1, "u", "", 0)], key=str)
