@@ -4,7 +4,7 @@ A page is cut into lines at block-level tags, without markup. Lines inside eleme
 article text (menus, headers, footers, sidebars, notices, adverts, forms, comments of readers, scripts, styles) weigh
 nothing, nor do lines made of links. The weights are summed over sliding windows of ``WINDOW`` lines:
 the text begins where the sums surge and ends where they dive to nothing for good, and all lines with
-weight between these points are kept. <article> and <main> elements bound the search, and then any sum is a surge,
+weight between these points are kept, with the lines before the surge that adjoin it in its own element. <article> and <main> elements bound the search, and then any sum is a surge,
 unless the sums show that the rest of the page holds the text and they hold little. An article element counts as the others do:
 inside a part that holds no article text, or where its own names say so (teaser, comment), it is left out.
 
@@ -32,6 +32,8 @@ WINDOW = 3
 SURGE_CHARS, SURGE_PART = 80, 0.25
 #: The rest of the page is the article where its largest sum and its weight are so many times those of all article elements.
 OUTWEIGHS = 2
+#: So many of the elements around a line are known of it.
+DEPTH = 32
 
 #: HTML elements.
 _BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
@@ -45,6 +47,9 @@ _SKIP = frozenset("head nav header footer aside form menu button select option l
 _LINE = _BLOCK | _SKIP
 #: Elements that one of their own kind ends.
 _SELF = frozenset("p li dt dd tr td th option".split())
+#: Elements that hold an article or a part of it, with what leads up to it.
+_HOLDERS = frozenset("article body center div main section td".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words of class, id or role that name something else than the article.
 _OTHER = re.compile(
     r"(?<!with)(?<!has)(?<!no)(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|navigation|nav|navbar|menu\w*|breadcrumbs?|sidebars?|side|aside|rail|widgets?|"
@@ -61,10 +66,11 @@ _SPACE = re.compile(r"[ \t\n\r\f\v\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u2
 
 
 class _Lines:
-    """Lines of a page: text, weight, and whether an article element holds them."""
+    """Lines of a page: text, weight, whether an article element holds them, the tags of the holders around them,
+    and whether they are headings."""
 
     def __init__(self):
-        self.lines: list[tuple[str, int, bool]] = []
+        self.lines: list[tuple[str, int, bool, tuple[int, ...], bool]] = []
         self._text: list[str] = []
         self._linked = 0
 
@@ -73,15 +79,15 @@ class _Lines:
         if linked:
             self._linked += len(_SPACE.sub(" ", text).strip())
 
-    def end(self, skipped: bool, inside: bool) -> None:
+    def end(self, skipped: bool, inside: bool, holders: list[int], heading: bool) -> None:
         if self._text:
             text = _SPACE.sub(" ", "".join(self._text)).strip()
             if text:
                 # a paragraph may link a few words, a menu's line is links only
                 weight = 0 if skipped or (self._linked >= 0.8 * len(text) and not inside) else len(text)
-                self.lines.append((text, weight, inside))
+                self.lines.append((text, weight, inside, tuple(holders), heading))
             elif skipped:
-                self.lines.append(("", 0, inside))
+                self.lines.append(("", 0, inside, (), False))
             self._text, self._linked = [], 0
 
 
@@ -143,7 +149,8 @@ class _Stack:
         self.of: dict[str, list[int]] = {}  # places of the open elements of a name
         self.at: dict[int, int] = {}  # place of an open tag
         self.firm: list[int] = []
-        self.wholes = 0
+        self.holders: list[int] = []  # tags
+        self.wholes = self.headings = 0
         self.skip = -1  # place of the outermost skipped element
 
     def push(self, name: str, tag: int, kind: str) -> None:
@@ -152,6 +159,9 @@ class _Stack:
         self.of.setdefault(name, []).append(place)
         self.at[tag] = place
         self.wholes += kind == "whole"
+        self.headings += name in _HEADINGS
+        if name in _HOLDERS:
+            self.holders.append(tag)
         if kind and tag in self.partners:
             self.firm.append(place)
         if kind == "skip" and self.skip < 0:
@@ -164,6 +174,9 @@ class _Stack:
             self.of[e.name].pop()
             del self.at[e.tag]
             self.wholes -= e.kind == "whole"
+            self.headings -= e.name in _HEADINGS
+            if e.name in _HOLDERS:
+                self.holders.pop()
         while self.firm and self.firm[-1] >= size:
             self.firm.pop()
         if self.skip >= size:
@@ -189,7 +202,7 @@ class _Stack:
         return True
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
+def lines_of(page: str) -> list[tuple[str, int, bool, tuple[int, ...], bool]]:
     out, tags = _Lines(), _tags(page)
     stack, links, seen = _Stack(_partners(tags)), 0, False  # seen: an article began
 
@@ -198,7 +211,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
 
     def end() -> None:
         if not inline():
-            out.end(stack.skip >= 0, stack.wholes > 0)
+            out.end(stack.skip >= 0, stack.wholes > 0, stack.holders[-DEPTH:], stack.headings > 0)
 
     for i, (text, name, closing, attributes) in enumerate(tags):
         if text and stack.skip < 0:
@@ -258,7 +271,7 @@ def _sums(weights: list[int]) -> list[int]:
 def main_text(page: str) -> str:
     """The article's blocks, one line each."""
     lines = lines_of(page)
-    weights, rest = [w if inside else 0 for _, w, inside in lines], [0 if inside else w for _, w, inside in lines]
+    weights, rest = [w if inside else 0 for _, w, inside, _, _ in lines], [0 if inside else w for _, w, inside, _, _ in lines]
     # article elements beside a main text many times as dense are teasers or comments
     bounded = any(weights) and not (max(_sums(rest)) > OUTWEIGHS * max(_sums(weights)) and sum(rest) > OUTWEIGHS * sum(weights))
     weights = weights if bounded else rest
@@ -268,10 +281,25 @@ def main_text(page: str) -> str:
     surge = 1 if bounded else min(SURGE_CHARS, max(1, SURGE_PART * max(sums)))
     first = next(i for i, s in enumerate(sums) if s >= surge)
     # what leads up to the surge within its window belongs to it
-    first = next(i for i in range(first, len(weights)) if weights[i])
+    first = _lead(lines, weights, next(i for i in range(first, len(weights)) if weights[i]))
     last = max(i for i, s in enumerate(sums) if s >= surge)
     dive = next((i for i in range(last, len(sums)) if not sums[i]), len(sums))
-    return "\n".join(t for (t, _, _), w in zip(lines[first:dive], weights[first:dive], strict=True) if w)
+    return "\n".join(line[0] for line, w in zip(lines[first:dive], weights[first:dive], strict=True) if w)
+
+
+def _lead(lines: list[tuple[str, int, bool, tuple[int, ...], bool]], weights: list[int], first: int) -> int:
+    """The surge's start, taken back over the adjoining lines of its holder (headline, byline, standfirst, verses),
+    and over those of the holder around that from their first heading on."""
+    own = lines[first][3]
+    start = first
+    while start and weights[start - 1] and (not own or own[-1] in lines[start - 1][3]):
+        start -= 1
+    around, headed = start, start
+    while around and weights[around - 1] and (len(own) < 2 or own[-2] in lines[around - 1][3]):
+        around -= 1
+        if lines[around][4]:
+            headed = around
+    return headed
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -70,6 +70,21 @@ def test_article_elements_among_others(page, want):
     assert main_text(PAGE.replace("{}", page)) == want
 
 
+VERSES = "".join(f"<p>Verse {i}.</p>" for i in range(12))
+
+
+@pytest.mark.parametrize(("body", "want"), [
+    (f"<div class=content><h1>The headline of the article</h1><p>By somebody</p><p>2 May 2020</p><p>{LONG * 3}</p></div>",
+     f"The headline of the article\nBy somebody\n2 May 2020\n{LONG * 3}"),
+    (f"<div class=content><h1>Headline</h1><div>By x</div><p>Day</p><p>Standfirst.</p><ul><li>One</li><li>Two</li></ul><p>{LONG}</p></div>",
+     f"Headline\nBy x\nDay\nStandfirst.\nOne\nTwo\n{LONG}"),
+    (f"<div class=top><h1>Headline</h1><p>By x</p><p>Day</p></div><div class=text><p>A.</p><p>B.</p><p>{LONG}</p></div>", f"Headline\nBy x\nDay\nA.\nB.\n{LONG}"),
+    (f"<div>{VERSES}<p>{LONG}</p>{VERSES}</div>", "\n".join([*(f"Verse {i}." for i in range(12)), LONG, *(f"Verse {i}." for i in range(12))])),
+    (f"<div>Welcome!</div><div><p>Low.</p><p>By x</p><p>Day</p><p>{LONG}</p></div>", f"Low.\nBy x\nDay\n{LONG}")])
+def test_what_leads_up_to_the_surge_is_kept(body, want):
+    assert main_text(PAGE.replace("{}", body)) == want
+
+
 def test_operator(make):
     df = make("page_id long, url string, html string, text string", [(1, "u", PAGE.replace("{}", ARTICLE), "clash"), (None, None, None, None), (1, "u", "", "")])
     assert sorted(map(tuple, extract(df).collect()), key=str) == sorted([(1, "u", WANT, len(WANT)), (None, None, "", 0), (1, "u", "", 0)], key=str)
