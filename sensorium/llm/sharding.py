@@ -8,8 +8,11 @@ into ``BINS`` intervals per node, and only those sums reach the driver (at most
 whatever the input). Every coordinate ends in bits of the content hash, so equal lengths or one hot
 source still split.
 
+No cut can run through a group. So groups over a small part of the target (at most shards / ``HEAVY`` of them) are dealt first,
+largest first to the shard with most room, and the tree shares out what room is left in each shard.
+
 Law ``bytes``: shard sizes are near equal. Equal texts stay in one shard, unless their group alone exceeds the
-target; then its rows are groups of their own and spread. Slots number a shard's rows from 0 through
+target or no shard has room for it; then its rows are groups of their own and spread. Slots number a shard's rows from 0 through
 hashed blocks, so no task sorts a whole shard.
 
 Only DataFrame functions run. Defined results: null text weighs 16 bytes and hashes as the empty text; null ids,
@@ -19,7 +22,11 @@ empty table gives no rows; further columns of the input are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import heapq
+from collections import Counter
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -29,9 +36,13 @@ ROW_BYTES = 16
 BINS = 2048
 #: A cut may miss its quantile by this part of a shard's target.
 TOLERANCE = 0.004
+#: Groups over this part of the target are dealt before the tree is cut.
+HEAVY = 0.02
 #: Rows of a block within which slots are numbered.
 SLOT_ROWS = 20_000
 _TOP, _LOW = 1 << 60, 1 << 40
+#: What equal texts share.
+KEY = ["content", "text_crc32", "size"]
 
 
 def _coordinate(value: Column, content: Column) -> Column:
@@ -57,44 +68,97 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
     groups = groups.withColumn("bytes", F.col("size") * F.col("copies"))
     total = groups.agg(F.sum("bytes").alias("b"), F.sum("copies").alias("n")).first()
     target = (total["b"] or 0) / shards
-    large = groups.filter(F.col("bytes") > target)
-    whole = groups.filter(F.col("bytes") <= target).withColumn("part", F.lit(None).cast("long"))
-    # a group over the target spreads row by row
-    apart = rows.join(large.select("content", "text_crc32", "size"), ["content", "text_crc32", "size"]) \
-        .groupBy("content", "text_crc32", "size", F.xxhash64("id").alias("part")) \
-        .agg(F.count("*").alias("copies"), *[F.min(f"n{i}").alias(f"n{i}") for i in range(len(names))]) \
-        .withColumn("bytes", F.col("size") * F.col("copies"))
-    units = whole.unionByName(apart)
+    heavy = groups.filter(F.col("bytes") > HEAVY * target).select(*KEY, "copies").collect()  # at most shards / HEAVY rows
+    dealt, apart, loose, room = _deal(heavy, shards, target)
+    units = groups.filter(F.col("bytes") <= HEAVY * target).withColumn("part", F.lit(None).cast("long"))
+    if loose:
+        # a group of many light rows spreads row by row
+        units = units.unionByName(rows.join(_keyed(rows, [], loose), KEY)
+                                  .groupBy(*KEY, F.xxhash64("id").alias("part"))
+                                  .agg(F.count("*").alias("copies"), *[F.min(f"n{i}").alias(f"n{i}") for i in range(len(names))])
+                                  .withColumn("bytes", F.col("size") * F.col("copies")))
     mark = F.xxhash64("content", "part")
     length = F.log2(F.col("size").cast("double")) / F.lit(40.0)
     dims = [length, *[F.col(f"n{i}") for i in range(len(names))], F.pmod(mark, F.lit(1 << 20)) / F.lit(float(1 << 20))]
-    units = written(units.select("content", "text_crc32", "size", "part", "bytes",
+    units = written(units.select(*KEY, "part", "bytes",
                                  F.array(*[_coordinate(d, mark) for d in dims]).alias("d"), F.lit(0).cast("long").alias("node")), "shard-units")
-    units = kd_leaves(units, len(dims), shards, target)
+    units = kd_leaves(units, len(dims), shards, target, room)
     placed = units.select("content", F.col("text_crc32").alias("u_crc"), F.col("size").alias("u_size"), "part", "shard")
     row = rows.withColumn("own", F.xxhash64("id"))
-    whole_rows = row.join(placed.filter("part is null").withColumnRenamed("content", "u_content"),
-                          (F.col("content") == F.col("u_content")) & (F.col("text_crc32") == F.col("u_crc")) & (F.col("size") == F.col("u_size")), "left") \
+    same = (F.col("text_crc32") == F.col("u_crc")) & (F.col("size") == F.col("u_size"))
+    whole = placed.filter("part is null").select(F.col("content").alias("u_content"), "u_crc", "u_size", "shard")
+    whole_rows = row.join(whole, (F.col("content") == F.col("u_content")) & same, "left") \
         .select(*row.columns, F.col("shard").alias("whole_shard"))
-    parts = placed.filter("part is not null")
-    out = whole_rows.filter("whole_shard is not null").select("id", "size", "text_crc32", F.col("whole_shard").alias("shard"))
-    split = whole_rows.filter("whole_shard is null").join(
-        parts.withColumnRenamed("content", "p_content"),
-        (F.col("content") == F.col("p_content")) & (F.col("own") == F.col("part")) & (F.col("size") == F.col("u_size"))
-        & (F.col("text_crc32") == F.col("u_crc"))).select("id", "size", "text_crc32", "shard")
-    numbered = _slots(out.unionByName(split), total["n"] or 0, shards)
+    out = [whole_rows.filter("whole_shard is not null").withColumnRenamed("whole_shard", "shard")]
+    if loose:
+        parts = placed.filter("part is not null").withColumnRenamed("content", "p_content")
+        out.append(whole_rows.filter("whole_shard is null").join(
+            parts, (F.col("content") == F.col("p_content")) & (F.col("own") == F.col("part")) & same))
+    if dealt:
+        out.append(rows.join(_keyed(rows, ["shard"], dealt), KEY))
+    if apart:
+        # heavy rows: as many as room was found for in each shard
+        nth = F.row_number().over(Window.partitionBy(*KEY).orderBy("id"))
+        out.append(rows.join(_keyed(rows, [], [k for k, _ in apart]), KEY).withColumn("nth", nth)
+                   .join(_keyed(rows, ["shard", "above", "upto"], [(*k, *c) for k, cs in apart for c in cs]), KEY)
+                   .filter("nth > above and nth <= upto"))
+    out = reduce(DataFrame.unionByName, [x.select("id", "size", "text_crc32", F.col("shard").cast("long").alias("shard")) for x in out])
+    numbered = _slots(out, total["n"] or 0, shards)
     return numbered.select(F.col("id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
                            "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def _deal(heavy: list[Row], shards: int, target: float) -> tuple[list, list, list, list[float]]:
+    """Heavy groups, largest first, each to the shard with most room: (key, shard) of those dealt whole; of those of heavy rows
+    dealt one by one the key and its (shard, rows above, rows up to); keys of groups whose light rows the tree is to spread;
+    and the room left in each shard."""
+    room = [(-target, k) for k in range(shards)]  # largest first
+    heapq.heapify(room)
+    dealt, apart, loose = [], [], []
+    # over the target: by the size of a row
+    todo = [(-(g["size"] if g["copies"] * g["size"] > target else g["copies"] * g["size"]), *(g[c] for c in KEY), g["copies"]) for g in heavy]
+    heapq.heapify(todo)
+    while todo:
+        weight, content, crc, size, copies = heapq.heappop(todo)
+        key, weight = (content, crc, size), -weight
+        whole = weight == copies * size
+        free = -room[0][0] + TOLERANCE * target
+        if whole and (copies == 1 or weight <= free):
+            left, k = room[0]
+            heapq.heapreplace(room, (left + weight, k))
+            dealt.append((*key, k))
+        elif size <= HEAVY * target:
+            loose.append(key)
+        elif whole:
+            heapq.heappush(todo, (-size, *key, copies))
+        else:
+            at: Counter[int] = Counter()
+            for _ in range(copies):
+                left, k = room[0]
+                heapq.heapreplace(room, (left + size, k))
+                at[k] += 1
+            above, cuts = 0, []
+            for k, n in sorted(at.items()):
+                cuts.append((k, above, above + n))
+                above += n
+            apart.append((key, cuts))
+    return dealt, apart, loose, [max(0.0, -left) for left, _ in sorted(room, key=lambda x: x[1])]
+
+
+def _keyed(df: DataFrame, names: list[str], rows: list[tuple]) -> DataFrame:
+    """A broadcast table of keys, each with further numbers."""
+    values = ", ".join(f"('{c}', {crc}L, {size}L" + "".join(f", {v}L" for v in more) + ")" for c, crc, size, *more in rows)
+    return F.broadcast(df.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(KEY + names)})"))
+
+
 def _small(df: DataFrame, names: list[str], rows: list[tuple]) -> DataFrame:
     """A broadcast table of at most a row per tree node."""
     values = ", ".join("(" + ", ".join(f"{v}L" for v in r) + ")" for r in rows)
     return F.broadcast(df.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})"))
 
 
-def kd_leaves(units: DataFrame, dims: int, shards: int, target: float) -> DataFrame:
-    """``units`` (array of coordinates ``d``, ``bytes``, ``node`` = 0) with the column ``shard`` of its leaf."""
+def kd_leaves(units: DataFrame, dims: int, shards: int, target: float, room: list[float]) -> DataFrame:
+    """``units`` (array of coordinates ``d``, ``bytes``, ``node`` = 0) with the column ``shard`` of its leaf, as ``room`` allows."""
     leaves = {0: (0, shards)}  # node -> (first shard, shards); nodes still to cut have over one shard
     at = units
     while any(m > 1 for _, m in leaves.values()):
@@ -104,9 +168,11 @@ def kd_leaves(units: DataFrame, dims: int, shards: int, target: float) -> DataFr
         cuts = {}
         for k in open_:
             if k in spans:
-                r, m = spans[k], leaves[k][1]
+                r, (at_shard, m) = spans[k], leaves[k]
+                left, both = sum(room[at_shard:at_shard + m // 2]), sum(room[at_shard:at_shard + m])
                 d = max(range(dims), key=lambda d: (r[f"hi{d}"] - r[f"lo{d}"], -d))
-                cuts[k] = {"dim": d, "lo": r[f"lo{d}"], "hi": r[f"hi{d}"] + 1, "want": r["bytes"] * (m // 2) / m, "below": 0}
+                cuts[k] = {"dim": d, "lo": r[f"lo{d}"], "hi": r[f"hi{d}"] + 1,
+                           "want": r["bytes"] * (left / both if both else (m // 2) / m), "below": 0}
         _medians(at, cuts, TOLERANCE * target)
         grown = {}
         for k, (first, m) in leaves.items():

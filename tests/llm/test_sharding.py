@@ -2,6 +2,8 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
+
 from sensorium.llm.sharding import shard
 
 
@@ -51,6 +53,31 @@ def test_a_group_over_the_target_spreads(make):
     check(data, shard(make(SCHEMA, data)).collect(), 1.1)
 
 
+@pytest.mark.parametrize("parts", [[0.9], [0.6], [0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9], [1.0] * 3, [0.6] * 50])
+def test_groups_below_the_target(make, parts):
+    data = corpus(4000)
+    bytes_ = sum(len((d[1] or "").encode()) + 16 for d in data)
+    target = bytes_ / (40 - sum(parts))  # of all, with the groups
+    for k, part in enumerate(parts):
+        text = f"the text of group {k} " * 5
+        data += [(100_000 * (k + 1) + i, text, "hot", "en", "c") for i in range(int(part * target / (len(text) + 16)))]
+    got = shard(make(SCHEMA, data)).collect()
+    check(data, got, 1.03)
+    if len(parts) < 40:
+        text, at = {d[0]: d[1] for d in data}, defaultdict(set)
+        for r in got:
+            if r.doc_id >= 100_000:
+                at[text[r.doc_id]].add(r.shard)
+        assert all(len(v) == 1 for v in at.values())
+
+
+def test_copies_of_long_texts(make):
+    data = corpus(2000)
+    data += [(100_000 + i, "a long text of which a few rows fill a shard " * 70, "hot", "en", "c") for i in range(30)]
+    data += [(200_000 + i, "another " * 500, "hot", "en", "c") for i in range(70)]
+    check(data, shard(make(SCHEMA, data)).collect(), 1.1)
+
+
 def test_repeats_nulls_few_rows_and_empty(make):
     data = [(None, None, None, None, None), (1, "x", "s", "en", "c"), (1, "x", "s", "en", "c"), (2, "y" * 300_000, "s", "en", "c")]
     got = shard(make(SCHEMA, data)).collect()
