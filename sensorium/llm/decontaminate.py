@@ -18,7 +18,7 @@ each; empty tables give empty or clean results; further columns pass through ``r
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -140,12 +140,11 @@ def _same(docs: Words, block: Block, match: list[int]) -> bool:
     return all(docs.word(at + k) == block.words.word(start + k) for k in range(n))
 
 
-def scan(texts: list[bytes], blocks: list[Block]) -> Iterator[tuple[int, int, list[str], list]]:
+def scan(texts: list[bytes], blocks: Iterable[Block], window: int = WINDOW) -> Iterator[tuple[int, int, list[str], list]]:
     """(n_words, n_hit, item ids, matches) of each text; a match is (first word, item id, item word, words)."""
     for lo, hi in slices(texts):
         docs = Words(texts[lo:hi])
-        width = max((b.query.shape[1] for b in blocks), default=1)
-        padded = np.concatenate((docs.tokens, np.zeros(width, np.uint64)))
+        padded = np.concatenate((docs.tokens, np.zeros(window, np.uint64)))
         order = suffix_array(docs.tokens)
         order = order[docs.tokens[order] != 0]
         edge = np.zeros(len(docs.tokens) + 1, np.int64)
@@ -159,6 +158,7 @@ def scan(texts: list[bytes], blocks: list[Block]) -> Iterator[tuple[int, int, li
                 d = int(docs.text_of[at])
                 items[d].add(b.ids[item])
                 matches[d].append((at - int(docs.first[d]), b.ids[item], off, n))
+            del b  # before the next one is built
         hit = np.add.reduceat((np.cumsum(edge[:-1]) > 0).astype(np.int64), docs.first)
         for d in range(hi - lo):
             yield int(docs.counts[d]), int(hit[d]), sorted(items[d]), sorted(matches[d])
@@ -185,8 +185,15 @@ def benchmark_blocks(bench: DataFrame, window: int = WINDOW, id_col: str = "item
     return [*out, sc.broadcast(block)] if block else out
 
 
-def _blocks(sent: list, window: int) -> list[Block]:
-    return [Block(b.value, window) for b in sent]
+class _Blocks:
+    """The blocks of a task: each is built when its turn comes, for every pass anew unless it is the only one."""
+
+    def __init__(self, sent: list, window: int):
+        self.sent, self.window = sent, window
+        self.only = [Block(b.value, window) for b in sent] if len(sent) == 1 else None
+
+    def __iter__(self) -> Iterator[Block]:
+        yield from self.only or (Block(b.value, self.window) for b in self.sent)
 
 
 def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
@@ -199,9 +206,9 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, id_co
     match = pa.list_(pa.struct([("doc_word", pa.int64()), ("item_id", pa.string()), ("item_word", pa.int64()), ("n_words", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = _blocks(sent, window)
+        blocks = _Blocks(sent, window)
         for b in batches:
-            got = list(scan(as_bytes(b.column(1)), blocks))
+            got = list(scan(as_bytes(b.column(1)), blocks, window))
             yield pa.RecordBatch.from_arrays([
                 b.column(0), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64()),
                 pa.array([len(g[2]) for g in got], pa.int64()),
@@ -221,8 +228,8 @@ def remove_contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW,
     sent, at = benchmark_blocks(bench, window), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks = _blocks(sent, window)
+        blocks = _Blocks(sent, window)
         for b in batches:
-            yield b.filter(pa.array([not is_contaminated(n, h) for n, h, _, _ in scan(as_bytes(b.column(at)), blocks)], pa.bool_()))
+            yield b.filter(pa.array([not is_contaminated(n, h) for n, h, _, _ in scan(as_bytes(b.column(at)), blocks, window)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

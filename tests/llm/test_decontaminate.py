@@ -1,8 +1,10 @@
 import hashlib
 import random
 import re
+import weakref
 
 import numpy as np
+import pyarrow as pa
 
 from sensorium.llm import decontaminate as D
 from sensorium.llm.common import as_bytes  # noqa: F401
@@ -74,3 +76,31 @@ def test_empty_tables(make):
     assert D.contamination(docs, bench).count() == 0
     assert D.remove_contaminated(one, bench).count() == 3
     assert D.remove_contaminated(one, make("item_id long, text string", [(1, "b")])).count() == 1
+
+
+def test_one_block_at_a_time(make, monkeypatch):
+    texts, items = corpus()
+    monkeypatch.setattr(D, "BLOCK_WORDS", 40)
+    monkeypatch.setattr(D, "prepare", lambda df: None)
+    alive, most = weakref.WeakSet(), []
+
+    class Counted(D.Block):
+        def __init__(self, *args):
+            super().__init__(*args)
+            alive.add(self)
+            most.append(len(alive))
+
+    monkeypatch.setattr(D, "Block", Counted)
+    kept = []
+
+    class Local:  # runs the operator's function here
+        columns, schema = ["text"], None
+
+        def mapInArrow(self, run, schema):
+            batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+            kept.extend(t for b in run(iter([batch, batch])) for t in b.column(0).to_pylist())
+
+    D.remove_contaminated(Local(), make("item_id long, text string", items))
+    want = brute(texts, items)
+    assert kept == [t for t, w in zip(texts, want, strict=True) if not w[4]] * 2
+    assert len(most) > 6 and max(most) == 1
