@@ -120,10 +120,10 @@ def _pack(batches: Iterator[pa.RecordBatch], scale: int) -> Iterator[pa.RecordBa
         with np.errstate(over="ignore", invalid="ignore"):
             fits = np.abs(values) < 2.0 ** 128
             q = np.floor(scale * np.where(fits, values, 0.0))
+            narrow, full = q.astype("<i2").tobytes(), q.astype("<f8").tobytes()
         count = lambda flags: np.concatenate(([0], np.cumsum(flags)))
         odd, large = (np.diff(count(f)[offsets]) for f in (~fits, np.abs(q) >= 1 << 15))
         ok = np.flatnonzero((odd == 0) & lists.is_valid().to_numpy(zero_copy_only=False) & b.column(1).is_valid().to_numpy(zero_copy_only=False))
-        narrow, full = q.astype("<i2", casting="unsafe").tobytes(), q.astype("<f8").tobytes()
         cut = [full[8 * s:8 * e] if w else narrow[2 * s:2 * e]
                for s, e, w in zip(offsets[ok].tolist(), offsets[ok + 1].tolist(), (large[ok] > 0).tolist(), strict=True)]
         at = pa.array(ok)
