@@ -61,7 +61,8 @@ def document_failures(docs: DataFrame, id_col: str = "doc_id", part_col: str = "
     rows = docs.select(quote(id_col).cast("long").alias("id"), F.coalesce(quote(part_col).cast("string"), F.lit("")).alias("part"),
                        quote(text_col).alias("text"))
     seen = written(rows.mapInArrow(_scan, "id long, part string, bits int, sha binary"), "failures")
-    first = seen.groupBy("sha").agg(F.min("id").alias("low"))
+    # a stored side gives the join its own shuffle, so that Spark can split the rows of a common text
+    first = written(seen.groupBy("sha").agg(F.min("id").alias("low")), "first")
     copy = F.coalesce(F.col("low") < F.col("id"), F.lit(False)).cast("int")
     return seen.join(first, "sha").select("id", "part", F.col("bits").bitwiseOR(F.shiftleft(copy, 4)).alias("bits"))
 
@@ -190,8 +191,8 @@ def interactions(failures: DataFrame, labels: DataFrame, names: Sequence[str] =
     kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley. ``names`` has a letter per bit."""
     prepare(failures)
     n = len(names)
-    marks = labels.groupBy(F.col(label_id).cast("long").alias("id")).agg(
-        F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic"))
+    marks = written(labels.groupBy(F.col(label_id).cast("long").alias("id")).agg(
+        F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic")), "marks")
     rows = failures.join(marks, "id", "left").select(
         "id", "part", "bits", *[F.coalesce(c, F.lit(False)).cast("int").alias(c) for c in ("good", "toxic")])
     counts = ["n", "good", "toxic"]
