@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare, quoted
 
 SEGMENT = 1 << 20
 LEARNT_ROLE = "assistant"
@@ -197,9 +197,8 @@ def format_conversations(rows: DataFrame, conv_col: str = "conv_id", turn_col: s
     """
     prepare(rows)
     budget = budget or Budget()
-    quote = lambda c: F.col(f"`{c.replace('`', '``')}`")
-    cols = [quote(conv_col).alias("conv"), quote(turn_col).cast("long").alias("turn"), quote(role_col).cast("string").alias("role"),
-            quote(text_col).cast("string").alias("text")] + ([quote(parts_col).alias("parts")] if parts_col else [])
+    cols = [quoted(conv_col).alias("conv"), quoted(turn_col).cast("long").alias("turn"), quoted(role_col).cast("string").alias("role"),
+            quoted(text_col).cast("string").alias("text")] + ([quoted(parts_col).alias("parts")] if parts_col else [])
     plain = rows.select(*cols)
     kind = plain.schema["conv"].dataType.simpleString()
     body = f"formatted string, spans {SPANS}, attachments {ATTACHMENTS}, tokens long"

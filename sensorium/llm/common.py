@@ -6,7 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path, ship_package
 
@@ -18,6 +19,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> Column:
+    """The column of this very name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct, under which no name clashes."""
+    return F.struct(*[quoted(c) for c in df.columns])
+
+
+def unpacked(df: DataFrame, names: list[str], row: str = "row") -> DataFrame:
+    """The columns of ``whole_row`` again."""
+    return df.select(*[F.col(row).getField(c).alias(c) for c in names])
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written as a Parquet table to the shared folder and read again:
     it cuts lineage, survives lost executors and is computed once."""

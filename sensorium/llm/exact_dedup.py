@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import quoted, unpacked, whole_row
+
 
 def normalised(text: Column) -> Column:
     """Each run of ASCII white space as one space; null as empty."""
@@ -24,7 +26,7 @@ def normalised(text: Column) -> Column:
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
-    rows = docs.select(*more, F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("norm"))
+    rows = docs.select(*more, quoted(id_col).alias("id"), normalised(quoted(text_col)).alias("norm"))
     return rows.withColumns({"h128": F.md5("norm"), "sha": F.sha2("norm", 256)})
 
 
@@ -50,8 +52,8 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     names = docs.columns
     id_key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    rows = _keyed(docs, id_col, text_col, F.struct(*[docs[c] for c in names]).alias("row"))
+    rows = _keyed(docs, id_col, text_col, whole_row(docs).alias("row"))
     best = _groups(rows.select("id", "norm", "h128")).select("h128", "sha", id_key("keep_id").alias("key"))
     keys = ["h128", "sha", "key"]
     kept = rows.withColumn("key", id_key("id")).select("row", *keys).join(best, keys, "left_semi")
-    return kept.dropDuplicates(keys).select(*[F.col("row")[c].alias(c) for c in names])
+    return unpacked(kept.dropDuplicates(keys), names)

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, prepare, written
+from .common import as_bytes, prepare, quoted, written
 
 FILTERS = "ABCDE"
 MIN_WORDS = 200
@@ -57,9 +57,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def document_failures(docs: DataFrame, id_col: str = "doc_id", part_col: str = "source", text_col: str = "text") -> DataFrame:
     """One row per document: id, part, bits (bit k set: the k-th of ``FILTERS`` rejects it)."""
     prepare(docs)
-    quote = lambda c: F.col(f"`{c.replace('`', '``')}`")
-    rows = docs.select(quote(id_col).cast("long").alias("id"), F.coalesce(quote(part_col).cast("string"), F.lit("")).alias("part"),
-                       quote(text_col).alias("text"))
+    rows = docs.select(quoted(id_col).cast("long").alias("id"), F.coalesce(quoted(part_col).cast("string"), F.lit("")).alias("part"),
+                       quoted(text_col).alias("text"))
     seen = written(rows.mapInArrow(_scan, "id long, part string, bits int, sha binary"), "failures")
     # a stored side gives the join its own shuffle, so that Spark can split the rows of a common text
     first = written(seen.groupBy("sha").agg(F.min("id").alias("low")), "first")

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import prepare, written
+from .common import prepare, quoted, written
 
 POSITIVES = 5
 NEGATIVES = 5
@@ -258,8 +258,7 @@ def mine(emb: DataFrame, is_anchor: Callable[[Column], Column], id_col: str = "v
     ``low * positive <= 100 * score <= high * positive``. Scores are integer inner products; ties go by smaller id.
     """
     prepare(emb)
-    quote = lambda c: F.col(f"`{c.replace('`', '``')}`")
-    packed = emb.select(quote(id_col).cast("long").alias("id"), quote(label_col).cast("long").alias("label"), quote(vec_col).alias("v")) \
+    packed = emb.select(quoted(id_col).cast("long").alias("id"), quoted(label_col).cast("long").alias("label"), quoted(vec_col).alias("v")) \
         .mapInArrow(lambda it: _pack(it, scale), "id long, label long, dim int, wide boolean, q binary")
     rows = written(packed.distinct().withColumn("sub", F.xxhash64("label", "wide", "q")), "vectors")
     anchors = rows.filter(is_anchor(F.col("id")))

@@ -13,7 +13,8 @@
 
 Defined results: null or blank text has fingerprint zero, linked like any other; a null
 id is ignored by ``component_id`` unless nothing else is there; repeated rows are each returned;
-an empty table gives no rows; further columns of the input are ignored.
+long texts are read whole, a slice of the batch by itself; an empty table gives no rows; further columns of the
+input are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, prepare, ranges, runs, slices, written
+from .common import as_bytes, prepare, quoted, ranges, runs, slices, unpacked, whole_row, written
 from .components import components
 
 SHINGLE_WORDS = 3
@@ -86,7 +87,7 @@ def _majority(h: np.ndarray, n: np.ndarray) -> np.ndarray:
 def _scan(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         fp = fingerprints(as_bytes(b.column(1)), shingle)
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["id", "fp"])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), *b.columns[2:]], names=["id", "fp", *b.schema.names[2:]])
 
 
 def _long(word: int) -> Column:
@@ -120,52 +121,45 @@ def links(distinct: DataFrame) -> DataFrame:
     return stars.select(F.explode("fps").alias("u"), F.array_min("fps").alias("v")).filter("u <> v")
 
 
+def _classes(marked: DataFrame) -> DataFrame:
+    """Rows with a fingerprint (id, fp) -> each distinct fingerprint (fp), its smallest id (low) and its component (root)."""
+    # as many files as shuffle partitions: each row becomes many, which the size of the classes doesn't tell
+    n = int(marked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    classes = written(marked.groupBy("fp").agg(F.min("id").alias("low")).repartition(n), "classes")
+    found = written(components(links(classes.select("fp"))), "components")
+    return classes.join(found, classes["fp"] == found["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                        shingle: int = SHINGLE_WORDS) -> DataFrame:
     """One row per document: id, fingerprint (16 hex digits), component_id."""
     prepare(docs)
-    kind = docs.select(F.col(id_col).alias("id")).schema["id"].dataType.simpleString()
-    marked = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind = docs.select(quoted(id_col).alias("id")).schema["id"].dataType.simpleString()
+    marked = written(docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"))
                      .mapInArrow(lambda it: _scan(it, shingle), f"id {kind}, fp long"), "simhash")
-    # as many files as shuffle partitions: each row becomes many, which the size of the classes doesn't tell
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    classes = written(marked.groupBy("fp").agg(F.min("id").alias("low")).repartition(n), "classes")
-    found = written(components(links(classes.select("fp"))), "components")
-    rooted = classes.join(found, classes["fp"] == found["node"], "left") \
-        .select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    rooted = _classes(marked)
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     return marked.join(rooted.select("fp", "root").join(lowest, "root"), "fp").select(
         F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """``docs`` with the row of the smallest id of each component, all columns unchanged.
+    """``docs`` with one row of each component, that of the smallest id, all columns unchanged.
 
-    Where rows repeat that id, one stays; a component without any id keeps one row.
+    A row is told by its id and a 96-bit hash of its text, so rows that share an id are dealt with each by its own component.
+    Of several rows of a component with the smallest id (or all without an id) one stays: that of the smallest hash, and of
+    rows equal in id and text any.
     """
-    names = docs.columns
-    key = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    found = simhash_components(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text", shingle)
-    best = found.filter(F.col("id").eqNullSafe(F.col("component_id"))) \
-        .select(key(F.col("id")).alias("key"), F.when(F.col("id").isNull(), F.col("fingerprint")).otherwise("").alias("fp")).distinct()
-    if docs.schema[id_col].nullable and not found.filter("id is null").isEmpty():
-        return _drop_with_null_ids(docs, best, names, id_col, text_col, shingle)
-    rows = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), key(F.col(id_col)).alias("key"))
-    return rows.join(best.select("key"), "key", "left_semi").dropDuplicates(["key"]).select(*[F.col("row")[c].alias(c) for c in names])
-
-
-def _drop_with_null_ids(docs: DataFrame, best: DataFrame, names: list[str], id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """Rows without an id are told apart by their fingerprints, which costs another pass over the texts."""
     prepare(docs)
-    schema, at, id_at = docs.schema, names.index(text_col), names.index(id_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fps = [f"{int(x):016x}" for x in fingerprints(as_bytes(b.column(at)), shingle)]
-            fps = [f if i is None else "" for f, i in zip(fps, b.column(id_at).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fps, pa.string())], names=[f"c{i}" for i in range(len(names) + 1)])
-
-    kinds = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(schema.fields)) + f", c{len(names)} string"
-    rows = docs.mapInArrow(run, kinds).withColumns({"key": F.coalesce(F.col(f"c{id_at}").cast("string"), F.lit("")), "fp": F.col(f"c{len(names)}")})
-    kept = rows.join(best, ["key", "fp"], "left_semi").dropDuplicates(["key", "fp"])
-    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+    names, hashes = docs.columns, [F.xxhash64(quoted(text_col)).alias("h"), F.hash(quoted(text_col)).alias("h2")]
+    kind = docs.select(quoted(id_col).alias("id")).schema["id"].dataType.simpleString()
+    marked = written(docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"), *hashes)
+                     .mapInArrow(lambda it: _scan(it, shingle), f"id {kind}, fp long, h long, h2 int"), "simhash")
+    row = F.struct(F.col("id").isNull().alias("lacks_id"), "id", "h", "h2")
+    best = marked.join(_classes(marked).select("fp", "root"), "fp").groupBy("root").agg(F.min(row).alias("best"))
+    told = lambda i: [i.isNull().alias("lacks_id"), F.coalesce(i.cast("string"), F.lit("")).alias("key")]
+    on = ["lacks_id", "key", "h", "h2"]
+    best = best.select(*told(F.col("best.id")), "best.h", "best.h2")
+    # repeated rows fall together before the shuffle, so that many of one key are no task of their own
+    rows = docs.select(whole_row(docs).alias("row"), *told(quoted(id_col)), *hashes).dropDuplicates(on)
+    return unpacked(rows.join(best, on, "left_semi"), names)

@@ -32,3 +32,10 @@ def test_drop_keeps_one_row_of_each_text(make):
     assert sum(r.doc_id is None for r in got) == 1
     empty = make("doc_id long, text string", [])
     assert drop_exact(empty).count() == 0 and exact_groups(empty).count() == 0
+
+
+def test_columns_of_any_name(make):
+    schema = "doc_id long, text string, `meta.lang` string, row string, key string, h128 string, `a``b` int"
+    data = [(2, "a", "x", "r", "k", "h", 1), (1, "a ", "y", "s", "l", "i", 2), (3, "a\t", "z", "t", "m", "j", 3), (4, "a", None, None, None, None, None)]
+    got = drop_exact(make(schema, data)).collect()
+    assert sorted(tuple(r) for r in got) == sorted(data[:2])

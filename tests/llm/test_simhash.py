@@ -106,3 +106,42 @@ def test_components_over_many_tasks(spark, monkeypatch):
     got = [(r.node, r.root) for r in C.components(df).collect()]
     assert dict(got) == {k: v for k, v in root.items() if dict(got).get(k) is not None or v != k} and len(dict(got)) == len(got)
     assert all(root[k] == k for k in root if k not in dict(got))
+
+
+def kept(make, data, schema="doc_id long, text string"):
+    from sensorium.llm.simhash import drop_near
+    return sorted((tuple(r) for r in drop_near(make(schema, data)).collect()), key=str)
+
+
+def test_drop_tells_rows_of_one_id_apart(make):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    for order in ([(0, b), (1, b), (1, a)], [(1, a), (1, b), (0, b)], [(1, b), (1, a), (0, b)]):
+        assert kept(make, order) == sorted([(0, b), (1, a)], key=str)
+    three = [(1, a), (1, b), (1, c)]
+    assert kept(make, three) == sorted(three, key=str)
+    assert kept(make, [(None, a), (None, a), (None, b), (5, a)]) == sorted([(5, a), (None, b)], key=str)
+    assert kept(make, [(None, a), (None, a), (7, c), (7, c)]) == sorted([(None, a), (7, c)], key=str)
+    assert kept(make, []) == []
+
+
+def test_drop_keeps_columns_of_any_name(make):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    schema = "doc_id long, text string, `meta.lang` string, row string, key string, fp long, h int, id string, lacks_id string, best string"
+    data = [(2, a, "x", "r", "k", 1, 2, "i", "l", "b"), (1, a, "y", "r", "k", 3, 4, "j", "m", "c"), (3, b, None, None, None, None, None, None, None, None)]
+    assert kept(make, data, schema) == sorted(data[1:], key=str)
+
+
+def test_drop_matches_brute_force(make):
+    from sensorium.llm.simhash import drop_near
+    texts = corpus()
+    rnd = random.Random(11)
+    data = [(rnd.choice([i, i, rnd.randrange(40), None]), t, i) for i, t in enumerate(texts)]
+    fps = {n: brute_fingerprint(t) for n, (_, t, _) in enumerate(data)}
+    roots = brute_components(fps)
+    got = drop_near(make("doc_id long, text string, n long", data)).collect()
+    assert len(got) == len(set(roots.values()))
+    lowest = {}
+    for n, (i, _, _) in enumerate(data):
+        lowest[roots[n]] = min(lowest.get(roots[n], (True, 0)), (i is None, i or 0))
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == sorted(lowest.values())
+    assert {roots[r.n] for r in got} == set(roots.values())
