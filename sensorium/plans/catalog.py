@@ -12,8 +12,10 @@ from ..functions import decode
 from ..functions.correct import apply_corrections
 from ..operators import enrich, metrics, ordered, windows
 from ..sources import kafka, tables
+from ..session import scratch_path
 from ..sources.replay import assign_batches, run_replay
 from ..sources.tables import to_oracle_ts
+from ..streaming.hot_keys import HotKeyFold
 from ..streaming.sort_ema import sort_correct_ema
 from ..streaming.windows import sliding_stream, with_event_time
 
@@ -191,6 +193,47 @@ def sorted_stream_final(spark, sf):
     return _sorted_stream_output(spark, sf).select("sensor_id", "event_id", "pos")
 
 
+def sort_ema_per_event(spark, sf):
+    """The stateful sort with a timer per event instead of one per 100 ms bucket."""
+    out = _replayed(spark, sf, lambda raw: sort_correct_ema(raw, CORRECTIONS, REPLAY_DELAY_MS, None))
+    return out.select("sensor_id", "event_id", "pos", "ema")
+
+
+def _hot_sensor_records(spark, sf):
+    """Raw records of which every third comes from one sensor."""
+    m = tables.measurements(spark, sf)
+    hot = F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("sensor_id"))
+    raw = tables.raw_records_from(m.withColumn("sensor_id", hot))
+    return assign_batches(raw, REPLAY_BATCHES, "offset", LATE, LATE_EVERY)
+
+
+def _hot_replayed(spark, raw, fold: HotKeyFold):
+    """Both queries of a hot-key fold over the replay, and their result."""
+    root = scratch_path(spark, "hot")
+
+    def build(stream):
+        rows = decode.decode_measurements(with_event_time(stream, REPLAY_DELAY_MS), keep=("offset",))
+        return fold.release(rows.withColumnRenamed("offset", "event_id"))
+
+    released = run_replay(raw, build, root=root)
+    fold.start_carries(spark, f"{root}/out", released.schema, root, availableNow=True).awaitTermination()
+    return fold.result(released, spark.read.parquet(f"{root}/carries"))
+
+
+def ema_hot_stream_final(spark, sf):
+    """The streaming moving average with a third of all rows on one sensor, its state split by day."""
+    fold = HotKeyFold(ordered.MovingAverage(), bucket_ms=86_400_000)
+    out = _hot_replayed(spark, _hot_sensor_records(spark, sf), fold)
+    return to_oracle_ts(out.filter("_emit").select("sensor_id", "event_id", "pos", F.col("_state").alias("ema"), "ts"), "ts")
+
+
+def ttl_stream_final(spark, sf):
+    """The event-time TTL cache on a stream, with its counters per location."""
+    fold = HotKeyFold(ordered.TtlRefresh("_us", TTL_MS * 1000), key="location", bucket_ms=86_400_000)
+    raw = assign_batches(tables.raw_records(spark, sf), REPLAY_BATCHES, "offset", LATE, LATE_EVERY)
+    return ordered.ttl_cache_stats(_hot_replayed(spark, raw, fold), "location")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_record_projection": raw_record_projection,
     "location_list": location_list,
@@ -218,4 +261,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "buffer_stream_final": buffer_stream_final,
     "ema_stream_final": ema_stream_final,
     "sorted_stream_final": sorted_stream_final,
+    "sort_ema_per_event": sort_ema_per_event,
+    "ema_hot_stream_final": ema_hot_stream_final,
+    "ttl_stream_final": ttl_stream_final,
 }

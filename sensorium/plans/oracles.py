@@ -130,6 +130,19 @@ SELECT sensor_id, ema, ts FROM e, f WHERE rn > 1 AND epoch_us(ts) // 1000 < fina
     "sorted_stream_final": _KEPT + """, e AS (SELECT sensor_id, event_id, ts,
   row_number() OVER (PARTITION BY sensor_id ORDER BY ts, event_id) AS pos FROM r)
 SELECT sensor_id, event_id, pos FROM e, f WHERE epoch_us(ts) // 1000 < final""",
+    "sort_ema_per_event": _KEPT + """, c AS (SELECT r.*, CASE WHEN m.location = 'NATION_7' THEN r.value + 1.0 ELSE r.value END AS v FROM r JOIN m USING (event_id)),
+e AS (SELECT sensor_id, event_id, ts, row_number() OVER o AS pos, list_reduce(list(v) OVER o, lambda a, x: (a + x) / 2.0) AS ema
+  FROM c WINDOW o AS (PARTITION BY sensor_id ORDER BY ts, event_id))
+SELECT sensor_id, event_id, pos, CASE WHEN pos > 1 THEN ema END AS ema FROM e, f WHERE epoch_us(ts) // 1000 < final""",
+    "ema_hot_stream_final": _KEPT + """, h AS (SELECT CASE WHEN event_id % 3 = 0 THEN 0 ELSE sensor_id END AS sensor_id, event_id, ts, value FROM r),
+e AS (SELECT sensor_id, event_id, ts, row_number() OVER o AS pos, list_reduce(list(value) OVER o, lambda a, x: (a + x) / 2.0) AS ema
+  FROM h WINDOW o AS (PARTITION BY sensor_id ORDER BY ts, event_id))
+SELECT sensor_id, event_id, pos, ema, ts FROM e, f WHERE pos > 1 AND epoch_us(ts) // 1000 < final""",
+    "ttl_stream_final": _KEPT + """, h AS (SELECT event_id, m.location, r.ts,
+  list_reduce(list({'us': epoch_us(r.ts), 'id': event_id}) OVER (PARTITION BY m.location ORDER BY r.ts, event_id),
+              lambda s, x: CASE WHEN x.us - s.us > 3600000000 THEN x ELSE s END).id <> event_id AS hit FROM r JOIN m USING (event_id))
+SELECT location, count(*) FILTER (hit) AS served_from_cache, count(*) FILTER (NOT hit) AS lookups, 1::BIGINT AS cache_size
+FROM h, f WHERE epoch_us(ts) // 1000 < final GROUP BY 1""",
     "location_enrich_async": "SELECT event_id, location, md5(location) AS location_info FROM m",
 }
 
