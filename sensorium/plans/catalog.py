@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import decode
 from ..functions.correct import apply_corrections
-from ..operators import enrich, metrics, ordered, windows
+from ..operators import enrich, folds, metrics, ordered, process, windows
 from ..sources import kafka, tables
 from ..session import scratch_path
 from ..sources.replay import assign_batches, run_replay
@@ -234,6 +234,41 @@ def ttl_stream_final(spark, sf):
     return ordered.ttl_cache_stats(_hot_replayed(spark, raw, fold), "location")
 
 
+def user_aggregate_windows(spark, sf):
+    """A user aggregate (lowest, highest and first value) over sliding windows."""
+    w = folds.aggregate_windows(_decoded(spark, sf), folds.Extremes(), 14_400, 3_600, tie="event_id")
+    return to_oracle_ts(w, "window_start", "window_end")
+
+
+def buffer_fold_split(spark, sf):
+    """A user fold that needs the order of a window's rows, with a third of all rows at one location."""
+    hot = F.when(F.col("event_id") % 3 == 0, F.lit("NATION_0")).otherwise(F.col("location"))
+    w = folds.fold_windows(_decoded(spark, sf).withColumn("location", hot), folds.Variation(), 86_400, 21_600, tie="event_id")
+    return to_oracle_ts(w.withColumn("path", F.round("path", 6)), "window_start", "window_end")
+
+
+SESSION_GAP_MS = 28_800_000
+
+
+def _sessions(df):
+    named = df.select("sensor_id", F.timestamp_micros("start_us").alias("session_start"), F.timestamp_micros("end_us").alias("session_end"), "n",
+                      F.round("total", 6).alias("total"))
+    return to_oracle_ts(named, "session_start", "session_end")
+
+
+def session_gap_process(spark, sf):
+    """A user process function with state and timers: sessions per sensor."""
+    return _sessions(process.keyed_process(_decoded(spark, sf), process.Sessions(SESSION_GAP_MS), "sensor_id", horizon_ms=SESSION_GAP_MS))
+
+
+def session_stream_final(spark, sf):
+    """The same function on a stream with late rows."""
+    def build(raw):
+        m = decode.decode_measurements(with_event_time(raw, REPLAY_DELAY_MS), keep=("offset",)).withColumnRenamed("offset", "event_id")
+        return process.keyed_process_stream(m, process.Sessions(SESSION_GAP_MS), "sensor_id")
+    return _sessions(_replayed(spark, sf, build))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_record_projection": raw_record_projection,
     "location_list": location_list,
@@ -264,4 +299,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sort_ema_per_event": sort_ema_per_event,
     "ema_hot_stream_final": ema_hot_stream_final,
     "ttl_stream_final": ttl_stream_final,
+    "user_aggregate_windows": user_aggregate_windows,
+    "buffer_fold_split": buffer_fold_split,
+    "session_gap_process": session_gap_process,
+    "session_stream_final": session_stream_final,
 }

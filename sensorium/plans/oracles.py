@@ -73,6 +73,14 @@ _KEPT = _REPLAY + """, r AS (SELECT sensor_id, event_id, ts, value FROM b JOIN w
 """
 
 
+def _sessions(rows: str, closed: str) -> str:
+    return f""", gaps AS (SELECT sensor_id, event_id, ts, value, coalesce(epoch_us(ts) // 1000 - epoch_us(lag(ts) OVER o) // 1000 > 28800000, true) AS new
+  FROM {rows} WINDOW o AS (PARTITION BY sensor_id ORDER BY ts, event_id)),
+parts AS (SELECT *, sum(CAST(new AS INTEGER)) OVER (PARTITION BY sensor_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS k FROM gaps)
+SELECT sensor_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n, round(sum(value), 6) AS total
+FROM parts GROUP BY sensor_id, k{closed}"""
+
+
 BODIES = {
     "raw_record_projection":
         """SELECT ts AS timestamp, CAST(NULL AS VARCHAR) AS key, '{"sensorId":' || sensor_id || ',"value":' || value || ',"location":"' || location ||
@@ -143,6 +151,17 @@ SELECT sensor_id, event_id, pos, ema, ts FROM e, f WHERE pos > 1 AND epoch_us(ts
               lambda s, x: CASE WHEN x.us - s.us > 3600000000 THEN x ELSE s END).id <> event_id AS hit FROM r JOIN m USING (event_id))
 SELECT location, count(*) FILTER (hit) AS served_from_cache, count(*) FILTER (NOT hit) AS lookups, 1::BIGINT AS cache_size
 FROM h, f WHERE epoch_us(ts) // 1000 < final GROUP BY 1""",
+    "user_aggregate_windows": """SELECT ws AS window_start, ws + INTERVAL 4 HOUR AS window_end, location, count(*) AS n, min(value) AS low,
+       max(value) AS high, arg_min(value, (ts, event_id)) AS first_value
+FROM (SELECT m.*, time_bucket(INTERVAL 1 HOUR, ts) - to_hours(k) AS ws FROM m, range(4) r(k)) GROUP BY ALL""",
+    "buffer_fold_split": """, h AS (SELECT event_id, ts, value, CASE WHEN event_id % 3 = 0 THEN 'NATION_0' ELSE location END AS location,
+  time_bucket(INTERVAL 6 HOUR, ts, TIMESTAMP '1970-01-01') - to_hours(6 * k) AS ws FROM m, range(4) r(k)),
+d AS (SELECT *, value - lag(value) OVER (PARTITION BY location, ws ORDER BY ts, event_id) AS step FROM h)
+SELECT ws AS window_start, ws + INTERVAL 1 DAY AS window_end, location, count(*) AS n, count(*) FILTER (step > 0) AS rises,
+       round(coalesce(sum(abs(step)), 0), 6) AS path, arg_min(value, (ts, event_id)) AS first_value, arg_max(value, (ts, event_id)) AS last_value
+FROM d GROUP BY ALL""",
+    "session_gap_process": _sessions("m", ""),
+    "session_stream_final": _KEPT + _sessions("r, f WHERE epoch_us(ts) // 1000 < final", " HAVING max(epoch_us(ts) // 1000) + 28800000 < (SELECT final FROM f)"),
     "location_enrich_async": "SELECT event_id, location, md5(location) AS location_info FROM m",
 }
 

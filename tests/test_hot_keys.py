@@ -32,7 +32,7 @@ def _rows(n=900, seed=4, odd=False):
 
 def _accepted(rows):
     """Rows that the late rule keeps and the final watermark releases, per sensor in order."""
-    ms = lambda t: int((t - T0).total_seconds() * 1000)
+    ms = lambda t: (t - T0) // timedelta(milliseconds=1)
     top, wm, kept = None, None, {}
     for b in sorted({r[5] for r in rows}):
         batch = [r for r in rows if r[5] == b]
