@@ -123,3 +123,24 @@ def dead_letter_counts(raw: DataFrame, by: str = "partition") -> DataFrame:
     """Number of undecodable records per source partition."""
     return dead_letters(raw).groupBy(by).agg(F.count(F.lit(1)).alias("n_bad"))
 
+
+
+MEASUREMENT, DEAD_LETTER = "measurement", "dead_letter"
+
+
+def split_records(raw: DataFrame, keep: tuple[str, ...] = (), metrics=None) -> DataFrame:
+    """Every record once, from one parse: ``kind`` (measurement or dead letter), the ``keep`` columns of the record, the decoded fields
+    of a measurement and ``raw`` (the record's bytes) of a dead letter.
+
+    For a sink divided by ``kind``: one query then writes both outputs in one commit, so neither has a record
+    twice or lacks one after a restart.
+    """
+    p = with_parsed(raw)
+    ok = F.col("_ok") & F.col("ts").isNotNull()
+    if metrics is not None:
+        p = p.observe(metrics, F.count(F.lit(1)).alias("n_records"), F.count(F.when(~ok, 1)).alias("n_bad"))
+    only = lambda c: F.when(ok, F.col(c))
+    cols = [F.when(ok, MEASUREMENT).otherwise(DEAD_LETTER).alias("kind"), *[F.col(k) for k in keep], only("sensor_id").alias("sensor_id"),
+            only("_value").alias("value"), only("location").alias("location"), only("measurement_information").alias("measurement_information"),
+            F.col("ts"), F.when(~ok, F.col("value")).alias("raw")]
+    return p.select(_emit_if(F.lit(True), cols))

@@ -15,6 +15,7 @@ from ..sources import kafka, tables
 from ..session import scratch_path
 from ..sources.replay import assign_batches, run_replay
 from ..sources.tables import to_oracle_ts
+from ..streaming import delivery, monitor
 from ..streaming.hot_keys import HotKeyFold
 from ..streaming.sort_ema import sort_correct_ema
 from ..streaming.windows import sliding_stream, with_event_time
@@ -269,6 +270,83 @@ def session_stream_final(spark, sf):
     return _sessions(_replayed(spark, sf, build))
 
 
+def _failing_service():
+    """The digest service, which one place breaks."""
+    digest = _digest_service()
+
+    def lookup(location):
+        if location == "NATION_3":
+            raise LookupError(location)
+        return digest(location)
+    return lookup
+
+
+def location_enrich_failures(spark, sf):
+    """Lookups with rows that have no location, and a location whose lookup fails: both get NULL."""
+    m = tables.measurements(spark, sf).select("event_id", F.when(F.col("event_id") % 11 != 0, F.col("location")).alias("location"))
+    return enrich.enrich_lookup(m, _failing_service, on_error="null")
+
+
+LAG_SAMPLES = 100
+
+
+def lag_stream_final(spark, sf):
+    """Lag over each location's latest samples, kept in the stream's state."""
+    now = tables.measurements(spark, sf).agg(F.max(F.unix_millis("ts"))).first()[0]
+
+    def build(raw):
+        m = decode.decode_measurements(raw, keep=("offset",)).withColumnRenamed("offset", "event_id")
+        return monitor.latest_lag(m, "location", F.lit(now + CLOCK_PLUS_MS), samples=LAG_SAMPLES)
+    out = monitor.current(_replayed(spark, sf, build), "location")
+    return out.select("location", "n", "min_lag", "max_lag", *[F.round(c, 3).alias(c) for c in ("avg_lag", "stddev_lag", "p50", "p99")])
+
+
+def _redelivered(raw):
+    """Records of which every tenth comes again, one batch later."""
+    b = assign_batches(raw, REPLAY_BATCHES, "offset", LATE, LATE_EVERY)
+    return b.union(b.filter(F.col("offset") % 10 == 3).withColumn("batch", F.col("batch") + 1))
+
+
+def redelivered_stream_final(spark, sf):
+    """At-least-once delivery: repeats are removed, late records dropped."""
+    def build(raw):
+        return decode.decode_measurements(delivery.drop_redelivered(raw, REPLAY_DELAY_MS), keep=("offset",))
+    return run_replay(_redelivered(tables.raw_records(spark, sf)), build).select(F.col("offset").alias("event_id"), "sensor_id", "value")
+
+
+def stream_counters(spark, sf):
+    """Counters of every micro-batch of a stream with repeated, late and malformed records."""
+    progress: list = []
+
+    def build(raw):
+        return decode.split_records(delivery.drop_redelivered(raw, REPLAY_DELAY_MS), keep=("offset",), metrics="decode")
+    run_replay(_redelivered(tables.malformed_records(spark, sf)), build, partition_by="kind", progress=progress)
+    found = monitor.counters(spark, progress).filter("input_rows > 0")
+    return found.select("batch_id", "input_rows", "late", F.col("metrics")["decode.n_records"].alias("records"), F.col("metrics")["decode.n_bad"].alias("bad"))
+
+
+def dead_letter_stream_final(spark, sf):
+    """Measurements and dead letters of one stream, side by side in one sink."""
+    raw = assign_batches(tables.malformed_records(spark, sf), REPLAY_BATCHES, "offset", LATE, LATE_EVERY)
+    out = run_replay(raw, lambda r: decode.split_records(r, keep=("offset",)), partition_by="kind")
+    return out.select("kind", F.col("offset").alias("event_id"), "sensor_id", "value")
+
+
+SKEW_DELAY_MS = 3_600_000
+
+
+def skewed_partitions_stream(spark, sf):
+    """Hourly windows of a stream one of whose partitions is two batches behind the others, with a watermark per partition."""
+    raw = assign_batches(tables.raw_records(spark, sf), REPLAY_BATCHES, "offset")
+    behind = F.least(F.col("batch") + 2, F.lit(REPLAY_BATCHES - 1))
+    raw = raw.withColumn("batch", F.when(F.col("partition") == 2, behind).otherwise(F.col("batch")))
+
+    def build(stream):
+        timed = delivery.with_partition_event_time(stream, range(tables.N_RAW_PARTITIONS), SKEW_DELAY_MS)
+        return windows.sliding_count_sum(decode.decode_measurements(timed), 3_600, 3_600)
+    return _round_sum(run_replay(raw, build))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_record_projection": raw_record_projection,
     "location_list": location_list,
@@ -303,4 +381,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "buffer_fold_split": buffer_fold_split,
     "session_gap_process": session_gap_process,
     "session_stream_final": session_stream_final,
+    "location_enrich_failures": location_enrich_failures,
+    "lag_stream_final": lag_stream_final,
+    "redelivered_stream_final": redelivered_stream_final,
+    "stream_counters": stream_counters,
+    "dead_letter_stream_final": dead_letter_stream_final,
+    "skewed_partitions_stream": skewed_partitions_stream,
 }

@@ -162,6 +162,28 @@ SELECT ws AS window_start, ws + INTERVAL 1 DAY AS window_end, location, count(*)
 FROM d GROUP BY ALL""",
     "session_gap_process": _sessions("m", ""),
     "session_stream_final": _KEPT + _sessions("r, f WHERE epoch_us(ts) // 1000 < final", " HAVING max(epoch_us(ts) // 1000) + 28800000 < (SELECT final FROM f)"),
+    "location_enrich_failures": "SELECT event_id, l AS location, CASE WHEN l <> 'NATION_3' THEN md5(l) END AS location_info "
+                                "FROM (SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN location END AS l FROM m)",
+    "lag_stream_final": _REPLAY + f""", k AS (SELECT (epoch_us(max(ts)) // 1000) + 3600000 AS now_ms FROM m),
+l AS (SELECT location, now_ms - (epoch_us(ts) // 1000) AS lag FROM b, k
+      QUALIFY row_number() OVER (PARTITION BY location ORDER BY batch DESC, ts DESC, event_id DESC) <= 100)
+SELECT location, {_FIGURES} FROM l GROUP BY 1""",
+    "redelivered_stream_final": _REPLAY + """SELECT event_id, sensor_id, value FROM b JOIN w USING (batch)
+WHERE wm_before IS NULL OR epoch_us(ts) > wm_before * 1000""",
+    "stream_counters": _REPLAY + """, r AS (SELECT *, false AS again FROM b UNION ALL SELECT * REPLACE (batch + 1 AS batch), true FROM b WHERE event_id % 10 = 3),
+t AS (SELECT batch, max(epoch_us(ts) // 1000) AS top FROM r GROUP BY batch),
+u AS (SELECT batch, row_number() OVER (ORDER BY batch) - 1 AS batch_id,
+             max(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - 86400000 AS wm_late FROM t),
+j AS (SELECT *, wm_late IS NOT NULL AND epoch_us(ts) <= wm_late * 1000 AS late FROM r JOIN u USING (batch))
+SELECT batch_id, count(*) AS input_rows, count(*) FILTER (late) AS late, count(*) FILTER (NOT late AND NOT again) AS records,
+       count(*) FILTER (NOT late AND NOT again AND event_id % 7 IN (0, 1)) AS bad FROM j GROUP BY 1""",
+    "dead_letter_stream_final":
+        "SELECT CASE WHEN event_id % 7 IN (0, 1) THEN 'dead_letter' ELSE 'measurement' END AS kind, event_id, "
+        "CASE WHEN event_id % 7 NOT IN (0, 1) THEN sensor_id END AS sensor_id, "
+        "CASE event_id % 7 WHEN 0 THEN NULL WHEN 1 THEN NULL WHEN 2 THEN 0.0 ELSE value END AS value FROM m",
+    "skewed_partitions_stream": """, f AS (SELECT min(top) - 3600000 AS final FROM (SELECT max(epoch_us(ts) // 1000) AS top FROM m GROUP BY event_id % 3))
+SELECT ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, location, count(*) AS events_per_window, round(sum(value), 6) AS sum_per_window
+FROM (SELECT m.*, time_bucket(INTERVAL 1 HOUR, ts) AS ws FROM m), f WHERE epoch_us(ws) // 1000 + 3600000 <= final GROUP BY ALL""",
     "location_enrich_async": "SELECT event_id, location, md5(location) AS location_info FROM m",
 }
 

@@ -26,6 +26,7 @@ OUT_OF_ORDERNESS_MS = 250
 CACHE_TTL_MS = 1000
 ROUND_TIMER_TO_MS = 100
 ASYNC_CAPACITY = 30
+LAG_SAMPLES = 10_000
 DEFAULT_CORRECTIONS = {"Berlin": 1.0}
 # ----------------------------------------------------------------------------
 

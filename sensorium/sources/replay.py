@@ -33,13 +33,23 @@ def replay_stream(spark: SparkSession, folder: str, schema) -> DataFrame:
     return spark.readStream.schema(schema).parquet(folder)
 
 
+def _child(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session with the settings of ``spark`` and these, which no other stream of ``spark`` sees."""
+    child = spark.newSession()
+    for k, v in (spark.conf.getAll | settings).items():
+        if child.conf.isModifiable(k) and child.conf.get(k, None) != v:
+            child.conf.set(k, v)
+    return child
+
+
 def run_replay(df: DataFrame, build: Callable[[DataFrame], DataFrame], batch: str = "batch",
-               root: str | None = None) -> DataFrame:
+               root: str | None = None, partition_by: str | None = None, progress: list | None = None) -> DataFrame:
     """The output of the stream ``build(raw)`` over ``df`` without its ``batch``
     column, replayed batch by batch.
 
     Only the last run ends with a batch without data, as one uninterrupted run
-    would: within it, state is released up to the final watermark.
+    would: within it, state is released up to the final watermark. ``partition_by`` divides the sink's folder by a
+    column; ``progress`` receives the progress of every micro-batch.
     """
     spark = df.sparkSession
     root = root or scratch_path(spark, "replay")
@@ -48,18 +58,16 @@ def run_replay(df: DataFrame, build: Callable[[DataFrame], DataFrame], batch: st
     schema = df.drop(batch).schema
     table = spark.read.schema(df.schema).parquet(staged)
     batches = sorted(r[0] for r in table.select(batch).distinct().collect())  # one value per micro-batch
-    before = spark.conf.get(_NO_DATA, "true")
+    sessions = {last: _child(spark, {_NO_DATA: str(last).lower()}) for last in (False, True)}
     stream = None
-    try:
-        for i, b in enumerate(batches):
-            table.filter(F.col(batch) == b).drop(batch).write.mode("append").parquet(folder)
-            spark.conf.set(_NO_DATA, "true" if i == len(batches) - 1 else "false")
-            stream = build(replay_stream(spark, folder, schema))
-            q = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/checkpoint") \
-                .trigger(availableNow=True).start(out)
-            q.awaitTermination()
-    finally:
-        spark.conf.set(_NO_DATA, before)
+    for i, b in enumerate(batches):
+        table.filter(F.col(batch) == b).drop(batch).write.mode("append").parquet(folder)
+        stream = build(replay_stream(sessions[i == len(batches) - 1], folder, schema))
+        w = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/checkpoint")
+        q = (w.partitionBy(partition_by) if partition_by else w).trigger(availableNow=True).start(out)
+        q.awaitTermination()
+        if progress is not None:
+            progress.extend(q.recentProgress)
     if stream is None:
         return build(spark.createDataFrame([], schema))
     return spark.read.schema(stream.schema).parquet(out)

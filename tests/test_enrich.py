@@ -68,6 +68,75 @@ def test_hits_go_out_before_misses_and_expired_entries_leave(monkeypatch):
     assert next(out)["hit"].tolist() == [False] and asked == ["a", "slow", "a"]
 
 
+def _frames(*batches):
+    import pandas as pd
+    return iter([pd.DataFrame({"k": b, "n": range(len(b))}) for b in batches])
+
+
+def test_a_slow_key_does_not_hold_later_batches():
+    import threading
+
+    gate, asked = threading.Event(), []
+
+    def client(k):
+        asked.append(k)
+        if k == "slow":
+            assert gate.wait(20)
+        return k.upper()
+    out = enrich._lookup_batches(_frames(["slow", "a"], ["a", "slow", None], ["b", "a"]), lambda: client, "k", "info", 10_000, 4, None, "hit")
+    seen = [next(out) for _ in range(4)]
+    assert [f["k"].tolist() for f in seen] == [["a"], ["a", None], ["a"], ["b"]]
+    assert seen[1]["info"].tolist() == ["A", None] and seen[1]["hit"].tolist() == [True, False]
+    gate.set()
+    rest = list(out)
+    assert [f["info"].tolist() for f in rest] == [["SLOW", "SLOW"]] and rest[0]["hit"].tolist() == [False, True]
+    assert asked == ["slow", "a", "b"]
+
+
+def test_waiting_rows_are_bounded():
+    import threading
+
+    gate = threading.Event()
+    timer = threading.Timer(0.3, gate.set)
+    timer.start()
+    out = enrich._lookup_batches(_frames(["slow"] * 5, ["slow"] * 5, ["x"]), lambda: lambda k: gate.wait(20) and k, "k", "info", 10_000, 2, None, None, "raise", 6)
+    assert len(next(out)) == 10 and gate.is_set()  # the third batch isn't read before
+    assert sum(len(f) for f in out) == 1
+
+
+def test_failing_and_overdue_lookups():
+    import time
+
+    def client(k):
+        if k == "bad":
+            raise ValueError("no such place")
+        if k == "slow":
+            time.sleep(1.5)
+        return k.upper()
+    run = lambda rule: enrich._lookup_batches(_frames(["bad", "a", "slow"], ["bad", "a"]), lambda: client, "k", "info", 10_000, 4, 0.4, None, rule)
+    import pandas as pd
+    got = pd.concat(list(run("null")))
+    assert sorted(zip(got["k"], got["info"], strict=True), key=str) == [("a", "A"), ("a", "A"), ("bad", None), ("bad", None), ("slow", None)]
+    with pytest.raises(ValueError, match="no such place"):
+        list(run("raise"))
+
+
+def test_null_and_failing_keys_in_a_job(spark):
+    def factory():
+        def client(k):
+            if k == "b":
+                raise KeyError(k)
+            return k * 2
+        return client
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "b"), (4, "a")], "event_id long, location string")
+    got = {r.event_id: r.location_info for r in enrich.enrich_lookup(df, factory, on_error="null").collect()}
+    assert got == {1: "aa", 2: None, 3: None, 4: "aa"}
+    assert enrich.enrich_lookup(df.filter("event_id <> 3"), factory).filter("location_info is null").count() == 1
+    with pytest.raises(Exception, match="KeyError"):
+        enrich.enrich_lookup(df, factory).collect()
+    assert enrich.enrich_lookup(df.limit(0), factory).count() == 0
+
+
 def test_ttl_stats_add_up(spark):
     m = tables.measurements(spark, SF001)
     h = ordered.ttl_cache_hits(m, key="location", ttl_ms=3_600_000)
