@@ -240,6 +240,25 @@ def fold_windows(df: DataFrame, acc: Accumulator, size_s: float = WINDOW_SIZE_SE
     return _windows(df, acc, size_s, slide_s, key, ts, tie, True, num_partitions)
 
 
+class CountSum(Accumulator):
+    """Count and sum of a column (a null value makes the sum NaN, as Arrow hands it over)."""
+
+    state = output = "events_per_window long, sum_per_window double"
+
+    def __init__(self, value: str = "value"):
+        self.inputs = (value,)
+
+    def create(self):
+        return 0, 0.0
+
+    def add(self, state, rows):
+        v = rows[self.inputs[0]]
+        return state[0] + len(v), state[1] + float(np.sum(v))
+
+    def merge(self, first, second):
+        return first[0] + second[0], first[1] + second[1]
+
+
 class Extremes(Accumulator):
     """Number of rows, lowest and highest value, and the value of the first row by (time, tie)."""
 

@@ -270,7 +270,8 @@ class TtlRefresh(Kernel):
     def compose(self, first, second):
         limits, ends = first
         i = int(np.searchsorted(second[0], limits[-1], side="right")) if len(limits) else 0
-        through = np.array([self.apply(second, e) for e in ends.tolist()], dtype=np.int64)
+        at = np.searchsorted(second[0], ends, side="right")
+        through = np.where(at < len(second[1]), np.append(second[1], 0)[at], ends)
         return _steps(np.concatenate([limits, second[0][i:]]), np.concatenate([through, second[1][i:]]))
 
 

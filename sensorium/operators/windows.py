@@ -6,11 +6,8 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schema import DEFAULT_SLIDE_SECONDS, WINDOW_SIZE_SECONDS
 
@@ -20,6 +17,10 @@ def _dur(seconds: float) -> str:
     return f"{ms // 1000} seconds" if ms % 1000 == 0 else f"{ms} milliseconds"
 
 
+def _interval(seconds: float) -> Column:
+    return F.expr(f"interval {_dur(seconds)}")
+
+
 def window_struct(ts: str, size_s: int, slide_s: int):
     """``F.window`` for slide <= size (each row in every covering window)."""
     if slide_s <= 0 or size_s <= 0:
@@ -42,7 +43,7 @@ def assign_windows(df: DataFrame, size_s: int = WINDOW_SIZE_SECONDS,
         return df.withColumn("_w", w).withColumn("window_start", F.col("_w.start")) \
                  .withColumn("window_end", F.col("_w.end")).drop("_w")
     # tumble by the slide; a row belongs to the first ``size`` of it
-    end = F.col("_w.start") + F.expr(f"interval '{size_s}' second")
+    end = F.col("_w.start") + _interval(size_s)
     return (df.withColumn("_w", F.window(ts, _dur(slide_s)))
               .withColumn("window_start", F.col("_w.start")).withColumn("window_end", end)
               .filter(F.col(ts) < F.col("window_end")).drop("_w"))
@@ -111,7 +112,7 @@ def sampling_count_sum(meas: DataFrame, size_s: int, slide_s: int, key: str = "l
     and only the first ``size`` of each counts. A result is emitted once the
     watermark passes the end of the slide.
     """
-    end = F.col("window.start") + F.expr(f"interval '{size_s}' second")
+    end = F.col("window.start") + _interval(size_s)
     rows = meas.select(key, ts, value, F.window(ts, _dur(slide_s)).alias("window")).filter(F.col(ts) < end)
     out = rows.groupBy("window", key).agg(F.count(F.lit(1)).alias("events_per_window"), F.sum(value).alias("sum_per_window"))
     return out.select(F.col("window.start").alias("window_start"), end.alias("window_end"), key, "events_per_window", "sum_per_window")
@@ -136,45 +137,13 @@ def buffered_windows(meas: DataFrame, size_s: float = WINDOW_SIZE_SECONDS, slide
     w = window_struct(ts, size_s, slide_s) if slide_s <= size_s else F.window(ts, _dur(slide_s))
     row = F.struct(F.col(ts).alias("ts"), (F.col(tie) if tie else F.lit(0)).alias("tie"), F.col(value).alias("value"))
     rows = meas.select(w.alias("window"), key, row.alias("_row"))
-    end = F.col("window.start") + F.expr(f"interval '{size_s}' second")
+    end = F.col("window.start") + _interval(size_s)
     rows = rows.filter(F.col("_row.ts") < end) if slide_s > size_s else rows
     buffers = rows.groupBy("window", key).agg(F.array_sort(F.collect_list("_row")).alias("_buffer"))
     return buffers.select(F.col("window.start").alias("window_start"), end.alias("window_end"), key,
                           *[c.alias(n) for n, c in fold(F.col("_buffer")).items()])
 
 
-_PARTIAL = T.StructType([
-    T.StructField("window_start", T.LongType()),  # epoch micros
-    T.StructField("window_end", T.LongType()),
-    T.StructField("key", T.StringType()),
-    T.StructField("n", T.LongType()),
-    T.StructField("s", T.DoubleType()),
-])
-
-
-def _fold_buffers(batches):
-    """Walk the rows of each (key, window) buffer in order and fold them.
-
-    Rows arrive sorted by (key, window, ts, tie); a buffer may straddle Arrow
-    batches and partitions, so each run yields a partial (n, s) that the
-    caller merges.
-    """
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        k = pdf["key"].to_numpy()
-        ws = pdf["window_start"].to_numpy()
-        brk = np.ones(len(pdf), dtype=bool)
-        brk[1:] = (k[1:] != k[:-1]) | (ws[1:] != ws[:-1])
-        starts = np.flatnonzero(brk)
-        vals = pdf["value"].to_numpy(dtype="float64")
-        counts = np.diff(np.append(starts, len(pdf)))
-        sums = np.add.reduceat(vals, starts)
-        yield pd.DataFrame({"window_start": pdf["window_start"].to_numpy()[starts],
-                            "window_end": pdf["window_end"].to_numpy()[starts],
-                            "key": k[starts], "n": counts.astype("int64"), "s": sums})
-
-
 def sliding_full_buffer(meas: DataFrame, size_s: int = WINDOW_SIZE_SECONDS,
                         slide_s: int = DEFAULT_SLIDE_SECONDS, key: str = "location",
                         ts: str = "ts", value: str = "value", tie: str | None = None,
@@ -182,23 +151,13 @@ def sliding_full_buffer(meas: DataFrame, size_s: int = WINDOW_SIZE_SECONDS,
     """Count and sum per key and window computed over whole window buffers.
 
     The reference's non-incremental variant keeps every row of a window and
-    folds them when the window fires. Here the expanded rows are globally
-    sorted by (key, window, ts) — a range exchange, so one hot (key, window)
-    is split over several tasks instead of landing in one — then every task
-    walks its rows in order (Arrow batches, bounded memory) and emits one
-    partial per buffer run; a final merge adds the partials. Same result as
+    folds them when the window fires. Here rows are sorted once by (key, ts, tie) —
+    a range exchange, so one hot key is split over several tasks — and folded in
+    order per pane; the panes' states make up the windows
+    (:func:`~sensorium.operators.folds.fold_windows`). Same result as
     :func:`sliding_count_sum`, with the rows (not partials) shuffled.
     """
-    w = assign_windows(meas.select(F.col(key).cast("string").alias("key"), ts, value,
-                                   *([tie] if tie else [])), size_s, slide_s, ts)
-    order = ["key", "window_start", ts] + ([tie] if tie else [])
-    srt = w.repartitionByRange(num_partitions, *order) if num_partitions else w.orderBy(*order)
-    srt = srt.sortWithinPartitions(*order) if num_partitions else srt
-    parts = srt.select("key", F.unix_micros("window_start").alias("window_start"),
-                       F.unix_micros("window_end").alias("window_end"), F.col(value).alias("value")) \
-               .mapInPandas(_fold_buffers, _PARTIAL) \
-               .withColumn("window_start", F.timestamp_micros("window_start")) \
-               .withColumn("window_end", F.timestamp_micros("window_end"))
-    out = parts.groupBy("window_start", "window_end", "key").agg(
-        F.sum("n").alias("events_per_window"), F.sum("s").alias("sum_per_window"))
-    return out.withColumn("key", F.col("key").cast(meas.schema[key].dataType)).withColumnRenamed("key", key)
+    from .folds import CountSum, fold_windows
+
+    return fold_windows(meas, CountSum(value), size_s, slide_s, key, ts, tie, num_partitions) \
+        .select("window_start", "window_end", key, "events_per_window", "sum_per_window")

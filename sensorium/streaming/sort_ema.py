@@ -59,6 +59,35 @@ def _timeout_ms(ts_ms: int, round_to_ms: int | None) -> int:
     return ts_ms // round_to_ms * round_to_ms + round_to_ms - 1
 
 
+def _late(us: np.ndarray, wm: int) -> np.ndarray:
+    """Rows whose millisecond time is before the watermark."""
+    return us // 1000 < wm
+
+
+class _Released:
+    """A sensor's buffered rows split at the watermark: ``frame`` holds those released (None if there are none),
+    ``rest`` the others, ``progress`` the average, whether there is one, and the position after them."""
+
+    def __init__(self, kernel: MovingAverage, sensor: int, rows: tuple[np.ndarray, np.ndarray, np.ndarray], wm: int, progress):
+        us, tie, val = rows
+        order = np.lexsort((tie, us))
+        us, tie, val = us[order], tie[order], val[order]
+        avg, seen, seq = progress
+        n = int(np.searchsorted(us // 1000, wm, side="left"))
+        self.rest, self.progress, self.frame = (us[n:], tie[n:], val[n:]), progress, None
+        if n:
+            states, outs = kernel.fold({"value": val[:n]}, np.array([0]), avg if seen else None, n)
+            self.frame = pd.DataFrame({
+                "sensor_id": np.full(n, sensor, dtype=np.int32),
+                "event_id": tie[:n],
+                "ts_us": us[:n],
+                "value": val[:n],
+                "pos": np.arange(seq + 1, seq + 1 + n, dtype=np.int64),
+                "ema": pd.arrays.FloatingArray(np.asarray(states, dtype=np.float64), mask=~outs["_emit"]),
+            })
+            self.progress = (float(states[-1]), True, int(seq + n))
+
+
 def make_sort_ema(round_to_ms: int | None = ROUND_TIMER_TO_MS, alpha: float = 0.5):
     kernel = MovingAverage("value", alpha)
 
@@ -66,46 +95,25 @@ def make_sort_ema(round_to_ms: int | None = ROUND_TIMER_TO_MS, alpha: float = 0.
         import warnings
         # pandas notice raised inside PySpark's state serializer, per batch
         warnings.filterwarnings("ignore", category=FutureWarning)
-        sensor = int(key[0])
+        parts, progress = [], (None, False, 0)
         if state.exists:
-            b_us, b_tie, b_val, avg, seen, seq = state.get
-            parts_us, parts_tie, parts_val = [np.asarray(b_us, np.int64)], [np.asarray(b_tie, np.int64)], \
-                [np.asarray(b_val, np.float64)]
-        else:
-            parts_us, parts_tie, parts_val = [], [], []
-            avg, seen, seq = None, False, 0
+            b_us, b_tie, b_val, *progress = state.get
+            parts.append((np.asarray(b_us, np.int64), np.asarray(b_tie, np.int64), np.asarray(b_val, np.float64)))
         wm = state.getCurrentWatermarkMs()
         if not state.hasTimedOut:
             for pdf in pdfs:
-                if len(pdf):
-                    us = pdf["ts_us"].to_numpy(np.int64)
-                    keep = (us // 1000) >= wm  # late: before the watermark
-                    parts_us.append(us[keep])
-                    parts_tie.append(pdf["event_id"].to_numpy(np.int64)[keep])
-                    parts_val.append(pdf["value"].to_numpy(np.float64)[keep])
-        if not parts_us:
+                us = pdf["ts_us"].to_numpy(np.int64)
+                keep = ~_late(us, wm)
+                parts.append((us[keep], pdf["event_id"].to_numpy(np.int64)[keep], pdf["value"].to_numpy(np.float64)[keep]))
+        if not parts:
             return
-        us = np.concatenate(parts_us)
-        tie = np.concatenate(parts_tie)
-        val = np.concatenate(parts_val)
-        order = np.lexsort((tie, us))
-        us, tie, val = us[order], tie[order], val[order]
-        n_out = int(np.searchsorted(us // 1000, wm, side="left"))  # released: ms time < watermark
-        if n_out:
-            states, outs = kernel.fold({"value": val[:n_out]}, np.array([0]), avg if seen else None, n_out)
-            emit = outs["_emit"]
-            yield pd.DataFrame({
-                "sensor_id": np.full(n_out, sensor, dtype=np.int32),
-                "event_id": tie[:n_out],
-                "ts_us": us[:n_out],
-                "value": val[:n_out],
-                "pos": np.arange(seq + 1, seq + 1 + n_out, dtype=np.int64),
-                "ema": pd.arrays.FloatingArray(np.asarray(states, dtype=np.float64), mask=~emit),
-            })
-            avg, seen, seq = float(states[-1]), True, int(seq + n_out)
-        state.update((us[n_out:].tolist(), tie[n_out:].tolist(), val[n_out:].tolist(), avg, seen, seq))
-        if n_out < len(us):
-            state.setTimeoutTimestamp(_timeout_ms(int(us[n_out]) // 1000, round_to_ms))
+        out = _Released(kernel, int(key[0]), tuple(np.concatenate(c) for c in zip(*parts, strict=True)), wm, tuple(progress))
+        if out.frame is not None:
+            yield out.frame
+        us, tie, val = out.rest
+        state.update((us.tolist(), tie.tolist(), val.tolist(), *out.progress))
+        if len(us):
+            state.setTimeoutTimestamp(_timeout_ms(int(us[0]) // 1000, round_to_ms))
 
     return sort_ema
 
@@ -125,8 +133,8 @@ class SortEmaProcessor(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
         self.kernel = MovingAverage("value", self.alpha)
-        self.events = handle.getListState("events", "ts_us long, tie long, value double")
-        self.average = handle.getValueState("movingAverage", "avg double, seen boolean, seq long, drained long")
+        self.unreleased = handle.getListState("unreleased", "ts_us long, tie long, value double")
+        self.released = handle.getValueState("released", "avg double, seen boolean, seq long, drained long")
 
     def _timer(self, ts_ms: int) -> int:
         # a Spark event-time timer t fires once watermark >= t
@@ -138,58 +146,34 @@ class SortEmaProcessor(StatefulProcessor):
         wm = timerValues.getCurrentWatermarkInMs()
         kept, timers = [], set()
         for pdf in rows:
-            if not len(pdf):
-                continue
             us = pdf["ts_us"].to_numpy(np.int64)
-            keep = (us // 1000) >= wm  # late: before the watermark
-            tie = pdf["event_id"].to_numpy(np.int64)[keep]
-            val = pdf["value"].to_numpy(np.float64)[keep]
+            keep = ~_late(us, wm)
             us = us[keep]
-            kept.extend(zip(us.tolist(), tie.tolist(), val.tolist()))
+            kept.extend(zip(us.tolist(), pdf["event_id"].to_numpy(np.int64)[keep].tolist(), pdf["value"].to_numpy(np.float64)[keep].tolist(), strict=True))
             timers.update(self._timer(int(t)) for t in np.unique(us // 1000).tolist())
         if kept:
-            self.events.appendList(kept)
+            self.unreleased.appendList(kept)
             for t in sorted(timers):
                 self.handle.registerTimer(t)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         wm = timerValues.getCurrentWatermarkInMs()
-        st = self.average.get() if self.average.exists() else None
-        avg, seen, seq, drained = st if st is not None else (None, False, 0, None)
+        *progress, drained = self.released.get() if self.released.exists() else (None, False, 0, None)
         if drained == wm:
             return iter([])
-        buf = list(self.events.get()) if self.events.exists() else []
-        if not buf:
-            self.average.update((avg, seen, seq, wm))
-            return iter([])
-        arr = np.array(buf, dtype=object)
-        us = arr[:, 0].astype(np.int64)
-        tie = arr[:, 1].astype(np.int64)
-        val = arr[:, 2].astype(np.float64)
-        order = np.lexsort((tie, us))
-        us, tie, val = us[order], tie[order], val[order]
-        n_out = int(np.searchsorted(us // 1000, wm, side="left"))
-        out = []
-        if n_out:
-            states, outs = self.kernel.fold({"value": val[:n_out]}, np.array([0]), avg if seen else None, n_out)
-            emit = outs["_emit"]
-            out.append(pd.DataFrame({
-                "sensor_id": np.full(n_out, int(key[0]), dtype=np.int32),
-                "event_id": tie[:n_out],
-                "ts_us": us[:n_out],
-                "value": val[:n_out],
-                "pos": np.arange(seq + 1, seq + 1 + n_out, dtype=np.int64),
-                "ema": pd.arrays.FloatingArray(np.asarray(states, dtype=np.float64), mask=~emit),
-            }))
-            avg, seen, seq = float(states[-1]), True, int(seq + n_out)
-            rest = list(zip(us[n_out:].tolist(), tie[n_out:].tolist(), val[n_out:].tolist()))
+        held = list(self.unreleased.get()) if self.unreleased.exists() else []
+        rows = tuple(np.array(c, k) for c, k in zip(zip(*held, strict=True), (np.int64, np.int64, np.float64), strict=True)) if held else \
+            (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        out = _Released(self.kernel, int(key[0]), rows, wm, tuple(progress))
+        if out.frame is not None:
+            rest = list(zip(*(c.tolist() for c in out.rest), strict=True))
             if rest:
-                self.events.put(rest)
+                self.unreleased.put(rest)
             else:
-                self.events.clear()
-        self.average.update((avg, seen, seq, wm))
-        return iter(out)
+                self.unreleased.clear()
+        self.released.update((*out.progress, wm))
+        return iter([] if out.frame is None else [out.frame])
 
     def close(self) -> None:
         pass
