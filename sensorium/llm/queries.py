@@ -12,7 +12,7 @@ from .exact_dedup import exact_groups
 from .filter_audit import filter_audit
 from .hard_negatives import mine
 from .html_text import extract
-from .licenses import PHRASES, TEMPLATES, THRESHOLD, _template_words, scan_licenses
+from .licenses import PHRASES, TEMPLATES, block_words, needed, scan_licenses, words
 from .packing import pack
 from .quality import score_quality
 from .sharding import shard
@@ -117,18 +117,18 @@ ORACLE_SQL = {
                CASE WHEN n >= 1000 AND page_id <> top THEN top END AS refers_to
         FROM d JOIN t USING (h)""",
     "op8_license_scan": rf"""
-        WITH d AS (SELECT doc_id, {_WORDS} AS w,
-                          string_split(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), chr(10)) AS lines
-                   FROM documents),
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
         phrases(label, v) AS (VALUES {', '.join(f"('{v}', {p.split()})" for p, v in PHRASES.items())}),
         places AS (SELECT doc_id, label, p FROM (SELECT doc_id, label, w, v, unnest(range(0, len(w) - len(v) + 1)) AS p
                                                  FROM d, phrases WHERE len(w) >= len(v)) WHERE w[p + 1:p + len(v)] = v),
         base AS (SELECT doc_id, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
                  FROM places GROUP BY doc_id),
-        templates(label, v) AS (VALUES {', '.join(f"('{k}', {_template_words(v)})" for k, v in TEMPLATES.items())}),
-        blocks AS (SELECT doc_id, list_distinct(regexp_extract_all(unnest(lines), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')) AS b FROM d),
-        matched AS (SELECT doc_id, label, len(list_intersect(b, v)) / CAST(len(v) AS DOUBLE) AS containment FROM blocks, templates
-                    WHERE len(list_intersect(b, v)) >= ceil(round({THRESHOLD} * len(v), 9))),
+        templates(label, v, need, size, req, bad) AS (VALUES {', '.join(
+            f"('{t.label}', {sorted(set(words(t.wording)))}, {needed(t)}, {block_words(t)}, {words(t.required)}, {words(t.excluded) or ['']})" for t in TEMPLATES)}),
+        blocks AS (SELECT doc_id, label, v, need, req, bad, w[s:s + size - 1] AS b
+                   FROM (SELECT *, unnest(range(1, greatest(len(w) - size + 1, 1) + 1)) AS s FROM d, templates WHERE list_has_all(w, req))),
+        matched AS (SELECT doc_id, label, len(list_intersect(v, b)) / CAST(len(v) AS DOUBLE) AS containment FROM blocks
+                    WHERE len(list_intersect(v, b)) >= need AND list_has_all(b, req) AND NOT list_has_any(b, bad)),
         every AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
                   FROM (SELECT doc_id, label FROM places UNION SELECT doc_id, label FROM matched) GROUP BY doc_id),
         best AS (SELECT doc_id, max(containment) AS best FROM matched GROUP BY doc_id)
