@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,12 @@ def unpacked(df: DataFrame, names: list[str], row: str = "row") -> DataFrame:
     return df.select(*[F.col(row).getField(c).alias(c) for c in names])
 
 
+def filtered(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``df`` through an Arrow function that keeps its columns, which it may name as it likes (``mapInArrow`` takes no dots)."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*df.columns)
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written as a Parquet table to the shared folder and read again:
     it cuts lineage, survives lost executors and is computed once."""

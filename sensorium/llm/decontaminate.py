@@ -1,18 +1,20 @@
 """Benchmark decontamination with training suffix arrays.
 
 Documents are read where they lie (no shuffle). Each slice of a partition is a shard with a
-suffix array over its words, sorted by 27 words (three rounds of rank triples). Every suffix of
-every benchmark item is binary-searched in every shard; the array's range holds all places
-where the item's window of 13 words occurs. Places on one diagonal of document and item
-join to the longest verbatim matches, whose words are compared byte by byte. Documents with enough
-of their words inside matches are contaminated and removed.
+suffix array over its words, sorted by 27 words (three rounds of rank triples). The suffixes of
+all benchmark items are binary-searched in every shard by their first 13 words (a shorter item by all of its words); suffixes that
+agree there are searched once. The array's range holds all places of such a window, and ranges of one length don't overlap,
+so a shard lists at most 13 places a word, however repetitive document and benchmark are. Hit words are
+compared by their bytes. Each run of hit words is covered by verbatim matches, every one extended from its
+window as far as document and item agree. Documents with enough hit words are contaminated and removed.
 
 The benchmark is the query set. It travels in blocks of at most ``BLOCK_WORDS`` words, so no
 broadcast grows beyond a block; a shard is sorted once and searched with each block in turn.
 
 Defined results: null text has no words and is clean; an item without words never matches; items that
 share an item_id count once, a null item_id reads as an empty string; repeated document rows are judged
-each; empty tables give empty or clean results; further columns pass through ``remove_contaminated``.
+each; a very long text is a shard of its own; empty tables give empty or clean results; further columns pass through
+``remove_contaminated``, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, prepare, ranges, runs, slices, span_hashes
+from .common import as_bytes, filtered, prepare, quoted, ranges, runs, slices, span_hashes
 
 WINDOW = 13
 #: Contaminated from one hit word in so many.
@@ -81,7 +83,7 @@ def suffix_array(tokens: np.ndarray) -> np.ndarray:
 
 
 class Block:
-    """Windows of some benchmark items, ready to search."""
+    """The distinct windows of some benchmark items, ready to search, and where each occurs in the items."""
 
     def __init__(self, items: list[tuple[str, bytes]], window: int):
         self.ids = [i for i, _ in items]
@@ -89,12 +91,36 @@ class Block:
         n = w.counts
         size = np.minimum(n, window)
         each = np.where(n > 0, n - size + 1, 0)
-        self.item = np.repeat(np.arange(len(items)), each)
-        self.offset = ranges(np.zeros(len(items), np.int64), each)
-        self.depth = np.repeat(size, each)
+        item = np.repeat(np.arange(len(items)), each)
+        offset = ranges(np.zeros(len(items), np.int64), each)
+        depth = np.repeat(size, each)
         padded = np.concatenate((w.tokens, np.zeros(window, np.uint64)))
-        self.query = padded[(w.first[self.item] + self.offset)[:, None] + np.arange(window)]
-        self.query[np.arange(window) >= self.depth[:, None]] = 0
+        rows = padded[(w.first[item] + offset)[:, None] + np.arange(window)]
+        rows[np.arange(window) >= depth[:, None]] = 0
+        first, same = _distinct(rows)
+        self.query, self.depth = rows[first], depth[first]
+        self.item, self.offset = item[first], offset[first]  # one place of each window
+        # the items of window k: owners[bounds[k]:bounds[k + 1]]
+        pairs = np.unique(same * max(1, len(items)) + item)
+        self.owners = pairs % max(1, len(items))
+        self.bounds = np.searchsorted(pairs // max(1, len(items)), np.arange(len(first) + 1))
+        self.vocabulary: dict[int, bytes] = {}
+        for token in np.flatnonzero(w.tokens).tolist():
+            if self.vocabulary.setdefault(int(w.tokens[token]), w.word(token)) != w.word(token):
+                raise ValueError("two benchmark words share a 64-bit hash")
+
+
+def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of equal rows the first one's place, and for each row which of these equals it."""
+    if not len(rows):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    mixed = np.zeros(len(rows), np.uint64)
+    for column in rows.T:
+        mixed = (mixed ^ (column + (mixed >> np.uint64(31)))) * np.uint64(0x9E3779B97F4A7C15)
+    _, first, same = np.unique(mixed, return_index=True, return_inverse=True)
+    if (rows[first][same] != rows).any():  # rows that merely share the mixed value
+        _, first, same = np.unique(rows, axis=0, return_index=True, return_inverse=True)
+    return first, same.ravel()
 
 
 def _bound(tokens: np.ndarray, order: np.ndarray, block: Block, upper: bool) -> np.ndarray:
@@ -114,30 +140,72 @@ def _bound(tokens: np.ndarray, order: np.ndarray, block: Block, upper: bool) ->
     return lo
 
 
-def longest_matches(docs: Words, order: np.ndarray, padded: np.ndarray, block: Block) -> np.ndarray:
-    """Maximal verbatim matches as rows (document token, item, item word, number of words)."""
-    none = np.zeros((0, 4), np.int64)
-    if not len(block.item) or not len(order):
-        return none
-    lo, hi = _bound(padded, order, block, False), _bound(padded, order, block, True)
-    n = hi - lo
-    if not n.any():
-        return none
-    q = np.repeat(np.arange(len(n)), n)
-    pos, item, off, depth = order[ranges(lo, n)], block.item[q], block.offset[q], block.depth[q]
-    by = np.lexsort((pos, pos - off, item))
-    pos, item, off, depth = pos[by], item[by], off[by], depth[by]
-    new = np.concatenate(([True], (item[1:] != item[:-1]) | (pos[1:] != pos[:-1] + 1) | (off[1:] != off[:-1] + 1)))
-    begin = np.flatnonzero(new)
-    length = np.diff(np.concatenate((begin, [len(pos)]))) - 1 + depth[begin]
-    found = np.stack((pos[begin], item[begin], off[begin], length), axis=1)
-    return np.array([m for m in found.tolist() if _same(docs, block, m)], np.int64).reshape(-1, 4)
-
-
-def _same(docs: Words, block: Block, match: list[int]) -> bool:
-    at, item, off, n = match
-    start = int(block.words.first[item]) + off
-    return all(docs.word(at + k) == block.words.word(start + k) for k in range(n))
+class _Places:
+    """Where the windows of a block occur in a shard: ``at`` (document token) and ``window``, without places whose bytes differ."""
+
+    def __init__(self, docs: Words, order: np.ndarray, padded: np.ndarray, block: Block):
+        self.at = self.window = np.zeros(0, np.int64)
+        if not len(block.item) or not len(order):
+            return
+        lo, hi = _bound(padded, order, block, False), _bound(padded, order, block, True)
+        n = hi - lo
+        self.at, self.window = order[ranges(lo, n)], np.repeat(np.arange(len(n)), n)
+        if not len(self.at):
+            return
+        edge = np.zeros(len(docs.tokens) + 1, np.int64)
+        np.add.at(edge, self.at, 1)
+        np.add.at(edge, self.at + block.depth[self.window], -1)
+        hit = np.flatnonzero(np.cumsum(edge[:-1]) > 0).tolist()
+        wrong = np.zeros(len(docs.tokens) + 1, np.int64)
+        wrong[1:][[t for t in hit if docs.word(t) != block.vocabulary[int(docs.tokens[t])]]] = 1
+        if wrong.any():
+            before = np.cumsum(wrong)
+            right = before[self.at + block.depth[self.window]] == before[self.at]
+            self.at, self.window = self.at[right], self.window[right]
+
+
+def _owners(docs: Words, places: _Places, block: Block, limit: int = 1 << 20) -> np.ndarray:
+    """Distinct (text, item) pairs, as text * items + item."""
+    n_texts, n_items = len(docs.counts), len(block.ids)
+    seen = np.unique(places.window * n_texts + docs.text_of[places.at])
+    window, text = seen // n_texts, seen % n_texts
+    many = np.diff(block.bounds)[window]
+    out, lo = np.zeros(0, np.int64), 0
+    while lo < len(seen):  # as many at a time as expand to the limit
+        hi = max(lo + 1, int(np.searchsorted(np.cumsum(many[lo:]), limit, side="right")) + lo)
+        part = slice(lo, hi)
+        items = block.owners[ranges(block.bounds[window[part]], many[part])]
+        out = np.union1d(out, np.repeat(text[part], many[part]) * n_items + items)
+        lo = hi
+    return out
+
+
+def _agree(docs: Words, at: int, block: Block, start: int) -> int:
+    """How many words from document token ``at`` and item token ``start`` on are equal."""
+    n, step = 0, 64
+    while True:
+        a, b = docs.tokens[at + n:at + n + step], block.words.tokens[start + n:start + n + step]
+        k = min(len(a), len(b))
+        differ = np.flatnonzero((a[:k] != b[:k]) | (a[:k] == 0))
+        if len(differ) or k < step:
+            n += int(differ[0]) if len(differ) else k
+            break
+        n, step = n + k, 2 * step
+    return next((i for i in range(n) if docs.word(at + i) != block.words.word(start + i)), n)
+
+
+def cover(docs: Words, places: _Places, block: Block) -> Iterator[tuple[int, int, int, int]]:
+    """Verbatim matches that hold all hit words, as (document token, item, item word, words): each is extended from a
+    window as far as it goes, and the next starts from the first window that isn't inside it."""
+    by = np.lexsort((-block.depth[places.window], places.at))
+    until = 0
+    for at, window in zip(places.at[by].tolist(), places.window[by].tolist(), strict=True):
+        if at + int(block.depth[window]) <= until:
+            continue
+        item, offset = int(block.item[window]), int(block.offset[window])
+        n = _agree(docs, at, block, int(block.words.first[item]) + offset)
+        until = at + n
+        yield at, item, offset, n
 
 
 def scan(texts: list[bytes], blocks: Iterable[Block], window: int = WINDOW) -> Iterator[tuple[int, int, list[str], list]]:
@@ -151,14 +219,18 @@ def scan(texts: list[bytes], blocks: Iterable[Block], window: int = WINDOW) -> I
         items: list[set] = [set() for _ in range(hi - lo)]
         matches: list[list] = [[] for _ in range(hi - lo)]
         for b in blocks:
-            found = longest_matches(docs, order, padded, b)
-            np.add.at(edge, found[:, 0], 1)
-            np.add.at(edge, found[:, 0] + found[:, 3], -1)
-            for at, item, off, n in found.tolist():
+            places = _Places(docs, order, padded, b)
+            if not len(places.at):
+                del b
+                continue
+            np.add.at(edge, places.at, 1)
+            np.add.at(edge, places.at + b.depth[places.window], -1)
+            for pair in _owners(docs, places, b).tolist():
+                items[pair // len(b.ids)].add(b.ids[pair % len(b.ids)])
+            for at, item, off, n in cover(docs, places, b):
                 d = int(docs.text_of[at])
-                items[d].add(b.ids[item])
                 matches[d].append((at - int(docs.first[d]), b.ids[item], off, n))
-            del b  # before the next one is built
+            del b, places  # before the next one is built
         hit = np.add.reduceat((np.cumsum(edge[:-1]) > 0).astype(np.int64), docs.first)
         for d in range(hi - lo):
             yield int(docs.counts[d]), int(hit[d]), sorted(items[d]), sorted(matches[d])
@@ -201,7 +273,7 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, id_co
     """One row per document: id, n_words, n_hit, n_items, items_sha256, contaminated, matches."""
     prepare(docs)
     sent = benchmark_blocks(bench, window)
-    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    picked = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"))
     kind = picked.schema["id"].dataType.simpleString()
     match = pa.list_(pa.struct([("doc_word", pa.int64()), ("item_id", pa.string()), ("item_word", pa.int64()), ("n_words", pa.int64())]))
 
@@ -232,4 +304,4 @@ def remove_contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW,
         for b in batches:
             yield b.filter(pa.array([not is_contaminated(n, h) for n, h, _, _ in scan(as_bytes(b.column(at)), blocks, window)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return filtered(docs, run)

@@ -63,6 +63,43 @@ def test_matches_brute_force(make, monkeypatch):
             assert any(x[m.item_word:m.item_word + m.n_words] == w for x in v)
 
 
+def test_long_and_repetitive(make):
+    """Places and windows are no product: a document of one word against an item of the same word."""
+    import resource
+    import time
+
+    items = [(1, "a " * 2000), (2, "b a " * 700), (3, "a"), (4, "b b b b b")]
+    texts = ["a " * 200_000, "a b " * 50_000, "c " * 100_000 + "b a " * 7, "a " * 12 + "c"]
+    began, used = time.time(), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    got = list(D.scan([t.encode() for t in texts], [D.Block([(str(i), b.encode()) for i, b in items], 13)]))
+    assert time.time() - began < 20 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - used < 500_000
+    assert [g[:3] for g in got] == [(200_000, 200_000, ["1", "3"]), (100_000, 100_000, ["2", "3"]), (100_014, 14, ["2", "3"]), (13, 12, ["3"])]
+    assert got[0][3][0] == (0, "1", 0, 2000) and sum(m[3] for m in got[0][3]) >= 200_000 and len(got[0][3]) < 200
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    """Word hashes of two bits: places that only the hash lets through go."""
+    texts, items = corpus()
+    docs = [(t or "").encode() for t in texts]
+    vocabulary = {w: k for k, w in enumerate(sorted({w.encode() for _, b in items for w in words(b)}))}
+
+    def weak(buf, starts, ends):  # benchmark words keep hashes of their own, all others share one of them
+        raw = buf.tobytes()
+        return np.array([vocabulary.get(raw[a:b], 0) + 1 for a, b in zip(starts.tolist(), ends.tolist())], np.uint64)
+    monkeypatch.setattr(D, "span_hashes", weak)
+    blocks = [D.Block([(str(i), (b or "").encode()) for i, b in items], 13)]
+    got = [(n, h, len(i)) for n, h, i, _ in D.scan(docs + [b"other words " * 20], blocks)]
+    want = [w[:3] for w in brute(texts + ["other words " * 20], items)]
+    assert got == want
+
+
+def test_columns_of_any_name(make):
+    docs = make("doc_id long, text string, `meta.lang` string, id int, contaminated int", [(1, "a b c", "x", 1, 2), (2, "d", "y", 3, 4)])
+    bench = make("item_id long, text string, id string", [(1, "b", "z")])
+    assert [tuple(r) for r in D.remove_contaminated(docs, bench).collect()] == [(2, "d", "y", 3, 4)]
+    assert sorted((r.doc_id, r.contaminated) for r in D.contamination(docs, bench).collect()) == [(1, True), (2, False)]
+
+
 def test_suffix_array_sorts_by_27_tokens():
     rnd = np.random.default_rng(0)
     t = rnd.integers(1, 3, 500).astype(np.uint64)
@@ -96,9 +133,13 @@ def test_one_block_at_a_time(make, monkeypatch):
     class Local:  # runs the operator's function here
         columns, schema = ["text"], None
 
+        def toDF(self, *names):
+            return self
+
         def mapInArrow(self, run, schema):
             batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
             kept.extend(t for b in run(iter([batch, batch])) for t in b.column(0).to_pylist())
+            return self
 
     D.remove_contaminated(Local(), make("item_id long, text string", items))
     want = brute(texts, items)
