@@ -4,9 +4,9 @@ Texts become groups (equal texts), each with a byte weight and coordinates in [0
 length, source, language and content hash. A node that has to hold ``m`` shards is cut along its widest
 dimension at the weighted quantile floor(m/2)/m, until every leaf is one shard of the target bytes.
 The quantile is found for all nodes of a level at once by refined histograms: executors sum bytes
-into ``BINS`` intervals per node, and only those sums reach the driver (at most shards x BINS rows,
+into ``BINS`` intervals per shard that a node holds, and only those sums reach the driver (at most shards x BINS rows,
 whatever the input). Every coordinate ends in bits of the content hash, so equal lengths or one hot
-source still split.
+source still split. Each level's nodes are a stored column, and its cuts literals of the plan.
 
 No cut can run through a group. So groups over a small part of the target (at most shards / ``HEAVY`` of them) are dealt first,
 largest first to the shard with most room, and the tree shares out what room is left in each shard.
@@ -16,8 +16,8 @@ target or no shard has room for it; then its rows are groups of their own and sp
 hashed blocks, so no task sorts a whole shard.
 
 Only DataFrame functions run. Defined results: null text weighs 16 bytes and hashes as the empty text; null ids,
-sources and languages are ordinary values; repeated rows are rows of their own, each with a slot; an
-empty table gives no rows; further columns of the input are ignored.
+sources and languages are ordinary values; repeated rows are rows of their own, each with a slot, and spread like any others where
+their group does; a text of any length is one row; an empty table gives no rows; further columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,11 +29,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import quoted, written
 
 SHARDS = 40
 ROW_BYTES = 16
-BINS = 2048
+BINS = 512
 #: A cut may miss its quantile by this part of a shard's target.
 TOLERANCE = 0.004
 #: Groups over this part of the target are dealt before the tree is cut.
@@ -58,11 +58,11 @@ def _nominal(c: Column) -> Column:
 def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text",
           nominal: tuple[str, ...] = ("source", "lang")) -> DataFrame:
     """One row per document: id, size, text_crc32, law, shard, slot, grown_shard (null under this law)."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text = F.coalesce(quoted(text_col), F.lit(""))
     names = [c for c in nominal if c in docs.columns]
     rows = written(docs.select(
-        F.col(id_col).alias("id"), (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
-        F.md5(text).alias("content"), *[_nominal(F.col(c)).alias(f"n{i}") for i, c in enumerate(names)]), "shard-rows")
+        quoted(id_col).alias("id"), F.xxhash64(quoted(id_col), F.monotonically_increasing_id()).alias("salt"), (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+        F.md5(text).alias("content"), *[_nominal(quoted(c)).alias(f"n{i}") for i, c in enumerate(names)]), "shard-rows")
     groups = rows.groupBy("content", "text_crc32", "size").agg(
         F.count("*").alias("copies"), *[F.min(f"n{i}").alias(f"n{i}") for i in range(len(names))])
     groups = groups.withColumn("bytes", F.col("size") * F.col("copies"))
@@ -74,7 +74,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
     if loose:
         # a group of many light rows spreads row by row
         units = units.unionByName(rows.join(_keyed(rows, [], loose), KEY)
-                                  .groupBy(*KEY, F.xxhash64("id").alias("part"))
+                                  .groupBy(*KEY, F.col("salt").alias("part"))
                                   .agg(F.count("*").alias("copies"), *[F.min(f"n{i}").alias(f"n{i}") for i in range(len(names))])
                                   .withColumn("bytes", F.col("size") * F.col("copies")))
     mark = F.xxhash64("content", "part")
@@ -84,7 +84,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
                                  F.array(*[_coordinate(d, mark) for d in dims]).alias("d"), F.lit(0).cast("long").alias("node")), "shard-units")
     units = kd_leaves(units, len(dims), shards, target, room)
     placed = units.select("content", F.col("text_crc32").alias("u_crc"), F.col("size").alias("u_size"), "part", "shard")
-    row = rows.withColumn("own", F.xxhash64("id"))
+    row = rows.withColumnRenamed("salt", "own")
     same = (F.col("text_crc32") == F.col("u_crc")) & (F.col("size") == F.col("u_size"))
     whole = placed.filter("part is null").select(F.col("content").alias("u_content"), "u_crc", "u_size", "shard")
     whole_rows = row.join(whole, (F.col("content") == F.col("u_content")) & same, "left") \
@@ -151,10 +151,9 @@ def _keyed(df: DataFrame, names: list[str], rows: list[tuple]) -> DataFrame:
     return F.broadcast(df.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(KEY + names)})"))
 
 
-def _small(df: DataFrame, names: list[str], rows: list[tuple]) -> DataFrame:
-    """A broadcast table of at most a row per tree node."""
-    values = ", ".join("(" + ", ".join(f"{v}L" for v in r) + ")" for r in rows)
-    return F.broadcast(df.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})"))
+def _of_node(values: dict[int, int]) -> Column:
+    """The number of each tree node (null for others): at most a few per shard, so a literal."""
+    return F.create_map(*[F.lit(int(x)).cast("long") for kv in values.items() for x in kv])[F.col("node")]
 
 
 def kd_leaves(units: DataFrame, dims: int, shards: int, target: float, room: list[float]) -> DataFrame:
@@ -171,7 +170,7 @@ def kd_leaves(units: DataFrame, dims: int, shards: int, target: float, room: lis
                 r, (at_shard, m) = spans[k], leaves[k]
                 left, both = sum(room[at_shard:at_shard + m // 2]), sum(room[at_shard:at_shard + m])
                 d = max(range(dims), key=lambda d: (r[f"hi{d}"] - r[f"lo{d}"], -d))
-                cuts[k] = {"dim": d, "lo": r[f"lo{d}"], "hi": r[f"hi{d}"] + 1,
+                cuts[k] = {"dim": d, "bins": BINS * m, "lo": r[f"lo{d}"], "hi": r[f"hi{d}"] + 1,
                            "want": r["bytes"] * (left / both if both else (m // 2) / m), "below": 0}
         _medians(at, cuts, TOLERANCE * target)
         grown = {}
@@ -181,21 +180,27 @@ def kd_leaves(units: DataFrame, dims: int, shards: int, target: float, room: lis
             else:
                 grown[2 * k + 1], grown[2 * k + 2] = (first, m // 2), (first + m // 2, m - m // 2)
         if cuts:
-            table = _small(units, ["node", "dim", "cut"], [(k, c["dim"], c["cut"]) for k, c in cuts.items()])
-            at = at.join(table, "node", "left").withColumn("node", F.when(F.col("cut").isNull(), F.col("node")).otherwise(
-                2 * F.col("node") + F.when(F.col("d")[F.col("dim").cast("int")] < F.col("cut"), 1).otherwise(2))).drop("dim", "cut")
+            cut = _of_node({k: c["cut"] for k, c in cuts.items()})
+            below = _at_dim({k: c["dim"] for k, c in cuts.items()}) < cut
+            at = written(at.withColumn("node", F.when(cut.isNull(), F.col("node")).otherwise(
+                2 * F.col("node") + F.when(below, 1).otherwise(2))), "shard-level")
         leaves = grown
-    table = _small(units, ["node", "shard"], [(k, first) for k, (first, _) in leaves.items()])
-    return at.join(table, "node").drop("node")
+    return at.withColumn("shard", _of_node({k: first for k, (first, _) in leaves.items()})).drop("node")
+
+
+def _at_dim(dims: dict[int, int]) -> Column:
+    """The coordinate along which each node is cut."""
+    return F.get("d", _of_node(dims).cast("int"))
 
 
 def _medians(at: DataFrame, cuts: dict, slack: float) -> None:
     """Sets ``cut`` of each node: the bytes below it come as near to ``want`` as whole units allow."""
     todo = dict(cuts)
     while todo:
-        width = {k: max(1, -(-(c["hi"] - c["lo"]) // BINS)) for k, c in todo.items()}
-        table = _small(at, ["node", "dim", "lo", "hi", "w"], [(k, c["dim"], c["lo"], c["hi"], width[k]) for k, c in todo.items()])
-        x = at.join(table, "node").withColumn("x", F.col("d")[F.col("dim").cast("int")]).filter("x >= lo and x < hi")
+        width = {k: max(1, -(-(c["hi"] - c["lo"]) // c["bins"])) for k, c in todo.items()}
+        lo, hi, w = (_of_node(v) for v in ({k: c["lo"] for k, c in todo.items()}, {k: c["hi"] for k, c in todo.items()}, width))
+        x = at.select("node", "bytes", _at_dim({k: c["dim"] for k, c in todo.items()}).alias("x"), lo.alias("lo"), hi.alias("hi"), w.alias("w")) \
+            .filter("x >= lo and x < hi")
         sums: dict = {k: [] for k in todo}
         for r in x.groupBy("node", F.expr("(x - lo) div w").alias("bin")).agg(F.sum("bytes").alias("b"), F.count("*").alias("n")).collect():
             sums[r["node"]].append((r["bin"], r["b"], r["n"]))

@@ -78,6 +78,63 @@ def test_copies_of_long_texts(make):
     check(data, shard(make(SCHEMA, data)).collect(), 1.1)
 
 
+def test_repeated_rows_spread(make):
+    """A third of all rows are one row, without an id: no exception to the law."""
+    data = corpus(1500) + [(None, "the same row again and again " * 10, "hot", "en", "c")] * 900
+    got = shard(make(SCHEMA, data)).collect()
+    total, slots = Counter(), Counter()
+    for r in got:
+        total[r.shard] += r.size
+        slots[r.shard, r.slot] += 1
+    mean = sum(total.values()) / 40
+    assert len(got) == 2400 and len(total) == 40 and max(slots.values()) == 1
+    assert max(total.values()) < 1.03 * mean and min(total.values()) > 0.97 * mean
+
+
+def plain_tree(units, shards, first=0):
+    """The same tree in plain Python: units (bytes, coordinates) cut at the quantile along the widest dimension, to (shard, unit) pairs."""
+    if shards == 1 or not units:
+        return [(first, u) for u in units]
+    dims = range(len(units[0][1]))
+    d = max(dims, key=lambda k: (max(u[1][k] for u in units) - min(u[1][k] for u in units), -k))
+    want = sum(u[0] for u in units) * (shards // 2) / shards
+    ordered = sorted(units, key=lambda u: u[1][d])
+    below, cut = 0, 0
+    while cut < len(ordered) and below + ordered[cut][0] / 2 <= want:
+        below += ordered[cut][0]
+        cut += 1
+    return plain_tree(ordered[:cut], shards // 2, first) + plain_tree(ordered[cut:], shards - shards // 2, first + shards // 2)
+
+
+def test_tree_matches_plain_medians(spark):
+    from pyspark.sql import functions as F
+
+    from sensorium.llm.sharding import kd_leaves
+
+    rnd = random.Random(9)
+    units = [(rnd.randint(1, 50), tuple(rnd.getrandbits(60) >> s for s in (0, 2, rnd.choice([0, 30])))) for _ in range(4000)]
+    total = sum(u[0] for u in units)
+    df = spark.createDataFrame([(b, list(d)) for b, d in units], "bytes long, d array<long>").withColumn("node", F.lit(0).cast("long"))
+    got = {tuple(r.d): r.shard for r in kd_leaves(df, 3, 40, total / 40, [total / 40] * 40).collect()}
+    want = {u[1]: s for s, u in plain_tree(units, 40)}
+    assert len(got) == len(want)
+    # cuts may miss a median by the tolerance, which moves a few units to a neighbour
+    assert sum(got[d] != s for d, s in want.items()) < 0.2 * len(want)
+    sizes = Counter()
+    for b, d in units:
+        sizes[got[d]] += b
+    assert max(abs(v - total / 40) for v in sizes.values()) < 0.03 * total / 40
+
+
+def test_few_jobs(spark, make):
+    group = "sharding-jobs"
+    spark.sparkContext.setJobGroup(group, "")
+    shard(make(SCHEMA, corpus(1500))).collect()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < jobs < 90, jobs
+
+
 def test_repeats_nulls_few_rows_and_empty(make):
     data = [(None, None, None, None, None), (1, "x", "s", "en", "c"), (1, "x", "s", "en", "c"), (2, "y" * 300_000, "s", "en", "c")]
     got = shard(make(SCHEMA, data)).collect()
