@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, prepare, runs, slices, span_hashes, written
+from .common import as_bytes, filtered, prepare, runs, slices, span_hashes, written
 
 SAMPLE = 40_000
 FEATURES = 256
@@ -135,6 +135,10 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return np.array([b[2] / b[0] for b in blocks]), np.array([b[1] / b[0] for b in blocks])
 
 
+#: Parts of the sample's hash: fine enough for any number of labels.
+_FINE = 1 << 60
+
+
 def _fold(id_: Column) -> Column:
     return F.crc32(F.coalesce(id_.cast("string"), F.lit(""))) % 4
 
@@ -145,7 +149,7 @@ def _training(docs: DataFrame, labels: DataFrame, sample: int, id_col: str, text
         .filter(F.col("id").isNotNull() & F.col("y").isNotNull() & (_fold(F.col("id")) != 2)).groupBy("id").agg(F.avg("y").alias("y"))
     n = known.count()
     if n > sample:
-        known = known.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * sample / n))
+        known = known.filter(F.pmod(F.xxhash64("id"), F.lit(_FINE)) < int(_FINE * sample / n))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
         .join(F.broadcast(known), "id").select(_fold(F.col("id")).cast("long").alias("fold"), "y", "text")  # at most ``sample`` pairs of numbers
 
@@ -234,4 +238,4 @@ def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         for b in batches:
             yield b.filter(pa.array(model.score(as_bytes(b.column(at))) >= THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return filtered(docs, run)
