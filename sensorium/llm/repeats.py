@@ -19,7 +19,8 @@ The work is exact and never sorts all suffixes of the corpus in one place:
 A unit sends each distinct hash once, so a hot key costs one small entry per unit. Order is by id, then place.
 
 Defined results: null text is empty; ids are integers, null ones come after all others; rows that repeat an id come in the
-order of their units; texts below LENGTH bytes lose nothing; an empty table gives no rows; further columns are ignored.
+order of their units; texts below LENGTH bytes lose nothing; a very long text is a unit of its own; an empty table gives no rows; further
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, prefix_hashes, prepare, ranges, runs, written
+from .common import as_bytes, prefix_hashes, prepare, quoted, ranges, runs, written
 from .suffix_sort import Suffixes
 
 LENGTH = 100
@@ -43,7 +44,9 @@ UNIT_BYTES = 1 << 20
 LOT_BYTES = 2 << 20
 CHUNK_MIN, CHUNK_MAX, CHUNK_MASK = 128, 2048, 127
 HOT = 5000
-_POS_BITS = 28  # a unit, and so a document, holds less than 256 MB
+#: Text bytes whose hashes and contexts share a bucket of an exchange: a task's part doesn't grow with the input.
+BUCKET_BYTES = 16 << 20
+_POS_BITS = 31  # a unit is one document or below UNIT_BYTES, and no Spark string has more bytes
 _NO_ID = np.iinfo(np.int64).max
 
 _EXCHANGE = "bucket long, unit long, pair_a binary, pair_b binary, pair_id binary, anchor binary, places binary"
@@ -84,7 +87,7 @@ def _units(batches: Iterator[pa.RecordBatch], unit_bytes: int) -> Iterator[pa.Re
         return pa.RecordBatch.from_arrays([
             pa.array([unit]), pa.array([np.array([_NO_ID if i is None else i for i, _ in held], np.int64).tobytes()]),
             pa.array([bytes(i is None for i, _ in held)]), pa.array([np.array([len(t) for _, t in held], np.int64).tobytes()]),
-            pa.array([pack.compress(b"".join(t for _, t in held))], pa.binary())], names=["unit", "ids", "nulls", "sizes", "data"])
+            pa.array([pack.compress(b"".join(t for _, t in held))], pa.binary()), pa.array([size])], names=["unit", "ids", "nulls", "sizes", "data", "n_bytes"])
 
     for b in batches:
         for i, t in zip(b.column(0).to_pylist(), as_bytes(b.column(1)), strict=True):
@@ -116,6 +119,8 @@ class Unit:
     def analyse(self) -> None:
         span = self.length - GRAM + 1  # substrings of a window
         n = len(self.buf)
+        if n >> _POS_BITS:
+            raise ValueError("a unit has too many bytes")
         self.from_, self.to, self.anchor = (np.zeros(0, np.int64) for _ in range(3))
         self.anchor_hash = np.zeros(0, np.uint64)
         self.pair_from, self.pair_to = (np.zeros(0, np.int64) for _ in range(2))
@@ -189,11 +194,15 @@ class Distinct:
         return out
 
 
-def _in_bucket(h: np.ndarray, buckets: int) -> list[np.ndarray]:
-    """Indices of the sorted hashes of each bucket, in order; both sides of an exchange derive the same."""
+def _in_bucket(h: np.ndarray, buckets: int) -> dict[int, np.ndarray]:
+    """Indices of the sorted hashes of each bucket that has any, in order; both sides of an exchange derive the same."""
     b = (h % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(b, kind="stable")
-    return np.split(order, np.searchsorted(b[order], np.arange(1, buckets)))
+    keys, first = np.unique(b[order], return_index=True)
+    return dict(zip(keys.tolist(), np.split(order, first[1:]), strict=False))
+
+
+_NONE = np.zeros(0, np.int64)
 
 
 # -- steps ----------------------------------------------------------------------------------------------
@@ -210,7 +219,7 @@ def _offer(batches: Iterator[pa.RecordBatch], length: int, buckets: int) -> Iter
             by_pair, by_anchor = _in_bucket(pairs.a, buckets), _in_bucket(anchor, buckets)
             rows = [{"bucket": k, "unit": u.unit, "pair_a": pairs.a[p].tobytes(), "pair_b": pairs.b[p].tobytes(), "pair_id": ids[p].tobytes(),
                      "anchor": anchor[q].tobytes(), "places": places[q].astype(np.int32).tobytes()}
-                    for k, (p, q) in enumerate(zip(by_pair, by_anchor, strict=True)) if len(p) or len(q)]
+                    for k in sorted(by_pair.keys() | by_anchor) for p, q in [(by_pair.get(k, _NONE), by_anchor.get(k, _NONE))]]
             yield from _table(_EXCHANGE, rows).to_batches()
 
 
@@ -242,7 +251,7 @@ def _match(t: pa.Table) -> pa.Table:
         rows, _split(first, n_pairs), _split(again & ~hot, n_anchors), _split(hot, n_anchors), strict=True)])
 
 
-def _flagged(replies: list[dict], name: str, by_bucket: list[np.ndarray], n: int) -> np.ndarray:
+def _flagged(replies: list[dict], name: str, by_bucket: dict[int, np.ndarray], n: int) -> np.ndarray:
     out = np.zeros(n, bool)
     for r in replies:
         if r[name]:
@@ -272,19 +281,17 @@ def _contexts(units: pa.Table, replies: pa.Table, length: int, buckets: int) ->
         rows: dict[int, dict] = {}
         h = u.anchor_hash[some][cold]
         by = _in_bucket(h, buckets)
-        for k, at in enumerate(by):
-            if len(at):
-                c = cold[at]
-                s, e = begin[c], end[c] + length
-                rows[k] = {"anchor": h[at].tobytes(), "id": u.id_at(s).tobytes(), "at": s.tobytes(), "lead": (u.anchor[some][c] - s).tobytes(),
-                           "size": (e - s).tobytes(), "bytes": u.buf[ranges(s, e - s)].tobytes()}
+        for k, at in by.items():
+            c = cold[at]
+            s, e = begin[c], end[c] + length
+            rows[k] = {"anchor": h[at].tobytes(), "id": u.id_at(s).tobytes(), "at": s.tobytes(), "lead": (u.anchor[some][c] - s).tobytes(),
+                       "size": (e - s).tobytes(), "bytes": u.buf[ranges(s, e - s)].tobytes()}
         c = np.flatnonzero(hot[some])
         at = ranges(begin[c], end[c] - begin[c] + 1)
         windows = Distinct(_digests(u.raw, at, at + length))
         ids = u.id_at(at[windows.first])
-        for k, p in enumerate(_in_bucket(windows.a, buckets)):
-            if len(p):
-                rows.setdefault(k, {}).update({"hot_a": windows.a[p].tobytes(), "hot_b": windows.b[p].tobytes(), "hot_id": ids[p].tobytes()})
+        for k, p in _in_bucket(windows.a, buckets).items():
+            rows.setdefault(k, {}).update({"hot_a": windows.a[p].tobytes(), "hot_b": windows.b[p].tobytes(), "hot_id": ids[p].tobytes()})
         out += [{"bucket": k, "unit": u.unit, **r} for k, r in rows.items()]
         # the unit's own row: known spans, and the hot windows with their hashes in order
         out.append({"bucket": -1, "unit": u.unit, "known": known.tobytes(), "hot_at": at.tobytes(), "hot_of": windows.of.tobytes(), "hot_a": windows.a.tobytes()})
@@ -439,13 +446,15 @@ def _finish(units: pa.Table, found: pa.Table, length: int, buckets: int, schema:
 def repeated_strings(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256, spans (byte offsets of what is removed)."""
     spark = prepare(docs)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    picked = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    units = written(picked.mapInArrow(lambda it: _units(it, UNIT_BYTES), "unit long, ids binary, nulls binary, sizes binary, data binary"), "units")
-    replies = units.mapInArrow(lambda it: _offer(it, length, buckets), _EXCHANGE).groupBy("bucket").applyInArrow(_match, _REPLY)
+    picked = docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).alias("text"))
+    units = written(picked.mapInArrow(lambda it: _units(it, UNIT_BYTES), "unit long, ids binary, nulls binary, sizes binary, data binary, n_bytes long"), "units")
+    total = units.agg(F.sum("n_bytes")).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
+    units = units.drop("n_bytes")
+    replies = units.mapInArrow(lambda it: _offer(it, length, buckets), _EXCHANGE).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_match, _REPLY)
     contexts = written(units.groupBy("unit").cogroup(replies.groupBy("unit"))
                        .applyInArrow(lambda a, b: _contexts(a, b, length, buckets), _CONTEXT), "contexts")
-    found = contexts.filter("bucket >= 0").groupBy("bucket").applyInArrow(lambda t: _compare(t, length), _FOUND)
+    found = contexts.filter("bucket >= 0").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _compare(t, length), _FOUND)
     found = found.select("unit", "bucket", "known", "first", F.lit(None).cast("binary").alias("hot_at"), F.lit(None).cast("binary").alias("hot_of"),
                          F.lit(None).cast("binary").alias("hot_a"))
     own = contexts.filter("bucket < 0").select("unit", "bucket", "known", F.lit(None).cast("binary").alias("first"), "hot_at", "hot_of", "hot_a")

@@ -124,3 +124,26 @@ def test_suffix_sort(broken):
         for k in range(1, n):
             a, b = got[k - 1], got[k]
             assert common[f + k] == next((i for i, (p, q) in enumerate(zip(a, b)) if p != q), min(len(a), len(b)))
+
+
+def test_many_buckets(make, monkeypatch):
+    """More buckets than shuffle partitions, most of them empty for a unit."""
+    monkeypatch.setattr(R, "BUCKET_BYTES", 1000)
+    monkeypatch.setattr(R, "UNIT_BYTES", 20_000)
+    data = corpus(20)
+    df = make("doc_id long, text string, `meta.lang` string, bucket long, n_bytes long", [(*d, "x", 1, 2) for d in data]).repartition(3)
+    got = R.repeated_strings(df)
+    assert sorted([tuple(r)[:5] for r in got.collect()], key=str) == brute(data)
+
+
+def test_a_unit_beyond_the_position_bits_is_an_error(monkeypatch):
+    monkeypatch.setattr(R, "_POS_BITS", 12)
+    pack = lambda t: {"unit": 0, "ids": np.zeros(1, np.int64).tobytes(), "nulls": b"\0", "sizes": np.array([len(t)], np.int64).tobytes(), "data": _zstd(t)}
+    R.Unit(pack(b"a" * 4095), 100).analyse()
+    with pytest.raises(ValueError, match="too many bytes"):
+        R.Unit(pack(b"a" * 4096), 100).analyse()
+
+
+def _zstd(raw):
+    import zstandard
+    return zstandard.ZstdCompressor().compress(raw)
