@@ -4,7 +4,9 @@ A page is cut into lines at block-level tags, without markup. Lines inside eleme
 article text (menus, headers, footers, sidebars, notices, adverts, forms, comments of readers, scripts, styles) weigh
 nothing, nor do lines made of links. The weights are summed over sliding windows of ``WINDOW`` lines:
 the text begins where the sums surge and ends where they dive to nothing for good, and all lines with
-weight between these points are kept, with the lines before the surge that adjoin it in its own element. <article> and <main> elements bound the search, and then any sum is a surge,
+weight between these points are kept, with the lines before the surge that adjoin it in its own element, and those of the last line's own
+element after the dive. A name counts by its words: "ad", "comments" in any compound, "share", "related" only beside words of page
+building. A header that opens an article element belongs to it. <article> and <main> elements bound the search, and then any sum is a surge,
 unless the sums show that the rest of the page holds the text and they hold little. An article element counts as the others do:
 inside a part that holds no article text, or where its own names say so (teaser, comment), it is left out.
 
@@ -50,12 +52,21 @@ _SELF = frozenset("p li dt dd tr td th option".split())
 #: Elements that hold an article or a part of it, with what leads up to it.
 _HOLDERS = frozenset("article body center div main section td".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-#: Words of class, id or role that name something else than the article.
-_OTHER = re.compile(
-    r"(?<!with)(?<!has)(?<!no)(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponsor\w*|promo\w*|navigation|nav|navbar|menu\w*|breadcrumbs?|sidebars?|side|aside|rail|widgets?|"
-    r"header|masthead|footer|foot|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|overlay|newsletter|subscribe|subscription|signup|login|"
-    r"share|sharing|social|related|recommended|teaser|comments?|commentlist|replies|reply|disqus|respond|discussion|pagination|pager|tags|toolbar|"
-    r"complementary|contentinfo|search|form|skip)(?:$|[\s_-])", re.I)
+#: Words of class, id or role that name something else than the article, in whatever compound.
+_OTHER = frozenset("ad ads advert adverts advertisement advertisements advertising advertorial adsense banner sponsor sponsors sponsored promo promos promotion "
+                   "navigation nav navbar menu menus menubar breadcrumb breadcrumbs sidebar sidebars masthead footer cookie cookies consent gdpr popup popups "
+                   "modal newsletter comment comments commentlist disqus pagination contentinfo complementary "
+                   "werbung anzeige anzeigen publicidad anuncio anuncios publicite kommentar kommentare comentario comentarios commentaire commentaires".split())
+#: Words that do so alone or beside words of page building only ("share-buttons", but not "market-share").
+_OTHER_ALONE = frozenset("side aside rail widget widgets header foot notice notices alert alerts overlay subscribe subscription signup login share sharing social "
+                         "related recommended teaser teasers replies reply respond discussion pager tags toolbar search form skip".split())
+_BUILDING = frozenset("site page main global top bottom left right inner outer upper lower first last new small large big mobile desktop fixed sticky floating js wp "
+                      "blog post posts article articles entry entries story stories news content text title titles heading link links list lists item items "
+                      "button buttons btn icon icons bar box area wrapper wrap container holder block blocks section sections region zone panel group row col "
+                      "column columns grid card cards module unit slot media image images user reader author to the more this by read input field label "
+                      "nav primary secondary tertiary".split())
+_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+|[^\W\d_]+")
+_LACKS = frozenset("no has with without hide".split())
 _MAIN = re.compile(r"(?:role\s*=\s*[\"']?main\b|itemprop\s*=\s*[\"']?articleBody\b)", re.I)
 _NAMES = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 #: Class names of an article that tell its subject.
@@ -79,6 +90,9 @@ class _Lines:
         if linked:
             self._linked += len(_SPACE.sub(" ", text).strip())
 
+    def pending(self) -> bool:
+        return any(t.strip() for t in self._text)
+
     def end(self, skipped: bool, inside: bool, holders: list[int], heading: bool) -> None:
         if self._text:
             text = _SPACE.sub(" ", "".join(self._text)).strip()
@@ -99,7 +113,17 @@ def _is_other(name: str, attributes: str, whole: bool = False) -> bool:
     named = " ".join(x for m in _NAMES.findall(attributes) for x in m if x)
     if whole:
         named = _TOPIC.sub(" ", named)
-    return bool(named and _OTHER.search(named)) or bool(_HIDDEN.search(attributes))
+    return any(map(_names_other, named.split())) or bool(_HIDDEN.search(attributes))
+
+
+def _names_other(name: str) -> bool:
+    """Whether one class, id or role names something else than the article; "has-sidebar" says what is beside it."""
+    parts = [x.lower() for x in _PARTS.findall(name)]
+    told = [x for before, x in zip(["", *parts], parts, strict=False) if before not in _LACKS]
+    if not _OTHER.isdisjoint(told):
+        return True
+    alone = any(x in _OTHER_ALONE for x in told)
+    return alone and all(x in _OTHER_ALONE or x in _BUILDING or x.isdigit() or len(x) == 1 for x in parts)
 
 
 def _tags(page: str) -> list[tuple[str, str, bool, str | None]]:
@@ -205,6 +229,7 @@ class _Stack:
 def lines_of(page: str) -> list[tuple[str, int, bool, tuple[int, ...], bool]]:
     out, tags = _Lines(), _tags(page)
     stack, links, seen = _Stack(_partners(tags)), 0, False  # seen: an article began
+    begun = 0  # lines when the latest article element began
 
     def inline() -> bool:
         return stack.skip >= 0 and stack.open[stack.skip].name not in _LINE  # left out of a line, which goes on
@@ -236,7 +261,9 @@ def lines_of(page: str) -> list[tuple[str, int, bool, tuple[int, ...], bool]]:
                 links = max(0, links - 1)
         else:
             whole = name in ("article", "main") or bool(_MAIN.search(attributes))
-            other = name not in _VOID and _is_other(name, attributes, whole)
+            # a header that opens an article element holds its headline
+            opens = name == "header" and stack.skip < 0 and stack.wholes > 0 and not any(w for _, w, *_ in out.lines[begun:]) and not out.pending()
+            other = name not in _VOID and _is_other("" if opens else name, attributes, whole)
             if block and inline() and stack.open[stack.skip].tag not in stack.partners:
                 stack.cut(stack.skip)
             if block or whole:
@@ -249,6 +276,7 @@ def lines_of(page: str) -> list[tuple[str, int, bool, tuple[int, ...], bool]]:
                 kind = "skip" if other else "whole" if whole and stack.skip < 0 else ""
                 links += name == "a" and stack.skip < 0 and not other
                 seen |= kind == "whole"
+                begun = len(out.lines) if kind == "whole" else begun
                 if block or kind or stack.of.get(name):
                     stack.push(name, i, kind)
             elif name == "br" and stack.skip < 0:
@@ -284,6 +312,7 @@ def main_text(page: str) -> str:
     first = _lead(lines, weights, next(i for i in range(first, len(weights)) if weights[i]))
     last = max(i for i, s in enumerate(sums) if s >= surge)
     dive = next((i for i in range(last, len(sums)) if not sums[i]), len(sums))
+    dive = _tail(lines, weights, max(i for i in range(dive) if weights[i]), dive)
     return "\n".join(line[0] for line, w in zip(lines[first:dive], weights[first:dive], strict=True) if w)
 
 
@@ -302,6 +331,15 @@ def _lead(lines: list[tuple[str, int, bool, tuple[int, ...], bool]], weights: li
     return headed
 
 
+def _tail(lines: list[tuple[str, int, bool, tuple[int, ...], bool]], weights: list[int], last: int, dive: int) -> int:
+    """The dive point, taken on to the last line of the same holder: links within an article don't end it. What lies in the page's
+    body without a holder of its own ends at the dive."""
+    own = lines[last][3]
+    if len(own) < 2:
+        return dive
+    return max([dive, *(i + 1 for i in range(dive, len(lines)) if weights[i] and own[-1] in lines[i][3])])
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: id, url, text, n_chars."""
     prepare(pages)

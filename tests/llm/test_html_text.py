@@ -1,6 +1,6 @@
 import pytest
 
-from sensorium.llm.html_text import extract, main_text
+from sensorium.llm.html_text import SURGE_CHARS, SURGE_PART, WINDOW, extract, lines_of, main_text
 
 ARTICLE = "<article><h1>Head &amp; line</h1><p><b>One  two\n three.<br><p>Ti.</p><p>Long text &lt;b&gt; with &eacute;.</p></article>"
 WANT = "Head & line\nOne two three.\nTi.\nLong text <b> with é."
@@ -85,6 +85,62 @@ def test_what_leads_up_to_the_surge_is_kept(body, want):
     assert main_text(PAGE.replace("{}", body)) == want
 
 
+@pytest.mark.parametrize("name", ["id=related-work", "id='market-share'", "id=form-factor", "id=search-algorithms", "class=side-effects",
+                                  "class='section has-sidebar'", "id=header-files", "class=socialism"])
+def test_names_of_sections(name):
+    body = f"<article><h1>Title</h1><p>{LONG}</p><section {name}><h2>A section</h2><p>Its text.</p></section><p>End.</p></article>"
+    assert main_text(PAGE.replace("{}", body)) == f"Title\n{LONG}\nA section\nIts text.\nEnd."
+
+
+@pytest.mark.parametrize("name", ["class=adBox", "class=ad1", "class='x ad-unit-7'", "id=postComments", "class=kommentare", "class=share-buttons", "id=related_posts",
+                                  "class='side-bar'", "class=siteHeader", "id=searchForm", "class=comment-body", "role=complementary"])
+def test_names_of_other_parts(name):
+    body = f"<article><h1>Title</h1><p>{LONG}</p><div {name}><p>Something else that is about as long as a paragraph.</p></div><p>End.</p></article>"
+    assert main_text(PAGE.replace("{}", body)) == f"Title\n{LONG}\nEnd."
+
+
+def test_a_header_that_opens_an_article():
+    body = f"<article><header><h1>Headline</h1><p>By x</p></header><p>{LONG}</p><header><p>Site.</p></header><p>End.</p></article>"
+    assert main_text(PAGE.replace("{}", body)) == f"Headline\nBy x\n{LONG}\nEnd."
+
+
+def test_links_within_a_text_do_not_end_it():
+    links = "".join(f"<p><a href=/{i}>A link of some words {i}</a></p>" for i in range(4))
+    body = f"<div class=content><h1>Title</h1><p>{LONG}</p>{links}<p>The end.</p></div><div>Copyright.</div>"
+    assert main_text(PAGE.replace("{}", body)) == f"Title\n{LONG}\nThe end."
+
+
+def plain(page):
+    """The windows in plain Python: sums are added up anew for each, and the ends follow from their definition."""
+    lines = lines_of(page)
+    inside = any(w and i for _, w, i, _, _ in lines)
+    weights = [w if i or not inside else 0 for _, w, i, _, _ in lines]
+    sums = [sum(weights[k:k + WINDOW]) for k in range(len(weights))]
+    top = max(sums, default=0)
+    if not top:
+        return ""
+    least = 1 if inside else min(SURGE_CHARS, SURGE_PART * top)
+    surged = [k for k, s in enumerate(sums) if s >= least]
+    end = surged[-1]
+    while end < len(sums) and sums[end]:
+        end += 1
+    kept = [lines[k][0] for k in range(surged[0], end) if weights[k]]
+    return "\n".join(kept)
+
+
+def test_windows_match_a_plain_version():
+    import random
+    rnd = random.Random(3)
+    for _ in range(300):
+        blocks = "".join(rnd.choice(["<p>{}</p>", "<p><a href=x>{}</a></p>", "<h2>{}</h2>", "<nav><p>{}</p></nav>"]).format("word " * rnd.choice([1, 2, 30])) for _ in range(20))
+        page = rnd.choice(["<article>{}</article>", "{}"]).replace("{}", blocks)
+        got, want = main_text(page).split("\n"), plain(page).split("\n")
+        # beside the windows' lines only those that adjoin the surge come before
+        assert got[len(got) - len(want):] == want
+        if page.startswith("<article>"):
+            assert got == want
+
+
 def test_operator(make):
     df = make("page_id long, url string, html string, text string", [(1, "u", PAGE.replace("{}", ARTICLE), "clash"), (None, None, None, None), (1, "u", "", "")])
     assert sorted(map(tuple, extract(df).collect()), key=str) == sorted([(1, "u", WANT, len(WANT)), (None, None, "", 0), (1, "u", "", 0)], key=str)
