@@ -4,15 +4,17 @@ ARC files come in two versions whose record lines name other fields; the convert
 block of each file, splits each record line by that version and takes as many bytes as the
 line declares. A WARC record gets a synthesised identifier (a UUID of URL, date, page and digest), its date in ISO form,
 its type and SHA-1 digests. Of equal payloads of at least ``REVISIT_BYTES`` bytes the record with the
-largest page id is a response, and the others are revisits that carry its identifier instead of the payload.
+largest page id is a response, and the others are revisits that carry its identifier, address and date instead of the payload.
 
 Spark's text writer writes the archives: a row is a record, the separator is the format's own, and each
 partition opens with its version block or warcinfo record. Records travel compressed where they are shuffled, and
-files are read as a stream, so a Python worker holds one record at a time. All files lie in the shared folder of the session.
+files are read as a stream, so a Python worker holds one record at a time. All files lie in the shared folder of the session. A file
+holds one partition of its input, and Spark reads files of less than 2 GB: compressed partitions stay far below while input splits have their
+usual 128 MB; a larger file is an error, not a loss.
 
 Defined results: null html is an empty payload; a null id makes a record without page id, which may revisit but is never
 referred to (without any id in a group all are responses); null URLs become a placeholder URI; repeated rows are each a
-record; an empty table gives no rows; further columns are ignored.
+record; a very long page is one record; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -152,8 +154,9 @@ def _iso(date14: str) -> str:
     return f"{date14[:4]}-{date14[4:6]}-{date14[6:8]}T{date14[8:10]}:{date14[10:12]}:{date14[12:14]}Z"
 
 
-def warc_record(kind: str, uri: str, ip: str, date: str, page_id: str | None, http: bytes, payload: bytes, refers_to: str | None) -> bytes:
-    """A response with the payload, or a revisit of the equal payload of the page ``refers_to``."""
+def warc_record(kind: str, uri: str, ip: str, date: str, page_id: str | None, http: bytes, payload: bytes, refers_to: str | None,
+                refers_uri: str | None = None, refers_date: str | None = None) -> bytes:
+    """A response with the payload, or a revisit of the equal payload of the page ``refers_to``, captured at ``refers_uri`` on ``refers_date``."""
     digest = _digest(payload)
     block = http + (payload if kind == "response" else b"")
     fields = {"WARC-Type": kind, "WARC-Record-ID": _record_id(uri, date, page_id, digest), "WARC-Date": _iso(date), "WARC-Target-URI": uri, "WARC-IP-Address": ip,
@@ -161,6 +164,9 @@ def warc_record(kind: str, uri: str, ip: str, date: str, page_id: str | None, ht
               "X-Page-Id": page_id, "X-Payload-Length": str(len(payload))}
     if kind == "revisit":
         fields |= {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "X-Refers-To-Page-Id": refers_to}
+        if refers_uri is not None and refers_date is not None:
+            fields |= {"WARC-Refers-To": _record_id(refers_uri, refers_date, refers_to, digest), "WARC-Refers-To-Target-URI": refers_uri,
+                       "WARC-Refers-To-Date": _iso(refers_date)}
     fields["Content-Length"] = str(len(block))
     return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields.items() if v is not None) + "\r\n").encode() + block
 
@@ -240,19 +246,21 @@ def convert_arc(spark, path: str) -> DataFrame:
 
 
 def write_warc(records: DataFrame, originals: DataFrame, path: str) -> None:
-    """Converted ``records`` as WARC files; ``originals`` names per (sha1, sha256) the page that others refer to."""
-    joined = records.join(originals, ["sha1", "sha256"], "left").select("page_id", "uri", "ip", "date", "refers_to", "http", "packed")
+    """Converted ``records`` as WARC files; ``originals`` names per (sha1, sha256) the page that others refer to (refers_to), its address
+    as in the pages (refers_url) and its capture date (refers_date, 14 digits)."""
+    joined = records.join(originals, ["sha1", "sha256"], "left") \
+        .select("page_id", "uri", "ip", "date", "refers_to", "refers_url", "refers_date", "http", "packed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> Iterator[tuple[bytes]]:
             begun = False
             for b in batches:
-                for page_id, uri, ip, date, first, http, packed in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                for page_id, uri, ip, date, first, first_url, first_date, http, packed in zip(*(c.to_pylist() for c in b.columns), strict=True):
                     if not begun:
                         yield (warc_info(f"pages-{_partition():05d}.warc"),)
                         begun = True
                     kind = "response" if first is None or first == page_id else "revisit"
-                    yield (warc_record(kind, uri, ip, date, page_id, http, zlib.decompress(packed), first),)
+                    yield (warc_record(kind, uri, ip, date, page_id, http, zlib.decompress(packed), first, _uri(first_url), first_date),)
         return _batches(out(), ["value"], [pa.binary()])
 
     _write(joined.mapInArrow(run, "value binary"), path, "\r\n\r\n")
@@ -289,10 +297,10 @@ def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     arc, warc = scratch_path(spark, "arc"), scratch_path(spark, "warc")
     write_arc(pages, arc, id_col, url_col, html_col)
     payload = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
-    large = pages.select(F.col(id_col).alias("id"), payload.alias("p")).filter(F.octet_length("p") >= REVISIT_BYTES)
-    originals = large.select("id", F.sha1("p").alias("sha1"), F.sha2("p", 256).alias("sha256")).groupBy("sha1", "sha256") \
-        .agg(F.max("id").alias("top"), F.count("*").alias("n")).filter("n > 1 and top is not null") \
-        .select("sha1", "sha256", F.col("top").cast("string").alias("refers_to"))
+    large = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("p")).filter(F.octet_length("p") >= REVISIT_BYTES)
+    originals = large.select("id", "url", F.sha1("p").alias("sha1"), F.sha2("p", 256).alias("sha256")).groupBy("sha1", "sha256") \
+        .agg(F.max(F.struct("id", "url")).alias("top"), F.count("*").alias("n")).filter("n > 1 and top.id is not null") \
+        .select("sha1", "sha256", F.col("top.id").cast("string").alias("refers_to"), F.col("top.url").alias("refers_url"), F.lit(ARCHIVED).alias("refers_date"))
     write_warc(convert_arc(spark, arc), originals, warc)
     back = read_warc_files(spark, warc)
     return back.select(F.col("page_id").cast(kind).alias(id_col), "payload_bytes", "payload_digest", "record_type",

@@ -49,3 +49,22 @@ def test_cut_off_archive_is_an_error():
     raw = W.arc_version_block(1, "n") + b"\n" + W.arc_record(1, "n", "u", "1", b"x" * 100)
     with pytest.raises(ValueError, match="early"):
         list(W.read_arc(raw[:-1]))
+
+
+def test_revisits_name_their_original(make, spark, tmp_path):
+    pages = make("page_id long, url string, html string", [(1, "http://a b", "x" * 1500), (2, "http://c", "x" * 1500), (9, "http://d e", "x" * 1500)])
+    found = []
+    write = W.write_warc
+    W.write_warc = lambda records, originals, path: (found.append(path), write(records, originals, path))
+    try:
+        W.archive(pages).collect()
+    finally:
+        W.write_warc = write
+    records = [f for row in spark.read.format("binaryFile").load(found[0]).collect() for f, _ in W.read_warc(bytes(row.content))]
+    own = {f["X-Page-Id"]: f for f in records if f["WARC-Type"] == "response"}
+    assert list(own) == ["9"]
+    revisits = [f for f in records if f["WARC-Type"] == "revisit"]
+    assert len(revisits) == 2
+    for f in revisits:
+        assert f["WARC-Refers-To"] == own["9"]["WARC-Record-ID"] and f["WARC-Refers-To-Target-URI"] == own["9"]["WARC-Target-URI"] == "http://d%20e"
+        assert f["WARC-Refers-To-Date"] == own["9"]["WARC-Date"]
