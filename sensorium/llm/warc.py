@@ -203,8 +203,9 @@ def _files(spark, path: str) -> DataFrame:
 
 
 def _write(rows: DataFrame, path: str, separator: str) -> None:
-    """Binary rows as a gzip text table, byte for byte (a cast doesn't touch them)."""
-    rows.select(F.col("value").cast("string")).write.option("lineSep", separator).option("compression", "gzip").text(path)
+    """Binary rows as a gzip text table, byte for byte (a cast doesn't touch them), packed for speed."""
+    rows.select(F.col("value").cast("string")).write.option("lineSep", separator).option("compression", "gzip") \
+        .option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
 def write_arc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
