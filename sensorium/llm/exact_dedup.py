@@ -8,8 +8,8 @@ in a join whose skewed keys Spark splits.
 
 Defined results: null text counts as empty; a null id counts as larger than any other
 (``keep_id`` is null only where a group has no id); rows that repeat an id and a text are
-each returned, and all of them are ``kept`` if the id is the smallest; an empty table gives
-no rows; further columns of the input are ignored.
+each returned, and all of them are ``kept`` if the id is the smallest; texts of any length are compared whole; an empty table gives
+no rows; further columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ inside a part that holds no article text, or where its own names say so (teaser,
 Pages are independent: Arrow batches, no shuffle.
 
 Defined results: null html counts as empty and gives an empty text; null urls and ids are returned as they are;
-repeated rows are each extracted; an empty table gives no rows; further columns are ignored; markup cut off at the end is dropped.
+repeated rows are each extracted; a very long page is read whole; an empty table gives no rows; further columns are ignored; markup cut off at the end
+is dropped.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ a bin is compatible, which holds neither the piece's source nor its cluster; wit
 bin opens. Only ids, sizes and hashes travel; texts stay where they are.
 
 Defined results: null or blank text is a piece of no words; null sources are one source; a null id is an ordinary
-row; repeated rows are one cluster, never in the same bin; an empty table gives no rows; further columns are ignored.
+row; repeated rows are one cluster, never in the same bin; a text longer than a bin is cut into pieces; an empty table gives no rows; further columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, prepare, written
+from .common import as_bytes, prepare, quoted, written
 
 CAPACITY = 2048
 BLOCK_ROWS = 4096
@@ -77,7 +78,7 @@ def _pack(table: pa.Table, capacity: int) -> pa.Table:
 def pack(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per piece: id, piece, first_word, n_words, block, bin, bin_offset, source, cluster."""
     spark = prepare(docs)
-    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"))
+    picked = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"), quoted(source_col).alias("source"))
     kind, source = (picked.schema[c].dataType.simpleString() for c in ("id", "source"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,9 +90,11 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", text
                 b.column(0), pa.array(map(len, words), pa.int64()), b.column(2),
                 pa.array([xxhash.xxh64_intdigest(b" ".join(w)) - (1 << 63) for w in words], pa.int64())], names=["id", "n_words", "source", "cluster"])
 
-    sizes = written(picked.mapInArrow(measure, f"id {kind}, n_words long, source {source}, cluster long"), "pack-sizes")
+    # a stored salt, so that repeated rows don't share a block
+    sizes = written(picked.mapInArrow(measure, f"id {kind}, n_words long, source {source}, cluster long")
+                    .withColumn("salt", F.xxhash64("id", "cluster", F.monotonically_increasing_id())), "pack-sizes")
     blocks = max(1, -(-sizes.count() // BLOCK_ROWS))
-    dealt = sizes.withColumn("block", F.pmod(F.xxhash64("id", "cluster"), F.lit(blocks)))
+    dealt = sizes.withColumn("block", F.pmod(F.col("salt"), F.lit(blocks))).drop("salt")
     dealt = dealt.repartition(max(1, min(blocks, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))), "block")
     return dealt.groupBy("block").applyInArrow(
         lambda t: _pack(t, capacity),

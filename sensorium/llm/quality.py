@@ -13,7 +13,7 @@ are no inputs.
 Defined results: null text counts as empty and is scored as such; a null id is not held out; repeated rows are
 each scored; several labels of an id count by their mean; null labels are ignored; without any training row,
 or with labels of one kind only, the score is their mean (1.0 without labels); an empty table gives no rows;
-further columns are ignored, or pass through ``keep_quality``.
+further columns are ignored, or pass through ``keep_quality``, whatever their names; a very long text is read whole, a slice of the batch by itself.
 """
 
 from __future__ import annotations

@@ -51,3 +51,15 @@ def test_every_word_once_within_capacity_and_without_conflicts(make):
         at = sorted((r.bin_offset, r.n_words) for r in rows)
         assert all(a + n <= b for (a, n), (b, _) in zip(at, at[1:]))
     assert pack(make("doc_id long, text string, source string", []), 64).count() == 0
+
+
+def test_repeated_rows_are_dealt_over_blocks(make, monkeypatch):
+    from collections import Counter
+
+    from sensorium.llm import packing as P
+
+    monkeypatch.setattr(P, "BLOCK_ROWS", 100)
+    data = [(None, "the same text again", None, "x")] * 1500 + [(i, f"text {i}", "s", "x") for i in range(500)]
+    got = P.pack(make("doc_id long, text string, source string, `meta.lang` string", data).repartition(4)).collect()
+    sizes = Counter(r.block for r in got)
+    assert len(got) == 2000 and len(sizes) == 20 and max(sizes.values()) < 160
