@@ -2,8 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir), works on every row that its predecessor kept and returns a
 DataFrame; ``run`` writes it as Parquet to the shared folder and hands the next stage what it reads
-back. All stages but the last return the columns of ``documents``. Rows that repeat an id are kept or
-dropped by each stage's rule; an empty table passes through.
+back. All stages but the last return the columns of ``documents``; the last returns where each piece of a document lies
+(id, piece, word offset, bin), and the texts stay in the stage before.
+
+Defined results: null text counts as empty in each stage; rows are told apart by id and text, so rows that repeat an id are kept or
+dropped each by the stage's rule (of equal ones the smallest id stays, ties by text hash); texts of any length are read whole; an empty
+table passes through; further columns pass through, whatever their names.
 """
 
 from __future__ import annotations
