@@ -17,7 +17,7 @@ from ..sources.replay import assign_batches, run_replay
 from ..sources.tables import to_oracle_ts
 from ..streaming import delivery, monitor
 from ..streaming.hot_keys import HotKeyFold
-from ..streaming.sort_ema import sort_correct_ema
+from ..streaming.sort_ema import release_ms, sort_correct_ema
 from ..streaming.windows import sliding_stream, with_event_time
 
 # Fixture parameters (FIXTURES.md): correction table, cache TTL for rows
@@ -228,6 +228,22 @@ def ema_hot_stream_final(spark, sf):
     return to_oracle_ts(out.filter("_emit").select("sensor_id", "event_id", "pos", F.col("_state").alias("ema"), "ts"), "ts")
 
 
+def sort_release_bucket(spark, sf):
+    """The coalesced timer of each row."""
+    return tables.measurements(spark, sf).select("event_id", "sensor_id", release_ms("ts", 100).alias("release_ms"))
+
+
+def release_watermarks(spark, sf):
+    """The watermark at which the stateful sort released each row of the replay."""
+    fold = HotKeyFold(ordered.Position(), bucket_ms=86_400_000)
+    raw = assign_batches(tables.raw_records(spark, sf), REPLAY_BATCHES, "offset", LATE, LATE_EVERY)
+
+    def build(stream):
+        rows = decode.decode_measurements(with_event_time(stream, REPLAY_DELAY_MS), keep=("offset",))
+        return fold.release(rows.withColumnRenamed("offset", "event_id"))
+    return run_replay(raw, build).select(F.col("_key").alias("sensor_id"), F.col("_tie").alias("event_id"), F.col("_chunk").alias("watermark_ms"))
+
+
 def ttl_stream_final(spark, sf):
     """The event-time TTL cache on a stream, with its counters per location."""
     fold = HotKeyFold(ordered.TtlRefresh("_us", TTL_MS * 1000), key="location", bucket_ms=86_400_000)
@@ -377,6 +393,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sort_ema_per_event": sort_ema_per_event,
     "ema_hot_stream_final": ema_hot_stream_final,
     "ttl_stream_final": ttl_stream_final,
+    "sort_release_bucket": sort_release_bucket,
+    "release_watermarks": release_watermarks,
     "user_aggregate_windows": user_aggregate_windows,
     "buffer_fold_split": buffer_fold_split,
     "session_gap_process": session_gap_process,

@@ -184,6 +184,9 @@ SELECT batch_id, count(*) AS input_rows, count(*) FILTER (late) AS late, count(*
     "skewed_partitions_stream": """, f AS (SELECT min(top) - 3600000 AS final FROM (SELECT max(epoch_us(ts) // 1000) AS top FROM m GROUP BY event_id % 3))
 SELECT ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, location, count(*) AS events_per_window, round(sum(value), 6) AS sum_per_window
 FROM (SELECT m.*, time_bucket(INTERVAL 1 HOUR, ts) AS ws FROM m), f WHERE epoch_us(ws) // 1000 + 3600000 <= final GROUP BY ALL""",
+    "sort_release_bucket": "SELECT event_id, sensor_id, epoch_us(ts) // 1000 // 100 * 100 + 100 AS release_ms FROM m",
+    "release_watermarks": _KEPT + """, x AS (SELECT wm AS at FROM w WHERE wm IS NOT NULL UNION SELECT final FROM f)
+SELECT sensor_id, event_id, min(x.at) AS watermark_ms FROM r JOIN x ON x.at > epoch_us(ts) // 1000 GROUP BY ALL""",
     "location_enrich_async": "SELECT event_id, location, md5(location) AS location_info FROM m",
 }
 

@@ -95,12 +95,13 @@ class HotKeyFold:
     def result(self, released: DataFrame, carries: DataFrame) -> DataFrame:
         """Step 3: ``key, tie, ts``, the kept columns, ``pos`` (1-based in the key's order), the kernel's outputs and ``_state``."""
         kernel, columns = self.kernel, self._columns()
+        outputs = [(n, t) for n, t in kernel.outputs if n != "pos"]
         on = ["_k", "_null", "_bucket", "_chunk"]
         told = lambda d: d.withColumns({"_k": F.coalesce(F.col("_key").cast("string"), F.lit("")), "_null": F.col("_key").isNull()})
         joined = told(released.select("_key", "_bucket", "_chunk", "_idx", "_us", "_tie", *columns)) \
             .join(told(carries).drop("_key"), on)
         fields = [joined.schema[c] for c in ("_key", "_us", "_tie", *columns)] + [T.StructField("pos", T.LongType())] + \
-            [T.StructField(n, t) for n, t in kernel.outputs] + [T.StructField("_state", kernel.state_type)]
+            [T.StructField(n, t) for n, t in outputs] + [T.StructField("_state", kernel.state_type)]
 
         def fold(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values("_idx")
@@ -108,14 +109,14 @@ class HotKeyFold:
             states, outs = kernel.fold({c: pdf[c].to_numpy() for c in kernel.inputs}, np.array([0]), carry, len(pdf))
             out = pdf[["_key", "_us", "_tie", *columns]].copy()
             out["pos"] = int(pdf["_start"].iloc[0]) + 1 + np.arange(len(pdf), dtype=np.int64)
-            for name, _ in kernel.outputs:
+            for name, _ in outputs:
                 out[name] = outs[name]
             out["_state"] = states
             return out
 
         done = joined.groupBy(*on).applyInPandas(fold, T.StructType(fields))
         return done.select(F.col("_key").alias(self.key), F.col("_tie").alias(self.tie), F.timestamp_micros("_us").alias(self.ts),
-                           *[c for c in self.keep if c in columns], "pos", *[n for n, _ in kernel.outputs], "_state")
+                           *[c for c in self.keep if c in columns], "pos", *[n for n, _ in outputs], "_state")
 
     def start(self, rows: DataFrame, root: str, **trigger):
         """Start both queries on tables under ``root``; read the result with ``read``. ``trigger`` goes to ``DataStreamWriter.trigger``."""

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -52,6 +52,13 @@ STATE = T.StructType([
 ])
 
 
+def release_ms(ts: str = "ts", round_to_ms: int | None = ROUND_TIMER_TO_MS) -> Column:
+    """The timer of a row in epoch ms: its own time, or the end of its ``round_to_ms`` bucket (always after the row). The
+    sort releases the row once the watermark passes its time and this timer, or new rows of its sensor come."""
+    ms = F.unix_millis(F.col(ts))
+    return ms if not round_to_ms else ms - F.pmod(ms, F.lit(round_to_ms)) + F.lit(round_to_ms)
+
+
 def _timeout_ms(ts_ms: int, round_to_ms: int | None) -> int:
     # a timeout T fires once watermark > T
     if not round_to_ms:

@@ -113,3 +113,15 @@ def test_sort_average_shuffles_once(spark, tmp_path):
     q = run_available(df, str(tmp_path / "out"), str(tmp_path / "ck"))
     plan = q._jsq.explainInternal(False)
     assert plan.count("Exchange ") == 1 and "FlatMapGroupsInPandasWithState" in plan
+
+
+def test_positions_and_timers(spark, tmp_path):
+    from sensorium.operators.ordered import Position
+    from sensorium.streaming.sort_ema import _timeout_ms, release_ms
+
+    rows = _rows(300)
+    _, out = _run(spark, rows, HotKeyFold(Position(), bucket_ms=BUCKET_MS), str(tmp_path))
+    want = {r[1]: (k, i + 1, i + 1) for k, part in _accepted(rows).items() for i, r in enumerate(part)}
+    assert {r.event_id: (r.sensor_id, r.pos, r._state) for r in out.collect()} == want
+    df = spark.createDataFrame(rows, SCHEMA).select(F.unix_millis("ts").alias("ms"), release_ms("ts", 100).alias("a"), release_ms("ts", None).alias("b"))
+    assert all(r.a == _timeout_ms(r.ms, 100) + 1 > r.ms and r.b == _timeout_ms(r.ms, None) == r.ms for r in df.collect())
