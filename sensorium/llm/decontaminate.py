@@ -8,32 +8,40 @@ so a shard lists at most 13 places a word, however repetitive document and bench
 compared by their bytes. Each run of hit words is covered by verbatim matches, every one extended from its
 window as far as document and item agree. Documents with enough hit words are contaminated and removed.
 
-The benchmark is the query set. It travels in blocks of at most ``BLOCK_WORDS`` words, so no
-broadcast grows beyond a block; a shard is sorted once and searched with each block in turn.
+The benchmark is the query set. Executors cut it into pieces of at most ``BLOCK_WORDS`` words (a longer item into pieces that
+share ``window`` - 1 words, so every window lies in one), and the driver hands them on in blocks of that size, ``PASS_BLOCKS``
+blocks a pass. Up to that size one pass over the documents does it all, and a shard is sorted once. A larger benchmark takes
+more passes over a stored copy of the documents, each with its own broadcasts only, and the hits of a document are joined by its
+row number; so neither the driver nor a worker holds more than the blocks of a pass, whatever the benchmark's size. The rows are the same
+either way.
 
 Defined results: null text has no words and is clean; an item without words never matches; items that
 share an item_id count once, a null item_id reads as an empty string; repeated document rows are judged
-each; a very long text is a shard of its own; empty tables give empty or clean results; further columns pass through
+each; a very long text is a shard of its own; a match in an item of over ``BLOCK_WORDS`` words ends with its piece, and the next goes on from there;
+empty tables give empty or clean results; further columns pass through
 ``remove_contaminated``, whatever their names.
 """
 
 from __future__ import annotations
 
-import hashlib
+import itertools
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_bytes, filtered, prepare, quoted, ranges, runs, slices, span_hashes
+from .common import as_bytes, filtered, prepare, quoted, ranges, runs, slices, span_hashes, written
 
 WINDOW = 13
 #: Contaminated from one hit word in so many.
 MIN_SHARE = 20
-#: Words of benchmark text searched at a time; one longer item is a block of its own.
+#: Words of benchmark text searched at a time.
 BLOCK_WORDS = 200_000
+#: Blocks that are broadcast together, for one pass over the documents.
+PASS_BLOCKS = 10
 
 #: A-Z in lower case; bytes that end a word become spaces. Bytes from 0x80 belong to words, so this equals
 #: cutting the decoded text at [\x00-\x2F\x3A-\x60\x7B-\x7F].
@@ -85,9 +93,10 @@ def suffix_array(tokens: np.ndarray) -> np.ndarray:
 class Block:
     """The distinct windows of some benchmark items, ready to search, and where each occurs in the items."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int):
-        self.ids = [i for i, _ in items]
-        self.words = w = Words([t for _, t in items])
+    def __init__(self, items: list[tuple], window: int):
+        self.ids = [i[0] for i in items]
+        self.base = [sum(i[2:]) for i in items]  # a piece's first word in its item
+        self.words = w = Words([i[1] for i in items])
         n = w.counts
         size = np.minimum(n, window)
         each = np.where(n > 0, n - size + 1, 0)
@@ -208,8 +217,9 @@ def cover(docs: Words, places: _Places, block: Block) -> Iterator[tuple[int, int
         yield at, item, offset, n
 
 
-def scan(texts: list[bytes], blocks: Iterable[Block], window: int = WINDOW) -> Iterator[tuple[int, int, list[str], list]]:
-    """(n_words, n_hit, item ids, matches) of each text; a match is (first word, item id, item word, words)."""
+def search(texts: list[bytes], blocks: Iterable[Block], window: int = WINDOW) -> Iterator[tuple[int, list[tuple[int, int]], list[str], list]]:
+    """(n_words, runs of hit words, item ids, matches) of each text; a run is (first word, word after its last), a match
+    (first word, item id, item word, words)."""
     for lo, hi in slices(texts):
         docs = Words(texts[lo:hi])
         padded = np.concatenate((docs.tokens, np.zeros(window, np.uint64)))
@@ -229,36 +239,62 @@ def scan(texts: list[bytes], blocks: Iterable[Block], window: int = WINDOW) -> I
                 items[pair // len(b.ids)].add(b.ids[pair % len(b.ids)])
             for at, item, off, n in cover(docs, places, b):
                 d = int(docs.text_of[at])
-                matches[d].append((at - int(docs.first[d]), b.ids[item], off, n))
+                matches[d].append((at - int(docs.first[d]), b.ids[item], b.base[item] + off, n))
             del b, places  # before the next one is built
-        hit = np.add.reduceat((np.cumsum(edge[:-1]) > 0).astype(np.int64), docs.first)
+        starts, ends = runs(np.cumsum(edge[:-1]) > 0)  # the token after a text's last word is never hit
+        of = np.searchsorted(starts, np.append(docs.first, len(docs.tokens)))
         for d in range(hi - lo):
-            yield int(docs.counts[d]), int(hit[d]), sorted(items[d]), sorted(matches[d])
+            at, first = slice(of[d], of[d + 1]), docs.first[d]
+            spans = list(zip((starts[at] - first).tolist(), (ends[at] - first).tolist(), strict=True))
+            yield int(docs.counts[d]), spans, sorted(items[d]), sorted(matches[d])
+
 
+def scan(texts: list[bytes], blocks: Iterable[Block], window: int = WINDOW) -> Iterator[tuple[int, int, list[str], list]]:
+    """(n_words, n_hit, item ids, matches) of each text, as in ``search``."""
+    for n, spans, items, matches in search(texts, blocks, window):
+        yield n, sum(hi - lo for lo, hi in spans), items, matches
 
-def is_contaminated(n_words: int, n_hit: int) -> bool:
-    return n_hit > 0 and MIN_SHARE * n_hit >= n_words
 
+def pieces(texts: list[bytes], window: int, limit: int) -> Iterator[tuple[int, bytes, int, int]]:
+    """(text, piece, its first word, its words): every run of ``window`` words lies whole in a piece of at most ``limit`` words."""
+    limit = max(limit, window)
+    for k, text in enumerate(texts):
+        starts, ends = runs(np.frombuffer(text.translate(_FOLD), np.uint8) != 32)
+        n = len(starts)
+        for lo in range(0, max(n - window + 1, min(n, 1)), limit - window + 1):
+            hi = min(n, lo + limit)
+            yield k, text[starts[lo]:ends[hi - 1]], lo, hi - lo
 
-def benchmark_blocks(bench: DataFrame, window: int = WINDOW, id_col: str = "item_id", text_col: str = "text") -> list:
-    """The benchmark as broadcast blocks, each read, bounded and sent on its own."""
-    sc = bench.sparkSession.sparkContext
-    rows = bench.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("i"),
-                        F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    out, block, size = [], [], 0
-    for r in rows.toLocalIterator():
-        t = r["t"].encode()
-        n = len(t.translate(_FOLD).split())
-        if block and size + n > BLOCK_WORDS:
-            out.append(sc.broadcast(block))
-            block, size = [], 0
-        block.append((r["i"], t))
-        size += n
-    return [*out, sc.broadcast(block)] if block else out
+
+def benchmark_passes(bench: DataFrame, window: int = WINDOW, id_col: str = "item_id", text_col: str = "text") -> Iterator[list[list]]:
+    """The benchmark in blocks of (item id, text, first word), ``PASS_BLOCKS`` blocks at a time; the driver holds one such list
+    and a partition of pieces."""
+    limit = BLOCK_WORDS
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column(0).to_pylist()
+            for k, text, first, n in pieces(as_bytes(b.column(1)), window, limit):
+                yield pa.RecordBatch.from_arrays([pa.array([ids[k]], pa.string()), pa.array([text], pa.binary()),
+                                                  pa.array([first], pa.int64()), pa.array([n], pa.int64())], names=["i", "t", "first", "n"])
+
+    rows = bench.select(F.coalesce(quoted(id_col).cast("string"), F.lit("")).alias("i"), quoted(text_col).alias("t"))
+    blocks, size = [], limit
+    for r in written(rows.mapInArrow(cut, "i string, t binary, first long, n long"), "benchmark").toLocalIterator():
+        if size + r["n"] > limit:
+            if len(blocks) == PASS_BLOCKS:
+                yield blocks
+                blocks = []
+            blocks.append([])
+            size = 0
+        blocks[-1].append((r["i"], bytes(r["t"]), r["first"]))
+        size += r["n"]
+    if blocks:
+        yield blocks
 
 
 class _Blocks:
-    """The blocks of a task: each is built when its turn comes, for every pass anew unless it is the only one."""
+    """The blocks of a task: each is built when its turn comes, for every batch of documents anew unless it is the only one."""
 
     def __init__(self, sent: list, window: int):
         self.sent, self.window = sent, window
@@ -268,36 +304,93 @@ class _Blocks:
         yield from self.only or (Block(b.value, self.window) for b in self.sent)
 
 
-def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
-                  text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_words, n_hit, n_items, items_sha256, contaminated, matches."""
-    prepare(docs)
-    sent = benchmark_blocks(bench, window)
-    picked = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"))
-    kind = picked.schema["id"].dataType.simpleString()
-    match = pa.list_(pa.struct([("doc_word", pa.int64()), ("item_id", pa.string()), ("item_word", pa.int64()), ("n_words", pa.int64())]))
+_MATCH = pa.list_(pa.struct([("doc_word", pa.int64()), ("item_id", pa.string()), ("item_word", pa.int64()), ("n_words", pa.int64())]))
+_FOUND = "n_words long, spans array<struct<lo:long,hi:long>>, items array<string>, matches array<struct<doc_word:long,item_id:string,item_word:long,n_words:long>>"
+
+
+def _found(rows: DataFrame, sent: list, window: int, only_hits: bool) -> DataFrame:
+    """``rows`` (columns of the row, the text last) -> those columns but the text, and what one pass finds in it."""
+    kept = rows.columns[:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = _Blocks(sent, window)
         for b in batches:
-            got = list(scan(as_bytes(b.column(1)), blocks, window))
+            got = list(search(as_bytes(b.column(len(kept))), blocks, window))
+            if only_hits:
+                b = b.filter(pa.array([bool(g[1]) for g in got], pa.bool_()))
+                got = [g for g in got if g[1]]
             yield pa.RecordBatch.from_arrays([
-                b.column(0), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64()),
-                pa.array([len(g[2]) for g in got], pa.int64()),
-                pa.array([hashlib.sha256(",".join(g[2]).encode()).hexdigest() for g in got], pa.string()),
-                pa.array([is_contaminated(g[0], g[1]) for g in got], pa.bool_()),
-                pa.array([[dict(zip(("doc_word", "item_id", "item_word", "n_words"), m, strict=True)) for m in g[3]] for g in got], match),
-            ], names=["id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "matches"])
+                *b.columns[:len(kept)], pa.array([g[0] for g in got], pa.int64()),
+                pa.array([[{"lo": lo, "hi": hi} for lo, hi in g[1]] for g in got], pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))),
+                pa.array([g[2] for g in got], pa.list_(pa.string())),
+                pa.array([[dict(zip(("doc_word", "item_id", "item_word", "n_words"), m, strict=True)) for m in g[3]] for g in got], _MATCH),
+            ], names=[*kept, "n_words", "spans", "items", "matches"])
+
+    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept)
+    return rows.mapInArrow(run, f"{schema}, {_FOUND}")
 
-    out = picked.mapInArrow(run, f"id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
-                                 "matches array<struct<doc_word:long,item_id:string,item_word:long,n_words:long>>")
-    return out.withColumnRenamed("id", id_col)
+
+def _hit_words(spans: Column) -> Column:
+    """How many words lie in any of the runs."""
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("upto"))
+    return F.aggregate(F.array_sort(spans), start, lambda a, s: F.struct(
+        (a["n"] + F.greatest(F.lit(0).cast("long"), s["hi"] - F.greatest(s["lo"], a["upto"]))).alias("n"),
+        F.greatest(a["upto"], s["hi"]).alias("upto")))["n"]
+
+
+def _in_passes(numbered: DataFrame, passes: Iterator[list[list]], window: int, every: bool) -> DataFrame:
+    """What all passes find in ``numbered`` (number, columns of the row, the text last), without the text; rows without a hit only if ``every``."""
+    sc, kept, found = numbered.sparkSession.sparkContext, numbered.columns[1:-1], []
+    for blocks in passes:
+        sent = [sc.broadcast(b) for b in blocks]
+        found.append(written(_found(numbered, sent, window, bool(found) or not every), "benchmark-hits"))
+        for b in sent:
+            b.destroy()
+    return reduce(DataFrame.union, found).groupBy("number").agg(
+        *[F.first(c).alias(c) for c in kept], F.max("n_words").alias("n_words"),
+        *[F.flatten(F.collect_list(c)).alias(c) for c in ("spans", "items", "matches")])  # one document's, over the passes
+
+
+def is_contaminated(n_words: int | Column, n_hit: int | Column) -> bool | Column:
+    return (n_hit > 0) & (MIN_SHARE * n_hit >= n_words)
+
+
+def _all_or_first(bench: DataFrame, window: int) -> tuple[list, Iterator[list[list]] | None]:
+    """The benchmark's broadcast blocks if they are one pass, else its passes."""
+    sc, todo = bench.sparkSession.sparkContext, benchmark_passes(bench, window)
+    blocks, more = next(todo, []), next(todo, None)
+    if more is None:
+        return [sc.broadcast(b) for b in blocks], None
+    return [], itertools.chain([blocks, more], todo)
+
+
+def contamination(docs: DataFrame, bench: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """One row per document: id, n_words, n_hit, n_items, items_sha256, contaminated, matches."""
+    prepare(docs)
+    sent, passes = _all_or_first(bench, window)
+    rows = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"))
+    if passes is None:
+        found = _found(rows, sent, window, False)
+    else:
+        found = _in_passes(written(rows.select(F.monotonically_increasing_id().alias("number"), "id", "text"), "benchmark-rows"), passes, window, True)
+    items = F.array_sort(F.array_distinct("items"))
+    found = found.select("id", "n_words", _hit_words(F.col("spans")).alias("n_hit"), items.alias("items"), F.array_sort("matches").alias("matches"))
+    return found.select(F.col("id").alias(id_col), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), is_contaminated(F.col("n_words"), F.col("n_hit")).alias("contaminated"),
+                        "matches")
 
 
 def remove_contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW, text_col: str = "text") -> DataFrame:
     """``docs`` without the contaminated rows, all columns unchanged."""
     prepare(docs)
-    sent, at = benchmark_blocks(bench, window), docs.columns.index(text_col)
+    (sent, passes), at = _all_or_first(bench, window), docs.columns.index(text_col)
+    if passes is not None:
+        plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+        plain = written(plain.select(F.monotonically_increasing_id().alias("number"), *plain.columns), "benchmark-rows")
+        found = _in_passes(plain.select("number", f"c{at}"), passes, window, False)
+        bad = found.filter(is_contaminated(F.col("n_words"), _hit_words(F.col("spans"))))
+        return plain.join(bad.select("number"), "number", "left_anti").drop("number").toDF(*docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = _Blocks(sent, window)

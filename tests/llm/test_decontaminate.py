@@ -5,6 +5,7 @@ import weakref
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from sensorium.llm import decontaminate as D
 from sensorium.llm.common import as_bytes  # noqa: F401
@@ -45,17 +46,21 @@ def corpus():
     return texts, items
 
 
-def test_matches_brute_force(make, monkeypatch):
+@pytest.mark.parametrize(("block_words", "pass_blocks"), [(40, 100), (40, 3), (20, 7)])
+def test_matches_brute_force(make, monkeypatch, block_words, pass_blocks):
+    """In one pass, in several, and with items cut into pieces."""
     texts, items = corpus()
-    monkeypatch.setattr(D, "BLOCK_WORDS", 40)
+    monkeypatch.setattr(D, "BLOCK_WORDS", block_words)
+    monkeypatch.setattr(D, "PASS_BLOCKS", pass_blocks)
     docs = make("doc_id long, text string, contaminated string", [(i, t, "?") for i, t in enumerate(texts)])
     bench = make("item_id long, text string", items)
-    assert len(D.benchmark_blocks(bench)) > 3
+    sizes = [len(p) for p in D.benchmark_passes(bench)]
+    assert sum(sizes) > 3 and max(sizes) <= pass_blocks and (len(sizes) == 1) == (pass_blocks == 100)
     got = {r.doc_id: r for r in D.contamination(docs, bench).collect()}
     want = brute(texts, items)
     assert [(got[i].n_words, got[i].n_hit, got[i].n_items, got[i].items_sha256, got[i].contaminated) for i in range(len(texts))] == want
-    kept = {r.doc_id for r in D.remove_contaminated(docs, bench).collect()}
-    assert kept == {i for i, w in enumerate(want) if not w[4]}
+    left = sorted(tuple(r) for r in D.remove_contaminated(docs, bench).collect())
+    assert left == [(i, t, "?") for i, (t, w) in enumerate(zip(texts, want, strict=True)) if not w[4]]
     for i, t in enumerate(texts):
         for m in got[i].matches:
             v = [words(b) for j, b in items if str(j) == m.item_id]
@@ -93,6 +98,34 @@ def test_words_of_one_hash_are_told_apart(monkeypatch):
     assert got == want
 
 
+def test_pieces_hold_every_window():
+    rnd = random.Random(2)
+    for n in (0, 1, 12, 13, 14, 39, 40, 41, 67, 68, 69, 200):
+        text = "".join(rnd.choice([" ", " . ", "\n"]) + f"w{i}" for i in range(n))
+        got = list(D.pieces([b"", text.encode()], 13, 40))
+        windows = {(i, i + min(n, 13)) for i in range(max(n - 12, min(n, 1)))}
+        seen = set()
+        for k, piece, first, m in got:
+            assert k == 1 and m <= 40 and words(piece.decode()) == [f"w{i}" for i in range(first, first + m)]
+            size = min(n, 13)
+            assert m >= size  # no piece is a shorter window of its own
+            seen |= {(first + i, first + i + size) for i in range(m - size + 1)}
+        assert seen == windows and (n <= 40) == (len(got) <= 1)
+
+
+def test_rows_that_repeat_over_passes(make, monkeypatch):
+    """Rows are told apart by number: equal ids, null ids and equal rows are judged each; a word hit in two passes counts once."""
+    monkeypatch.setattr(D, "BLOCK_WORDS", 13)
+    monkeypatch.setattr(D, "PASS_BLOCKS", 1)
+    long = " ".join(f"w{i}" for i in range(30))
+    bench = make("item_id long, text string", [(1, long), (2, " ".join(f"w{i}" for i in range(5, 20))), (None, "w3 w4")])
+    texts = [(1, long), (1, long), (1, "clean"), (None, None), (None, "w3 w4"), (2, "w4 w3 " * 20 + "w3")]
+    docs = make("doc_id long, text string, number string, `c0.x` int", [(i, t, "n", 0) for i, t in texts])
+    got = sorted(((r.doc_id or 0, r.n_words, r.n_hit, r.n_items, r.contaminated) for r in D.contamination(docs, bench).collect()))
+    assert got == [(0, 0, 0, 0, False), (0, 2, 2, 1, True), (1, 1, 0, 0, False), (1, 30, 30, 3, True), (1, 30, 30, 3, True), (2, 41, 38, 1, True)]
+    assert sorted(map(tuple, D.remove_contaminated(docs, bench).collect()), key=str) == [(1, "clean", "n", 0), (None, None, "n", 0)]
+
+
 def test_columns_of_any_name(make):
     docs = make("doc_id long, text string, `meta.lang` string, id int, contaminated int", [(1, "a b c", "x", 1, 2), (2, "d", "y", 3, 4)])
     bench = make("item_id long, text string, id string", [(1, "b", "z")])
@@ -118,6 +151,7 @@ def test_empty_tables(make):
 def test_one_block_at_a_time(make, monkeypatch):
     texts, items = corpus()
     monkeypatch.setattr(D, "BLOCK_WORDS", 40)
+    monkeypatch.setattr(D, "PASS_BLOCKS", 100)
     monkeypatch.setattr(D, "prepare", lambda df: None)
     alive, most = weakref.WeakSet(), []
 
