@@ -223,7 +223,8 @@ def _medians(at: DataFrame, cuts: dict, slack: float) -> None:
 def _slots(rows: DataFrame, n: int, shards: int) -> DataFrame:
     """A gapless number from 0 in each shard: rows are numbered within hashed blocks, blocks are added up."""
     blocks = max(1, -(-n // (shards * SLOT_ROWS)))
-    rows = written(rows.withColumn("block", F.pmod(F.xxhash64("id", "size", "text_crc32"), F.lit(blocks))), "shard-placed")
+    # equal rows get different blocks, which are stored with them
+    rows = written(rows.withColumn("block", F.pmod(F.xxhash64("id", "size", "text_crc32", F.monotonically_increasing_id()), F.lit(blocks))), "shard-placed")
     sums = rows.groupBy("shard", "block").agg(F.count("*").alias("n"))
     before = sums.select("shard", "block", (F.sum("n").over(Window.partitionBy("shard").orderBy("block")) - F.col("n")).alias("before"))
     inner = F.row_number().over(Window.partitionBy("shard", "block").orderBy("id", "size", "text_crc32"))

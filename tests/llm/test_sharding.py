@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from sensorium.llm import sharding
 from sensorium.llm.sharding import shard
 
 
@@ -126,6 +127,16 @@ def test_tree_matches_plain_medians(spark):
     assert max(abs(v - total / 40) for v in sizes.values()) < 0.03 * total / 40
 
 
+def test_slots_of_equal_rows(make, monkeypatch):
+    """Equal rows, ids included, are numbered in many blocks: no task numbers them all."""
+    monkeypatch.setattr(sharding, "SLOT_ROWS", 100)
+    rows = make("id long, size long, text_crc32 long, shard long", [(None, 20, 7, k % 2) for k in range(1500)] + [(k, 20, 8, k % 2) for k in range(500)])
+    got = sharding._slots(rows, 2000, 2).collect()
+    for s in (0, 1):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(1000))
+    assert max(Counter((r.shard, r.block) for r in got).values()) < 200
+
+
 def test_few_jobs(spark, make):
     group = "sharding-jobs"
     spark.sparkContext.setJobGroup(group, "")
