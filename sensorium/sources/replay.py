@@ -17,6 +17,10 @@ from ..session import scratch_path
 
 _NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
 
+#: Rows of a replayed file at most. A batch's rows often lie in one or two source files, and Spark deals files to tasks by bytes: large
+#: files of small rows would leave a batch to one or two tasks.
+FILE_ROWS = 25_000
+
 
 def assign_batches(df: DataFrame, n_batches: int = 6, id_col: str = "event_id",
                    late: dict[int, int] | None = None, late_every: int = 50) -> DataFrame:
@@ -54,14 +58,14 @@ def run_replay(df: DataFrame, build: Callable[[DataFrame], DataFrame], batch: st
     spark = df.sparkSession
     root = root or scratch_path(spark, "replay")
     staged, folder, out = f"{root}/staged", f"{root}/stream", f"{root}/out"
-    df.write.partitionBy(batch).parquet(staged)
+    df.write.option("maxRecordsPerFile", FILE_ROWS).partitionBy(batch).parquet(staged)
     schema = df.drop(batch).schema
     table = spark.read.schema(df.schema).parquet(staged)
     batches = sorted(r[0] for r in table.select(batch).distinct().collect())  # one value per micro-batch
     sessions = {last: _child(spark, {_NO_DATA: str(last).lower()}) for last in (False, True)}
     stream = None
     for i, b in enumerate(batches):
-        table.filter(F.col(batch) == b).drop(batch).write.mode("append").parquet(folder)
+        table.filter(F.col(batch) == b).drop(batch).write.mode("append").option("maxRecordsPerFile", FILE_ROWS).parquet(folder)
         stream = build(replay_stream(sessions[i == len(batches) - 1], folder, schema))
         w = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{root}/checkpoint")
         q = (w.partitionBy(partition_by) if partition_by else w).trigger(availableNow=True).start(out)
