@@ -95,6 +95,23 @@ class Kernel:
     def fold(self, cols: dict[str, np.ndarray], starts: np.ndarray, carry, n: int):
         raise NotImplementedError
 
+    def fold_runs(self, cols: dict[str, np.ndarray], starts: np.ndarray, carries: np.ndarray, carried: np.ndarray, n: int):
+        """``fold`` where every run has a carry of its own, used where ``carried``."""
+        if not carried.any():
+            return self.fold(cols, starts, None, n)
+        done = [self.fold({c: v[a:b] for c, v in cols.items()}, np.array([0]), carry if told else None, b - a)
+                for a, b, carry, told in zip(starts.tolist(), np.append(starts[1:], n).tolist(), carries.tolist(), carried.tolist(), strict=True)]
+        return np.concatenate([st for st, _ in done]), {c: np.concatenate([out[c] for _, out in done]) for c, _ in self.outputs}
+
+    def maps(self, cols: dict[str, np.ndarray], starts: np.ndarray, states: np.ndarray) -> list:
+        """The carry map of every run."""
+        out = []
+        for a, b in zip(starts.tolist(), np.append(starts[1:], len(states)).tolist(), strict=True):
+            probe = self.probe()
+            probe.add({c: v[a:b] for c, v in cols.items()}, states[a:b])
+            out.append(probe.result())
+        return out
+
     # True: the state with a carry never equals the local one again
     always_shifted = False
 
@@ -163,6 +180,46 @@ class MovingAverage(Kernel):
             emit[starts[1:]] = False
         return st, {"_emit": emit}
 
+    #: Runs longer than this are averaged one by one, shorter ones side by side.
+    LONG_RUN = 256
+
+    def _ewm_runs(self, v: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """``_ewm`` for many runs: the k-th rows of all short runs in one step, with the arithmetic of pandas."""
+        size = np.diff(np.append(starts, len(v)))
+        if not np.isfinite(v).all():
+            return self._ewm(v, _run_ids(starts, len(v)))
+        out = v.copy()
+        for a, n in zip(starts[size > self.LONG_RUN].tolist(), size[size > self.LONG_RUN].tolist(), strict=True):
+            out[a:a + n] = self._ewm(v[a:a + n], np.zeros(n, np.int64))
+        short = np.flatnonzero(size <= self.LONG_RUN)
+        short = short[np.argsort(-size[short], kind="stable")]
+        at, left = starts[short], size[short]
+        avg, old, new = v[at], 1.0 - self.alpha, self.alpha
+        for k in range(1, int(left[0]) if len(left) else 0):
+            m = int(np.searchsorted(-left, -k, side="left"))  # runs of more than k rows
+            avg, x = avg[:m], v[at[:m] + k]
+            avg = np.where(avg == x, avg, (old * avg + new * x) / (old + new))
+            out[at[:m] + k] = avg
+        return out
+
+    def fold_runs(self, cols, starts, carries, carried, n):
+        v = cols[self.value].astype("float64")
+        emit = np.ones(len(v), dtype=bool)
+        emit[starts[~carried]] = False
+        seeded = np.insert(v, starts[carried], carries[carried])
+        begin = starts + np.cumsum(carried) - carried
+        return np.delete(self._ewm_runs(seeded, begin), begin[carried]), {"_emit": emit}
+
+    def maps(self, cols, starts, states):
+        v, all_ = cols[self.value].astype("float64"), np.ones(len(starts), bool)
+        if not len(v):
+            return []
+        low, high = (self.fold_runs(cols, starts, np.full(len(starts), c), all_, len(v))[0] for c in (-self.EXTREME, self.EXTREME))
+        met = np.logical_or.reduceat(_eq_states(low, high), starts)
+        finite, none = np.isfinite(v).all(), np.zeros(3, dtype=bool)
+        return [(None if m else v[a:b].copy(), float(states[b - 1]) if m else None, none if finite else self._kinds(v[a:b]))
+                for a, b, m in zip(starts.tolist(), np.append(starts[1:], len(v)).tolist(), met.tolist(), strict=True)]
+
     def from_carry(self, carry: float, v: np.ndarray) -> np.ndarray:
         return self._ewm(np.concatenate([[carry], v]), np.zeros(len(v) + 1, dtype=np.int64))[1:]
 
@@ -184,6 +241,12 @@ class MovingAverage(Kernel):
             return float("nan") if np.isnan(carry) or nan or (up and carry < 0) or (down and carry > 0) else carry
         if values is None:
             return end
+        if len(values) <= self.LONG_RUN and not (nan or up or down):
+            old, new = 1.0 - self.alpha, self.alpha
+            for x in values.tolist():  # a few values: as pandas would, without its overhead
+                if carry != x:
+                    carry = (old * carry + new * x) / (old + new)
+            return float(carry)
         return float(self.from_carry(carry, values)[-1]) if len(values) else carry
 
     def compose(self, first, second):

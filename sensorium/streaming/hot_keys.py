@@ -9,13 +9,13 @@ together from its buckets in three steps:
    first row carries the chunk's summary: row count, end state of a fresh fold, carry map.
 2. ``carries`` (stateful, by key): reads the summaries only, one row per chunk, composes
    them in order and gives each chunk the state it starts from.
-3. ``result`` (no state): joins rows and carries by (key, bucket, chunk) and folds each chunk from
-   its carry, so results equal the sequential fold bit by bit.
+3. ``result`` (no state): brings each chunk's carry before its rows by one sort on (key, bucket, chunk) and folds each
+   chunk from its carry, so results equal the sequential fold bit by bit.
 
 Steps 1 and 2 are two streaming queries with a table between them, each with its own
 checkpoint; step 3 is a view over their two tables. A key with a third of all rows is so spread by its
-buckets; a call holds one bucket's rows (choose ``bucket_ms`` below the trigger interval), or one
-summary per chunk. A chunk's carry map holds the values that a fold still depends on
+buckets (choose ``bucket_ms`` below the trigger interval). Buckets are dealt to the state rows of ``shards``: a call holds the
+buffered rows of a shard's buckets, which it works on at once, or their summaries, one per chunk. A chunk's carry map holds the values that a fold still depends on
 (for an average with alpha 0.5 about a thousand at most, for a TTL cache one step per distinct time of a TTL span).
 
 All chunks of a micro-batch lie between its watermark and the one before, so a later batch never
@@ -32,26 +32,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from ..operators.folds import key_again, key_columns
 from ..operators.ordered import Kernel, _state_of
 from ..schema import ROUND_TIMER_TO_MS
-from .sort_ema import _timeout_ms
+from . import shards
 
 RELEASED, CARRIES = "released", "carries"
 
 
-def _column(values: list, like: T.DataType) -> pd.Series:
-    if isinstance(like, T.DoubleType):
-        return pd.Series(values, dtype="float64")
-    if isinstance(like, T.LongType) and all(v is not None for v in values):
-        return pd.Series(values, dtype="int64")
-    return pd.Series(values, dtype=object)
-
-
 @dataclass
 class HotKeyFold:
     """A fold of ``kernel`` along each key's rows in (ts, tie) order; ``keep`` names further columns of the result."""
@@ -71,51 +65,47 @@ class HotKeyFold:
         """Step 1: a stream of measurements with a watermark on ``ts`` -> released rows, chunk by chunk."""
         columns = self._columns()
         ms = F.unix_millis(F.col(self.ts))
-        data = rows.select(self.key, F.floor(ms / F.lit(self.bucket_ms)).cast("long").alias("_bucket"), self.ts,
+        data = rows.select(*key_columns(F.col(self.key)), F.floor(ms / F.lit(self.bucket_ms)).cast("long").alias("_bucket"), self.ts,
                            F.unix_micros(F.col(self.ts)).alias("_us"), F.col(self.tie).cast("long").alias("_tie"), *columns)
-        kinds = {c: data.schema[c].dataType for c in columns}
-        body = [T.StructField("_us", T.LongType()), T.StructField("_tie", T.LongType()), *[T.StructField(c, k) for c, k in kinds.items()]]
-        state = T.StructType([T.StructField(f.name, T.ArrayType(f.dataType)) for f in body])
-        out = T.StructType([T.StructField("_key", data.schema[self.key].dataType), T.StructField("_bucket", T.LongType()),
-                            T.StructField("_chunk", T.LongType()), T.StructField("_idx", T.LongType()), *body,
-                            T.StructField("_n", T.LongType()), T.StructField("_held", T.LongType()),
-                            T.StructField("_end", self.kernel.state_type), T.StructField("_map", T.BinaryType())])
-        fn = _make_release(self.kernel, [(f.name, f.dataType) for f in body], self.round_to_ms)
-        return data.groupBy(self.key, "_bucket").applyInPandasWithState(fn, out, state, "append", GroupStateTimeout.EventTimeTimeout)
+        body = [T.StructField("_bucket", T.LongType()), T.StructField("_chunk", T.LongType()), T.StructField("_idx", T.LongType()),
+                T.StructField("_us", T.LongType()), T.StructField("_tie", T.LongType()), *[T.StructField(c, data.schema[c].dataType) for c in columns],
+                T.StructField("_n", T.LongType()), T.StructField("_held", T.LongType()),
+                T.StructField("_end", self.kernel.state_type), T.StructField("_map", T.BinaryType())]
+        out = T.StructType([T.StructField("_k", T.StringType()), T.StructField("_null", T.BooleanType()), *body])
+        fn = _make_release(self.kernel, ["_k", "_null", "_bucket", "_us", "_tie", *columns], self.round_to_ms)
+        done = shards.by_shard(data, "_k", "_null", "_bucket").applyInPandasWithState(
+            fn, out, shards.STATE, "append", GroupStateTimeout.EventTimeTimeout)
+        return done.select(key_again(rows.schema[self.key].dataType).alias("_key"), *[f.name for f in body])
 
     def carries(self, released: DataFrame) -> DataFrame:
         """Step 2: the stream of released rows -> (_key, _bucket, _chunk, _carried, _carry, _start) per chunk."""
-        heads = released.filter(F.col("_n").isNotNull()).select("_key", "_bucket", "_chunk", "_us", "_tie", "_n", "_end", "_map")
-        out = T.StructType([heads.schema["_key"], T.StructField("_bucket", T.LongType()), T.StructField("_chunk", T.LongType()),
-                            T.StructField("_carried", T.BooleanType()), T.StructField("_carry", self.kernel.state_type),
-                            T.StructField("_start", T.LongType())])
-        state = T.StructType([T.StructField("carry", self.kernel.state_type), T.StructField("seq", T.LongType())])
-        return heads.groupBy("_key").applyInPandasWithState(_make_carries(self.kernel), out, state, "append", GroupStateTimeout.NoTimeout)
+        heads = released.filter(F.col("_n").isNotNull()).select(*key_columns(F.col("_key")), "_bucket", "_chunk", "_us", "_tie", "_n", "_end", "_map")
+        body = [T.StructField("_bucket", T.LongType()), T.StructField("_chunk", T.LongType()), T.StructField("_carried", T.BooleanType()),
+                T.StructField("_carry", self.kernel.state_type), T.StructField("_start", T.LongType())]
+        out = T.StructType([T.StructField("_k", T.StringType()), T.StructField("_null", T.BooleanType()), *body])
+        done = shards.by_shard(heads, "_k", "_null").applyInPandasWithState(
+            _make_carries(self.kernel), out, shards.STATE, "append", GroupStateTimeout.NoTimeout)
+        return done.select(key_again(released.schema["_key"].dataType).alias("_key"), *[f.name for f in body])
 
     def result(self, released: DataFrame, carries: DataFrame) -> DataFrame:
         """Step 3: ``key, tie, ts``, the kept columns, ``pos`` (1-based in the key's order), the kernel's outputs and ``_state``."""
+        from pyspark.sql.pandas.types import to_arrow_schema
+
         kernel, columns = self.kernel, self._columns()
         outputs = [(n, t) for n, t in kernel.outputs if n != "pos"]
         on = ["_k", "_null", "_bucket", "_chunk"]
-        told = lambda d: d.withColumns({"_k": F.coalesce(F.col("_key").cast("string"), F.lit("")), "_null": F.col("_key").isNull()})
-        joined = told(released.select("_key", "_bucket", "_chunk", "_idx", "_us", "_tie", *columns)) \
-            .join(told(carries).drop("_key"), on)
-        fields = [joined.schema[c] for c in ("_key", "_us", "_tie", *columns)] + [T.StructField("pos", T.LongType())] + \
+        rows = released.select(*key_columns(F.col("_key")), "_bucket", "_chunk", "_idx", "_us", "_tie", *columns)
+        zero = F.lit(0).cast("long")
+        # a chunk's carry comes before its rows
+        heads = carries.select(*key_columns(F.col("_key")), "_bucket", "_chunk", (zero - 1).alias("_idx"), zero.alias("_us"), zero.alias("_tie"),
+                               "_carried", "_carry", "_start")
+        every = rows.unionByName(heads, allowMissingColumns=True)
+        fields = [rows.schema[c] for c in ("_k", "_null", "_us", "_tie", *columns)] + [T.StructField("pos", T.LongType())] + \
             [T.StructField(n, t) for n, t in outputs] + [T.StructField("_state", kernel.state_type)]
-
-        def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("_idx")
-            carry = _state_of(pdf["_carry"].iloc[0], kernel) if pdf["_carried"].iloc[0] else None
-            states, outs = kernel.fold({c: pdf[c].to_numpy() for c in kernel.inputs}, np.array([0]), carry, len(pdf))
-            out = pdf[["_key", "_us", "_tie", *columns]].copy()
-            out["pos"] = int(pdf["_start"].iloc[0]) + 1 + np.arange(len(pdf), dtype=np.int64)
-            for name, _ in outputs:
-                out[name] = outs[name]
-            out["_state"] = states
-            return out
-
-        done = joined.groupBy(*on).applyInPandas(fold, T.StructType(fields))
-        return done.select(F.col("_key").alias(self.key), F.col("_tie").alias(self.tie), F.timestamp_micros("_us").alias(self.ts),
+        schema = T.StructType(fields)
+        done = every.repartition(*on).sortWithinPartitions(*on, "_idx") \
+            .mapInArrow(_make_fold(kernel, ["_k", "_null", "_us", "_tie", *columns], outputs, to_arrow_schema(schema)), schema)
+        return done.select(key_again(released.schema["_key"].dataType).alias(self.key), F.col("_tie").alias(self.tie), F.timestamp_micros("_us").alias(self.ts),
                            *[c for c in self.keep if c in columns], "pos", *[n for n, _ in outputs], "_state")
 
     def start(self, rows: DataFrame, root: str, **trigger):
@@ -139,47 +129,52 @@ def _write(df: DataFrame, path: str, **trigger):
     return (w.trigger(**trigger) if trigger else w).start(path)
 
 
-def _make_release(kernel: Kernel, body: list[tuple[str, T.DataType]], round_to_ms: int | None):
-    names = [n for n, _ in body]
-
+def _make_release(kernel: Kernel, names: list[str], round_to_ms: int | None):
     def release(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         import warnings
         warnings.filterwarnings("ignore", category=FutureWarning)  # a pandas notice raised inside PySpark's state serializer
         wm = state.getCurrentWatermarkMs()
-        parts = []
-        if state.exists:
-            parts.append(pd.DataFrame({n: _column(list(v), k) for (n, k), v in zip(body, state.get, strict=True)}))
+        kept = shards.load(state)
+        parts, old = ([], 0) if kept is None else ([kept], len(kept))
         if not state.hasTimedOut:
-            for pdf in pdfs:
-                keep = pdf["_us"].to_numpy(np.int64) // 1000 >= wm  # late: before the watermark
-                if keep.any():
-                    parts.append(pdf.loc[keep, names])
+            parts += [pdf[names] for pdf in pdfs if len(pdf)]
         if not parts:
             return
         held = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0].reset_index(drop=True)
-        held = held.iloc[np.lexsort((held["_tie"].to_numpy(), held["_us"].to_numpy(np.int64)))].reset_index(drop=True)
-        n = int(np.searchsorted(held["_us"].to_numpy(np.int64) // 1000, wm, side="left"))
+        null, bucket = held["_null"].to_numpy(bool), held["_bucket"].to_numpy(np.int64)
+        code = pd.factorize(held["_k"])[0] * 2 + null
+        split = shards.Split([code, bucket], held["_us"].to_numpy(np.int64), held["_tie"].to_numpy(), np.arange(len(held)) >= old, wm, round_to_ms)
+        at = split.order[split.released]
+        n = len(at)
         if n:
-            out = held.iloc[:n].copy()
+            out = held.iloc[at].reset_index(drop=True)
+            starts = shards.run_starts([code[at], bucket[at]])
+            ends = np.append(starts[1:], n)
             cols = {c: out[c].to_numpy() for c in kernel.inputs}
-            states, _ = kernel.fold(cols, np.array([0]), None, n)
-            probe = kernel.probe()
-            probe.add(cols, states)
-            none = [None] * (n - 1)
-            out.insert(0, "_key", pd.Series([key[0]] * n, dtype=object if key[0] is None else None))
-            out.insert(1, "_bucket", int(key[1]))
-            out.insert(2, "_chunk", int(wm))
-            out.insert(3, "_idx", np.arange(n, dtype=np.int64))
-            out["_n"] = pd.Series([n, *none], dtype="Int64")
-            out["_held"] = pd.Series([len(held), *none], dtype="Int64")
-            out["_end"] = pd.Series([states[-1].item(), *none], dtype="Int64" if isinstance(kernel.state_type, T.LongType) else "float64")
-            out["_map"] = [pickle.dumps(probe.result()), *none]
+            fresh = np.zeros(len(starts))
+            states, _ = kernel.fold_runs(cols, starts, fresh, fresh > 0, n)
+            out["_chunk"] = int(wm)
+            out["_idx"] = np.arange(n, dtype=np.int64) - np.repeat(starts, ends - starts)
+            head = np.ones(n, bool)  # every row but the first of its chunk
+            head[starts] = False
+
+            def first(values, kind):
+                filled = np.zeros(n, kind)
+                filled[starts] = values
+                return filled
+
+            out["_n"] = pd.arrays.IntegerArray(first(ends - starts, np.int64), mask=head)
+            out["_held"] = pd.arrays.IntegerArray(first(split.held, np.int64), mask=head)
+            of = (pd.arrays.IntegerArray, np.int64) if isinstance(kernel.state_type, T.LongType) else (pd.arrays.FloatingArray, np.float64)
+            out["_end"] = of[0](first(states[ends - 1], of[1]), mask=head)
+            packed = np.full(n, None, dtype=object)
+            for i, m in zip(starts.tolist(), kernel.maps(cols, starts, states), strict=True):
+                packed[i] = pickle.dumps(m)
+            out["_map"] = packed
             yield out
-        rest = held.iloc[n:]
-        if len(rest):
-            state.update(tuple([None if pd.isna(v) else v for v in rest[c].tolist()] if k not in (T.LongType(), T.DoubleType()) else rest[c].tolist()
-                               for c, k in body))
-            state.setTimeoutTimestamp(_timeout_ms(int(rest["_us"].iloc[0]) // 1000, round_to_ms))
+        if split.next is not None:
+            shards.save(state, held.iloc[split.order[split.rest]].reset_index(drop=True))
+            state.setTimeoutTimestamp(split.next)
         elif state.exists:
             state.remove()
 
@@ -190,20 +185,61 @@ def _make_carries(kernel: Kernel):
     def carries(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         import warnings
         warnings.filterwarnings("ignore", category=FutureWarning)
-        heads = pd.concat(list(pdfs), ignore_index=True).sort_values(["_us", "_tie", "_bucket", "_chunk"])
-        carried, carry, seq = state.exists, None, 0
-        if carried:
-            value, seq = state.get
-            carry = _state_of(value, kernel)
+        heads = pd.concat(list(pdfs), ignore_index=True).sort_values(["_null", "_k", "_us", "_tie", "_bucket", "_chunk"])
+        ends = shards.load(state) or {}  # key -> state and number of rows after its last chunk
         rows = []
-        for bucket, chunk, n, end, packed in zip(heads["_bucket"], heads["_chunk"], heads["_n"], heads["_end"], heads["_map"], strict=True):
-            rows.append((int(bucket), int(chunk), carried, carry, seq))
-            carry = kernel.apply(pickle.loads(packed), carry) if carried else _state_of(end, kernel)
-            carried, seq = True, seq + int(n)
-        state.update((carry, seq))
-        out = pd.DataFrame(rows, columns=["_bucket", "_chunk", "_carried", "_carry", "_start"])
+        for k, null, bucket, chunk, n, end, packed in zip(*(heads[c].tolist() for c in ("_k", "_null", "_bucket", "_chunk", "_n", "_end", "_map")), strict=True):
+            carry, seq = ends.get((k, null), (None, 0))
+            carried = (k, null) in ends
+            rows.append((k, null, bucket, chunk, carried, carry, seq))
+            ends[k, null] = (kernel.apply(pickle.loads(packed), carry) if carried else _state_of(end, kernel)), seq + n
+        shards.save(state, ends)
+        out = pd.DataFrame(rows, columns=["_k", "_null", "_bucket", "_chunk", "_carried", "_carry", "_start"])
         out["_carry"] = out["_carry"].astype("Int64" if isinstance(kernel.state_type, T.LongType) else "float64")
-        out.insert(0, "_key", pd.Series([key[0]] * len(out), dtype=object if key[0] is None else None))
         yield out
 
     return carries
+
+
+def _make_fold(kernel: Kernel, passed: list[str], outputs: list[tuple[str, T.DataType]], schema: pa.Schema):
+    """Over rows sorted by (chunk, index), where a row with a chunk's carry (index -1) comes before the chunk's: every chunk folded from its carry.
+    Rows of a chunk without one are left out. A chunk may run over several Arrow batches."""
+    kind = np.int64 if isinstance(kernel.state_type, T.LongType) else np.float64
+
+    def values(b: pa.RecordBatch, name: str, null) -> np.ndarray:
+        return b.column(name).fill_null(null).to_numpy(zero_copy_only=False)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # the open chunk, whether its carry was there, whether it starts its key, state, rows of the key before it
+        for b in batches:
+            if not b.num_rows:
+                continue
+            text = pd.factorize(b.column("_k").to_numpy(zero_copy_only=False))[0]
+            on = [text, *(values(b, c, z) for c, z in (("_null", False), ("_bucket", 0), ("_chunk", 0)))]
+            idx = values(b, "_idx", 0)
+            starts = shards.run_starts(on)
+            named = lambda i: tuple(b.column(c)[i].as_py() for c in ("_k", "_null", "_bucket", "_chunk"))  # noqa: B023, E731
+            told = idx[starts] < 0
+            carried, carry, begin = (values(b, c, z)[starts] for c, z in (("_carried", False), ("_carry", 0 if kind is np.int64 else float("nan")), ("_start", 0)))
+            carry = carry.astype(kind)
+            if last is not None and not told[0] and last[0] == named(0):
+                told[0], carried[0], carry[0], begin[0] = last[1:]
+            size = np.diff(np.append(starts, b.num_rows))
+            take = np.repeat(told, size) & (idx >= 0)
+            rows = np.add.reduceat(take, starts, dtype=np.int64)
+            some = rows > 0
+            n = int(rows.sum())
+            end = carried[-1], carry[-1]
+            if n:
+                found = b.filter(pa.array(take))
+                runs = np.cumsum(rows[some]) - rows[some]
+                cols = {c: found.column(c).to_numpy(zero_copy_only=False) for c in kernel.inputs}
+                states, outs = kernel.fold_runs(cols, runs, carry[some], carried[some], n)
+                if some[-1]:
+                    end = True, states[-1]
+                made = [found.column(c) for c in passed] + [pa.array(np.repeat(begin[some], rows[some]) + 1 + idx[take])] + \
+                    [pa.array(outs[name]) for name, _ in outputs] + [pa.array(states, from_pandas=True)]
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(made, schema, strict=True)], schema=schema)
+            last = (named(b.num_rows - 1), bool(told[-1]), *end, begin[-1])
+
+    return fold
