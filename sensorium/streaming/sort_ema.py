@@ -9,7 +9,9 @@ its watermark one millisecond lower. Released rows get their position in
 the sensor's sequence and the moving average (first row only seeds it).
 An event-time timeout wakes a sensor without new rows: at the row's own
 time (``round_to_ms = None``) or at the end of its ``round_to_ms`` bucket
-(coalesced timers). Sort, correction and average share one operator, so
+(coalesced timers). Sensors share the state rows of ``shards``, and a call
+works on all sensors of one at once, each as if it had a state row and a
+timeout of its own. Sort, correction and average share one operator, so
 the stream is shuffled once, by sensor.
 
 State lives in the stream's state store, checkpointed with the query;
@@ -30,6 +32,8 @@ from ..functions.correct import apply_corrections
 from ..functions.decode import decode_measurements
 from ..operators.ordered import MovingAverage
 from ..schema import OUT_OF_ORDERNESS_MS, ROUND_TIMER_TO_MS
+from . import shards
+from .shards import timeout_ms as _timeout_ms  # noqa: F401
 from .windows import with_event_time
 
 # Python works on epoch micros (``ts_us``), never on session-zone datetimes.
@@ -42,16 +46,6 @@ OUTPUT = T.StructType([
     T.StructField("ema", T.DoubleType()),
 ])
 
-STATE = T.StructType([
-    T.StructField("ts_us", T.ArrayType(T.LongType())),
-    T.StructField("tie", T.ArrayType(T.LongType())),
-    T.StructField("val", T.ArrayType(T.DoubleType())),
-    T.StructField("avg", T.DoubleType()),
-    T.StructField("seen", T.BooleanType()),
-    T.StructField("seq", T.LongType()),
-])
-
-
 def release_ms(ts: str = "ts", round_to_ms: int | None = ROUND_TIMER_TO_MS) -> Column:
     """The timer of a row in epoch ms: its own time, or the end of its ``round_to_ms`` bucket (always after the row). The
     sort releases the row once the watermark passes its time and this timer, or new rows of its sensor come."""
@@ -59,13 +53,6 @@ def release_ms(ts: str = "ts", round_to_ms: int | None = ROUND_TIMER_TO_MS) -> C
     return ms if not round_to_ms else ms - F.pmod(ms, F.lit(round_to_ms)) + F.lit(round_to_ms)
 
 
-def _timeout_ms(ts_ms: int, round_to_ms: int | None) -> int:
-    # a timeout T fires once watermark > T
-    if not round_to_ms:
-        return ts_ms
-    return ts_ms // round_to_ms * round_to_ms + round_to_ms - 1
-
-
 def _late(us: np.ndarray, wm: int) -> np.ndarray:
     """Rows whose millisecond time is before the watermark."""
     return us // 1000 < wm
@@ -102,25 +89,40 @@ def make_sort_ema(round_to_ms: int | None = ROUND_TIMER_TO_MS, alpha: float = 0.
         import warnings
         # pandas notice raised inside PySpark's state serializer, per batch
         warnings.filterwarnings("ignore", category=FutureWarning)
-        parts, progress = [], (None, False, 0)
-        if state.exists:
-            b_us, b_tie, b_val, *progress = state.get
-            parts.append((np.asarray(b_us, np.int64), np.asarray(b_tie, np.int64), np.asarray(b_val, np.float64)))
         wm = state.getCurrentWatermarkMs()
+        # buffered rows; sensors seen, each with its average and position
+        held, (known, avg, seq) = shards.load(state) or ((np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)),
+                                                         (np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)))
+        parts = [held]
         if not state.hasTimedOut:
-            for pdf in pdfs:
-                us = pdf["ts_us"].to_numpy(np.int64)
-                keep = ~_late(us, wm)
-                parts.append((us[keep], pdf["event_id"].to_numpy(np.int64)[keep], pdf["value"].to_numpy(np.float64)[keep]))
-        if not parts:
-            return
-        out = _Released(kernel, int(key[0]), tuple(np.concatenate(c) for c in zip(*parts, strict=True)), wm, tuple(progress))
-        if out.frame is not None:
-            yield out.frame
-        us, tie, val = out.rest
-        state.update((us.tolist(), tie.tolist(), val.tolist(), *out.progress))
-        if len(us):
-            state.setTimeoutTimestamp(_timeout_ms(int(us[0]) // 1000, round_to_ms))
+            parts += [tuple(pdf[c].to_numpy(k) for c, k in (("sensor_id", np.int64), ("ts_us", np.int64), ("event_id", np.int64), ("value", np.float64)))
+                      for pdf in pdfs]
+        rows = [np.concatenate(c) for c in zip(*parts, strict=True)]
+        split = shards.Split([rows[0]], rows[1], rows[2], np.arange(len(rows[0])) >= len(held[0]), wm, round_to_ms)
+        rows = [c[split.order] for c in rows]
+        sensor, us, tie, val = (c[split.released] for c in rows)
+        n = len(sensor)
+        if n:
+            starts = shards.run_starts([sensor])
+            ends = np.append(starts[1:], n)
+            known, at = np.unique(np.concatenate([known, sensor[starts]]), return_inverse=True)
+            new_avg, new_seq = np.zeros(len(known)), np.zeros(len(known), np.int64)
+            new_avg[at[:len(avg)]], new_seq[at[:len(seq)]] = avg, seq
+            avg, seq, at = new_avg, new_seq, at[len(at) - len(starts):]
+            states, outs = kernel.fold_runs({"value": val}, starts, avg[at], seq[at] > 0, n)
+            yield pd.DataFrame({
+                "sensor_id": sensor.astype(np.int32),
+                "event_id": tie,
+                "ts_us": us,
+                "value": val,
+                "pos": np.repeat(seq[at] - starts, ends - starts) + np.arange(1, n + 1, dtype=np.int64),
+                "ema": pd.arrays.FloatingArray(np.asarray(states, dtype=np.float64), mask=~outs["_emit"]),
+            })
+            avg[at] = states[ends - 1]
+            seq[at] += ends - starts
+        shards.save(state, (tuple(c[split.rest] for c in rows), (known, avg, seq)))
+        if split.next is not None:
+            state.setTimeoutTimestamp(split.next)
 
     return sort_ema
 
@@ -203,8 +205,8 @@ def sort_correct_ema(raw: DataFrame, corrections=None, delay_ms: int = OUT_OF_OR
     Output rows: ``sensor_id, event_id, ts, value, pos, ema`` (``ema`` NULL
     on a sensor's first row). ``event_id`` is the record offset, the tie
     break for equal times. ``engine``: ``"group_state"``
-    (``applyInPandasWithState``, one timeout per sensor; works in any
-    session), ``"state_api"`` (``transformWithStateInPandas``, list/value
+    (``applyInPandasWithState``, one timeout per shard of sensors; works in
+    any session), ``"state_api"`` (``transformWithStateInPandas``, list/value
     state and timers per row or bucket), or ``"auto"`` (the state API when
     the session is set up for it). Both release the same rows in the same
     order.
@@ -221,8 +223,8 @@ def sort_correct_ema(raw: DataFrame, corrections=None, delay_ms: int = OUT_OF_OR
         out = rows.groupBy("sensor_id").transformWithStateInPandas(
             SortEmaProcessor(round_to_ms, alpha), OUTPUT, "append", "eventTime")
     else:
-        out = rows.groupBy("sensor_id").applyInPandasWithState(
-            make_sort_ema(round_to_ms, alpha), OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+        out = shards.by_shard(rows, "sensor_id").applyInPandasWithState(
+            make_sort_ema(round_to_ms, alpha), OUTPUT, shards.STATE, "append", GroupStateTimeout.EventTimeTimeout)
     return out.select("sensor_id", "event_id", F.timestamp_micros("ts_us").alias("ts"), "value", "pos", "ema")
 
 
