@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from ..streaming import shards
 from .folds import key_again, key_columns, run_bounds
 
 
@@ -159,40 +160,53 @@ def keyed_process(df: DataFrame, fn: KeyedProcess, key: str, ts: str = "ts", tie
     return done.select(key_again(df.schema[key].dataType).alias(key), *out.names[2:])
 
 
-def _make_stream_run(fn: KeyedProcess, kinds: list[tuple[str, T.DataType]], out_names: Sequence[str]):
-    names = [n for n, _ in kinds]
+def _make_stream_run(fn: KeyedProcess, names: Sequence[str], out_names: Sequence[str]):
+    def advance(k, null, buffered: list[tuple], packed: bytes | None, wm: int, out: list[tuple]):
+        """One key up to the watermark: its emitted rows go to ``out``; returns what is kept of it, and when it is due again."""
+        ctx = Context(None if null else k)
+        if packed is not None:
+            ctx.state, ctx.timers = pickle.loads(packed)
+        buffered.sort(key=lambda r: r[:2])
+        n = bisect.bisect_left(buffered, wm, key=lambda r: r[0] // 1000)
+        _feed(fn, ctx, names, [list(c) for c in zip(*buffered[:n], strict=True)] or [[] for _ in names])
+        _fire(fn, ctx, wm)
+        rest = buffered[n:]
+        out += [(k, null, *row) for row in ctx.out]
+        if not (rest or ctx.timers or ctx.state is not None):
+            return None
+        due = [t for t in (rest[0][0] // 1000 if rest else None, ctx.timers[0] if ctx.timers else None) if t is not None]
+        return rest, pickle.dumps((ctx.state, ctx.timers)), max(min(due), wm) if due else None
 
     def run(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         import warnings
         warnings.filterwarnings("ignore", category=FutureWarning)  # a pandas notice raised inside PySpark's state serializer
         wm = state.getCurrentWatermarkMs()
-        buffered: list[tuple] = []
-        ctx = Context(None if key[1] else key[0])
-        if state.exists:
-            *columns, packed = state.get
-            buffered = list(zip(*columns, strict=True))
-            ctx.state, ctx.timers = pickle.loads(packed)
+        keys = shards.load(state) or {}  # key -> buffered rows, packed state and timers, when it is due
+        fresh: dict[tuple, list[tuple]] = {}
         if not state.hasTimedOut:
             for pdf in pdfs:
                 late = pdf["us"].to_numpy(np.int64) // 1000 < wm
-                rows = pdf.loc[~late, names]
-                buffered += [tuple(None if v is None or v is pd.NA or v != v else v for v in r)
-                             for r in zip(*(rows[n].astype(object).tolist() for n in names), strict=True)]
-        buffered.sort(key=lambda r: r[:2])
-        n = bisect.bisect_left(buffered, wm, key=lambda r: r[0] // 1000)
-        _feed(fn, ctx, names, [list(c) for c in zip(*buffered[:n], strict=True)] or [[] for _ in names])
-        _fire(fn, ctx, wm)
-        rest = buffered[n:]
-        if rest or ctx.timers or ctx.state is not None:
-            columns = [list(c) for c in zip(*rest, strict=True)] or [[] for _ in names]
-            state.update((*columns, pickle.dumps((ctx.state, ctx.timers))))
-            due = [t for t in (rest[0][0] // 1000 if rest else None, ctx.timers[0] if ctx.timers else None) if t is not None]
+                for k, null, gone, *r in zip(pdf["_k"].tolist(), pdf["_null"].tolist(), late.tolist(),
+                                             *(pdf[n].astype(object).tolist() for n in names), strict=True):
+                    rows = fresh.setdefault((k, null), [])
+                    if not gone:
+                        rows.append(tuple(None if v is None or v is pd.NA or v != v else v for v in r))
+        woken = [*fresh, *(k for k, (_, _, due) in keys.items() if k not in fresh and due is not None and due < wm)]
+        out: list[tuple] = []
+        for k in woken:
+            buffered, packed, _ = keys.pop(k, ([], None, None))
+            kept = advance(*k, buffered + fresh.get(k, []), packed, wm, out)
+            if kept is not None:
+                keys[k] = kept
+        if keys:
+            shards.save(state, keys)
+            due = [t for _, _, t in keys.values() if t is not None]
             if due:
-                state.setTimeoutTimestamp(max(min(due), wm))
+                state.setTimeoutTimestamp(min(due))
         elif state.exists:
             state.remove()
-        if ctx.out:
-            yield pd.DataFrame([(key[0], key[1], *row) for row in ctx.out], columns=["_k", "_null", *out_names])
+        if out:
+            yield pd.DataFrame(out, columns=["_k", "_null", *out_names])
 
     return run
 
@@ -200,15 +214,15 @@ def _make_stream_run(fn: KeyedProcess, kinds: list[tuple[str, T.DataType]], out_
 def keyed_process_stream(rows: DataFrame, fn: KeyedProcess, key: str, ts: str = "ts", tie: str = "event_id") -> DataFrame:
     """``fn`` over a stream with a watermark on ``ts``: the rows and timers that a table gives, as far as the watermark.
 
-    Late rows (before the watermark) are dropped; the others wait in the key's state until the watermark passes them.
+    Late rows (before the watermark) are dropped; the others wait in the key's state until the watermark passes them. Keys share the
+    state rows of ``streaming.shards``: a call advances the keys of one that have rows or whose timer is due.
     Timers fire once the watermark passes them. State and timers are the query's, checkpointed with it. A null or NaN input is None."""
     data = rows.select(*key_columns(F.col(key)), F.col(ts), F.unix_micros(F.col(ts)).alias("us"), F.col(tie).alias("tie"), *fn.inputs)
-    kinds = [(n, data.schema[n].dataType) for n in ("us", "tie", *fn.inputs)]
-    state = T.StructType([T.StructField(n, T.ArrayType(k)) for n, k in kinds] + [T.StructField("_packed", T.BinaryType())])
+    names = ["us", "tie", *fn.inputs]
     fields = T.StructType.fromDDL(fn.output).fields
     out = T.StructType([T.StructField("_k", T.StringType()), T.StructField("_null", T.BooleanType()), *fields])
-    done = data.groupBy("_k", "_null").applyInPandasWithState(
-        _make_stream_run(fn, kinds, [f.name for f in fields]), out, state, "append", GroupStateTimeout.EventTimeTimeout)
+    done = shards.by_shard(data, "_k", "_null").applyInPandasWithState(
+        _make_stream_run(fn, names, [f.name for f in fields]), out, shards.STATE, "append", GroupStateTimeout.EventTimeTimeout)
     return done.select(key_again(rows.schema[key].dataType).alias(key), *[f.name for f in fields])
 
 
