@@ -31,7 +31,7 @@ def _measured(raw):
 
 BUILDS = {
     "sort": lambda raw: sort_correct_ema(raw, None, 2_000, 100),
-    "sessions": lambda raw: process.keyed_process_stream(_measured(raw), process.Sessions(1_300), "sensor_id"),
+    "sessions": lambda raw: process.keyed_process_stream(_measured(raw), process.Sessions(1_000), "sensor_id"),
     "hot": lambda raw: HotKeyFold(MovingAverage(), bucket_ms=500).release(_measured(raw)).drop("_held", "_map"),
 }
 
